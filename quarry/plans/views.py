@@ -49,3 +49,46 @@ def with_views(sql: str, *names: str) -> str:
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
+
+RAW_FLAT = """
+SELECT transaction_id,
+       date_trunc('millisecond', event_time)
+         - CASE WHEN CAST(transaction_id AS BIGINT) % 103 = 0 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS event_time,
+       event_time AS ingest_time,
+       customer_id, merchant_id, merchant_category, payment_method, amount, status, commission_type,
+       commission_amount, vat_amount,
+       total_amount + CASE WHEN CAST(transaction_id AS BIGINT) % 97 = 0 THEN 1 ELSE 0 END AS total_amount,
+       customer_type, risk_level, failure_reason, location_lat, location_lng,
+       CASE WHEN CAST(transaction_id AS BIGINT) % 101 = 0 AND device_os IS NOT NULL THEN 'Symbian' ELSE device_os END AS device_os,
+       device_app_version, device_model
+FROM transactions
+"""
+
+VALIDATED = """
+SELECT *,
+  CASE WHEN payment_method = 'mobile' AND coalesce(device_os IN ('iOS', 'Android'), false) = false THEN 'ERR_DEVICE'
+       WHEN amount + vat_amount <> total_amount THEN 'ERR_AMOUNT'
+       WHEN event_time > ingest_time OR event_time < ingest_time - INTERVAL 1 DAY THEN 'ERR_TIME'
+  END AS error_code
+FROM raw_flat
+"""
+
+PATIENTS = """
+SELECT o.o_orderkey AS patient_id,
+       CAST(150 + o.o_orderkey % 50 AS VARCHAR) || 'cm' AS height,
+       50 + o.o_custkey % 60 AS weight,
+       CAST(o.o_orderdate AS DATE) AS diagnosis_date,
+       CAST(p.first_ship AS DATE) AS surgery_date,
+       o.o_orderpriority AS stage,
+       c.c_mktsegment AS segment,
+       p.part_types AS symptoms,
+       CASE WHEN o.o_orderkey % 2 = 0 THEN 'Yes' ELSE 'No' END AS family_history
+FROM orders o
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN (SELECT l.l_orderkey, min(l.l_shipdate) AS first_ship,
+                  string_agg(DISTINCT pt.p_type, ',' ORDER BY pt.p_type) AS part_types
+           FROM lineitem l JOIN part pt ON l.l_partkey = pt.p_partkey GROUP BY l.l_orderkey) p
+  ON o.o_orderkey = p.l_orderkey
+"""
+
+VIEWS.update({"raw_flat": RAW_FLAT, "validated": VALIDATED, "patients": PATIENTS})

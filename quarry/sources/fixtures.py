@@ -65,3 +65,80 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_events(load(spark, sf_dir, "events"))
+
+
+def raw_messages_from_transactions(tx: DataFrame) -> DataFrame:
+    """Topic-shaped rows (key, value JSON, timestamp) of the transaction events.
+
+    ``timestamp`` is the record's ingestion time (the event time). Deliberately
+    broken rows for validation: event_id % 97 = 0 carries a wrong total,
+    % 101 = 0 an unknown device os, % 103 = 0 an event time two days before
+    its ingestion time. Times are serialised like the producer: ISO, ms, ``Z``.
+    """
+    eid = F.col("transaction_id").cast("bigint")
+    ts = F.when(eid % 103 == 0, F.col("event_time") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("event_time"))
+    os_ = F.when(eid % 101 == 0, F.lit("Symbian")).otherwise(F.col("device_os"))
+    device = F.when(
+        F.col("device_os").isNotNull(),
+        F.create_map(
+            F.lit("os"), os_,
+            F.lit("app_version"), F.col("device_app_version"),
+            F.lit("device_model"), F.col("device_model"),
+        ),
+    ).otherwise(F.expr("cast(map() as map<string,string>)"))
+    event = F.struct(
+        F.col("transaction_id"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        "customer_id", "merchant_id", "merchant_category", "payment_method", "amount",
+        F.create_map(F.lit("lat"), F.col("location_lat"), F.lit("lng"), F.col("location_lng")).alias("location"),
+        device.alias("device_info"),
+        "status", "commission_type", "commission_amount", "vat_amount",
+        (F.col("total_amount") + F.when(eid % 97 == 0, 1).otherwise(0)).alias("total_amount"),
+        "customer_type", "risk_level", "failure_reason",
+    )
+    return tx.select(
+        F.col("customer_id").alias("key"),
+        F.to_json(event).alias("value"),
+        F.col("event_time").alias("timestamp"),
+    )
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_messages_from_transactions(transactions(spark, sf_dir))
+
+
+def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patient-shaped rows from orders, customer, lineitem and part.
+
+    One row per order: first ship date and the sorted distinct part types of
+    its lines (NULL when the order has no lines). The per-order aggregate is a
+    shuffle on l_orderkey; part is joined by key before it.
+    """
+    orders = load(spark, sf_dir, "orders")
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_type")
+    per_order = (
+        lines.join(part, lines.l_partkey == part.p_partkey)
+        .groupBy("l_orderkey")
+        .agg(
+            F.min("l_shipdate").alias("first_ship"),
+            F.concat_ws(",", F.array_sort(F.collect_set("p_type"))).alias("part_types"),
+        )
+    )
+    yes_no = F.when(F.col("o_orderkey") % 2 == 0, "Yes").otherwise("No")
+    return (
+        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        .join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+        .select(
+            F.col("o_orderkey").alias("patient_id"),
+            F.concat((150 + F.col("o_orderkey") % 50).cast("string"), F.lit("cm")).alias("height"),
+            (50 + F.col("o_custkey") % 60).alias("weight"),
+            F.to_date("o_orderdate").alias("diagnosis_date"),
+            F.to_date("first_ship").alias("surgery_date"),
+            F.col("o_orderpriority").alias("stage"),
+            F.col("c_mktsegment").alias("segment"),
+            F.col("part_types").alias("symptoms"),
+            yes_no.alias("family_history"),
+        )
+    )
