@@ -92,3 +92,11 @@ LEFT JOIN (SELECT l.l_orderkey, min(l.l_shipdate) AS first_ship,
 """
 
 VIEWS.update({"raw_flat": RAW_FLAT, "validated": VALIDATED, "patients": PATIENTS})
+
+LISTINGS = "SELECT s_suppkey AS listing_id, s_name AS name, s_acctbal AS price, s_nationkey AS neighbourhood_id FROM supplier"
+NEIGHBOURHOODS = """
+SELECT n_nationkey AS neighbourhood_id, n_name AS neighbourhood, r_name AS neighbourhood_group,
+       CAST(n_nationkey AS DOUBLE) AS latitude, CAST(n_regionkey AS DOUBLE) AS longitude
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
+"""
+VIEWS.update({"listings": LISTINGS, "neighbourhoods": NEIGHBOURHOODS})

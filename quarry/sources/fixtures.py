@@ -142,3 +142,26 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
             yes_no.alias("family_history"),
         )
     )
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows from supplier (price = account balance)."""
+    return load(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("listing_id"),
+        F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("price"),
+        F.col("s_nationkey").alias("neighbourhood_id"),
+    )
+
+
+def neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbourhoods from nation, grouped by region."""
+    nation = load(spark, sf_dir, "nation")
+    region = load(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
+        F.col("n_nationkey").alias("neighbourhood_id"),
+        F.col("n_name").alias("neighbourhood"),
+        F.col("r_name").alias("neighbourhood_group"),
+        F.col("n_nationkey").cast("double").alias("latitude"),
+        F.col("n_regionkey").cast("double").alias("longitude"),
+    )
