@@ -100,3 +100,27 @@ SELECT n_nationkey AS neighbourhood_id, n_name AS neighbourhood, r_name AS neigh
 FROM nation LEFT JOIN region ON n_regionkey = r_regionkey
 """
 VIEWS.update({"listings": LISTINGS, "neighbourhoods": NEIGHBOURHOODS})
+
+OUTCOMES = """
+SELECT event_id, event_type AS grp, CAST(round(value * 100) AS BIGINT) - 5000 AS x,
+       1 + user_id % 10 AS rounds, user_id FROM events
+"""
+POLLS = """
+SELECT CAST(l_shipdate AS DATE) AS date, round(l_discount * 1000) AS share_a, round(l_tax * 1000) AS share_b,
+       l_quantity AS n, l_returnflag AS pollster, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+"""
+TRIAL = """
+SELECT l.doc_id, l.quality AS grp, CAST(d.n_chars AS DOUBLE) AS n_chars, CAST(l.toxic AS DOUBLE) AS toxic
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+"""
+DAYS = """
+SELECT date, CAST(quarter(date) AS INTEGER) AS season_id, CAST(year(date) % 2 AS INTEGER) AS year,
+       CAST(month(date) AS INTEGER) AS month, CAST((dayofweek(date) + 6) % 7 AS INTEGER) AS weekday,
+       q / total_users AS temperature, d / total_users AS feels_like_temp, t / total_users AS humidity,
+       p / total_users / 100000 AS wind_speed, total_users
+FROM (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS total_users, sum(l_quantity) AS q,
+             sum(CAST(round(l_discount * 100) AS BIGINT)) AS d, sum(CAST(round(l_tax * 100) AS BIGINT)) AS t,
+             sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS p
+      FROM lineitem GROUP BY 1)
+"""
+VIEWS.update({"outcomes": OUTCOMES, "polls": POLLS, "trial": TRIAL, "days": DAYS})

@@ -165,3 +165,68 @@ def neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").cast("double").alias("latitude"),
         F.col("n_regionkey").cast("double").alias("longitude"),
     )
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome rows from events: group = event type, x = value - 50 (in cents,
+    integer), rounds = 1 + user_id % 10."""
+    e = load(spark, sf_dir, "events")
+    return e.select(
+        "event_id",
+        F.col("event_type").alias("grp"),
+        (F.round(F.col("value") * 100).cast("bigint") - 5000).alias("x"),
+        (1 + F.col("user_id") % 10).alias("rounds"),
+        F.col("user_id"),
+    )
+
+
+def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Poll rows from lineitem: shares in percent (integer valued), n = quantity."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.select(
+        F.to_date("l_shipdate").alias("date"),
+        F.round(F.col("l_discount") * 1000).alias("share_a"),
+        F.round(F.col("l_tax") * 1000).alias("share_b"),
+        F.col("l_quantity").alias("n"),
+        F.col("l_returnflag").alias("pollster"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+    )
+
+
+def trial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-group trial rows: labels joined to documents; group = quality."""
+    labels = load(spark, sf_dir, "labels")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return labels.join(docs, "doc_id").select(
+        "doc_id", F.col("quality").alias("grp"), F.col("n_chars").cast("double").alias("n_chars"),
+        F.col("toxic").cast("double").alias("toxic"),
+    )
+
+
+def days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows from lineitem by ship date (integer sums, so exact).
+
+    One aggregate shuffled by the ship date; the output has one row per date.
+    """
+    li = load(spark, sf_dir, "lineitem")
+    cents = lambda c, m: F.round(F.col(c) * m).cast("bigint")
+    d = li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
+        F.count(F.lit(1)).alias("total_users"),
+        F.sum("l_quantity").alias("__q"),
+        F.sum(cents("l_discount", 100)).alias("__d"),
+        F.sum(cents("l_tax", 100)).alias("__t"),
+        F.sum(cents("l_extendedprice", 100)).alias("__p"),
+    )
+    n = F.col("total_users")
+    return d.select(
+        "date",
+        F.quarter("date").alias("season_id"),
+        (F.year("date") % 2).alias("year"),
+        F.month("date").alias("month"),
+        ((F.dayofweek("date") + 5) % 7).alias("weekday"),
+        (F.col("__q") / n).alias("temperature"),
+        (F.col("__d") / n).alias("feels_like_temp"),
+        (F.col("__t") / n).alias("humidity"),
+        (F.col("__p") / n / 100000).alias("wind_speed"),
+        "total_users",
+    )
