@@ -124,3 +124,29 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS date, count(*) AS total_users, sum(l_qu
       FROM lineitem GROUP BY 1)
 """
 VIEWS.update({"outcomes": OUTCOMES, "polls": POLLS, "trial": TRIAL, "days": DAYS})
+
+
+def _holidays_sql() -> str:
+    from quarry.functions.holidays import FIXED, JUNETEENTH_FROM, NTH
+
+    parts = []
+    for name, month, day in FIXED:
+        where = f" WHERE y >= {JUNETEENTH_FROM}" if name == "Juneteenth" else ""
+        parts.append(f"SELECT make_date(y, {month}, {day}) AS date, '{name.replace(chr(39), chr(39) * 2)}' AS name FROM yrs{where}")
+    for name, month, weekday, n in NTH:
+        wd = weekday - 1  # DuckDB dayofweek: 0 = Sunday
+        nm = name.replace("'", "''")
+        if n > 0:
+            first = f"make_date(y, {month}, 1)"
+            expr = f"{first} + CAST(({wd} - dayofweek({first}) + 7) % 7 + {7 * (n - 1)} AS INTEGER)"
+        else:
+            last = f"last_day(make_date(y, {month}, 1))"
+            expr = f"{last} - CAST((dayofweek({last}) - {wd} + 7) % 7 AS INTEGER)"
+        parts.append(f"SELECT CAST({expr} AS DATE) AS date, '{nm}' AS name FROM yrs")
+    return (
+        "SELECT * FROM (WITH yrs AS (SELECT unnest(range(CAST(min(year(date)) AS INTEGER) - 1, "
+        "CAST(max(year(date)) AS INTEGER) + 2)) AS y FROM days)\n" + "\nUNION ALL\n".join(parts) + ")"
+    )
+
+
+VIEWS["holidays"] = _holidays_sql()
