@@ -26,4 +26,4 @@ def query(key: str, sql: str | None = None, views: tuple[str, ...] = ()):
 
 def load_all() -> None:
     """Import every plan module so their ``@query`` decorators run."""
-    from quarry.plans import cleaning, features, fraud, ingest, payments, stats, streams  # noqa: F401
+    from quarry.plans import cleaning, features, fraud, graph, ingest, learn, payments, stats, streams  # noqa: F401

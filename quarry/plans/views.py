@@ -150,3 +150,24 @@ def _holidays_sql() -> str:
 
 
 VIEWS["holidays"] = _holidays_sql()
+
+RATINGS = """
+SELECT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS item_id,
+       1 + (max(event_id) % 9) / 2 AS label
+FROM events GROUP BY 1, 2
+"""
+TRUST = """
+SELECT DISTINCT user_id AS trustor, CAST(json_extract_string(props, '$.k') AS BIGINT) AS trustee
+FROM events WHERE event_id % 20 = 0
+"""
+REACH = """
+SELECT src, dst, min(hops) AS hops FROM (
+  WITH RECURSIVE e AS (SELECT DISTINCT trustor AS src, trustee AS dst FROM trust WHERE trustor <> trustee),
+  walk(src, dst, hops) AS (
+    SELECT src, dst, 1 FROM e
+    UNION
+    SELECT w.src, e.dst, w.hops + 1 FROM walk w JOIN e ON w.dst = e.src WHERE w.hops < 9)
+  SELECT * FROM walk WHERE src <> dst AND src IN (SELECT user_id FROM ratings))
+GROUP BY src, dst
+"""
+VIEWS.update({"ratings": RATINGS, "trust": TRUST, "reach": REACH})

@@ -230,3 +230,25 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__p") / n / 100000).alias("wind_speed"),
         "total_users",
     )
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rating per (user, item) from events: item = props.k % 20,
+    label = 1 + (max(event_id) % 9) / 2 (1.0 .. 5.0 in halves)."""
+    e = load(spark, sf_dir, "events")
+    return (
+        e.groupBy("user_id", (props_k() % 20).alias("item_id"))
+        .agg(F.max("event_id").alias("__m"))
+        .select("user_id", "item_id", (1 + (F.col("__m") % 9) / 2).alias("label"))
+    )
+
+
+def trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trust edges (trustor -> trustee) from declined events: distinct
+    (user_id, props.k); self-loops are kept."""
+    e = load(spark, sf_dir, "events")
+    return (
+        e.filter(F.col("event_id") % 20 == 0)
+        .select(F.col("user_id").alias("trustor"), props_k().cast("bigint").alias("trustee"))
+        .distinct()
+    )
