@@ -11,8 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-APPROVED = F.col("status") == "approved"
-DECLINED = F.col("status") == "declined"
+
+
+def approved() -> Column:
+    return F.col("status") == "approved"
+
+
+def declined() -> Column:
+    return F.col("status") == "declined"
 
 
 def count_if(cond: Column) -> Column:
@@ -34,13 +40,13 @@ def category_measures(with_count: bool = False) -> list[Column]:
         F.sum("commission_amount").alias("total_commissions"),
         F.avg("commission_amount").alias("avg_commission_per_transaction"),
         ratio(F.sum("commission_amount"), F.sum("total_amount")).alias("commission_to_transaction_ratio"),
-        count_if(APPROVED).alias("total_successful_txns"),
-        count_if(DECLINED).alias("total_failed_txns"),
+        count_if(approved()).alias("total_successful_txns"),
+        count_if(declined()).alias("total_failed_txns"),
         F.sum("total_amount").alias("total_transaction_value"),
-        sum_if(APPROVED, "total_amount").alias("total_value_approved"),
-        sum_if(DECLINED, "total_amount").alias("total_value_declined"),
-        sum_if(APPROVED, "commission_amount").alias("total_commission_approved"),
-        sum_if(DECLINED, "commission_amount").alias("total_commission_declined"),
+        sum_if(approved(), "total_amount").alias("total_value_approved"),
+        sum_if(declined(), "total_amount").alias("total_value_declined"),
+        sum_if(approved(), "commission_amount").alias("total_commission_approved"),
+        sum_if(declined(), "commission_amount").alias("total_commission_declined"),
     ]
     if with_count:
         cols.append(F.count(F.lit(1)).alias("total_count"))
@@ -52,8 +58,8 @@ def daily_measures() -> list[Column]:
     """Measures of the daily report."""
     return [
         F.count(F.lit(1)).alias("total_transactions"),
-        count_if(APPROVED).alias("approved_transactions"),
-        count_if(DECLINED).alias("declined_transactions"),
+        count_if(approved()).alias("approved_transactions"),
+        count_if(declined()).alias("declined_transactions"),
         F.avg("risk_level").alias("avg_risk_level"),
         F.sum("total_amount").alias("total_transaction_value"),
         F.sum("commission_amount").alias("total_commissions"),
@@ -68,8 +74,8 @@ def party_measures() -> list[Column]:
         F.sum("commission_amount").alias("total_commissions"),
         F.avg("commission_amount").alias("avg_commission"),
         F.avg("total_amount").alias("avg_trx_value"),
-        count_if(APPROVED).alias("approved_trxs"),
-        count_if(DECLINED).alias("declined_trxs"),
+        count_if(approved()).alias("approved_trxs"),
+        count_if(declined()).alias("declined_trxs"),
     ]
 
 

@@ -125,7 +125,7 @@ def merchant_comparison(tx: DataFrame) -> DataFrame:
         F.sum("commission_amount").alias("total_commission"),
         F.avg("commission_amount").alias("avg_commission_per_transaction"),
         M.ratio(F.sum("commission_amount"), F.sum("total_amount")).alias("commission_to_transaction_ratio"),
-        M.ratio(M.count_if(M.APPROVED), F.count("transaction_id")).alias("success_rate"),
+        M.ratio(M.count_if(M.approved()), F.count("transaction_id")).alias("success_rate"),
         F.avg("risk_level").alias("avg_risk_level"),
     )
     for name, col in (

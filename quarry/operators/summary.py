@@ -16,6 +16,7 @@ and one new row per group, so no group can grow with the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,7 +27,7 @@ from quarry.operators import measures as M
 
 @dataclass(frozen=True)
 class SummarySpec:
-    sums: dict[str, Column]                       # partial name -> aggregate over raw rows
+    sums: dict[str, Callable[[], Column]]         # partial name -> aggregate over raw rows
     averages: dict[str, tuple[str, str]] = field(default_factory=dict)   # out -> (sum, count)
     ratios: dict[str, tuple[str, str]] = field(default_factory=dict)     # out -> (num, den)
     order: list[str] = field(default_factory=list)                       # output column order
@@ -34,16 +35,16 @@ class SummarySpec:
 
 CATEGORY = SummarySpec(
     sums={
-        "total_commissions": F.sum("commission_amount"),
-        "total_successful_txns": M.count_if(M.APPROVED),
-        "total_failed_txns": M.count_if(M.DECLINED),
-        "total_transaction_value": F.sum("total_amount"),
-        "total_value_approved": M.sum_if(M.APPROVED, "total_amount"),
-        "total_value_declined": M.sum_if(M.DECLINED, "total_amount"),
-        "total_commission_approved": M.sum_if(M.APPROVED, "commission_amount"),
-        "total_commission_declined": M.sum_if(M.DECLINED, "commission_amount"),
-        "total_count": F.count(F.lit(1)),
-        "risk_sum": F.sum("risk_level").cast("bigint"),
+        "total_commissions": lambda: F.sum("commission_amount"),
+        "total_successful_txns": lambda: M.count_if(M.approved()),
+        "total_failed_txns": lambda: M.count_if(M.declined()),
+        "total_transaction_value": lambda: F.sum("total_amount"),
+        "total_value_approved": lambda: M.sum_if(M.approved(), "total_amount"),
+        "total_value_declined": lambda: M.sum_if(M.declined(), "total_amount"),
+        "total_commission_approved": lambda: M.sum_if(M.approved(), "commission_amount"),
+        "total_commission_declined": lambda: M.sum_if(M.declined(), "commission_amount"),
+        "total_count": lambda: F.count(F.lit(1)),
+        "risk_sum": lambda: F.sum("risk_level").cast("bigint"),
     },
     averages={
         "avg_commission_per_transaction": ("total_commissions", "total_count"),
@@ -60,11 +61,11 @@ CATEGORY = SummarySpec(
 
 PARTY = SummarySpec(
     sums={
-        "total_trxs": F.count(F.lit(1)),
-        "total_trx_value": F.sum("total_amount"),
-        "total_commissions": F.sum("commission_amount"),
-        "approved_trxs": M.count_if(M.APPROVED),
-        "declined_trxs": M.count_if(M.DECLINED),
+        "total_trxs": lambda: F.count(F.lit(1)),
+        "total_trx_value": lambda: F.sum("total_amount"),
+        "total_commissions": lambda: F.sum("commission_amount"),
+        "approved_trxs": lambda: M.count_if(M.approved()),
+        "declined_trxs": lambda: M.count_if(M.declined()),
     },
     averages={
         "avg_commission": ("total_commissions", "total_trxs"),
@@ -76,12 +77,12 @@ PARTY = SummarySpec(
 
 DAILY = SummarySpec(
     sums={
-        "total_transactions": F.count(F.lit(1)),
-        "approved_transactions": M.count_if(M.APPROVED),
-        "declined_transactions": M.count_if(M.DECLINED),
-        "risk_sum": F.sum("risk_level").cast("bigint"),
-        "total_transaction_value": F.sum("total_amount"),
-        "total_commissions": F.sum("commission_amount"),
+        "total_transactions": lambda: F.count(F.lit(1)),
+        "approved_transactions": lambda: M.count_if(M.approved()),
+        "declined_transactions": lambda: M.count_if(M.declined()),
+        "risk_sum": lambda: F.sum("risk_level").cast("bigint"),
+        "total_transaction_value": lambda: F.sum("total_amount"),
+        "total_commissions": lambda: F.sum("commission_amount"),
     },
     averages={"avg_risk_level": ("risk_sum", "total_transactions")},
     order=["total_transactions", "approved_transactions", "declined_transactions", "avg_risk_level",
@@ -94,7 +95,7 @@ def partials(tx: DataFrame, key: str, spec: SummarySpec, window: str = "1 minute
     summary emits per micro-batch (D7-D11) and what the store keeps."""
     return (
         tx.groupBy(F.col(key), F.window("event_time", window).start.alias("window_start"))
-        .agg(*[agg.alias(name) for name, agg in spec.sums.items()])
+        .agg(*[agg().alias(name) for name, agg in spec.sums.items()])
     )
 
 

@@ -41,20 +41,21 @@ def q_cyclic(spark, sf):
     return out.select("date", *[r(c, 9) for c in ["month_sin", "month_cos", "weekday_sin", "weekday_cos"]])
 
 
-@query("power_features", f"""
-SELECT date, {s('temperature * temperature')} AS temperature_2, {s('temperature * temperature * temperature')} AS temperature_3,
-       {s('humidity * humidity')} AS humidity_2, {s('humidity * humidity * humidity')} AS humidity_3 FROM days""", DY)
+# Row-wise IEEE arithmetic is identical in both engines: no rounding here.
+@query("power_features", """
+SELECT date, temperature * temperature AS temperature_2, temperature * temperature * temperature AS temperature_3,
+       humidity * humidity AS humidity_2, humidity * humidity * humidity AS humidity_3 FROM days""", DY)
 def q_power(spark, sf):
     out = FE.power_features(days(spark, sf), ["temperature", "humidity"], [2, 3])
-    return out.select("date", *[r(c) for c in ["temperature_2", "temperature_3", "humidity_2", "humidity_3"]])
+    return out.select("date", "temperature_2", "temperature_3", "humidity_2", "humidity_3")
 
 
-@query("interaction_features", f"""
-SELECT date, {s('temperature - feels_like_temp')} AS temp_minus_feels, {s('temperature * humidity')} AS temp_x_humidity,
-       {s('wind_speed * (temperature - feels_like_temp)')} AS wind_feels_diff FROM days""", DY)
+@query("interaction_features", """
+SELECT date, temperature - feels_like_temp AS temp_minus_feels, temperature * humidity AS temp_x_humidity,
+       wind_speed * (temperature - feels_like_temp) AS wind_feels_diff FROM days""", DY)
 def q_interaction(spark, sf):
     out = FE.interaction_features(days(spark, sf))
-    return out.select("date", *[r(c) for c in ["temp_minus_feels", "temp_x_humidity", "wind_feels_diff"]])
+    return out.select("date", "temp_minus_feels", "temp_x_humidity", "wind_feels_diff")
 
 
 @query("calendar_flags", f"""

@@ -67,7 +67,7 @@ def summary_partials(tx: DataFrame, key: str, spec: SU.SummarySpec, delay: str =
     return (
         tx.withWatermark("event_time", delay)
         .groupBy(F.col(key), F.window("event_time", window).alias("window"))
-        .agg(*[agg.alias(name) for name, agg in spec.sums.items()])
+        .agg(*[agg().alias(name) for name, agg in spec.sums.items()])
         .select(key, F.col("window.start").alias("window_start"), *spec.sums.keys())
     )
 
@@ -77,7 +77,7 @@ def daily_partials(tx: DataFrame, delay: str = "20 seconds") -> DataFrame:
     return (
         tx.withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 day").alias("window"))
-        .agg(*[agg.alias(name) for name, agg in SU.DAILY.sums.items()])
+        .agg(*[agg().alias(name) for name, agg in SU.DAILY.sums.items()])
         .select(F.to_date("window.start").alias("date"), F.col("window.start").alias("window_start"),
                 *SU.DAILY.sums.keys())
     )
