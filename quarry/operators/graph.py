@@ -164,7 +164,7 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
 def rating_features(ratings: DataFrame, edges: DataFrame) -> DataFrame:
     """Training table: rating rows with user features, residual, item
     statistics and trusted-user statistics (left joins on the keys)."""
-    base = rating_baseline(ratings).select("user_id", "item_id", "residual")
+    base = rating_baseline(ratings).select("user_id", "item_id", F.round("residual", 6).alias("residual"))
     items = item_rating_stats(ratings).select(
         "item_id", *[F.col(c).alias(f"item_{c}") for c in
                      ["average_rating", "variance_rating", "number_of_reviews", "min_rating", "max_rating",

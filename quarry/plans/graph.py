@@ -128,3 +128,26 @@ def q_group_mse(spark, sf):
     from quarry.operators.learn import group_line_mse
 
     return group_line_mse(days(spark, sf), ["year", "season_id"], "temperature", "total_users")
+
+
+@query("rating_features", f"""
+WITH t AS ({_TRUSTED_SQL}),
+u AS (SELECT u.*, coalesce(d.total_number_of_trustees, 0) AS total_number_of_trustees,
+             coalesce(d.total_number_of_trusters, 0) AS total_number_of_trusters
+      FROM (SELECT user_id, round(avg(label), 6) AS average_rating, round(var_samp(label), 6) AS variance_rating,
+                   count(label) AS number_of_ratings, median(label) AS median_of_ratings FROM ratings GROUP BY user_id) u
+      LEFT JOIN ({_DEG_SQL}) d ON u.user_id = d.user_id),
+{_BASE_SQL.strip()[5:]},
+res AS (SELECT user_id, item_id, round(label - (global_mean + b_u + b_i), 6) AS residual FROM b),
+it AS (SELECT item_id, round(avg(label), 6) AS item_average_rating, round(var_samp(label), 6) AS item_variance_rating,
+              count(label) AS item_number_of_reviews, min(label) AS item_min_rating, max(label) AS item_max_rating,
+              median(label) AS item_median_rating FROM ratings GROUP BY item_id)
+SELECT t.*, u.average_rating, u.variance_rating, u.number_of_ratings, u.median_of_ratings,
+       u.total_number_of_trustees, u.total_number_of_trusters, res.residual,
+       it.item_average_rating, it.item_variance_rating, it.item_number_of_reviews, it.item_min_rating,
+       it.item_max_rating, it.item_median_rating
+FROM t LEFT JOIN u ON t.user_id = u.user_id
+LEFT JOIN res ON t.user_id = res.user_id AND t.item_id = res.item_id
+LEFT JOIN it ON t.item_id = it.item_id""", RTT)
+def q_rating_features(spark, sf):
+    return G.rating_features(ratings(spark, sf), trust(spark, sf))

@@ -158,11 +158,6 @@ def q_regression_error(spark, sf):
     return L.regression_error(d.join(means, "season_id").withColumn("label", F.col("total_users")))
 
 
-@query("rating_features")
-def q_rating_features(spark, sf):
-    return G.rating_features(ratings(spark, sf), trust(spark, sf))
-
-
 @query("rating_prediction")
 def q_rating_prediction(spark, sf):
     """Baseline + residual predicted by boosted trees on the rating features."""
