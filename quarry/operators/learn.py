@@ -73,7 +73,7 @@ def clf_svc(max_iter: int = 100) -> Pipeline:
     no kernel SVM; the reference's RBF kernel is re-aimed as linear)."""
     return Pipeline(stages=[
         StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-        OneVsRest(classifier=LinearSVC(maxIter=max_iter), featuresCol="scaled", labelCol="label"),
+        OneVsRest(classifier=LinearSVC(maxIter=max_iter), featuresCol="scaled", labelCol="label", parallelism=4),
     ])
 
 
@@ -84,7 +84,8 @@ def clf_forest(num_trees: int = 100, max_depth: int = 5) -> RandomForestClassifi
 
 def clf_boosted(max_iter: int = 20, max_depth: int = 5, step: float = 0.1) -> OneVsRest:
     """H6: boosted trees; MLlib's GBT is binary, so one-vs-rest for classes."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=SEED))
+    return OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=SEED),
+                     parallelism=4)
 
 
 # --- metrics (H7, H16) ---------------------------------------------------------------

@@ -113,19 +113,17 @@ def daily_mean(df: DataFrame, date: str, cols: list[str]) -> DataFrame:
 
 
 def weighted_share(df: DataFrame, n: str, shares: dict[str, str]) -> DataFrame:
-    """Per candidate, sum(n * share / 100) / sum(n). The product sum is
-    taken before the division by 100 so it is exact on integer inputs."""
-    rows = []
-    for name, col in shares.items():
-        rows.append(df.agg(
-            F.lit(name).alias("candidate"),
-            F.sum(n).alias("total_n"),
-            (F.sum(F.col(n) * F.col(col)) / 100).alias("votes"),
-        ))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.withColumn("share", rnd(F.col("votes") / F.col("total_n"))).withColumn("votes", rnd(F.col("votes")))
+    """Per candidate, sum(n * share / 100) / sum(n). One aggregate for all
+    candidates (a single scan), unpivoted to one row per candidate. The
+    product sum is taken before the division by 100 so it is exact on
+    integer inputs."""
+    names = list(shares)
+    wide = df.agg(F.sum(n).alias("total_n"),
+                  *[(F.sum(F.col(n) * F.col(shares[c])) / 100).alias(f"v{i}") for i, c in enumerate(names)])
+    stack = ", ".join(f"'{c}', v{i}" for i, c in enumerate(names))
+    out = wide.selectExpr(f"stack({len(names)}, {stack}) AS (candidate, votes)", "total_n")
+    return out.select("candidate", "total_n", rnd(F.col("votes")).alias("votes"),
+                      rnd(F.col("votes") / F.col("total_n")).alias("share"))
 
 
 def spread(df: DataFrame, n: str, share_a: str, share_b: str, z: float = V.Z_975) -> DataFrame:
@@ -182,16 +180,20 @@ def group_moments(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
 
 def welch(df: DataFrame, group: str, cols: list[str], first, second) -> DataFrame:
     """Welch t statistic and degrees of freedom per metric, group
-    ``first`` against ``second`` (pivot of E12's rows, two groups)."""
-    m = group_moments(df, group, cols)
-    a = m.filter(F.col(group) == first).select("metric", F.col("mean").alias("mean_1"),
-                                               F.col("sd").alias("sd_1"), F.col("n").alias("n_1"))
-    b = m.filter(F.col(group) == second).select("metric", F.col("mean").alias("mean_2"),
-                                                F.col("sd").alias("sd_2"), F.col("n").alias("n_2"))
+    ``first`` against ``second``: one conditional aggregate per metric over
+    the unpivoted rows (a single scan, no self-join)."""
+    long = df.unpivot(group, cols, "metric", "value")
+    v1 = F.when(F.col(group) == F.lit(first), F.col("value"))
+    v2 = F.when(F.col(group) == F.lit(second), F.col("value"))
+    m = long.groupBy("metric").agg(
+        F.count(v1).alias("n_1"), F.count(v2).alias("n_2"),
+        F.avg(v1).alias("mean_1"), F.avg(v2).alias("mean_2"),
+        F.stddev_samp(v1).alias("sd_1"), F.stddev_samp(v2).alias("sd_2"),
+    )
     va, vb = F.pow("sd_1", 2) / F.col("n_1"), F.pow("sd_2", 2) / F.col("n_2")
     t = (F.col("mean_1") - F.col("mean_2")) / F.sqrt(va + vb)
     dof = F.pow(va + vb, 2) / (F.pow(va, 2) / (F.col("n_1") - 1) + F.pow(vb, 2) / (F.col("n_2") - 1))
-    return a.join(b, "metric").select(
+    return m.select(
         "metric", "n_1", "n_2",
         rnd(F.col("mean_1")).alias("mean_1"), rnd(F.col("mean_2")).alias("mean_2"),
         rnd(F.col("sd_1")).alias("sd_1"), rnd(F.col("sd_2")).alias("sd_2"),
