@@ -105,10 +105,11 @@ def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
     source to every user it reaches, the source itself excluded.
 
     One frontier join per hop: frontier (source, node) x edges on node,
-    distinct, minus everything already reached (anti join). Each hop's
-    frontier is checkpointed to the shared folder, which cuts the lineage
-    and makes the loop restartable after executor loss. The loop stops early
-    when a frontier is empty (a bounded ``isEmpty`` check).
+    distinct, minus everything already reached (anti join). Each hop's new
+    pairs are checkpointed to the shared folder, which cuts the lineage and
+    makes the loop restartable after executor loss; the reached set is the
+    union of those checkpoints. The loop stops early when a hop adds nothing
+    (a bounded ``isEmpty`` check on the checkpointed hop).
     """
     checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).filter("node <> next").distinct()
@@ -121,14 +122,14 @@ def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
             .select("src", F.col("next").alias("dst"))
             .distinct()
             .join(reached.select("src", "dst"), ["src", "dst"], "left_anti")
+            .withColumn("hops", F.lit(hop))
         )
-        if hop % checkpoint_every == 0:
-            step = step.checkpoint(eager=True)
+        # Only the new hop is written; the reached set stays a union of
+        # checkpointed hops, so nothing is recomputed or rewritten.
+        step = step.checkpoint(eager=True) if hop % checkpoint_every == 0 else step
         if step.isEmpty():
             break
-        reached = reached.unionByName(step.withColumn("hops", F.lit(hop)))
-        if hop % checkpoint_every == 0:
-            reached = reached.checkpoint(eager=True)
+        reached = reached.unionByName(step)
         frontier = step.select("src", F.col("dst").alias("node"))
     return reached.filter(F.col("hops") > 0)
 
@@ -136,28 +137,40 @@ def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
 def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, depths: range = range(1, 10)) -> DataFrame:
     """For every (user, item) row and depth d, mean, population sd, count,
     median, min and max of the item's ratings by users within d hops;
-    -1 (count 0) when there are none. All depths in one aggregate."""
+    -1 (count 0) when there are none.
+
+    Two aggregates: first the number of neighbours per (row, hop, rating
+    value) -- a partial-aggregated shuffle that collapses the neighbour rows --
+    then every depth's statistics from those counts in one pass (weighted
+    moments, and the exact median by ``percentile`` with frequencies).
+    """
     r = ratings.select(F.col("user_id").alias("dst"), "item_id", F.col("label").alias("nbr_label"))
     cand = rows.select("user_id", "item_id").join(
         reach.select(F.col("src").alias("user_id"), "dst", "hops"), "user_id").join(r, ["dst", "item_id"])
+    hist = cand.groupBy("user_id", "item_id", "hops", "nbr_label").agg(F.count(F.lit(1)).alias("c"))
     aggs = []
     for d in depths:
-        v = F.when(F.col("hops") <= d, F.col("nbr_label"))
+        inside = F.col("hops") <= d
+        v = F.when(inside, F.col("nbr_label"))
+        c = F.when(inside, F.col("c"))
+        n = F.sum(c)
+        mean = F.sum(v * c) / n
+        var = F.when(n > 0, F.greatest(F.lit(0.0), F.sum(v * v * c) / n - mean * mean))
         aggs += [
-            F.round(F.avg(v), 6).alias(f"trust_mean{d}"),
-            F.round(F.stddev_pop(v), 6).alias(f"trust_std{d}"),
-            F.count(v).alias(f"trust_count{d}"),
-            F.median(v).alias(f"median{d}"),
+            F.round(mean, 6).alias(f"trust_mean{d}"),
+            F.round(F.sqrt(var), 6).alias(f"trust_std{d}"),
+            F.coalesce(n, F.lit(0)).alias(f"trust_count{d}"),
+            F.percentile(v, F.lit(0.5), F.coalesce(c, F.lit(0))).alias(f"median{d}"),
             F.min(v).alias(f"min{d}"),
             F.max(v).alias(f"max{d}"),
         ]
-    stats = cand.groupBy("user_id", "item_id").agg(*aggs)
+    stats = hist.groupBy("user_id", "item_id").agg(*aggs)
     out = rows.join(stats, ["user_id", "item_id"], "left")
     fills = {}
     for d in depths:
         fills[f"trust_count{d}"] = 0
-        for s in ("trust_mean", "trust_std", "median", "min", "max"):
-            fills[f"{s}{d}"] = -1.0
+        for s_ in ("trust_mean", "trust_std", "median", "min", "max"):
+            fills[f"{s_}{d}"] = -1.0
     return out.na.fill(fills)
 
 
