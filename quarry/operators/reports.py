@@ -187,18 +187,18 @@ def payment_by_hour(tx: DataFrame) -> DataFrame:
     )
 
 
-def status_by_hour(tx: DataFrame, statuses: list[str] = V.STATUSES) -> DataFrame:
-    """C17: status counts pivoted per hour, and approval rate in percent.
+def pivot_counts(df: DataFrame, keys: list[Column], col: str, values: list[str]) -> DataFrame:
+    """Counts of ``col`` = each of ``values`` per key, one column per value.
 
-    The pivot values are passed explicitly, so Spark needs no extra job to
-    discover them and plans a single aggregate.
+    The pivot's values are known, so it is a single conditional aggregate:
+    one shuffle, no value-discovery job and no second aggregate.
     """
-    pivoted = (
-        tx.groupBy(F.hour("event_time").alias("hour"))
-        .pivot("status", statuses)
-        .agg(F.count(F.lit(1)))
-        .na.fill(0, subset=statuses)
-    )
+    return df.groupBy(*keys).agg(*[M.count_if(F.col(col) == F.lit(v)).alias(v) for v in values])
+
+
+def status_by_hour(tx: DataFrame, statuses: list[str] = V.STATUSES) -> DataFrame:
+    """C17: status counts pivoted per hour (0 where absent) and approval rate in percent."""
+    pivoted = pivot_counts(tx, [F.hour("event_time").alias("hour")], "status", statuses)
     return pivoted.withColumn(
         "approval_rate", F.try_divide(F.col("approved"), F.col("approved") + F.col("declined")) * 100
     ).orderBy("hour")

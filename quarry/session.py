@@ -56,10 +56,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset -- local runs and tests -- a fresh folder under the
     system temp directory is created and registered with the session.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)  # named in the conf but not yet registered
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
