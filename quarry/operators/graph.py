@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, cut_lineage
 
 STATS = ("mean", "std", "count", "median", "min", "max")
 
@@ -112,7 +112,10 @@ def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
     (a bounded ``isEmpty`` check on the checkpointed hop).
     """
     checkpoint_dir(edges.sparkSession)
-    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).filter("node <> next").distinct()
+    # The edge list is read by every hop: de-duplicate it once, hash it by the
+    # join key and checkpoint it, so each hop shuffles only its frontier.
+    e = cut_lineage(edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).filter("node <> next")
+                    .distinct().repartition("node"))
     seeds = sources.select(F.col(sources.columns[0]).alias("src")).distinct()
     frontier = seeds.select("src", F.col("src").alias("node"))
     reached = seeds.select("src", F.col("src").alias("dst"), F.lit(0).alias("hops"))
@@ -126,7 +129,7 @@ def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
         )
         # Only the new hop is written; the reached set stays a union of
         # checkpointed hops, so nothing is recomputed or rewritten.
-        step = step.checkpoint(eager=True) if hop % checkpoint_every == 0 else step
+        step = cut_lineage(step) if hop % checkpoint_every == 0 else step
         if step.isEmpty():
             break
         reached = reached.unionByName(step)

@@ -230,13 +230,12 @@ def rolling_mean(df: DataFrame, order: list[str], values: list[str], rows: int =
     rolling mean runs in pandas. The ranged data is checkpointed to the
     shared folder so both passes see the same partitioning.
     """
-    from quarry.session import checkpoint_dir
+    from quarry.session import cut_lineage
 
     spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = ([series] if series else []) + order
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    ranged = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
     k = rows - 1
     pid = F.spark_partition_id().alias("__pid")
     tagged = ranged.select("*", pid)

@@ -72,3 +72,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` into the shared checkpoint folder.
+
+    A reliable checkpoint writes the data in a second job after the first
+    action; persisting first lets that job read the blocks instead of
+    recomputing the whole plan. The cache is dropped once the checkpoint
+    files exist (they, not executor memory, back the returned DataFrame, so
+    it survives executor loss).
+    """
+    from pyspark import StorageLevel
+
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
