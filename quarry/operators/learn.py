@@ -27,11 +27,15 @@ def hash_bucket(key: str, seed: int = SEED, buckets: int = 10_000):
     return F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(buckets))
 
 
-def holdout_split(df: DataFrame, key: str, test_fraction: float = 0.2, seed: int = SEED) -> DataFrame:
-    """H1: ``split`` = 'train' / 'test' from a hash of the row key: stable
-    across partitionings and reruns (unlike a random number per row)."""
-    is_test = hash_bucket(key, seed) < int(round(test_fraction * 10_000))
-    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
+def holdout_split(df: DataFrame, key: str, test_fraction: float = 0.2, salt: str = "") -> DataFrame:
+    """H1: ``split`` = 'train' / 'test' from an MD5 of the row key (plus an
+    optional salt): stable across partitionings, reruns and engines (unlike
+    a random number per row). The first four hex digits are compared with
+    the fraction scaled to 16 bits, so any SQL engine with ``md5`` can
+    reproduce the split."""
+    cut = format(int(round(test_fraction * 65536)), "04x")
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
+    return df.withColumn("split", F.when(F.substring(digest, 1, 4) < F.lit(cut), "test").otherwise("train"))
 
 
 def stratified_split(df: DataFrame, key: str, strata: list[str], test_fraction: float = 0.15,
@@ -161,10 +165,14 @@ def group_line_mse(df: DataFrame, groups: list[str], x: str, y: str) -> DataFram
     return per.unionByName(total).withColumn("mse", F.round("mse", 6))
 
 
-def group_models(df: DataFrame, groups: list[str], features: list[str], label: str, estimator_factory) -> DataFrame:
+def group_models(df: DataFrame, groups: list[str], features: list[str], label: str, estimator_factory,
+                 max_groups: int = 1000) -> DataFrame:
     """One model per group (a loop of distributed fits over the distinct
-    group keys, a bounded list) and the union of their predictions."""
-    keys = [tuple(r) for r in df.select(*groups).distinct().collect()]
+    group keys) and the union of their predictions. The key list is fetched
+    with a size check: more than ``max_groups`` groups is refused."""
+    keys = [tuple(r) for r in df.select(*groups).distinct().limit(max_groups + 1).collect()]
+    if len(keys) > max_groups:
+        raise ValueError(f"more than {max_groups} groups; fit one model with the group as a feature")
     data = assemble(df, features)
     out = None
     for key in keys:

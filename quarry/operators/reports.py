@@ -262,6 +262,15 @@ def category_rank_flags(summary: DataFrame, k: int = 2) -> DataFrame:
     return out
 
 
+def expensive_categories(summary: DataFrame, k: int = 2) -> DataFrame:
+    """C20: value per successful transaction by category, the top ``k``."""
+    s = summary.select(
+        "merchant_category",
+        F.try_divide(F.col("total_transaction_value"), F.col("total_successful_txns")).alias("avg_transaction_value"),
+    )
+    return top_k(s, k, [F.col("avg_transaction_value").desc(), F.col("merchant_category")])
+
+
 def most_declined(customers: DataFrame, k: int = 10, flagged: int = 3) -> DataFrame:
     """Customers with the highest declined share, top ``k``, top ``flagged`` marked."""
     ratio = F.try_divide(F.col("declined_trxs"), F.col("total_trxs"))

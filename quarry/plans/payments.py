@@ -224,12 +224,7 @@ SELECT merchant_category,
   sum(total_amount) / nullif(sum(CASE WHEN status = 'approved' THEN 1 ELSE 0 END), 0) AS avg_transaction_value
 FROM transactions GROUP BY merchant_category ORDER BY avg_transaction_value DESC, merchant_category LIMIT 2""", TX)
 def q_expensive_categories(spark, sf):
-    from pyspark.sql import functions as F
-    s = R.merchant_category_summary(transactions(spark, sf)).select(
-        "merchant_category",
-        F.try_divide(F.col("total_transaction_value"), F.col("total_successful_txns")).alias("avg_transaction_value"),
-    )
-    return R.top_k(s, 2, [F.col("avg_transaction_value").desc(), F.col("merchant_category")])
+    return R.expensive_categories(R.merchant_category_summary(transactions(spark, sf)))
 
 
 @query("most_declined", """
