@@ -40,29 +40,42 @@ class PartialStore:
 
 
 class Archive:
-    """Raw archive, insert if absent by key (J8) on every micro-batch."""
+    """Raw archive, insert if absent by key (J8) on every micro-batch.
 
-    def __init__(self, path: str, key: str):
-        self.path, self.key = path, key
+    The archive is partitioned by event date (and epoch). A micro-batch is
+    checked only against the archive dates it spans -- partition pruning --
+    so the anti join does not re-read the whole archive on every trigger;
+    a copy that arrives more than ``lookback_days`` after the original is
+    outside that range (the reference's store, keyed by id, had no such
+    bound; widen the lookback where late replays are expected).
+    """
+
+    def __init__(self, path: str, key: str, time_col: str = "event_time", lookback_days: int = 1):
+        self.path, self.key, self.time_col, self.lookback = path, key, time_col, lookback_days
 
     def write(self, batch: DataFrame, epoch_id: int) -> None:
         from quarry.operators.joins import append_new
 
         spark = batch.sparkSession
+        batch = batch.withColumn("date", F.to_date(self.time_col))
+        span = batch.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()  # one row
+        if span["lo"] is None:
+            return
         try:
-            existing = spark.read.parquet(self.path)
+            existing = spark.read.parquet(self.path).filter(
+                F.col("date").between(F.date_sub(F.lit(span["lo"]), self.lookback), F.lit(span["hi"])))
         except Exception:  # noqa: BLE001 - first batch: no archive yet
             existing = None
         new = batch.dropDuplicates([self.key]) if existing is None else append_new(batch, existing, self.key)
-        # Partition by epoch with dynamic overwrite: a replayed epoch replaces
-        # its own rows instead of appending them again.
+        # Dynamic overwrite of (date, epoch) partitions: a replayed epoch
+        # replaces its own rows instead of appending them again.
         (
             new.withColumn("epoch", F.lit(int(epoch_id)))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
+            .partitionBy("date", "epoch")
             .parquet(self.path)
         )
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("epoch")
+        return spark.read.parquet(self.path).drop("epoch", "date")

@@ -115,7 +115,7 @@ def test_merge_law(spark, cut):
 
 def test_archive_insert_if_absent_across_epochs(spark, tmp_path):
     tx = transactions_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet")).select(
-        "transaction_id", "customer_id", "total_amount")
+        "transaction_id", "customer_id", "total_amount", "event_time")
     arch = Archive(str(tmp_path / "archive"), "transaction_id")
     first = tx.filter(F.col("transaction_id").cast("int") < 600)
     arch.write(first, 0)
