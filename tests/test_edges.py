@@ -264,3 +264,36 @@ def test_velocity_members_match_counts(spark):
     joined = alerts.join(per, ["customer_id", "window_start"])
     assert joined.filter(F.col("count") != F.col("transaction_count")).count() == 0
     assert joined.count() == alerts.count()
+
+
+def test_hot_customer_interval_join_and_velocity(spark):
+    """One customer holds a third of the rows; results equal brute force."""
+    import random
+
+    rnd = random.Random(11)
+    data = []
+    start = dt.datetime(2024, 1, 1)
+    for i in range(1500):
+        hot = i % 3 == 0
+        cust = "hot" if hot else f"c{i % 40}"
+        ts = start + dt.timedelta(seconds=rnd.randrange(0, 3600 * 6 if hot else 86400 * 3))
+        data.append((str(i), ts.isoformat(sep=" "), cust, 100, "approved", rnd.random(), rnd.random()))
+    df = tx_rows(spark, data)
+    got = sorted(map(tuple, FR.geo_alerts(df, threshold=0.9).select("tx_id_1", "tx_id_2").collect()))
+    pdf = df.toPandas()
+    want = []
+    for _, g in pdf.groupby("customer_id"):
+        g = g.sort_values("event_time").reset_index(drop=True)
+        t = g["event_time"].values
+        for a in range(len(g)):
+            b = a + 1
+            while b < len(g) and t[b] <= t[a] + pd.Timedelta(minutes=5).to_timedelta64():
+                if t[b] > t[a]:
+                    d = math.hypot(g.location_lat[a] - g.location_lat[b], g.location_lng[a] - g.location_lng[b])
+                    if d > 0.9:
+                        want.append((g.transaction_id[a], g.transaction_id[b]))
+                b += 1
+    assert got == sorted(want)
+    alerts = FR.velocity_alerts(df, "1 hour", "30 minutes", 50)
+    members = FR.velocity_members(df, alerts, "1 hour", "30 minutes")
+    assert members.count() == alerts.agg(F.sum("transaction_count")).first()[0]
