@@ -104,3 +104,21 @@ FROM transactions GROUP BY merchant_id ORDER BY merchant_id LIMIT 5""", ("transa
 def q_peek(spark, sf):
     s = R.merchant_summary(transactions(spark, sf)).select("merchant_id", "total_trxs", "total_trx_value")
     return R.top_k(s, 5, [F.col("merchant_id")])
+
+
+# The reference consumer's literal behaviour: its amount rule adds the
+# commission (which the producer never includes, quirk Q3), and it lets
+# ERR_AMOUNT through, so only device errors -- and time errors on rows that
+# pass the amount rule -- are rejected.
+@query("ingest_valid_reference_rules", """
+WITH v AS (
+  SELECT *, CASE WHEN payment_method = 'mobile' AND coalesce(device_os IN ('iOS', 'Android'), false) = false THEN 'ERR_DEVICE'
+                 WHEN amount + vat_amount + commission_amount <> total_amount THEN 'ERR_AMOUNT'
+                 WHEN event_time > ingest_time OR event_time < ingest_time - INTERVAL 1 DAY THEN 'ERR_TIME'
+            END AS error_code
+  FROM raw_flat)
+SELECT * EXCLUDE (ingest_time) FROM v WHERE error_code IS NULL OR error_code = 'ERR_AMOUNT'""", RAW)
+def q_ingest_valid_reference(spark, sf):
+    ok, _ = I.split_valid(I.ingest(raw_messages(spark, sf), amount_includes_commission=True),
+                          pass_codes=("ERR_AMOUNT",))
+    return ok.select(*I.FLAT_COLUMNS, "error_code")

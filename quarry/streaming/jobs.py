@@ -94,5 +94,10 @@ def geo(tx: DataFrame, delay: str = "10 minutes", **kw) -> DataFrame:
 
 
 def amount(tx: DataFrame, customer_avgs: DataFrame, **kw) -> DataFrame:
-    """D4 on a stream: stream-static join, stateless."""
+    """D4 on a stream: stream-static join, stateless.
+
+    The static side's plan is executed again for every micro-batch, so a
+    summary table that is rewritten between triggers is picked up (do not
+    cache it when freshness matters; cache it when it is immutable).
+    """
     return FR.amount_anomaly(tx, customer_avgs, **kw)
