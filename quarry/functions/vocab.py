@@ -33,6 +33,20 @@ AMOUNT_FACTOR = 10
 VELOCITY_LIMIT = 5
 GEO_WINDOW = "5 minutes"
 GEO_THRESHOLD = 0.5
+# Alert labels.
+FRAUD_AMOUNT = "Amount anomaly"
+FRAUD_VELOCITY = "Velocity Fraud"
+FRAUD_GEO = "Geographical impossibility"
+# Segment labels: (met, not met) per criterion.
+SEGMENT_LABELS = {
+    "frequency": ("High Frequency", "Low Frequency"),
+    "spending": ("High Spending", "Low Spending"),
+    "recency": ("Recent", "Inactive"),
+}
+# Day-length estimate: default latitude (New York) and the solar declination
+# amplitude in degrees.
+DAYLIGHT_LATITUDE = 40.7128
+DECLINATION_AMPLITUDE = 23.44
 # 97.5 % normal quantile used for 95 % intervals.
 Z_975 = 1.959963984540054
 # ---------------------------------------------------------------------------

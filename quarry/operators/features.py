@@ -7,10 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions import vocab as V
 from quarry.functions.holidays import holiday_calendar
 from quarry.operators.joins import asof_distance, isin_calendar
 
-NEW_YORK_LATITUDE = 40.7128
 
 
 def season_demean(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
@@ -74,9 +74,9 @@ def calendar_flags(df: DataFrame, date: str = "date", cutoff: str = "2019-11-01"
     )
 
 
-def daylight_hours(month: Column, latitude: float = NEW_YORK_LATITUDE) -> Column:
+def daylight_hours(month: Column, latitude: float = V.DAYLIGHT_LATITUDE) -> Column:
     """day length estimate from the month's solar declination."""
-    decl = F.lit(-23.44) * F.cos(F.radians(F.lit(360.0 / 12) * (month + 1)))
+    decl = F.lit(-V.DECLINATION_AMPLITUDE) * F.cos(F.radians(F.lit(360.0 / 12) * (month + 1)))
     x = -F.tan(F.radians(F.lit(latitude))) * F.tan(F.radians(decl))
     return F.lit(24.0) - F.lit(24 / math.pi) * F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), x)))
 

@@ -26,7 +26,7 @@ def amount_anomaly(tx: DataFrame, customer_avgs: DataFrame, factor: float = V.AM
         .filter(F.col("total_amount") > F.col("customer_avg_trx_value") * F.lit(factor))
         .select(
             F.col("transaction_id").alias("tx_id"),
-            F.lit("Amount anomaly").alias("fraud_type"),
+            F.lit(V.FRAUD_AMOUNT).alias("fraud_type"),
             "customer_id",
             "customer_avg_trx_value",
             F.col("total_amount").alias("transaction_amount"),
@@ -48,7 +48,7 @@ def velocity_alerts(tx: DataFrame, window: str = "2 minutes", slide: str = "1 mi
         .agg(F.count(F.lit(1)).alias("transaction_count"))
         .filter(F.col("transaction_count") > limit)
         .select(
-            F.lit("Velocity").alias("fraud_type"),
+            F.lit(V.FRAUD_VELOCITY).alias("fraud_type"),
             "customer_id",
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -87,7 +87,7 @@ def geo_alerts(tx: DataFrame, within: str = V.GEO_WINDOW, threshold: float = V.G
         pairs.withColumn("euclidean_distance", dist)
         .filter(F.col("euclidean_distance") > threshold)
         .select(
-            F.lit("Geographical impossibility").alias("fraud_type"),
+            F.lit(V.FRAUD_GEO).alias("fraud_type"),
             F.col("t1_customer_id").alias("customer_id"),
             F.col("t1_tx_id").alias("tx_id_1"),
             F.col("t2_tx_id").alias("tx_id_2"),

@@ -100,9 +100,10 @@ def customer_segments(
         F.max("event_time").alias("last_transaction_time"),
     )
     recency = F.datediff(F.to_date(F.lit(as_of)), F.col("last_transaction_time"))
-    seg = F.when(F.col("num_transactions") >= min_transactions, "High Frequency").otherwise("Low Frequency")
-    spend = F.when(F.col("total_spending") >= min_spend, "High Spending").otherwise("Low Spending")
-    rec = F.when(F.col("recency_days") <= max_recency_days, "Recent").otherwise("Inactive")
+    lab = V.SEGMENT_LABELS
+    seg = F.when(F.col("num_transactions") >= min_transactions, lab["frequency"][0]).otherwise(lab["frequency"][1])
+    spend = F.when(F.col("total_spending") >= min_spend, lab["spending"][0]).otherwise(lab["spending"][1])
+    rec = F.when(F.col("recency_days") <= max_recency_days, lab["recency"][0]).otherwise(lab["recency"][1])
     return (
         agg.withColumn("recency_days", recency)
         .withColumn("segment", seg)

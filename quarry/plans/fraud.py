@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import vocab as V
 from quarry.operators import fraud as FR
 from quarry.operators import reports as R
 from quarry.operators import summary as SU
@@ -20,9 +21,9 @@ VELOCITY = dict(window="24 hours", slide="12 hours", limit=5)
 _DAY_US = 86_400_000_000
 _HALF_DAY_US = _DAY_US // 2
 
-_AMOUNT_SQL = """
+_AMOUNT_SQL = f"""
 WITH avgs AS (SELECT customer_id, avg(total_amount) AS customer_avg_trx_value FROM transactions GROUP BY customer_id)
-SELECT t.transaction_id AS tx_id, 'Amount anomaly' AS fraud_type, t.customer_id, a.customer_avg_trx_value,
+SELECT t.transaction_id AS tx_id, '{V.FRAUD_AMOUNT}' AS fraud_type, t.customer_id, a.customer_avg_trx_value,
        t.total_amount AS transaction_amount, t.event_time
 FROM transactions t JOIN avgs a ON t.customer_id = a.customer_id
 WHERE t.total_amount > a.customer_avg_trx_value * 3"""
@@ -34,8 +35,8 @@ w AS (SELECT customer_id, transaction_id, make_timestamp((b - k) * {_HALF_DAY_US
 a AS (SELECT customer_id, window_start, count(*) AS transaction_count FROM w GROUP BY 1, 2 HAVING count(*) > 5)
 """
 
-_GEO_SQL = """
-SELECT 'Geographical impossibility' AS fraud_type, t1.customer_id, t1.transaction_id AS tx_id_1,
+_GEO_SQL = f"""
+SELECT '{V.FRAUD_GEO}' AS fraud_type, t1.customer_id, t1.transaction_id AS tx_id_1,
        t2.transaction_id AS tx_id_2, t1.event_time AS event_time_1, t2.event_time AS event_time_2,
        sqrt(pow(t1.location_lat - t2.location_lat, 2) + pow(t1.location_lng - t2.location_lng, 2)) AS euclidean_distance
 FROM transactions t1 JOIN transactions t2
@@ -63,7 +64,7 @@ def q_amount_anomaly(spark, sf):
 
 
 @query("velocity_alerts", _VELOCITY_SQL + f"""
-SELECT 'Velocity' AS fraud_type, customer_id, window_start,
+SELECT '{V.FRAUD_VELOCITY}' AS fraud_type, customer_id, window_start,
        window_start + INTERVAL 24 HOUR AS window_end, transaction_count FROM a""", TX)
 def q_velocity_alerts(spark, sf):
     return _velocity(spark, sf)
@@ -92,7 +93,7 @@ SELECT customer_id AS key, fraud_type,
               'customer_avg_trx_value', CAST(round(customer_avg_trx_value, 2) AS DECIMAL(20, 2)),
               'transaction_amount', transaction_amount)::VARCHAR AS value FROM am
 UNION ALL
-SELECT customer_id, 'Velocity', json_object('fraud_type', 'Velocity', 'customer_id', customer_id,
+SELECT customer_id, '{V.FRAUD_VELOCITY}', json_object('fraud_type', '{V.FRAUD_VELOCITY}', 'customer_id', customer_id,
   'transaction_count', transaction_count, 'window_start', strftime(window_start, '%Y-%m-%d %H:%M:%S'),
   'window_end', strftime(window_start + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S'))::VARCHAR FROM a
 UNION ALL

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions import vocab as V
 from quarry.operators import reports as R
 from quarry.operators import summary as SU
 from quarry.plans import sqlparts as S
@@ -89,7 +90,7 @@ def q_stream_amount(spark, sf):
 @query("stream_velocity_alerts", f"""
 WITH x AS (SELECT customer_id, epoch_us(event_time) // {_HALF_DAY_US} AS b FROM transactions),
 w AS (SELECT customer_id, make_timestamp((b - k) * {_HALF_DAY_US}) AS window_start FROM x, range(0, 2) r(k))
-SELECT 'Velocity' AS fraud_type, customer_id, window_start, window_start + INTERVAL 24 HOUR AS window_end,
+SELECT '{V.FRAUD_VELOCITY}' AS fraud_type, customer_id, window_start, window_start + INTERVAL 24 HOUR AS window_end,
        count(*) AS transaction_count
 FROM w GROUP BY customer_id, window_start
 HAVING count(*) > 5 AND window_start + INTERVAL 24 HOUR <= (SELECT max(event_time) FROM transactions) - INTERVAL 2 MINUTE""", TX)

@@ -42,15 +42,16 @@ class PartialStore:
 class Archive:
     """Raw archive, insert if absent by key (J8) on every micro-batch.
 
-    The archive is partitioned by event date (and epoch). A micro-batch is
-    checked only against the archive dates it spans -- partition pruning --
-    so the anti join does not re-read the whole archive on every trigger;
-    a copy that arrives more than ``lookback_days`` after the original is
-    outside that range (the reference's store, keyed by id, had no such
-    bound; widen the lookback where late replays are expected).
+    The archive is partitioned by event date (and epoch). A copy of a record
+    carries the record's own event time, so it can only collide with archive
+    rows of the same date: each micro-batch is checked against the archive
+    dates it spans (partition pruning) and the result is still exact -- the
+    anti join never re-reads the whole archive. If the same key can come back
+    with a different event time, pass ``lookback_days`` to widen the range
+    or ``None`` to check the whole archive.
     """
 
-    def __init__(self, path: str, key: str, time_col: str = "event_time", lookback_days: int = 1):
+    def __init__(self, path: str, key: str, time_col: str = "event_time", lookback_days: int | None = 0):
         self.path, self.key, self.time_col, self.lookback = path, key, time_col, lookback_days
 
     def write(self, batch: DataFrame, epoch_id: int) -> None:
@@ -62,10 +63,12 @@ class Archive:
         if span["lo"] is None:
             return
         try:
-            existing = spark.read.parquet(self.path).filter(
-                F.col("date").between(F.date_sub(F.lit(span["lo"]), self.lookback), F.lit(span["hi"])))
+            existing = spark.read.parquet(self.path)
         except Exception:  # noqa: BLE001 - first batch: no archive yet
             existing = None
+        if existing is not None and self.lookback is not None:
+            lo = F.date_sub(F.lit(span["lo"]), self.lookback)
+            existing = existing.filter(F.col("date").between(lo, F.lit(span["hi"])))
         new = batch.dropDuplicates([self.key]) if existing is None else append_new(batch, existing, self.key)
         # Dynamic overwrite of (date, epoch) partitions: a replayed epoch
         # replaces its own rows instead of appending them again.
