@@ -35,7 +35,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master is None:
         master = os.environ.get("QUARRY_MASTER", f"local[{os.environ.get('QUARRY_CPUS', '8')}]")
-    if master:
+    if master:  # "" leaves the master to spark-submit
         builder = builder.master(master)
     settings = dict(BASE_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
