@@ -20,7 +20,8 @@ from quarry.plans.fraud import AMOUNT_FACTOR, VELOCITY, _AMOUNT_SQL, _GEO_SQL, _
 from quarry.plans.registry import query
 from quarry.session import scratch_path
 from quarry.sources.fixtures import transactions
-from quarry.sources.streams import event_file_stream
+from quarry.sources.sinks import load_summary
+from quarry.sources.streams import event_file_stream, read_summary
 from quarry.streaming import jobs as J
 from quarry.streaming import runner
 from quarry.streaming.store import Archive, PartialStore
@@ -83,7 +84,11 @@ def q_window_top_merchants(spark, sf):
 
 @query("stream_amount_anomaly", _AMOUNT_SQL, TX)
 def q_stream_amount(spark, sf):
-    static_avgs = R.customer_summary(transactions(spark, sf)).select("customer_id", "avg_trx_value")
+    # As in the reference: a batch job stores the customer summary keyed by
+    # _id (A6), the stream joins it as its static side (A3).
+    path = scratch_path(spark, "customer-summary")
+    load_summary(R.customer_summary(transactions(spark, sf)), path, id_column="customer_id")
+    static_avgs = read_summary(spark, path, "_id", ["avg_trx_value"]).withColumnRenamed("_id", "customer_id")
     return runner.run_to_table(spark, J.amount(_stream(spark, sf), static_avgs, factor=AMOUNT_FACTOR), "amount")
 
 
