@@ -121,9 +121,9 @@ WITH g AS (SELECT CAST(year AS VARCHAR) AS year, CAST(season_id AS VARCHAR) AS s
                   (regr_syy(total_users, temperature) - pow(regr_sxy(total_users, temperature), 2) / regr_sxx(total_users, temperature))
                     / regr_count(total_users, temperature) AS mse
            FROM days GROUP BY year, season_id)
-SELECT year, season_id, n, round(mse, 6) AS mse FROM g
+SELECT year, season_id, CAST(n AS BIGINT) AS n, round(mse, 6) AS mse FROM g
 UNION ALL
-SELECT 'all', 'all', sum(n), round(sum(n * mse) / sum(n), 6) FROM g""", ("days",))
+SELECT 'all', 'all', CAST(sum(n) AS BIGINT), round(sum(n * mse) / sum(n), 6) FROM g""", ("days",))
 def q_group_mse(spark, sf):
     from quarry.operators.learn import group_line_mse
 

@@ -55,7 +55,7 @@ def q_outcome_per_round(spark, sf):
 
 @query("expected_vs_observed", f"""
 SELECT grp, count(s) AS n, {r6('avg(s)')} AS observed_mean, {r6('stddev_pop(s) / sqrt(count(s))')} AS observed_se,
-       {round(MU, 6)} AS expected_mean, {r6(f'sqrt({SIGMA2!r} / count(s))')} AS expected_se
+       CAST({round(MU, 6)} AS DOUBLE) AS expected_mean, {r6(f'sqrt({SIGMA2!r} / count(s))')} AS expected_se
 FROM (SELECT grp, CAST(sign(x) AS BIGINT) AS s FROM outcomes) GROUP BY grp""", O)
 def q_expected_vs_observed(spark, sf):
     o = outcomes(spark, sf).withColumn("s", F.signum("x").cast("bigint"))
