@@ -146,3 +146,21 @@ def test_top_per_window_stream_and_global_limit(spark, tmp_path):
     assert len(got) == 10
     # the limit is over (window end desc, commission desc): the last window first
     assert got["window_end"].max() == got.sort_values("window_end").iloc[-1]["window_end"]
+
+
+def test_start_all_queries_in_one_session(spark, tmp_path):
+    from quarry.streaming.service import start_all
+
+    src = str(tmp_path / "src")
+    _write_days(src, _all_days()[:3])
+    tx = event_file_stream(spark, src)
+    avgs = R.customer_summary(transactions_from_events(spark.read.parquet(src))).select("customer_id", "avg_trx_value")
+    qs = start_all(spark, tx, str(tmp_path / "out"), avgs, fast={"availableNow": True}, slow={"availableNow": True},
+                   velocity={"window": "24 hours", "slide": "12 hours", "limit": 5}, amount_factor=3)
+    assert len(qs) == 12
+    for q in qs.values():
+        q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out" / "commission_by_type")).count() > 0
+    assert spark.read.parquet(str(tmp_path / "out" / "archive")).count() == spark.read.parquet(src).count()
+    store = PartialStore(str(tmp_path / "out" / "customer_type_summary"), "customer_type", SU.CATEGORY)
+    assert store.summary(spark).count() == 3
