@@ -297,3 +297,20 @@ def test_hot_customer_interval_join_and_velocity(spark):
     alerts = FR.velocity_alerts(df, "1 hour", "30 minutes", 50)
     members = FR.velocity_members(df, alerts, "1 hour", "30 minutes")
     assert members.count() == alerts.agg(F.sum("transaction_count")).first()[0]
+
+
+def test_golden_anchors(spark):
+    """Arithmetic anchors of the reference's committed outputs: the commission
+    ratio is 0.02 / 1.09 in every group, counts by group add up to the row
+    count, and the approval rate is approved / (approved + declined) * 100."""
+    from quarry.sources.fixtures import transactions
+
+    tx = transactions(spark, "/root/testdata/sf0.01")
+    n = tx.count()
+    cat = R.merchant_category_summary(tx).collect()
+    assert all(abs(r.commission_to_transaction_ratio - 0.02 / 1.09) < 1e-12 for r in cat)
+    assert sum(r.total_successful_txns + r.total_failed_txns for r in cat) == n
+    assert sum(r.total_count for r in R.customer_type_summary(tx).collect()) == n
+    assert sum(r.total_transactions for r in R.daily_summary(tx).collect()) == n
+    for r in R.status_by_hour(tx).collect():
+        assert abs(r.approval_rate - r.approved / (r.approved + r.declined) * 100) < 1e-12
