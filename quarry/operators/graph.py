@@ -2,9 +2,10 @@
 
 The reference runs one breadth-first search per rating row and per depth
 (9 x rows traversals). Here the hop table (source, reached user, shortest hop
-count) is built once by iterative frontier joins for all sources together,
-and every depth's statistics come from one grouped aggregate with
-``hops <= d`` conditions.
+count) is built once by iterative frontier joins for all sources together;
+the neighbour rows are collapsed to counts per (row, hop, rating value) and
+every depth's statistics come from one more aggregate with ``hops <= d``
+conditions.
 """
 
 from __future__ import annotations
@@ -14,9 +15,6 @@ from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir, cut_lineage
 
-STATS = ("mean", "std", "count", "median", "min", "max")
-
-
 def item_rating_stats(ratings: DataFrame, item: str = "item_id", label: str = "label") -> DataFrame:
     """Per item mean, sample variance, count, min, max, median."""
     return ratings.groupBy(item).agg(
