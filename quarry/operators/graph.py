@@ -140,33 +140,44 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
     median, min and max of the item's ratings by users within d hops;
     -1 (count 0) when there are none.
 
-    Two aggregates: first the number of neighbours per (row, hop, rating
-    value) -- a partial-aggregated shuffle that collapses the neighbour rows --
-    then every depth's statistics from those counts in one pass (weighted
-    moments, and the exact median by ``percentile`` with frequencies).
+    The neighbour rows are first collapsed to, per (row, rating value), the
+    number of neighbours within each depth (one aggregate with ``hops <= d``
+    conditions). Everything else follows from those counts: moments as
+    weighted sums, min / max as the extreme values with a non-zero count, and
+    the exact median from running counts in rating order (a window over one
+    row's distinct rating values, never over its neighbours).
     """
-    r = ratings.select(F.col("user_id").alias("dst"), "item_id", F.col("label").alias("nbr_label"))
+    from pyspark.sql import Window
+
+    r = ratings.select(F.col("user_id").alias("dst"), "item_id", F.col("label").alias("v"))
     cand = rows.select("user_id", "item_id").join(
         reach.select(F.col("src").alias("user_id"), "dst", "hops"), "user_id").join(r, ["dst", "item_id"])
-    hist = cand.groupBy("user_id", "item_id", "hops", "nbr_label").agg(F.count(F.lit(1)).alias("c"))
+    key = ["user_id", "item_id"]
+    counts = cand.groupBy(*key, "v").agg(
+        *[F.count(F.when(F.col("hops") <= d, 1)).alias(f"c{d}") for d in depths])
+    upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*key)
+    for d in depths:
+        counts = counts.withColumn(f"r{d}", F.sum(f"c{d}").over(upto)).withColumn(f"n{d}", F.sum(f"c{d}").over(whole))
     aggs = []
     for d in depths:
-        inside = F.col("hops") <= d
-        v = F.when(inside, F.col("nbr_label"))
-        c = F.when(inside, F.col("c"))
-        n = F.sum(c)
-        mean = F.sum(v * c) / n
-        var = F.when(n > 0, F.greatest(F.lit(0.0), F.sum(v * v * c) / n - mean * mean))
+        c, n, run = F.col(f"c{d}"), F.col(f"n{d}"), F.col(f"r{d}")
+        has = F.when(c > 0, F.col("v"))
+        total = F.sum(c)
+        mean = F.sum(F.col("v") * c) / total
+        var = F.greatest(F.lit(0.0), F.sum(F.col("v") * F.col("v") * c) / total - mean * mean)
+        lower = F.min(F.when(run >= F.floor((n + 1) / 2), F.col("v")))
+        upper = F.min(F.when(run >= F.floor(n / 2) + 1, F.col("v")))
         aggs += [
-            F.round(mean, 6).alias(f"trust_mean{d}"),
-            F.round(F.sqrt(var), 6).alias(f"trust_std{d}"),
-            F.coalesce(n, F.lit(0)).alias(f"trust_count{d}"),
-            F.percentile(v, F.lit(0.5), F.coalesce(c, F.lit(0))).alias(f"median{d}"),
-            F.min(v).alias(f"min{d}"),
-            F.max(v).alias(f"max{d}"),
+            F.when(total > 0, F.round(mean, 6)).alias(f"trust_mean{d}"),
+            F.when(total > 0, F.round(F.sqrt(var), 6)).alias(f"trust_std{d}"),
+            total.alias(f"trust_count{d}"),
+            F.when(total > 0, (lower + upper) / 2).alias(f"median{d}"),
+            F.min(has).alias(f"min{d}"),
+            F.max(has).alias(f"max{d}"),
         ]
-    stats = hist.groupBy("user_id", "item_id").agg(*aggs)
-    out = rows.join(stats, ["user_id", "item_id"], "left")
+    stats = counts.groupBy(*key).agg(*aggs)
+    out = rows.join(stats, key, "left")
     fills = {}
     for d in depths:
         fills[f"trust_count{d}"] = 0
