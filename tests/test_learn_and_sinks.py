@@ -107,3 +107,11 @@ def test_load_summary_and_predictions(spark, tmp_path):
     preds = spark.createDataFrame([(1, 0.5), (2, 1.5)], "id long, prediction double")
     sinks.write_predictions(preds, str(tmp_path / "pred"))
     assert spark.read.option("header", True).csv(str(tmp_path / "pred")).columns == ["id", "Label"]
+
+
+def test_job_runner_writes_result(spark, tmp_path):
+    from quarry.__main__ import main
+
+    out = str(tmp_path / "c1")
+    assert main(["merchant_category_summary", SF_SMALL, out, "--master", "local[2]", "--shuffle-partitions", "4"]) == 0
+    assert spark.read.parquet(out).count() == 5
