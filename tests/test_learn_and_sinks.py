@@ -113,5 +113,5 @@ def test_job_runner_writes_result(spark, tmp_path):
     from quarry.__main__ import main
 
     out = str(tmp_path / "c1")
-    assert main(["merchant_category_summary", SF_SMALL, out, "--master", "local[2]", "--shuffle-partitions", "4"]) == 0
+    assert main(["merchant_category_summary", SF_SMALL, out, "--master", "local[4]", "--shuffle-partitions", "8"]) == 0
     assert spark.read.parquet(out).count() == 5
