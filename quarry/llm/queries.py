@@ -10,6 +10,30 @@ from quarry.llm import sql
 from quarry.llm.common import table
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.quality import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.sharding import assign_shards
 
@@ -29,7 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op8_sharding, op9_mixing, op10_decontamination)
+    f.__name__: f for f in (op3_quality, op4_licenses, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination)
 }
 
 ORACLES: dict[str, str] = {"op8_sharding": sql.sharding(), "op9_mixing": sql.mixing(), "op10_decontamination": sql.decontamination()}
