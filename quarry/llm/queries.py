@@ -10,6 +10,18 @@ from quarry.llm import sql
 from quarry.llm.common import table
 
 
+def op1_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.brown import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.quality import resample
 
@@ -53,7 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality, op4_licenses, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination)
+    f.__name__: f for f in (op1_brown, op2_embeddings, op3_quality, op4_licenses, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination)
 }
 
 ORACLES: dict[str, str] = {"op8_sharding": sql.sharding(), "op9_mixing": sql.mixing(), "op10_decontamination": sql.decontamination()}
