@@ -34,6 +34,12 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.toxicity import toxicity
 
@@ -65,7 +71,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_brown, op2_embeddings, op3_quality, op4_licenses, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination)
+    f.__name__: f for f in (op1_brown, op2_embeddings, op3_quality, op4_licenses, op5_jaccard, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination)
 }
 
 ORACLES: dict[str, str] = {"op8_sharding": sql.sharding(), "op9_mixing": sql.mixing(), "op10_decontamination": sql.decontamination()}
