@@ -14,7 +14,22 @@ from collections.abc import Iterator
 import numpy as np
 
 FAN = 16
-PAIRS_AT_ONCE = 1 << 16
+PAIRS_AT_ONCE = 1 << 14
+#: Coordinates that boxes add up into one; points are compared in full after that.
+FOLD = 8
+
+
+def pack(counts: np.ndarray) -> bytes:
+    """A count vector as a shift and one byte per coordinate, rounded up, so that bounds stay bounds."""
+    shift = 0
+    while (-(-counts >> shift)).max() > 255:
+        shift += 1
+    return bytes([shift]) + (-(-counts >> shift)).astype(np.uint8).tobytes()
+
+
+def unpack(rows: list[bytes]) -> np.ndarray:
+    wide = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1).astype(np.int32)
+    return wide[:, 1:] << wide[:, :1]
 
 
 def enough(overlap: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -25,13 +40,14 @@ def enough(overlap: np.ndarray, total: np.ndarray) -> np.ndarray:
 class CountTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         # packed by size, then by the coordinate that varies most among neighbours in size
+        coarse = points.reshape(len(points), -1, FOLD).sum(2)
         order = np.argsort(sizes, kind="stable")
         if len(order) > FAN:
-            axis = int(points.var(0).argmax())
+            axis = int(coarse.var(0).argmax())
             tile = np.arange(len(order)) // (FAN * max(1, int((len(order) / FAN) ** 0.5)))
-            order = order[np.lexsort((points[order, axis], tile))]
-        self.order = order
-        self.levels = [(points[order], sizes[order])]
+            order = order[np.lexsort((coarse[order, axis], tile))]
+        self.order, self.points = order, points[order]
+        self.levels = [(coarse[order], sizes[order])]
         while len(self.levels[-1][1]) > 1:
             high, small = self.levels[-1]
             starts = np.arange(0, len(small), FAN)
@@ -51,6 +67,9 @@ class CountTree:
             keep = enough(bound, small[i] + small[j])
             if level == 0:
                 keep &= (i < j) & (5 * np.minimum(small[i], small[j]) >= 4 * np.maximum(small[i], small[j]))
+                i, j = i[keep], j[keep]
+                bound = np.minimum(self.points[i], self.points[j]).sum(1)
+                keep = enough(bound, small[i] + small[j])
                 if keep.any():
                     yield self.order[i[keep]], self.order[j[keep]], bound[keep]
                 continue

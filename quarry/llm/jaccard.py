@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import saved
 from quarry.llm.components import connected_components
-from quarry.llm.counttree import CountTree, enough, small_run_pairs
+from quarry.llm.counttree import CountTree, enough, pack, small_run_pairs, unpack
 from quarry.llm.textarrays import doc_words, groups_of, mix
 
 WORDS = 5
-GROUPS = 32  # coordinates of a count vector
+GROUPS = 256  # coordinates of a count vector
 FREQUENCY_BITS = 16  # groups whose document counts order the shingles
 PARTNERS = 4
 BLOCK = 2048
@@ -201,8 +201,8 @@ def whole_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 
         rows, held = [], 0
         for sid, s in _new_sets(batches, wanted):
-            vec = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
-            rows.append((sid, len(s), vec.tobytes(), s.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()))
+            vec = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+            rows.append((sid, len(s), pack(vec), s.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()))
             held += len(s)
             if held > 1 << 19:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
@@ -232,8 +232,10 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         for batch in batches:
             a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            va, vb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.int32).reshape(-1, GROUPS) for i in (4, 5))
-            near = enough(np.minimum(va, vb).sum(1), na + nb)
+            near = np.zeros(len(a), bool)
+            for lo in range(0, len(a), 1024):
+                va, vb = (unpack(batch.column(i).slice(lo, 1024).to_pylist()) for i in (4, 5))
+                near[lo:lo + 1024] = enough(np.minimum(va, vb).sum(1), na[lo:lo + 1024] + nb[lo:lo + 1024])
             for i in np.flatnonzero(near):
                 x, y = _body(batch.column(6)[i].as_py()), _body(batch.column(7)[i].as_py())
                 near[i] = enough(np.intersect1d(x, y, assume_unique=True).size, na[i] + nb[i])
@@ -275,7 +277,7 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
         def found(part) -> np.ndarray:
             """All pairs of a table of whole runs, as rows (a, b)."""
             key, sid, comp, n = (part[c].to_numpy() for c in ("run", "sid", "comp", "n"))
-            vec = np.frombuffer(b"".join(part["vec"].to_pylist()), np.int32).reshape(-1, GROUPS)
+            vec = unpack(part["vec"].to_pylist())
             left, cross = part["left"].to_numpy(), part["cross"].to_numpy()
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             size = np.diff(starts, append=len(key))
