@@ -30,6 +30,8 @@ COPY_COSTS = (0, 1, 3)
 SEED = "mix-1"
 #: Hash buckets per pattern for the prefix search (three hex digits).
 BUCKET_DIGITS = 3
+#: Patterns or sources whose facts (one short row each) may be broadcast.
+BROADCAST_ROWS = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -122,22 +124,22 @@ def _route_part(patterns, quotas, costs):
     return [{s: edges[routed[i, s] ^ 1][1] for s in members} for i, (members, _) in enumerate(patterns)]
 
 
-def copies(sized: DataFrame, quotas=None, seed: str = SEED) -> tuple[DataFrame, dict]:
+def copies(sized: DataFrame, quotas=None, seed: str = SEED) -> tuple[DataFrame, dict, dict]:
     """Copies of each document.
 
     ``sized`` has doc_id, size and ``sources`` (array of source names, null
-    allowed). ``quotas``: tokens wanted per source, or a function of the
-    source sizes; by default all tokens, shared by WEIGHTS. Returns the rows
-    with ``_copies`` int added, and the quotas.
+    allowed); other columns are carried along. ``quotas``: tokens wanted per
+    source, or a function of the source sizes; by default all tokens, shared by
+    WEIGHTS. Returns the rows with ``_copies`` int added, the quotas and the
+    source sizes.
     """
     spark = sized.sparkSession
-    # the names are found as text; a pattern is its sorted names as JSON
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    # a pattern is its sorted distinct names as JSON
     rows = saved(sized.withColumns({
-        "_pattern": F.to_json(F.array_sort(F.array_distinct("sources"))),
+        "_pattern": F.coalesce(F.to_json(F.array_sort(F.array_distinct("sources"))), F.lit("[]")),
         "_order": order, "_bucket": F.substring(order, 1, BUCKET_DIGITS)}), "mix")
-    cells = rows.groupBy("_pattern", "_bucket").agg(F.sum("size").alias("_cell"), F.first("sources").alias("_sources"))
-    cells = saved(cells, "mix-cells")
+    cells = saved(rows.groupBy("_pattern", "_bucket").agg(F.sum("size").alias("_cell"), F.first("sources").alias("_sources")), "mix-cells")
     sums = sorted((r["_pattern"], r["_sources"], int(r["_tokens"])) for r in cells.groupBy("_pattern").agg(
         F.sum("_cell").alias("_tokens"), F.first("_sources").alias("_sources")).collect())
     patterns = [(list(dict.fromkeys(s or ())), t) for _, s, t in sums]
@@ -148,41 +150,51 @@ def copies(sized: DataFrame, quotas=None, seed: str = SEED) -> tuple[DataFrame,
     names = sorted(size_of, key=lambda s: (s is None, s or ""))
     if quotas is None:
         weights = {s: WEIGHTS[i % len(WEIGHTS)] for i, s in enumerate(names)}
-        quotas = share_out(sum(t for _, t in patterns), weights, {s: MAX_COPIES * size_of[s] for s in names})
+        quotas = share_out(sum(t for m, t in patterns if m), weights, {s: MAX_COPIES * size_of[s] for s in names})
     elif callable(quotas):
         quotas = quotas({s: size_of[s] for s in names})
-    flows = route(patterns, quotas)
     plan = []
-    for (key, _, tokens), flow in zip(sums, flows, strict=True):
+    for (key, _, tokens), flow in zip(sums, route(patterns, quotas), strict=True):
         want = sum(flow.values())
         whole = min(int(want // tokens), len(COPY_COSTS)) if tokens else 0
         plan.append((key, whole, want - whole * tokens if whole < len(COPY_COSTS) else 0.0))
-    plan = spark.createDataFrame(plan, "_pattern string, _whole int, _rest double")
-    # the bucket in which each pattern's prefix ends
-    ends = (cells.withColumn("_before", F.sum("_cell").over(Window.partitionBy("_pattern").orderBy("_bucket")) - F.col("_cell"))
-            .join(plan, "_pattern"))
-    ends = ends.select("_pattern", "_bucket", "_before", "_whole", "_rest", (F.col("_before") + F.col("_cell")).alias("_upto"))
-    rows = rows.join(ends, ["_pattern", "_bucket"])
-    # only rows of a bucket that straddles the end are ordered
-    straddles = (F.col("_before") < F.col("_rest")) & (F.col("_upto") > F.col("_rest"))
-    rows = rows.withColumn("_straddles", straddles)
-    clear = rows.filter(~F.col("_straddles")).withColumn("_more", (F.col("_upto") <= F.col("_rest")).cast("int"))
-    window = Window.partitionBy("_pattern", "_bucket").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = rows.filter("_straddles").withColumn("_at", F.col("_before") + F.sum("size").over(window) - F.col("size") / 2)
-    cut = cut.withColumn("_more", (F.col("_at") <= F.col("_rest")).cast("int")).drop("_at")
-    out = clear.unionByName(cut).withColumn("_copies", F.col("_whole") + F.col("_more"))
-    return out.drop("_pattern", "_bucket", "_before", "_upto", "_whole", "_rest", "_straddles", "_more", "_order"), quotas
+    plan = small(spark.createDataFrame(plan, "_pattern string, _whole int, _rest double"), len(sums))
+    # the bucket in which each pattern's prefix ends, and the tokens before it
+    before = F.sum("_cell").over(Window.partitionBy("_pattern").orderBy("_bucket")) - F.col("_cell")
+    ends = cells.withColumn("_before", before).join(plan, "_pattern").filter(
+        (F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_cell") >= F.col("_rest")))
+    ends = plan.join(ends.select("_pattern", F.col("_bucket").alias("_cut"), "_before"), "_pattern", "left")
+    rows = rows.join(small(saved(ends, "mix-ends"), len(sums)), "_pattern")
+    # buckets before the cut are in whole; only the rows of the cut's own bucket are put in order
+    inner = rows.filter(F.coalesce(F.col("_bucket") != F.col("_cut"), F.lit(True)))
+    inner = inner.withColumn("_more", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)).cast("int"))
+    window = Window.partitionBy("_pattern").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    middle = F.col("_before") + F.sum("size").over(window) - F.col("size") / 2
+    cut = rows.filter(F.col("_bucket") == F.col("_cut")).withColumn("_more", (middle <= F.col("_rest")).cast("int"))
+    out = inner.unionByName(cut).withColumn("_copies", F.col("_whole") + F.col("_more"))
+    return out.drop("_pattern", "_bucket", "_cut", "_before", "_whole", "_rest", "_more", "_order"), quotas, dict(size_of)
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """A broadcast hint for a side whose rows were counted; beyond the bound Spark shuffles."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def _sized(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select(*columns, word_count(F.col("text")).alias("size"), F.array(F.col("source").cast("string")).alias("sources"))
 
 
 def mix_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken for every document, each in one source."""
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(docs["text"]).alias("size"))
-    rows, quotas = copies(sized.withColumn("sources", F.array("source")), seed=seed)
-    rows = rows.drop("sources")
-    spark = docs.sparkSession
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    want = spark.createDataFrame([(s, float(t)) for s, t in quotas.items()], "source string, target double")
-    facts = sizes.withColumnRenamed("source", "_s").join(want.withColumnRenamed("source", "_t"), F.col("_s").eqNullSafe(F.col("_t")))
-    return rows.join(facts, F.col("source").eqNullSafe(F.col("_s"))).select(
+    """doc_id, source, size, source_size, target, taken and copies for every document, each in one source."""
+    rows, quotas, sizes = copies(_sized(docs, "doc_id", "source"), seed=seed)
+    facts = docs.sparkSession.createDataFrame([(s, int(sizes[s]), float(t)) for s, t in quotas.items()], "_s string, source_size bigint, target double")
+    return rows.join(small(facts, len(quotas)), F.col("source").cast("string").eqNullSafe(F.col("_s"))).select(
         "doc_id", "source", "size", "source_size", F.round("target", 6).alias("target"),
         (F.col("size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"))
+
+
+def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """The mix itself: ``docs`` with each document as many times as it is taken."""
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "source", "text")
+    rows, _, _ = copies(_sized(packed, "_doc", "doc_id"), seed=seed)
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select("_doc.*")
