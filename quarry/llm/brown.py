@@ -127,7 +127,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int, v: int) -> DataFrame
                 sums = []
                 hit = count > 0
                 for x in (np.ones(hit.sum()), np.log10((count[hit] + 1) / (n + v + 1)), np.log10(count[hit] - DISCOUNT)):
-                    sums.append(np.bincount(doc[hit], x, len(size)))
+                    sums.append(np.bincount(doc[hit], x, len(size)).astype(float))  # of no words it is int
                 ends = np.cumsum(size)
                 rare_doc, rare = doc[~hit], h[~hit]
                 order = np.lexsort((rare, rare_doc))

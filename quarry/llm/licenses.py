@@ -107,12 +107,12 @@ def normalise(sentence: str) -> str:
 
 
 def recognise(text: str, known: dict[str, str], longest: int) -> list[tuple[str, int, int, int]]:
-    """(identifier, sentence number, start, end) of the known sentences, in text order."""
+    """(identifier, sentence number, start, end) of the known sentences, in text order; a joined sentence counts as one, an unknown line each."""
     cuts = [(0, 0, True)] + [(m.start(), m.end(), m.group() != "\n") for m in _CUT.finditer(text)] + [(len(text), len(text), True)]
     parts = []  # normalised words, start, end, whether the sentence ends here
     for (_, lo, _), (hi, _, ends) in zip(cuts, cuts[1:], strict=False):
         parts.append((normalise(text[lo:hi]), lo, hi, ends))
-    out, i = [], 0
+    out, i, number = [], 0, 0
     while i < len(parts):
         joined, best, k, size = "", None, i, 0
         while k < len(parts) and size <= longest:
@@ -124,8 +124,9 @@ def recognise(text: str, known: dict[str, str], longest: int) -> list[tuple[str,
             if parts[k][3]:
                 break
             k += 1
+        number += bool(parts[i][0])
         if best and parts[i][0]:
-            out.append((known[best[1]], i, parts[i][1], parts[best[0]][2]))
+            out.append((known[best[1]], number, parts[i][1], parts[best[0]][2]))
             i = best[0]
         i += 1
     return out

@@ -65,25 +65,27 @@ def shapes(buf: bytes, starts: np.ndarray) -> np.ndarray:
         return mix(np.add.reduceat(value, starts - starts[0]))
 
 
-def cells(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(cell of every n-gram, byte offset of its last word), n-grams within the buffer."""
+def cells(buf: bytes, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, text slot) of every n-gram of the texts that start at ``offs``; no n-gram spans two texts."""
     h, starts = word_hashes(buf)
     if not len(starts):
         return np.empty(0, np.int64), starts
+    where = np.searchsorted(offs, starts, "right") - 1
     shape = shapes(buf, starts)
+    one = where[1:] == where[:-1]
     same = np.zeros(len(h), bool)
-    same[1:] = h[1:] == h[:-1]
+    same[1:] = (h[1:] == h[:-1]) & one
     shape = np.where(same, mix(shape + np.uint64(1)), shape)
     with np.errstate(over="ignore"):
         pair = mix(h[1:] * np.uint64(3) + h[:-1])
         two = mix(shape[1:] * np.uint64(5) + shape[:-1])
         three = mix(two[1:] * np.uint64(7) + shape[:-2])
     w, s = np.uint64(64 - WORD_BITS), np.uint64(64 - SHAPE_BITS)
-    base = 1 << WORD_BITS
+    base = np.uint64(1 << WORD_BITS)
     # a word that repeats its predecessor counts by shape only, else one junk text of a repeated word taints that word
-    fresh, fresh2 = ~same, ~same[1:]
-    return (np.concatenate([h[fresh] >> w, pair[fresh2] >> w, (two >> s) + np.uint64(base), (three >> s) + np.uint64(base)]).astype(np.int64),
-            np.concatenate([starts[fresh], starts[1:][fresh2], starts[1:], starts[2:]]))
+    fresh, pairs, triples = ~same, one & ~same[1:], one[1:] & one[:-1]
+    return (np.concatenate([h[fresh] >> w, pair[pairs] >> w, (two[one] >> s) + base, (three[triples] >> s) + base]).astype(np.int64),
+            np.concatenate([where[fresh], where[1:][pairs], where[1:][one], where[2:][triples]]))
 
 
 def count_cells(batches: Iterator) -> Iterator:
@@ -94,8 +96,8 @@ def count_cells(batches: Iterator) -> Iterator:
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for part in groups_of(texts):
-            for buf, _, _ in pieces(texts[part]):
-                total += np.bincount(cells(buf)[0], minlength=CELLS)
+            for buf, _, offs in pieces(texts[part]):
+                total += np.bincount(cells(buf, offs)[0], minlength=CELLS)
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["cell", "n"])
 
@@ -119,10 +121,15 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def noise_hash(docs: DataFrame, seed: int = SEED):
+    """64-bit hash of a document's id and text, the source of its noise."""
+    return F.xxhash64(docs["doc_id"].cast("string"), F.coalesce(docs["text"], F.lit("")), F.lit(seed))
+
+
 def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = SEED) -> DataFrame:
-    """doc_id, log_weight, key (weight + Gumbel noise) and the key's 64 bits in order as ``bits``."""
+    """doc_id, log_weight, key (weight + Gumbel noise), the key's 64 bits in order as ``bits`` and the noise's hash."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.cast("binary"), F.xxhash64(F.col("doc_id").cast("string"), text, F.lit(seed)))
+    rows = docs.select("doc_id", text.cast("binary"), noise_hash(docs, seed))
 
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -132,17 +139,16 @@ def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = SEED) -> DataFrame:
             weight = np.zeros(len(texts))
             for part in groups_of(texts):
                 for buf, docs_, offs in pieces(texts[part]):
-                    cell, at = cells(buf)
-                    where = docs_[np.searchsorted(offs, at, "right") - 1]
-                    weight[part] += np.bincount(where, ratio[cell], minlength=part.stop - part.start)
+                    cell, slot = cells(buf, offs)
+                    weight[part] += np.bincount(docs_[slot], ratio[cell], minlength=part.stop - part.start)
             u = ((batch.column(2).to_numpy().view(np.uint64) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
             key = weight - np.log(-np.log(u))
             bits = key.view(np.int64)
             bits = np.where(bits < 0, ~bits ^ np.int64(-(1 << 63)), bits)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight), pa.array(key), pa.array(bits)], names=["doc_id", "log_weight", "key", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(weight), pa.array(key), pa.array(bits), batch.column(2)], names=["doc_id", "log_weight", "key", "bits", "noise"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"doc_id {kind}, log_weight double, key double, bits bigint")
+    return rows.mapInArrow(score, f"doc_id {kind}, log_weight double, key double, bits bigint, noise bigint")
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
@@ -167,7 +173,7 @@ def good_share(labels: DataFrame) -> float:
 
 
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """doc_id, log_weight, key and selected for every document. ``k``: documents to sample; by default the good share of all."""
+    """doc_id, log_weight, key, selected and noise for every document. ``k``: documents to sample; by default the good share of all."""
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
     n = good.count()
     at = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
@@ -179,4 +185,11 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: i
         k = round(good_share(labels) * rows.count())
     limit = kth_largest(rows, "bits", k) if k > 0 else (1 << 63) - 1
     picked = F.lit(True) if limit is None else F.col("bits") >= F.lit(limit)
-    return rows.select("doc_id", "log_weight", "key", picked.alias("selected"))
+    return rows.select("doc_id", "log_weight", "key", picked.alias("selected"), "noise")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
+    """``docs`` without those that the sampling rejects."""
+    out = resample(docs, labels, seed=seed).filter("not selected").select(F.col("doc_id").alias("_id"), "noise").distinct()
+    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("noise") == F.col("_noise"))
+    return docs.withColumn("_noise", noise_hash(docs, seed)).join(out, same, "left_anti").select(*docs.columns)

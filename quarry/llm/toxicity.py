@@ -214,7 +214,7 @@ def features(texts: list, auto: Automaton, context: np.ndarray) -> np.ndarray:
             words[d] += n
             continue
         out[d, 2 * (kind - 1) + quoted] += 1
-        out[d, 6 if kind == EXACT else 7] += auto.weights[term]
+        out[d, 6 if kind == EXACT else 7] += auto.weights[term] * (not quoted)
         out[d, 8] += float(context[around].mean()) if len(around) else 0.0
     hits = out[:, :6].sum(1)
     out[:, 8] /= np.maximum(hits, 1)
@@ -253,11 +253,12 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     the sum over its words; of stems that share a beginning the one with the
     strongest evidence stands for its words. At most MAX_TERMS are kept.
     """
-    words = F.array_distinct(F.array_remove(F.split(F.lower("text"), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), ""))
-    # near copies count once: they mostly share the long word of least hash
-    texts = sample.select("toxic", words.alias("ws")).withColumn("kin", F.coalesce(
-        F.array_min(F.transform(F.filter("ws", lambda w: F.octet_length(w) >= 8), lambda w: F.xxhash64(w))), F.xxhash64("ws")))
-    texts = texts.groupBy("kin", "toxic").agg(F.array_sort(F.collect_list("ws"))[0].alias("ws"))
+    words = F.array_remove(F.split(F.lower("text"), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
+    texts = sample.select("toxic", words.alias("ws")).filter(F.size("ws") > 0)
+    # near copies count once: they mostly share their five-word shingle of least hash
+    at = F.sequence(F.lit(1), F.greatest(F.size("ws") - 4, F.lit(1)))
+    texts = texts.withColumn("kin", F.array_min(F.transform(at, lambda i: F.xxhash64(F.slice("ws", i, 5)))))
+    texts = texts.groupBy("kin", "toxic").agg(F.min("ws").alias("ws")).withColumn("ws", F.array_distinct("ws"))
     seen = texts.select("toxic", F.explode("ws").alias("w")).filter(F.octet_length("w") <= 40)
     freq = saved(seen.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "tox-words")
     rate = n_toxic / max(1, n_toxic + n_clean)
@@ -269,7 +270,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     # log-likelihood ratio against chance, over all words tried
     t, c = F.col("t"), F.col("c")
     excess = t * F.log(t / ((t + c) * rate)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - rate)))).otherwise(0.0)
-    pure = (t >= 3) & (t * n_clean > 12 * c * n_toxic) & (excess > surely)
+    pure = (t >= 3) & (t * n_clean > 3 * c * n_toxic) & (excess > surely)
     stems = freq.select("w", "t", "c", F.explode(F.array(*[F.lit(k) for k in STEM])).alias("k")).filter(F.length("w") > F.col("k"))
     stems = stems.groupBy(F.substring("w", F.lit(1), F.col("k")).alias("w")).agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count("*").alias("forms"))
     stems = stems.filter((t >= 8) & (t * n_clean > 4 * c * n_toxic) & (excess > surely) & (F.col("forms") >= 4)).select(F.concat("w", F.lit("*")).alias("w"), "t", "c")
