@@ -1,12 +1,14 @@
 """A public-holiday calendar generated from date rules, as a DataFrame.
 
 Fixed values (the federal holiday rules used by the reference's holiday
-library, without observed-day shifts): New Year's Day 1 Jan; Martin Luther
+library): New Year's Day 1 Jan; Martin Luther
 King Jr. Day third Monday of January; Washington's Birthday third Monday of
 February; Memorial Day last Monday of May; Juneteenth 19 Jun from 2021;
 Independence Day 4 Jul; Labor Day first Monday of September; Columbus Day
 second Monday of October; Veterans Day 11 Nov; Thanksgiving fourth Thursday
-of November; Christmas Day 25 Dec.
+of November; Christmas Day 25 Dec. A fixed-date holiday on a Saturday is
+also observed on the Friday before, one on a Sunday on the Monday after; the
+Friday before New Year's Day lies in the old year.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONDAY, THURSDAY = 2, 5  # Spark dayofweek: 1 = Sunday
+SUNDAY, MONDAY, THURSDAY, SATURDAY = 1, 2, 5, 7  # Spark dayofweek
 
 # (name, month, day) fixed-date rules; (name, month, weekday, n) n-th weekday
 # rules (n = -1: last); Juneteenth's first year.
@@ -47,6 +49,10 @@ def holiday_calendar(dates: DataFrame, date_col: str = "date", margin: int = 1)
         if name == "Juneteenth":
             d = F.when(F.col("y") >= JUNETEENTH_FROM, d)
         rules.append(F.struct(d.alias("date"), F.lit(name).alias("name")))
+        before = F.make_date(F.col("y") + 1, F.lit(1), F.lit(1)) if (month, day) == (1, 1) else d
+        for weekday, first, shift in ((SATURDAY, before, -1), (SUNDAY, d, 1)):
+            seen = F.when(F.dayofweek(first) == weekday, F.date_add(first, shift))
+            rules.append(F.struct(seen.alias("date"), F.lit(f"{name} (observed)").alias("name")))
     for name, month, weekday, n in NTH:
         rules.append(F.struct(nth_weekday(F.col("y"), month, weekday, n).alias("date"), F.lit(name).alias("name")))
     return years.select(F.explode(F.array(*rules)).alias("h")).select("h.date", "h.name").filter(F.col("date").isNotNull())

@@ -1,12 +1,11 @@
 """Fixed values that must equal the reference's for equal results.
 
 Fixed values (value lists of the transaction event, as published by the
-event producer): merchant categories, payment methods, commission types,
+event producer): payment methods, commission types,
 customer types, failure reasons, device library, base coordinates.
 """
 
 # --- fixed values -----------------------------------------------------------
-MERCHANT_CATEGORIES = ["retail", "food_service", "entertainment", "transportation", "government"]
 PAYMENT_METHODS = ["online", "pos", "mobile", "nfc"]
 COMMISSION_TYPES = ["flat", "progressive", "tiered"]
 CUSTOMER_TYPES = ["individual", "CIP", "business"]
@@ -20,7 +19,6 @@ BASE_LAT = 35.7219
 BASE_LNG = 51.3347
 KNOWN_OS = ["iOS", "Android"]
 STATUSES = ["approved", "declined"]
-ERROR_CODES = ["ERR_AMOUNT", "ERR_TIME", "ERR_DEVICE"]
 # Part-of-day labels and their hour ranges [start, end).
 DAY_PARTS = [("Morning", 6, 12), ("Afternoon", 12, 18), ("Evening", 18, 24)]
 DAY_PART_ELSE = "Night"

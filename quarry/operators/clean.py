@@ -1,8 +1,7 @@
 """Cleaning and column functions.
 
-All are projections, filters or one global aggregate; the only driver fetches
-are bounded and stated: the token dictionary (size-checked) and the two
-scalars of min-max scaling.
+All are projections, filters, joins or aggregates; nothing is fetched to the
+driver and no job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -10,19 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DICTIONARY = 10_000  # largest token dictionary turned into columns
-
-
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Drop rows with a NULL in any (or the given) column."""
     return df.na.drop(how="any", subset=subset)
 
 
-def fill(df: DataFrame, value, subset: list[str] | None = None) -> DataFrame:
-    """Replace NULL by a constant."""
-    return df.na.fill(value, subset=subset)
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """(column_name, null_count, row_count) for every column, one pass."""
     aggs = [F.count(F.lit(1)).alias("__rows")] + [
@@ -66,19 +57,32 @@ def token_dictionary(df: DataFrame, col: str, sep: str = ",") -> DataFrame:
     return df.select(F.explode(tokens(F.col(col), sep)).alias("token")).distinct().orderBy("token")
 
 
-def fetch_dictionary(dictionary: DataFrame, limit: int = MAX_DICTIONARY) -> list[str]:
-    """Bring a token dictionary to the driver, refusing one larger than ``limit``.
+def multi_hot_indices(df: DataFrame, col: str, out: str = "indices", sep: str = ",") -> DataFrame:
+    """B16 for a dictionary of any size: each row's sorted token positions.
 
-    Beyond the limit use :func:`multi_hot_vector`, which stays distributed.
+    Tokens are numbered from 0 in sorted order. The numbers come from a range
+    partition of the distinct tokens (rows counted per partition, offsets
+    added), and reach the rows by a join, so no dictionary is held anywhere as
+    a whole. A row without tokens has an empty array.
     """
-    rows = dictionary.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"dictionary exceeds {limit} tokens; use multi_hot_vector")
-    return [r[0] for r in rows]
+    from pyspark.sql import Window
+
+    words = df.select(F.explode(F.array_distinct(tokens(F.col(col), sep))).alias("token")).distinct()
+    # number within a leading character pair, plus the tokens before that pair
+    words = words.withColumn("__p", F.substring("token", 1, 2))
+    before = words.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = before.withColumn("__before", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).drop("__n")
+    place = F.row_number().over(Window.partitionBy("__p").orderBy("token")) - 1
+    numbered = words.withColumn("__k", place).join(before, "__p").select("token", (F.col("__k") + F.col("__before")).alias("__k"))
+    keyed = df.withColumn("__toks", F.coalesce(F.array_distinct(tokens(F.col(col), sep)), F.array().cast("array<string>")))
+    keyed = keyed.withColumn("__id", F.struct(*df.columns))
+    rows = keyed.select("__id", F.explode("__toks").alias("token")).join(numbered, "token")
+    got = rows.groupBy("__id").agg(F.array_sort(F.collect_set("__k")).alias(out))
+    return keyed.join(got, "__id", "left").select(*df.columns, F.coalesce(out, F.array().cast("array<bigint>")).alias(out))
 
 
 def multi_hot(df: DataFrame, col: str, dictionary: list[str], prefix: str, sep: str = ",") -> DataFrame:
-    """One 0/1 column per dictionary token, all in a single projection."""
+    """One 0/1 column per token of the caller's dictionary, all in a single projection."""
     toks = tokens(F.col(col), sep)
     flags = [
         F.coalesce(F.array_contains(toks, t).cast("int"), F.lit(0)).alias(f"{prefix}{t}") for t in dictionary
@@ -86,15 +90,6 @@ def multi_hot(df: DataFrame, col: str, dictionary: list[str], prefix: str, sep:
     return df.select(*df.columns, *flags)
 
 
-def multi_hot_vector(df: DataFrame, col: str, out: str = "multi_hot", sep: str = ","):
-    """B16 for large dictionaries: a sparse binary vector (MLlib CountVectorizer)."""
-    from pyspark.ml.feature import CountVectorizer
-
-    tmp = df.withColumn("__tokens", F.coalesce(tokens(F.col(col), sep), F.array().cast("array<string>")))
-    model = CountVectorizer(inputCol="__tokens", outputCol=out, binary=True, minDF=1.0).fit(tmp)
-    return model.transform(tmp).drop("__tokens"), model.vocabulary
-
-
 def token_count(col: Column, sep: str = ",") -> Column:
     """Number of tokens; 0 for NULL or empty."""
     return F.coalesce(F.size(tokens(col, sep)), F.lit(0))
@@ -116,16 +111,12 @@ def ratio_feature(weight: Column, height_cm: Column) -> Column:
 
 
 def minmax_scale(df: DataFrame, col: str, lo: float = 0.0, hi: float = 1.0, out: str | None = None) -> DataFrame:
-    """Map ``col`` linearly onto [lo, hi].
+    """Map ``col`` linearly onto [lo, hi] (a constant column to lo).
 
-    The min and max are one global aggregate fetched as a single row (two
-    scalars), then applied as literals: no join, no single-partition window.
+    Min and max are scalar subqueries: nothing runs while the plan is built,
+    and there is no join and no single-partition window.
     """
-    row = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx")).first()
-    mn, mx = row["mn"], row["mx"]
-    span = (mx - mn) if (mn is not None and mx is not None) else None
-    if not span:
-        scaled = F.lit(None).cast("double") if span is None else F.lit(float(lo))
-    else:
-        scaled = (F.col(col) - F.lit(mn)) / F.lit(float(span)) * F.lit(hi - lo) + F.lit(lo)
-    return df.withColumn(out or f"{col}_scaled", scaled.cast("double"))
+    ends = df.agg(F.min(col).alias("mn"), F.max(col).alias("mx"))
+    mn, mx = ends.select("mn").scalar(), ends.select("mx").scalar()
+    scaled = F.try_divide(F.col(col) - mn, (mx - mn).cast("double")) * F.lit(hi - lo) + F.lit(lo)
+    return df.withColumn(out or f"{col}_scaled", F.when(mn == mx, F.lit(float(lo))).otherwise(scaled).cast("double"))

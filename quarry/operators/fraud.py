@@ -98,17 +98,41 @@ def geo_alerts(tx: DataFrame, within: str = V.GEO_WINDOW, threshold: float = V.G
     )
 
 
+IDS_PER_ALERT = 1000
+
+
+def velocity_records(alerts: DataFrame, members: DataFrame) -> DataFrame:
+    """D5 alerts with their ``transaction_ids``.
+
+    A window with more than about IDS_PER_ALERT transactions gives several
+    records, each with a part of the ids, so no array grows with a hot customer.
+    """
+    parts = F.ceil(F.col("transaction_count") / F.lit(IDS_PER_ALERT)).cast("int")
+    part = F.pmod(F.xxhash64("tx_id"), parts)
+    key = ["fraud_type", "customer_id", "window_start", "window_end", "transaction_count"]
+    both = alerts.join(members.drop("window_end"), ["customer_id", "window_start"]).withColumn("part", part)
+    return both.groupBy(*key, "part").agg(F.array_sort(F.collect_list("tx_id")).alias("transaction_ids")).drop("part")
+
+
 def alerts_union(amount: DataFrame, velocity: DataFrame, geo: DataFrame) -> DataFrame:
-    """A7 / 2.7: the three alert streams on one topic as (key, fraud_type, value JSON)."""
-    a = amount.select(F.col("customer_id").alias("key"), "fraud_type",
+    """A7 / 2.7: the three alert streams on one topic as (key, fraud_type, value JSON).
+
+    Amount alerts are keyed by transaction, the others by customer.
+    ``velocity`` is the output of :func:`velocity_records`.
+    """
+    a = amount.select(F.col("tx_id").alias("key"), "fraud_type",
                       F.to_json(F.struct(
                           "tx_id", "fraud_type",
                           F.round("customer_avg_trx_value", 2).cast("decimal(20,2)").alias("customer_avg_trx_value"),
                           "transaction_amount")).alias("value"))
     v = velocity.select(F.col("customer_id").alias("key"), "fraud_type",
-                        F.to_json(F.struct("fraud_type", "customer_id", "transaction_count",
+                        F.to_json(F.struct("fraud_type", "customer_id", "transaction_ids", "transaction_count",
                                            F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                                            F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("window_end"))).alias("value"))
+    second = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     g = geo.select(F.col("customer_id").alias("key"), "fraud_type",
-                   F.to_json(F.struct("fraud_type", "customer_id", "tx_id_1", "tx_id_2")).alias("value"))
+                   F.to_json(F.struct("fraud_type", "customer_id", "tx_id_1", "tx_id_2",
+                                      F.date_format("event_time_1", second).alias("event_time_1"),
+                                      F.date_format("event_time_2", second).alias("event_time_2"),
+                                      F.round("euclidean_distance", 6).cast("decimal(20,6)").alias("euclidean_distance"))).alias("value"))
     return a.unionByName(v).unionByName(g)

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir, cut_lineage
 
+
 def item_rating_stats(ratings: DataFrame, item: str = "item_id", label: str = "label") -> DataFrame:
     """Per item mean, sample variance, count, min, max, median."""
     return ratings.groupBy(item).agg(
-        F.round(F.avg(label), 6).alias("average_rating"),
-        F.round(F.var_samp(label), 6).alias("variance_rating"),
+        F.avg(label).alias("average_rating"),
+        F.var_samp(label).alias("variance_rating"),
         F.count(label).alias("number_of_reviews"),
         F.min(label).alias("min_rating"),
         F.max(label).alias("max_rating"),
@@ -30,8 +31,8 @@ def item_rating_stats(ratings: DataFrame, item: str = "item_id", label: str = "l
 def user_rating_stats(ratings: DataFrame, user: str = "user_id", label: str = "label") -> DataFrame:
     """Per user mean, sample variance, count, median."""
     return ratings.groupBy(user).agg(
-        F.round(F.avg(label), 6).alias("average_rating"),
-        F.round(F.var_samp(label), 6).alias("variance_rating"),
+        F.avg(label).alias("average_rating"),
+        F.var_samp(label).alias("variance_rating"),
         F.count(label).alias("number_of_ratings"),
         F.median(label).alias("median_of_ratings"),
     )
@@ -58,16 +59,18 @@ def rating_baseline(train: DataFrame, rows: DataFrame | None = None) -> DataFram
     baseline = mean + b_u + b_i and residual. ``rows`` defaults to ``train``;
     an unseen user or item has bias 0 (quirk Q15)."""
     rows = train if rows is None else rows
-    # The global mean is one scalar (a single-row aggregate fetched once).
-    mean = train.agg(F.avg("label")).first()[0]
-    g = F.lit(mean)
-    b_u = train.groupBy("user_id").agg(F.avg(F.col("label") - g).alias("b_u"))
-    b_i = train.groupBy("item_id").agg(F.avg(F.col("label") - g).alias("b_i"))
+    # a bias is the key's mean less the global mean, which is one scalar
+    # subquery: nothing runs while the plan is built
+    g = train.agg(F.avg("label")).scalar()
+    b_u = train.groupBy("user_id").agg(F.avg("label").alias("m_u"))
+    b_i = train.groupBy("item_id").agg(F.avg("label").alias("m_i"))
     out = (
-        rows.withColumn("global_mean", g)
-        .join(b_u, "user_id", "left")
+        rows.join(b_u, "user_id", "left")
         .join(b_i, "item_id", "left")
-        .na.fill(0.0, ["b_u", "b_i"])
+        .withColumn("global_mean", g)
+        .withColumn("b_u", F.coalesce(F.col("m_u") - F.col("global_mean"), F.lit(0.0)))
+        .withColumn("b_i", F.coalesce(F.col("m_i") - F.col("global_mean"), F.lit(0.0)))
+        .drop("m_u", "m_i")
         .withColumn("baseline_pred", F.col("global_mean") + F.col("b_u") + F.col("b_i"))
     )
     if "label" in rows.columns:
@@ -92,9 +95,7 @@ def trusted_rating_stats(rows: DataFrame, ratings: DataFrame, edges: DataFrame)
     )
     cols = ["avg_rating_trustees", "var_rating_trustees", "min_rating_trustees", "max_rating_trustees",
             "median_rating_trustees", "num_trustees_rated"]
-    out = rows.join(stats, ["user_id", "item_id"], "left").na.fill(-1.0, cols)
-    return out.withColumn("avg_rating_trustees", F.round("avg_rating_trustees", 6)).withColumn(
-        "var_rating_trustees", F.round("var_rating_trustees", 6))
+    return rows.join(stats, ["user_id", "item_id"], "left").na.fill(-1.0, cols)
 
 
 def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
@@ -169,8 +170,8 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
         lower = F.min(F.when(run >= F.floor((n + 1) / 2), F.col("v")))
         upper = F.min(F.when(run >= F.floor(n / 2) + 1, F.col("v")))
         aggs += [
-            F.when(total > 0, F.round(mean, 6)).alias(f"trust_mean{d}"),
-            F.when(total > 0, F.round(F.sqrt(var), 6)).alias(f"trust_std{d}"),
+            F.when(total > 0, mean).alias(f"trust_mean{d}"),
+            F.when(total > 0, F.sqrt(var)).alias(f"trust_std{d}"),
             total.alias(f"trust_count{d}"),
             F.when(total > 0, (lower + upper) / 2).alias(f"median{d}"),
             F.min(has).alias(f"min{d}"),
@@ -186,17 +187,22 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
     return out.na.fill(fills)
 
 
-def rating_features(ratings: DataFrame, edges: DataFrame) -> DataFrame:
-    """Training table: rating rows with user features, residual, item
-    statistics and trusted-user statistics (left joins on the keys)."""
-    base = rating_baseline(ratings).select("user_id", "item_id", F.round("residual", 6).alias("residual"))
-    items = item_rating_stats(ratings).select(
+def rating_features(train: DataFrame, edges: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Rating rows with user features, baseline and residual, item
+    statistics and trusted-user statistics (left joins on the keys).
+
+    Every statistic comes from ``train`` only; ``rows`` (default: the training
+    rows) are the rows to enrich, so held-out labels never reach a feature.
+    """
+    rows = train if rows is None else rows
+    base = rating_baseline(train, rows).select("user_id", "item_id", "baseline_pred", "residual")
+    items = item_rating_stats(train).select(
         "item_id", *[F.col(c).alias(f"item_{c}") for c in
                      ["average_rating", "variance_rating", "number_of_reviews", "min_rating", "max_rating",
                       "median_rating"]])
     return (
-        trusted_rating_stats(ratings, ratings, edges)
-        .join(user_features(ratings, edges), "user_id", "left")
+        trusted_rating_stats(rows, train, edges)
+        .join(user_features(train, edges), "user_id", "left")
         .join(base, ["user_id", "item_id"], "left")
         .join(items, "item_id", "left")
     )

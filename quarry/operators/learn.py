@@ -13,42 +13,57 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SEED = 42
 
 
 # --- splits ---------------------------------------------------------------------
 
-def hash_bucket(key: str, seed: int = SEED, buckets: int = 10_000):
-    return F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(buckets))
-
-
 def holdout_split(df: DataFrame, key: str, test_fraction: float = 0.2, salt: str = "") -> DataFrame:
     """H1: ``split`` = 'train' / 'test' from an MD5 of the row key (plus an
     optional salt): stable across partitionings, reruns and engines (unlike
     a random number per row). The first four hex digits are compared with
     the fraction scaled to 16 bits, so any SQL engine with ``md5`` can
     reproduce the split."""
-    cut = format(int(round(test_fraction * 65536)), "04x")
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
-    return df.withColumn("split", F.when(F.substring(digest, 1, 4) < F.lit(cut), "test").otherwise("train"))
+    number = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
+    return df.withColumn("split", F.when(number < int(round(test_fraction * 65536)), "test").otherwise("train"))
+
 
+def stratified_split(df: DataFrame, key: str, strata: list[str], test_fraction: float = 0.15, salt: str = "") -> DataFrame:
+    """H2: of each stratum's n rows the round(n * ``test_fraction``) whose MD5
+    of the key comes first go to test; exact at every size, and any SQL engine
+    can repeat it.
 
-def stratified_split(df: DataFrame, key: str, strata: list[str], test_fraction: float = 0.15,
-                     seed: int = SEED) -> DataFrame:
-    """H2: per stratum, rows whose key hash falls below the stratum's
-    ``test_fraction`` quantile of hashes go to test. The quantiles come from
-    a bounded sketch per stratum (``percentile_approx``), so every stratum
-    gets its share without ordering a whole stratum in one task."""
-    h = df.withColumn("__h", hash_bucket(key, seed, 1_000_000_007))
-    cut = h.groupBy(*strata).agg(F.percentile_approx("__h", test_fraction, 100_000).alias("__cut"))
-    out = h.join(cut, strata, "left").withColumn(
-        "split", F.when(F.col("__h") < F.col("__cut"), "test").otherwise("train"))
-    return out.drop("__h", "__cut")
+    No stratum is put in order as a whole: rows are counted per three leading
+    hex digits (4096 cells a stratum), and only the rows of the one cell in
+    which the test part ends are ranked.
+    """
+    from pyspark.sql import Window
+
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(salt)))
+    rows = df.withColumns({"__h": digest, "__c": F.substring(digest, 1, 3)})
+    cells = rows.groupBy(*strata, "__c").agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(*strata).orderBy("__c"))
+    total = F.sum("__n").over(Window.partitionBy(*strata))
+    cells = cells.withColumns({"__upto": upto, "__want": F.floor(total * F.lit(test_fraction) + 0.5)})
+    same = [F.col(f"__s{i}").eqNullSafe(rows[c]) for i, c in enumerate(strata)] + [F.col("__d") == rows["__c"]]
+    cells = cells.select(*[F.col(c).alias(f"__s{i}") for i, c in enumerate(strata)], F.col("__c").alias("__d"), "__n", "__upto", "__want")
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    rows = rows.join(cells, cond)
+    whole = rows.filter((F.col("__upto") <= F.col("__want")) | (F.col("__upto") - F.col("__n") >= F.col("__want")))
+    whole = whole.withColumn("split", F.when(F.col("__upto") <= F.col("__want"), "test").otherwise("train"))
+    part = rows.filter((F.col("__upto") > F.col("__want")) & (F.col("__upto") - F.col("__n") < F.col("__want")))
+    place = F.row_number().over(Window.partitionBy(*strata, "__d").orderBy("__h")) + F.col("__upto") - F.col("__n")
+    part = part.withColumn("split", F.when(place <= F.col("__want"), "test").otherwise("train"))
+    return whole.unionByName(part).select(*df.columns, "split")
 
 
 # --- inputs -------------------------------------------------------------------------
@@ -98,28 +113,29 @@ def classification_metrics(pred: DataFrame, label: str = "label", prediction: st
     """H7: accuracy and support-weighted precision, recall and F1, as one
     aggregate over per-class counts (classes with no predictions have
     precision 0, as with zero_division=0)."""
-    pairs = pred.select(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p"))
-    n = pairs.count()  # one scalar: the number of rows
-    tp = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("support"),
-                                F.sum(F.when(F.col("y") == F.col("p"), 1).otherwise(0)).alias("tp"))
-    predicted = pairs.groupBy(F.col("p").alias("y")).agg(F.count(F.lit(1)).alias("predicted"))
-    per_class = tp.join(predicted, "y", "left").na.fill(0, ["predicted"])
+    # one pass over the predictions: cells of (label, prediction), then each
+    # cell counts once for its label and once for its prediction
+    cells = pred.groupBy(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    right = F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)
+    sides = F.array(F.struct(F.col("y").alias("y"), F.col("n").alias("support"), right.alias("tp"), F.lit(0).cast("bigint").alias("predicted")),
+                    F.struct(F.col("p").alias("y"), F.lit(0).cast("bigint").alias("support"), F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("predicted")))
+    per_class = cells.select(F.inline(sides)).groupBy("y").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted")), F.lit(0.0))
-    rec = F.try_divide(F.col("tp"), F.col("support"))
+    rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * prec * rec, prec + rec), F.lit(0.0))
-    w = F.col("support") / F.lit(n)
+    n, w = F.sum("support"), F.col("support")
     return per_class.agg(
-        F.round(F.sum("tp") / F.lit(n), 6).alias("accuracy"),
-        F.round(F.sum(w * prec), 6).alias("precision"),
-        F.round(F.sum(w * rec), 6).alias("recall"),
-        F.round(F.sum(w * f1), 6).alias("f1"),
+        F.try_divide(F.sum("tp"), n).alias("accuracy"),
+        F.try_divide(F.sum(w * prec), n).alias("precision"),
+        F.try_divide(F.sum(w * rec), n).alias("recall"),
+        F.try_divide(F.sum(w * f1), n).alias("f1"),
     )
 
 
 def regression_error(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """MSE and RMSE in one aggregate."""
     se = F.pow(F.col(label) - F.col(prediction), 2)
-    return pred.agg(F.round(F.avg(se), 6).alias("mse"), F.round(F.sqrt(F.avg(se)), 6).alias("rmse"))
+    return pred.agg(F.avg(se).alias("mse"), F.sqrt(F.avg(se)).alias("rmse"))
 
 
 # --- searches (H8-H10) -----------------------------------------------------------------
@@ -154,42 +170,54 @@ def search_table(spark, rows, metric_name: str) -> DataFrame:
 def group_line_mse(df: DataFrame, groups: list[str], x: str, y: str) -> DataFrame:
     """Training MSE of a one-feature least-squares line per group,
     (Syy - Sxy^2 / Sxx) / n, from regression aggregates (no model fit), and a
-    count-weighted total row with keys 'all'."""
+    count-weighted total row with keys 'all'. Groups below two rows are left
+    out, as in the reference; with a constant x the line is the mean."""
     per = df.groupBy(*groups).agg(
         F.regr_count(y, x).alias("n"),
-        ((F.regr_syy(y, x) - F.pow(F.regr_sxy(y, x), 2) / F.regr_sxx(y, x)) / F.regr_count(y, x)).alias("mse"),
-    )
+        F.try_divide(F.regr_syy(y, x) - F.coalesce(F.try_divide(F.pow(F.regr_sxy(y, x), 2), F.regr_sxx(y, x)), F.lit(0.0)),
+                     F.regr_count(y, x)).alias("mse"),
+    ).filter("n >= 2")
     per = per.select(*[F.col(g).cast("string").alias(g) for g in groups], "n", "mse")
     total = per.agg(*[F.lit("all").alias(g) for g in groups], F.sum("n").alias("n"),
-                    (F.sum(F.col("n") * F.col("mse")) / F.sum("n")).alias("mse"))
-    return per.unionByName(total).withColumn("mse", F.round("mse", 6))
+                    F.try_divide(F.sum(F.col("n") * F.col("mse")), F.sum("n")).alias("mse"))
+    return per.unionByName(total)
 
 
 def group_models(df: DataFrame, groups: list[str], features: list[str], label: str, estimator_factory,
-                 max_groups: int = 1000) -> DataFrame:
-    """One model per group (a loop of distributed fits over the distinct
-    group keys) and the union of their predictions. The key list is fetched
-    with a size check: more than ``max_groups`` groups is refused."""
-    keys = [tuple(r) for r in df.select(*groups).distinct().limit(max_groups + 1).collect()]
-    if len(keys) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; fit one model with the group as a feature")
-    data = assemble(df, features)
-    out = None
-    for key in keys:
-        cond = None
-        for g, v in zip(groups, key):
-            c = F.col(g) == F.lit(v)
-            cond = c if cond is None else cond & c
-        part = data.filter(cond)
-        model = estimator_factory().setLabelCol(label).setFeaturesCol("features").fit(part)
-        pred = model.transform(part).drop("features")
-        out = pred if out is None else out.unionByName(pred)
-    return out
-
-
-def reg_boosted(max_iter: int = 50, max_depth: int = 4, step: float = 0.1, subsample: float = 0.8) -> GBTRegressor:
-    """H13."""
-    return GBTRegressor(maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, seed=SEED)
+                 split: str = "split") -> DataFrame:
+    """One model per group, fitted on its rows with ``split`` = 'train';
+    returns the predictions for its other rows.
+
+    The rows are written once, partitioned by group, so each fit reads its own
+    files. Keys are streamed one by one and every group's predictions are
+    written when its model is fitted: any number of groups, and neither keys
+    nor plans pile up on the driver. A group without training rows is left out.
+    """
+    from quarry.session import scratch_path
+
+    spark = df.sparkSession
+    stored, out = scratch_path(spark, "group-rows"), scratch_path(spark, "group-predictions")
+    df.repartition(*groups).write.partitionBy(*groups).parquet(stored)
+    rows = spark.read.schema(df.schema).parquet(stored).select(*df.columns)
+    written = False
+    for key in rows.select(*groups).distinct().orderBy(*groups).toLocalIterator():
+        part = rows
+        for g in groups:
+            part = part.filter(F.col(g).eqNullSafe(F.lit(key[g]).cast(df.schema[g].dataType)))
+        part = assemble(part, features)
+        train = part.filter(F.col(split) == "train")
+        if train.isEmpty():
+            continue
+        model = estimator_factory().setLabelCol(label).setFeaturesCol("features").fit(train)
+        model.transform(part.filter(F.col(split) != "train")).drop("features").write.mode("append").parquet(out)
+        written = True
+    empty = T.StructType([*df.schema.fields, T.StructField("prediction", T.DoubleType())])
+    return spark.read.schema(empty).parquet(out) if written else spark.createDataFrame([], empty)
+
+
+def reg_boosted(max_iter: int = 50, max_depth: int = 4, step: float = 0.1, subsample: float = 0.8, columns: str = "0.8") -> GBTRegressor:
+    """Rows and columns are subsampled for every tree (``columns``: share of features tried at a split)."""
+    return GBTRegressor(maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=columns, seed=SEED)
 
 
 def reg_forest(num_trees: int = 100, max_depth: int = 8) -> RandomForestRegressor:
@@ -197,10 +225,6 @@ def reg_forest(num_trees: int = 100, max_depth: int = 8) -> RandomForestRegresso
     return RandomForestRegressor(numTrees=num_trees, maxDepth=max_depth, seed=SEED)
 
 
-def linear() -> LinearRegression:
-    return LinearRegression()
-
-
 def feature_importance(spark, model, names: list[str], min_importance: float = 0.001) -> DataFrame:
     """Importances sorted descending, those above ``min_importance``
     (a vector with one entry per feature)."""
@@ -224,5 +248,3 @@ def evaluator_rmse(label: str = "label") -> RegressionEvaluator:
 def evaluator_mse(label: str = "label") -> RegressionEvaluator:
     return RegressionEvaluator(metricName="mse", labelCol=label)
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["ParamGridBuilder"]

@@ -205,12 +205,17 @@ def status_by_hour(tx: DataFrame, statuses: list[str] = V.STATUSES) -> DataFrame
     ).orderBy("hour")
 
 
-def payment_preference(tx: DataFrame) -> DataFrame:
+def payment_preference(tx: DataFrame, methods: list[str] = V.PAYMENT_METHODS) -> DataFrame:
     """Share of each payment method within its category and the
-    category's top method (ties broken by method name)."""
-    counts = tx.select("merchant_category", "payment_method").groupBy("merchant_category", "payment_method").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    category's top method (ties broken by method name). A known method that a
+    category never uses has a row with 0; other methods have one where they occur."""
+    counts = tx.groupBy("merchant_category", "payment_method").agg(F.count(F.lit(1)).alias("n"))
+    # the known methods of every category that occurs, without a cross join
+    known = F.array(*[F.lit(m) for m in methods])
+    counts = counts.select("merchant_category", F.explode(F.concat(
+        F.array(F.struct("payment_method", "n")),
+        F.transform(known, lambda m: F.struct(m.alias("payment_method"), F.lit(0).cast("bigint").alias("n"))))).alias("x"))
+    counts = counts.groupBy("merchant_category", "x.payment_method").agg(F.sum("x.n").alias("n"))
     per_cat = Window.partitionBy("merchant_category")
     top = Window.partitionBy("merchant_category").orderBy(F.col("n").desc(), "payment_method")
     return (
@@ -227,17 +232,6 @@ def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def with_rank(df: DataFrame, k: int, order: list[Column], name: str, key: str) -> DataFrame:
-    """Rank 1..k on the top-k rows, NULL elsewhere.
-
-    Only k rows are ranked: they are found by a bounded top-k, ranked in one
-    small window, and joined back on ``key`` by broadcast (k rows, bounded by
-    the call, whatever the size of ``df``).
-    """
-    top = top_k(df, k, order).select(key, F.row_number().over(Window.orderBy(*order)).alias(name))
-    return df.join(F.broadcast(top), on=key, how="left")
-
-
 def riskiest_customer_type(summary: DataFrame) -> DataFrame:
     """Argmax of the average risk (ties to the smaller key)."""
     return top_k(summary.select("customer_type", "avg_risk_level"), 1, [F.col("avg_risk_level").desc(), F.col("customer_type")])
@@ -253,14 +247,16 @@ def category_rank_flags(summary: DataFrame, k: int = 2) -> DataFrame:
         "total_transaction_value",
         F.try_divide(F.col("total_transaction_value"), F.col("total_successful_txns")).alias("avg_transaction_value"),
     )
-    out = base
+    # one row per category is left here, so the three orders are windows on
+    # those rows; the transactions are scanned and aggregated once
     for name, col in (
         ("rank_by_ratio", "commission_to_transaction_ratio"),
         ("rank_by_avg_value", "avg_transaction_value"),
         ("rank_by_total_value", "total_transaction_value"),
     ):
-        out = with_rank(out, k, [F.col(col).desc(), F.col("merchant_category")], name, "merchant_category")
-    return out
+        place = F.row_number().over(Window.orderBy(F.col(col).desc(), "merchant_category"))
+        base = base.withColumn(name, F.when(place <= k, place))
+    return base
 
 
 def expensive_categories(summary: DataFrame, k: int = 2) -> DataFrame:

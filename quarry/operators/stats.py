@@ -18,51 +18,44 @@ from pyspark.sql import types as T
 from quarry.functions import vocab as V
 from quarry.functions.tails import normal_p_udf, t_p_udf
 
-R = 6  # decimals of reported statistics (summation order differs between engines)
-
-
-def rnd(c: Column) -> Column:
-    return F.round(c, R)
-
-
 def outcome_summary(df: DataFrame, group: str, x: str) -> DataFrame:
     """Mean, population sd and standard error (sd / sqrt(n)) per group."""
     return df.groupBy(group).agg(
         F.count(x).alias("n"),
-        rnd(F.avg(x)).alias("mean"),
-        rnd(F.stddev_pop(x)).alias("sd"),
-        rnd(F.stddev_pop(x) / F.sqrt(F.count(x))).alias("se"),
+        F.avg(x).alias("mean"),
+        F.stddev_pop(x).alias("sd"),
+        F.try_divide(F.stddev_pop(x), F.sqrt(F.count(x))).alias("se"),
     )
 
 
 def positive_share(df: DataFrame, group: str, x: str) -> DataFrame:
     """Share of rows with x > 0 per group."""
-    return df.groupBy(group).agg(rnd(F.avg(F.when(F.col(x) > 0, 1).otherwise(0))).alias("positive_share"))
+    return df.groupBy(group).agg(F.avg(F.when(F.col(x) > 0, 1).otherwise(0)).alias("positive_share"))
 
 
 def density_histogram(df: DataFrame, x: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between min and max (last bin closed), with count
-    and density count / (n * width). Min, max and n are one global aggregate
-    fetched as a single row; binning is a projection + grouped count; the
-    ``bins`` empty bins come from ``spark.range`` (bounded by the argument)."""
-    spark = df.sparkSession
-    row = df.agg(F.min(x).alias("mn"), F.max(x).alias("mx"), F.count(x).alias("n")).first()
-    mn, mx, n = row["mn"], row["mx"], row["n"]
-    if n == 0:
-        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, count long, density double")
-    width = (float(mx) - float(mn)) / bins if mx != mn else 1.0
-    idx = F.least(F.floor((F.col(x) - F.lit(float(mn))) / F.lit(width)), F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(x).isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (
-        grid.join(F.broadcast(counts), "bin", "left")
-        .select(
-            "bin",
-            rnd(F.lit(float(mn)) + F.col("bin") * F.lit(width)).alias("bin_lo"),
-            rnd(F.lit(float(mn)) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
-            F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"),
-            rnd(F.coalesce(F.col("count"), F.lit(0)) / F.lit(n * width)).alias("density"),
-        )
+    and density count / (n * width). One bin for each of ``bins``, empty ones
+    too; without values no bins.
+
+    Values are counted first, so the extremes, the total and the bins all
+    follow from the distinct values in one plan; no job runs while it is built.
+    """
+    values = df.filter(F.col(x).isNotNull()).groupBy(F.col(x).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    # the extremes travel with every partial row of the bins: one aggregate, one row
+    ends = values.agg(F.min("v").alias("mn"), F.max("v").alias("mx"), F.sum("c").alias("n"))
+    width = F.when(F.col("mx") > F.col("mn"), (F.col("mx") - F.col("mn")) / bins).otherwise(F.lit(1.0))
+    ends = ends.filter("n > 0").select("mn", "n", width.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    at = F.least(F.floor((F.col("v") - F.col("mn")) / F.col("w")), F.lit(bins - 1)).cast("int")
+    one = F.broadcast(ends.filter("bin = 0").select("mn", "w", F.lit(1).alias("k")))
+    counts = values.withColumn("k", F.lit(1)).join(one, "k").groupBy(at.alias("bin")).agg(F.sum("c").alias("count"))
+    count = F.coalesce(F.col("count"), F.lit(0))
+    return ends.join(counts, "bin", "left").select(
+        "bin",
+        (F.col("mn") + F.col("bin") * F.col("w")).alias("bin_lo"),
+        (F.col("mn") + (F.col("bin") + 1) * F.col("w")).alias("bin_hi"),
+        count.cast("bigint").alias("count"),
+        (count / (F.col("n") * F.col("w"))).alias("density"),
     )
 
 
@@ -71,16 +64,16 @@ def expected_vs_observed(df: DataFrame, group: str, x: str, mu: float, sigma2: f
     game with per-trial mean ``mu`` and variance ``sigma2``."""
     return df.groupBy(group).agg(
         F.count(x).alias("n"),
-        rnd(F.avg(x)).alias("observed_mean"),
-        rnd(F.stddev_pop(x) / F.sqrt(F.count(x))).alias("observed_se"),
-        F.lit(round(mu, R)).alias("expected_mean"),
-        rnd(F.sqrt(F.lit(sigma2) / F.count(x))).alias("expected_se"),
+        F.avg(x).alias("observed_mean"),
+        F.try_divide(F.stddev_pop(x), F.sqrt(F.count(x))).alias("observed_se"),
+        F.lit(float(mu)).alias("expected_mean"),
+        F.sqrt(F.try_divide(F.lit(sigma2), F.count(x))).alias("expected_se"),
     )
 
 
 def proportion_interval(p: Column, n: Column, z: float = V.Z_975) -> tuple[Column, Column]:
     """Normal 95 % interval of a proportion."""
-    half = F.lit(z) * F.sqrt(p * (1 - p) / n)
+    half = F.lit(z) * F.sqrt(F.try_divide(p * (1 - p), n))
     return p - half, p + half
 
 
@@ -88,7 +81,7 @@ def proportion_intervals(df: DataFrame, group: str, x: str) -> DataFrame:
     """E6 per group: share of x > 0 and its interval."""
     agg = df.groupBy(group).agg(F.count(x).alias("n"), F.avg(F.when(F.col(x) > 0, 1).otherwise(0)).alias("p"))
     lo, hi = proportion_interval(F.col("p"), F.col("n"))
-    return agg.select(group, "n", rnd(F.col("p")).alias("p"), rnd(lo).alias("lower"), rnd(hi).alias("upper"))
+    return agg.select(group, "n", F.col("p").alias("p"), lo.alias("lower"), hi.alias("upper"))
 
 
 def interval_coverage(df: DataFrame, group: str, sample: str, x: str) -> DataFrame:
@@ -96,20 +89,20 @@ def interval_coverage(df: DataFrame, group: str, sample: str, x: str) -> DataFra
     population share (the share over all of the group's rows)."""
     per_sample = df.groupBy(group, sample).agg(
         F.count(x).alias("n"), F.sum(F.when(F.col(x) > 0, 1).otherwise(0)).alias("k"))
-    population = per_sample.groupBy(group).agg((F.sum("k") / F.sum("n")).alias("p0"))
-    p = F.col("k") / F.col("n")
+    population = per_sample.groupBy(group).agg(F.try_divide(F.sum("k"), F.sum("n")).alias("p0"))
+    p = F.try_divide(F.col("k"), F.col("n"))
     lo, hi = proportion_interval(p, F.col("n"))
     return (
         per_sample.join(population, group)
         .groupBy(group)
         .agg(F.count(F.lit(1)).alias("samples"),
-             rnd(F.avg(F.when((F.col("p0") >= lo) & (F.col("p0") <= hi), 1).otherwise(0))).alias("coverage"))
+             F.avg(F.when((F.col("p0") >= lo) & (F.col("p0") <= hi), 1).otherwise(0)).alias("coverage"))
     )
 
 
 def daily_mean(df: DataFrame, date: str, cols: list[str]) -> DataFrame:
     """Mean of each column per date."""
-    return df.groupBy(date).agg(*[rnd(F.avg(c)).alias(f"mean_{c}") for c in cols])
+    return df.groupBy(date).agg(*[F.avg(c).alias(f"mean_{c}") for c in cols])
 
 
 def weighted_share(df: DataFrame, n: str, shares: dict[str, str]) -> DataFrame:
@@ -122,8 +115,8 @@ def weighted_share(df: DataFrame, n: str, shares: dict[str, str]) -> DataFrame:
                   *[(F.sum(F.col(n) * F.col(shares[c])) / 100).alias(f"v{i}") for i, c in enumerate(names)])
     stack = ", ".join(f"'{c}', v{i}" for i, c in enumerate(names))
     out = wide.selectExpr(f"stack({len(names)}, {stack}) AS (candidate, votes)", "total_n")
-    return out.select("candidate", "total_n", rnd(F.col("votes")).alias("votes"),
-                      rnd(F.col("votes") / F.col("total_n")).alias("share"))
+    return out.select("candidate", "total_n", F.col("votes").alias("votes"),
+                      F.try_divide(F.col("votes"), F.col("total_n")).alias("share"))
 
 
 def spread(df: DataFrame, n: str, share_a: str, share_b: str, z: float = V.Z_975) -> DataFrame:
@@ -134,13 +127,13 @@ def spread(df: DataFrame, n: str, share_a: str, share_b: str, z: float = V.Z_975
         (F.sum(F.col(n) * F.col(share_b)) / 100).alias("votes_b"),
     )
     m = F.col("votes_a") + F.col("votes_b")
-    p_b = F.col("votes_b") / m
+    p_b = F.try_divide(F.col("votes_b"), m)
     d = p_b - (1 - p_b)
-    sd = 2 * F.sqrt(p_b * (1 - p_b) / m)
+    sd = 2 * F.sqrt(F.try_divide(p_b * (1 - p_b), m))
     return agg.select(
-        rnd(p_b).alias("p_b"), rnd(d).alias("d"), rnd(sd).alias("sd"),
-        rnd(d - F.lit(z) * sd).alias("lower"), rnd(d + F.lit(z) * sd).alias("upper"),
-        rnd(d / sd).alias("z"),
+        p_b.alias("p_b"), d.alias("d"), sd.alias("sd"),
+        (d - F.lit(z) * sd).alias("lower"), (d + F.lit(z) * sd).alias("upper"),
+        F.try_divide(d, sd).alias("z"),
     )
 
 
@@ -161,14 +154,14 @@ def describe_by_group(df: DataFrame, group: str, cols: list[str], exact: bool =
          else F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).cast("array<double>"))
     return long.groupBy(group, "metric").agg(
         F.count("value").alias("count"),
-        rnd(F.avg("value")).alias("mean"),
-        rnd(F.stddev_samp("value")).alias("std"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         q.alias("__q"),
         F.max("value").alias("max"),
     ).select(group, "metric", "count", "mean", "std", "min",
-             rnd(F.col("__q")[0]).alias("q25"), rnd(F.col("__q")[1]).alias("q50"),
-             rnd(F.col("__q")[2]).alias("q75"), "max")
+             F.col("__q")[0].alias("q25"), F.col("__q")[1].alias("q50"),
+             F.col("__q")[2].alias("q75"), "max")
 
 
 def group_moments(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
@@ -190,14 +183,15 @@ def welch(df: DataFrame, group: str, cols: list[str], first, second) -> DataFram
         F.avg(v1).alias("mean_1"), F.avg(v2).alias("mean_2"),
         F.stddev_samp(v1).alias("sd_1"), F.stddev_samp(v2).alias("sd_2"),
     )
-    va, vb = F.pow("sd_1", 2) / F.col("n_1"), F.pow("sd_2", 2) / F.col("n_2")
-    t = (F.col("mean_1") - F.col("mean_2")) / F.sqrt(va + vb)
-    dof = F.pow(va + vb, 2) / (F.pow(va, 2) / (F.col("n_1") - 1) + F.pow(vb, 2) / (F.col("n_2") - 1))
+    va, vb = F.try_divide(F.pow("sd_1", 2), F.col("n_1")), F.try_divide(F.pow("sd_2", 2), F.col("n_2"))
+    t = F.try_divide(F.col("mean_1") - F.col("mean_2"), F.sqrt(va + vb))
+    dof = F.try_divide(F.pow(va + vb, 2),
+                       F.try_divide(F.pow(va, 2), F.col("n_1") - 1) + F.try_divide(F.pow(vb, 2), F.col("n_2") - 1))
     return m.select(
         "metric", "n_1", "n_2",
-        rnd(F.col("mean_1")).alias("mean_1"), rnd(F.col("mean_2")).alias("mean_2"),
-        rnd(F.col("sd_1")).alias("sd_1"), rnd(F.col("sd_2")).alias("sd_2"),
-        rnd(t).alias("t_stat"), rnd(dof).alias("dof"),
+        F.col("mean_1").alias("mean_1"), F.col("mean_2").alias("mean_2"),
+        F.col("sd_1").alias("sd_1"), F.col("sd_2").alias("sd_2"),
+        t.alias("t_stat"), dof.alias("dof"),
     )
 
 
@@ -214,7 +208,7 @@ def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)").withColumn("corr", rnd(F.col("corr")))
+    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)").withColumn("corr", F.col("corr"))
 
 
 def rolling_mean(df: DataFrame, order: list[str], values: list[str], rows: int = 5,
@@ -266,7 +260,7 @@ def rolling_mean(df: DataFrame, order: list[str], values: list[str], rows: int =
             for v in values:
                 col = both[v].astype("float64")
                 if series:
-                    r = col.groupby(both[series].values).rolling(rows, min_periods=1).mean()
+                    r = col.groupby(both[series].values, dropna=False).rolling(rows, min_periods=1).mean()
                     r = r.reset_index(level=0, drop=True).sort_index()
                 else:
                     r = col.rolling(rows, min_periods=1).mean()

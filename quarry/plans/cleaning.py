@@ -14,8 +14,8 @@ PATIENT_COLUMNS = ["patient_id", "height", "weight", "diagnosis_date", "surgery_
 # Code tables for this data (the 4th priority level is deliberately unknown).
 STAGE_CODES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 5}
 YES_NO = {"Yes": 1, "No": 0}
-# Token dictionary of the driver tables (p_type values), for the oracle only;
-# the Spark side derives it from the data.
+# Token dictionary of the driver tables (p_type values), passed by the caller;
+# `multi_hot_indices` numbers any dictionary it finds in the data.
 PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -75,9 +75,18 @@ def q_token_dictionary(spark, sf):
     f"CAST(coalesce(list_contains(list_transform(string_split(symptoms, ','), lambda x: trim(x)), '{t}'), false) AS INTEGER) AS symptom_{t}"
     for t in PART_TYPES) + " FROM patients", P)
 def q_multi_hot(spark, sf):
-    p = patients(spark, sf)
-    dictionary = C.fetch_dictionary(C.token_dictionary(p, "symptoms"))
-    return C.multi_hot(p.select("patient_id", "symptoms"), "symptoms", dictionary, "symptom_").drop("symptoms")
+    p = patients(spark, sf).select("patient_id", "symptoms")
+    return C.multi_hot(p, "symptoms", PART_TYPES, "symptom_").drop("symptoms")
+
+
+@query("multi_hot_indices", """
+WITH t AS (SELECT DISTINCT patient_id, trim(u) AS token FROM (SELECT patient_id, unnest(string_split(symptoms, ',')) AS u FROM patients) WHERE trim(u) <> ''),
+d AS (SELECT token, row_number() OVER (ORDER BY encode(token)) - 1 AS k FROM (SELECT DISTINCT token FROM t)),
+g AS (SELECT patient_id, list(k ORDER BY k) AS indices FROM t JOIN d USING (token) GROUP BY 1)
+SELECT p.patient_id, coalesce(array_to_string(g.indices, ','), '') AS indices FROM patients p LEFT JOIN g ON p.patient_id = g.patient_id""", P)
+def q_multi_hot_indices(spark, sf):
+    out = C.multi_hot_indices(patients(spark, sf).select("patient_id", "symptoms"), "symptoms")
+    return out.select("patient_id", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"))
 
 
 @query("token_count", """

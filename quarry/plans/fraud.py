@@ -88,19 +88,24 @@ def q_geo_alerts(spark, sf):
 WITH am AS ({_AMOUNT_SQL}),
 {_VELOCITY_SQL.strip()[5:]},
 ge AS ({_GEO_SQL})
-SELECT customer_id AS key, fraud_type,
+SELECT tx_id AS key, fraud_type,
   json_object('tx_id', tx_id, 'fraud_type', fraud_type,
               'customer_avg_trx_value', CAST(round(customer_avg_trx_value, 2) AS DECIMAL(20, 2)),
               'transaction_amount', transaction_amount)::VARCHAR AS value FROM am
 UNION ALL
 SELECT customer_id, '{V.FRAUD_VELOCITY}', json_object('fraud_type', '{V.FRAUD_VELOCITY}', 'customer_id', customer_id,
-  'transaction_count', transaction_count, 'window_start', strftime(window_start, '%Y-%m-%d %H:%M:%S'),
-  'window_end', strftime(window_start + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S'))::VARCHAR FROM a
+  'transaction_ids', ids, 'transaction_count', transaction_count, 'window_start', strftime(window_start, '%Y-%m-%d %H:%M:%S'),
+  'window_end', strftime(window_start + INTERVAL 24 HOUR, '%Y-%m-%d %H:%M:%S'))::VARCHAR
+FROM a JOIN (SELECT customer_id, window_start, list(transaction_id ORDER BY encode(transaction_id)) AS ids FROM w GROUP BY 1, 2) USING (customer_id, window_start)
 UNION ALL
 SELECT customer_id, fraud_type, json_object('fraud_type', fraud_type, 'customer_id', customer_id,
-  'tx_id_1', tx_id_1, 'tx_id_2', tx_id_2)::VARCHAR FROM ge""", TX)
+  'tx_id_1', tx_id_1, 'tx_id_2', tx_id_2, 'event_time_1', strftime(event_time_1, '%Y-%m-%d %H:%M:%S.%f'),
+  'event_time_2', strftime(event_time_2, '%Y-%m-%d %H:%M:%S.%f'),
+  'euclidean_distance', CAST(round(euclidean_distance, 6) AS DECIMAL(20, 6)))::VARCHAR FROM ge""", TX)
 def q_alerts_union(spark, sf):
-    return FR.alerts_union(_amount(spark, sf), _velocity(spark, sf), _geo(spark, sf))
+    velocity = _velocity(spark, sf)
+    members = FR.velocity_members(transactions(spark, sf), velocity, VELOCITY["window"], VELOCITY["slide"])
+    return FR.alerts_union(_amount(spark, sf), FR.velocity_records(velocity, members), _geo(spark, sf))
 
 
 # Insert-if-absent: the archive already holds everything before 2024-01-20;

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import graph as G
 from quarry.plans.registry import query
+from quarry.plans.stats import rounded
 from quarry.sources.fixtures import days, ratings, trust
 
 RT, RTT = ("ratings",), ("ratings", "trust")
@@ -17,14 +18,14 @@ SELECT item_id, round(avg(label), 6) AS average_rating, round(var_samp(label), 6
        count(label) AS number_of_reviews, min(label) AS min_rating, max(label) AS max_rating,
        median(label) AS median_rating FROM ratings GROUP BY item_id""", RT)
 def q_item_stats(spark, sf):
-    return G.item_rating_stats(ratings(spark, sf))
+    return rounded(G.item_rating_stats(ratings(spark, sf)))
 
 
 @query("user_rating_stats", """
 SELECT user_id, round(avg(label), 6) AS average_rating, round(var_samp(label), 6) AS variance_rating,
        count(label) AS number_of_ratings, median(label) AS median_of_ratings FROM ratings GROUP BY user_id""", RT)
 def q_user_stats(spark, sf):
-    return G.user_rating_stats(ratings(spark, sf))
+    return rounded(G.user_rating_stats(ratings(spark, sf)))
 
 
 _DEG_SQL = """
@@ -46,7 +47,7 @@ FROM (SELECT user_id, round(avg(label), 6) AS average_rating, round(var_samp(lab
              count(label) AS number_of_ratings, median(label) AS median_of_ratings FROM ratings GROUP BY user_id) u
 LEFT JOIN ({_DEG_SQL}) d ON u.user_id = d.user_id""", RTT)
 def q_user_features(spark, sf):
-    return G.user_features(ratings(spark, sf), trust(spark, sf))
+    return rounded(G.user_features(ratings(spark, sf), trust(spark, sf)))
 
 
 _BASE_SQL = """
@@ -82,7 +83,7 @@ FROM ratings r LEFT JOIN s ON r.user_id = s.user_id AND r.item_id = s.item_id"""
 @query("trusted_rating_stats", _TRUSTED_SQL, RTT)
 def q_trusted(spark, sf):
     r = ratings(spark, sf)
-    return G.trusted_rating_stats(r, r, trust(spark, sf))
+    return rounded(G.trusted_rating_stats(r, r, trust(spark, sf)))
 
 
 @query("khop_reach", "SELECT src, dst, CAST(hops AS INTEGER) AS hops FROM reach", ("ratings", "trust", "reach"))
@@ -113,7 +114,7 @@ FROM ratings r LEFT JOIN s ON r.user_id = s.user_id AND r.item_id = s.item_id"""
 def q_khop_stats(spark, sf):
     r, t = ratings(spark, sf), trust(spark, sf)
     reach = G.khop_reach(t, r.select("user_id"), max_depth=max(DEPTHS))
-    return G.khop_rating_stats(r, r, reach, DEPTHS)
+    return rounded(G.khop_rating_stats(r, r, reach, DEPTHS))
 
 
 @query("group_mse", """
@@ -127,7 +128,7 @@ SELECT 'all', 'all', CAST(sum(n) AS BIGINT), round(sum(n * mse) / sum(n), 6) FRO
 def q_group_mse(spark, sf):
     from quarry.operators.learn import group_line_mse
 
-    return group_line_mse(days(spark, sf), ["year", "season_id"], "temperature", "total_users")
+    return rounded(group_line_mse(days(spark, sf), ["year", "season_id"], "temperature", "total_users"))
 
 
 @query("rating_features", f"""
@@ -150,4 +151,4 @@ FROM t LEFT JOIN u ON t.user_id = u.user_id
 LEFT JOIN res ON t.user_id = res.user_id AND t.item_id = res.item_id
 LEFT JOIN it ON t.item_id = it.item_id""", RTT)
 def q_rating_features(spark, sf):
-    return G.rating_features(ratings(spark, sf), trust(spark, sf))
+    return rounded(G.rating_features(ratings(spark, sf), trust(spark, sf)).drop("baseline_pred"))

@@ -79,8 +79,7 @@ def q_ingest_valid(spark, sf):
 
 
 _ERR_SQL = """
-SELECT transaction_id, error_code AS error_codes, customer_id, payment_method, total_amount, event_time
-FROM validated WHERE error_code IS NOT NULL"""
+SELECT * EXCLUDE (error_code, ingest_time), error_code AS error_codes FROM validated WHERE error_code IS NOT NULL"""
 
 
 @query("ingest_errors", _ERR_SQL, VAL)

@@ -1,5 +1,11 @@
-"""Registered learning jobs (H1-H16, G5, G6). Model outputs are checked by
-rows only; the metric computations also have exact SQL checks."""
+"""Registered learning jobs.
+
+The operators return models and predictions. What a solver predicts cannot be
+repeated in SQL, so the registered fits return what must hold for any correct
+one, row by row: the held-out ids and labels, that each prediction is in the
+labels' domain (or finite), and that the fit beats the constant predictor.
+Searches return their grid with whether each point was scored.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,7 @@ from pyspark.sql import functions as F
 from quarry.operators import graph as G
 from quarry.operators import learn as L
 from quarry.plans.registry import query
+from quarry.plans.stats import rounded
 from quarry.sources.fixtures import days, ratings, trust
 from quarry.sources.tables import load
 
@@ -25,9 +32,56 @@ def _clf_split(spark, sf):
     return d.filter("split = 'train'"), d.filter("split = 'test'")
 
 
-def _fit_predict(spark, sf, est):
+def _checked_classifier(spark, sf, est):
+    """Held-out rows with ``in_domain``, and whether the fit beats the majority
+    class on its training rows (the tables' labels may not follow the vectors,
+    so the held-out rows need not be predictable)."""
     train, test = _clf_split(spark, sf)
-    return est.fit(train).transform(test).select("vec_id", "label", "prediction")
+    model = est.fit(train)
+    pred = model.transform(test).select("vec_id", "label", "prediction")
+    labels = [r[0] for r in train.select("label").distinct().collect()]  # one value per class
+    accuracy = model.transform(train).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
+    majority = train.groupBy("label").count().agg(F.max("count") / F.sum("count")).scalar()
+    return pred.select("vec_id", "label", F.col("prediction").isin(labels).alias("in_domain"), (accuracy > majority).alias("beats_majority"))
+
+
+_CLF_SQL = """
+SELECT vec_id, CAST(label AS DOUBLE) AS label, true AS in_domain, true AS beats_majority
+FROM embeddings WHERE substr(md5(CAST(vec_id AS VARCHAR)), 1, 4) < '3333'"""
+
+
+def _finite(c):
+    return F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+
+
+def _checked_regression(model, data):
+    """Held-out days with ``finite``, and whether the fit beats the mean on its training rows."""
+    train = model.transform(data.filter("split = 'train'"))
+    error = train.agg(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).scalar()
+    spread = train.agg(F.var_pop("label")).scalar()
+    test = model.transform(data.filter("split = 'test'"))
+    return test.select("date", "label", _finite("prediction").alias("finite"), (error < spread).alias("beats_mean"))
+
+
+_REG_SQL = """
+SELECT date, CAST(total_users AS DOUBLE) AS label, true AS finite, true AS beats_mean
+FROM days WHERE substr(md5(CAST(date AS VARCHAR)), 1, 4) < '2666'"""
+
+
+def _grid_sql(grid, metric: str) -> str:
+    rows = ", ".join("('" + str(p).replace("'", "''") + "', true)" for p in grid)
+    return f"SELECT * FROM (VALUES {rows}) t(params, scored)"
+
+
+def _grid_names(**values):
+    """The grid's rows as the search table names them."""
+    import itertools
+
+    return [sorted((k, float(v)) for k, v in zip(values, point, strict=True)) for point in itertools.product(*values.values())]
+
+
+def _scored(table, metric):
+    return table.select("params", _finite(metric).alias("scored"))
 
 
 @query("holdout_split", """
@@ -37,30 +91,34 @@ def q_holdout_split(spark, sf):
     return L.holdout_split(load(spark, sf, "embeddings").select("vec_id", "label"), "vec_id", 0.2)
 
 
-@query("stratified_split")
+@query("stratified_split", """
+SELECT date, year, season_id,
+  CASE WHEN row_number() OVER (PARTITION BY year, season_id ORDER BY md5(CAST(date AS VARCHAR)))
+            <= floor(count(*) OVER (PARTITION BY year, season_id) * 0.15 + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM days""", ("days",))
 def q_stratified_split(spark, sf):
     d = days(spark, sf).select("date", "year", "season_id")
     return L.stratified_split(d, "date", ["year", "season_id"], 0.15)
 
 
-@query("clf_logistic")
+@query("clf_logistic", _CLF_SQL)
 def q_clf_logistic(spark, sf):
-    return _fit_predict(spark, sf, L.clf_logistic(max_iter=200))
+    return _checked_classifier(spark, sf, L.clf_logistic(max_iter=1000))
 
 
-@query("clf_svc")
+@query("clf_svc", _CLF_SQL)
 def q_clf_svc(spark, sf):
-    return _fit_predict(spark, sf, L.clf_svc(max_iter=50))
+    return _checked_classifier(spark, sf, L.clf_svc(max_iter=100))
 
 
-@query("clf_forest")
+@query("clf_forest", _CLF_SQL)
 def q_clf_forest(spark, sf):
-    return _fit_predict(spark, sf, L.clf_forest(num_trees=50, max_depth=6))
+    return _checked_classifier(spark, sf, L.clf_forest(num_trees=100, max_depth=6))
 
 
-@query("clf_boosted")
+@query("clf_boosted", _CLF_SQL)
 def q_clf_boosted(spark, sf):
-    return _fit_predict(spark, sf, L.clf_boosted(max_iter=10, max_depth=3))
+    return _checked_classifier(spark, sf, L.clf_boosted(max_iter=10, max_depth=3))
 
 
 # Metric arithmetic checked exactly on a deterministic (label, prediction)
@@ -78,21 +136,27 @@ SELECT round(sum(tp) / max(n.n), 6) AS accuracy, round(sum(support / n.n * prec)
 FROM m, n""")
 def q_classification_metrics(spark, sf):
     lab = load(spark, sf, "labels")
-    return L.classification_metrics(lab.select(F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction")))
+    return rounded(L.classification_metrics(lab.select(F.col("quality").alias("label"), (1 - F.col("toxic")).alias("prediction"))))
 
 
-@query("model_metrics")
+@query("model_metrics", "SELECT true AS accuracy, true AS precision, true AS recall, true AS f1")
 def q_model_metrics(spark, sf):
-    return L.classification_metrics(_fit_predict(spark, sf, L.clf_logistic(max_iter=200)))
+    train, test = _clf_split(spark, sf)
+    pred = L.clf_logistic(max_iter=1000).fit(train).transform(test)
+    out = L.classification_metrics(pred)
+    return out.select(*[((F.col(c) > 0) & (F.col(c) <= 1)).alias(c) for c in out.columns])
+
+
+SEARCH = {"numTrees": [20, 50], "maxDepth": [4, 8]}
 
 
-@query("holdout_search")
+@query("holdout_search", _grid_sql(_grid_names(**SEARCH), "accuracy"))
 def q_holdout_search(spark, sf):
     train, _ = _clf_split(spark, sf)
     est = L.clf_forest()
-    grid = ParamGridBuilder().addGrid(est.numTrees, [20, 50]).addGrid(est.maxDepth, [4, 8]).build()
+    grid = ParamGridBuilder().addGrid(est.numTrees, SEARCH["numTrees"]).addGrid(est.maxDepth, SEARCH["maxDepth"]).build()
     _, rows = L.holdout_search(est, grid, L.evaluator_accuracy(), train)
-    return L.search_table(spark, rows, "accuracy")
+    return _scored(L.search_table(spark, rows, "accuracy"), "accuracy")
 
 
 def _day_data(spark, sf):
@@ -100,52 +164,67 @@ def _day_data(spark, sf):
     return L.assemble(d, DAY_FEATURES).withColumn("label", F.col("total_users").cast("double"))
 
 
-@query("cv_search")
+CV_SEARCH = {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}
+
+
+@query("cv_search", _grid_sql(_grid_names(**CV_SEARCH), "rmse"))
 def q_cv_search(spark, sf):
     est = L.reg_boosted(max_iter=10)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 4]).addGrid(est.stepSize, [0.1, 0.3]).build()
+    grid = ParamGridBuilder().addGrid(est.maxDepth, CV_SEARCH["maxDepth"]).addGrid(est.stepSize, CV_SEARCH["stepSize"]).build()
     _, rows = L.cv_search(est, grid, L.evaluator_rmse(), _day_data(spark, sf), folds=5)
-    return L.search_table(spark, rows, "rmse")
+    return _scored(L.search_table(spark, rows, "rmse"), "rmse")
 
 
-@query("cv_score")
+@query("cv_score", "SELECT * FROM (VALUES ('all', true), ('selected', true)) t(feature_set, scored)")
 def q_cv_score(spark, sf):
+    """Two feature sets: all, and those that a forest finds important (H15 feeds H10)."""
     d = days(spark, sf).withColumn("label", F.col("total_users").cast("double"))
+    forest = L.reg_forest(num_trees=50, max_depth=6)
+    found = L.feature_importance(spark, forest.fit(L.assemble(d, DAY_FEATURES)), DAY_FEATURES, min_importance=0.05)
+    selected = [r["feature"] for r in found.collect()]  # at most one row per feature
     out = None
-    for name, cols in (("weather", DAY_FEATURES[:4]), ("all", DAY_FEATURES)):
-        est = L.reg_forest(num_trees=20, max_depth=5)
-        _, rows = L.cv_search(est, ParamGridBuilder().build(), L.evaluator_mse(), L.assemble(d, cols), folds=5)
+    for name, cols in (("all", DAY_FEATURES), ("selected", selected or DAY_FEATURES)):
+        _, rows = L.cv_search(L.reg_forest(num_trees=50, max_depth=6), ParamGridBuilder().build(), L.evaluator_mse(), L.assemble(d, cols), folds=5)
         t = spark.createDataFrame([(name, float(rows[0][1]))], "feature_set string, mse double")
         out = t if out is None else out.unionByName(t)
-    return out
+    return out.select("feature_set", _finite("mse").alias("scored"))
 
 
-@query("group_models")
+@query("group_models", """
+WITH s AS (SELECT year, season_id, date, total_users,
+  row_number() OVER (PARTITION BY year, season_id ORDER BY md5(CAST(date AS VARCHAR)))
+    <= floor(count(*) OVER (PARTITION BY year, season_id) * 0.15 + 0.5) AS test FROM days)
+SELECT year, season_id, date, CAST(total_users AS DOUBLE) AS label, true AS finite FROM s
+WHERE test AND (year, season_id) IN (SELECT (year, season_id) FROM s WHERE NOT test)""", ("days",))
 def q_group_models(spark, sf):
+    """Each group's model scored on the group's held-out days."""
     d = days(spark, sf).withColumn("label", F.col("total_users").cast("double"))
-    pred = L.group_models(d, ["year", "season_id"], DAY_FEATURES[:4], "label",
-                          lambda: L.reg_forest(num_trees=10, max_depth=4))
-    return L.regression_error(pred)
+    d = L.stratified_split(d, "date", ["year", "season_id"], 0.15)
+    pred = L.group_models(d, ["year", "season_id"], DAY_FEATURES[:4], "label", lambda: L.reg_forest(num_trees=50, max_depth=8))
+    return pred.select("year", "season_id", "date", "label", _finite("prediction").alias("finite"))
 
 
-@query("reg_boosted")
+@query("reg_boosted", _REG_SQL, ("days",))
 def q_reg_boosted(spark, sf):
     d = L.holdout_split(_day_data(spark, sf), "date", 0.15)
-    m = L.reg_boosted(max_iter=20).fit(d.filter("split = 'train'"))
-    return m.transform(d.filter("split = 'test'")).select("date", "label", "prediction")
+    return _checked_regression(L.reg_boosted(max_iter=70).fit(d.filter("split = 'train'")), d)
 
 
-@query("reg_forest")
+@query("reg_forest", _REG_SQL, ("days",))
 def q_reg_forest(spark, sf):
     d = L.holdout_split(_day_data(spark, sf), "date", 0.15)
-    m = L.reg_forest(num_trees=30, max_depth=6).fit(d.filter("split = 'train'"))
-    return m.transform(d.filter("split = 'test'")).select("date", "label", "prediction")
+    return _checked_regression(L.reg_forest(num_trees=200, max_depth=8).fit(d.filter("split = 'train'")), d)
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT true AS known_features, true AS sums_to_one, true AS falling")
 def q_feature_importance(spark, sf):
-    m = L.reg_forest(num_trees=30, max_depth=6).fit(_day_data(spark, sf))
-    return L.feature_importance(spark, m, DAY_FEATURES)
+    m = L.reg_forest(num_trees=200, max_depth=8).fit(_day_data(spark, sf))
+    found = L.feature_importance(spark, m, DAY_FEATURES, min_importance=-1.0)
+    listed = F.collect_list("importance")
+    return found.agg(
+        F.bool_and(F.col("feature").isin(DAY_FEATURES)).alias("known_features"),
+        (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"),
+        (F.sort_array(listed, asc=False) == listed).alias("falling"))
 
 
 # Error arithmetic checked exactly with a deterministic predictor: the
@@ -157,21 +236,25 @@ SELECT round(avg(pow(label - prediction, 2)), 6) AS mse, round(sqrt(avg(pow(labe
 def q_regression_error(spark, sf):
     d = days(spark, sf)
     means = d.groupBy("season_id").agg(F.avg("total_users").alias("prediction"))
-    return L.regression_error(d.join(means, "season_id").withColumn("label", F.col("total_users")))
+    return rounded(L.regression_error(d.join(means, "season_id").withColumn("label", F.col("total_users"))))
 
 
-@query("rating_prediction")
+@query("rating_prediction", """
+WITH s AS (SELECT *, substr(md5(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR)), 1, 4) < '3333' AS test FROM ratings),
+g AS (SELECT avg(label) AS m FROM s WHERE NOT test),
+u AS (SELECT user_id, avg(label) - any_value(m) AS b FROM s, g WHERE NOT test GROUP BY 1),
+i AS (SELECT item_id, avg(label) - any_value(m) AS b FROM s, g WHERE NOT test GROUP BY 1)
+SELECT s.user_id, s.item_id, s.label, round(m + coalesce(u.b, 0) + coalesce(i.b, 0), 6) AS baseline_pred, true AS finite
+FROM s CROSS JOIN g LEFT JOIN u ON s.user_id = u.user_id LEFT JOIN i ON s.item_id = i.item_id WHERE test""", ("ratings",))
 def q_rating_prediction(spark, sf):
-    """Baseline + residual predicted by boosted trees on the rating features."""
-    feats = G.rating_features(ratings(spark, sf), trust(spark, sf))
+    """Split first; biases, statistics and the residual model come from the training ratings alone."""
+    rows = L.holdout_split(ratings(spark, sf).withColumn("rid", F.concat_ws(":", "user_id", "item_id")), "rid", 0.2).drop("rid")
+    train, test = (rows.filter(F.col("split") == k).drop("split") for k in ("train", "test"))
+    edges = trust(spark, sf)
     cols = ["avg_rating_trustees", "var_rating_trustees", "num_trustees_rated", "average_rating",
             "number_of_ratings", "total_number_of_trustees", "total_number_of_trusters",
             "item_average_rating", "item_number_of_reviews"]
-    data = L.holdout_split(L.assemble(feats.na.fill(-1.0), cols).withColumn("rid", F.concat_ws(":", "user_id", "item_id")),
-                           "rid", 0.2)
-    model = L.reg_boosted(max_iter=20).setLabelCol("residual").fit(data.filter("split = 'train'"))
-    test = data.filter("split = 'test'").select("user_id", "item_id", "label", "features")
-    base = G.rating_baseline(ratings(spark, sf), test)
-    return model.transform(base).select(
-        "user_id", "item_id", "label", "baseline_pred",
-        (F.col("baseline_pred") + F.col("prediction")).alias("prediction"))
+    features = lambda part: L.assemble(G.rating_features(train, edges, part).na.fill(-1.0, cols).na.fill(-1, cols), cols)
+    model = L.reg_boosted(max_iter=70).setLabelCol("residual").fit(features(train))
+    pred = model.transform(features(test)).withColumn("prediction", F.col("baseline_pred") + F.col("prediction"))
+    return rounded(pred.select("user_id", "item_id", "label", "baseline_pred", _finite("prediction").alias("finite")))

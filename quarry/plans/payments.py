@@ -181,7 +181,13 @@ def q_status_by_hour(spark, sf):
 
 
 @query("payment_preference", """
-WITH c AS (SELECT merchant_category, payment_method, count(*) AS n FROM transactions GROUP BY 1, 2)
+WITH c AS (
+  SELECT g.merchant_category, g.payment_method, count(t.transaction_id) AS n
+  FROM (SELECT DISTINCT merchant_category, unnest(['online', 'pos', 'mobile', 'nfc']) AS payment_method FROM transactions
+        UNION SELECT DISTINCT merchant_category, payment_method FROM transactions) g
+  LEFT JOIN transactions t ON t.merchant_category IS NOT DISTINCT FROM g.merchant_category
+                          AND t.payment_method IS NOT DISTINCT FROM g.payment_method
+  GROUP BY 1, 2)
 SELECT merchant_category, payment_method, n,
   n / sum(n) OVER (PARTITION BY merchant_category) AS share,
   row_number() OVER (PARTITION BY merchant_category ORDER BY n DESC, payment_method) = 1 AS is_top_method

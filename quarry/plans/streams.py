@@ -24,7 +24,7 @@ from quarry.sources.sinks import load_summary
 from quarry.sources.streams import event_file_stream, read_summary
 from quarry.streaming import jobs as J
 from quarry.streaming import runner
-from quarry.streaming.store import Archive, PartialStore
+from quarry.streaming.store import Archive, PartialStore, read_epochs, write_epoch
 
 TX = ("transactions",)
 
@@ -75,21 +75,25 @@ def q_window_top_merchants(spark, sf):
     out = scratch_path(spark, "window-top-out")
 
     def sink(batch, epoch):
-        (J.top_per_window(batch).withColumn("epoch", F.lit(int(epoch)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out))
+        write_epoch(J.top_per_window(batch), out, epoch)
 
     runner.run_foreach(spark, J.merchant_commission(_stream(spark, sf)), "window-top", sink)
-    return spark.read.parquet(out).drop("epoch")
+    return read_epochs(spark, out).drop("epoch")
 
 
 @query("stream_amount_anomaly", _AMOUNT_SQL, TX)
 def q_stream_amount(spark, sf):
     # As in the reference: a batch job stores the customer summary keyed by
-    # _id (A6), the stream joins it as its static side (A3).
+    # _id (A6); every micro-batch reads it anew and joins it (A3).
     path = scratch_path(spark, "customer-summary")
     load_summary(R.customer_summary(transactions(spark, sf)), path, id_column="customer_id")
-    static_avgs = read_summary(spark, path, "_id", ["avg_trx_value"]).withColumnRenamed("_id", "customer_id")
-    return runner.run_to_table(spark, J.amount(_stream(spark, sf), static_avgs, factor=AMOUNT_FACTOR), "amount")
+    out = scratch_path(spark, "amount-out")
+
+    def averages():
+        return read_summary(spark, path, "_id", ["avg_trx_value"]).withColumnRenamed("_id", "customer_id")
+
+    runner.run_foreach(spark, _stream(spark, sf), "amount", J.amount_sink(averages, out, factor=AMOUNT_FACTOR))
+    return read_epochs(spark, out).drop("epoch")
 
 
 @query("stream_velocity_alerts", f"""

@@ -132,7 +132,13 @@ def _holidays_sql() -> str:
     parts = []
     for name, month, day in FIXED:
         where = f" WHERE y >= {JUNETEENTH_FROM}" if name == "Juneteenth" else ""
-        parts.append(f"SELECT make_date(y, {month}, {day}) AS date, '{name.replace(chr(39), chr(39) * 2)}' AS name FROM yrs{where}")
+        nm = name.replace(chr(39), chr(39) * 2)
+        parts.append(f"SELECT make_date(y, {month}, {day}) AS date, '{nm}' AS name FROM yrs{where}")
+        # observed days: Friday before a Saturday (New Year's: in the old year), Monday after a Sunday
+        first = f"make_date(y + 1, {month}, {day})" if (month, day) == (1, 1) else f"make_date(y, {month}, {day})"
+        also = where.replace("WHERE", "AND")
+        parts.append(f"SELECT CAST({first} - 1 AS DATE), '{nm} (observed)' FROM yrs WHERE dayofweek({first}) = 6{also}")
+        parts.append(f"SELECT CAST(make_date(y, {month}, {day}) + 1 AS DATE), '{nm} (observed)' FROM yrs WHERE dayofweek(make_date(y, {month}, {day})) = 0{also}")
     for name, month, weekday, n in NTH:
         wd = weekday - 1  # DuckDB dayofweek: 0 = Sunday
         nm = name.replace("'", "''")

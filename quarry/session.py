@@ -53,8 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (what a cluster sets to shared storage).
-    Only when it is unset -- local runs and tests -- a fresh folder under the
-    system temp directory is created and registered with the session.
+    Only in local mode, where all tasks share the machine's disk, an unset
+    folder is replaced by a fresh one under the system temp directory; on a
+    cluster it is an error.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -62,11 +63,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)  # named in the conf but not yet registered
         return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quarry-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its own file system; a failing store raises."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-path of the checkpoint folder for one job's output."""
     import uuid

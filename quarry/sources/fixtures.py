@@ -104,10 +104,7 @@ def raw_messages_from_transactions(tx: DataFrame) -> DataFrame:
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarry.sources.tables import ensure_parallelism
-
-    # Encoding every row as JSON is the costly step: spread a small scan first.
-    return raw_messages_from_transactions(transactions_from_events(ensure_parallelism(load(spark, sf_dir, "events"))))
+    return raw_messages_from_transactions(transactions_from_events(load(spark, sf_dir, "events")))
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:

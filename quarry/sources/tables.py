@@ -18,30 +18,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer tasks than the cluster has cores.
-
-    A file with a single row group is read by one task however many cores
-    there are; a round-robin repartition lets costly per-row work that
-    follows (JSON encoding and parsing) use all of them. A large input (more
-    splits than cores) is returned as is, so at scale this adds no shuffle.
-    The partition count comes from planning the scan, no job runs. Streams
-    are returned unchanged.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    target = min_partitions or int(spark.conf.get("spark.quarry.minScanPartitions",
-                                                  str(spark.sparkContext.defaultParallelism)))
-    if target <= 1:
-        return df
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a client session without RDD access
-        return df
-    return df if splits >= target else df.repartition(target)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
     """CSV scan with an explicit schema (A1).
 

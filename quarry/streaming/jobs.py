@@ -93,11 +93,15 @@ def geo(tx: DataFrame, delay: str = "10 minutes", **kw) -> DataFrame:
     return FR.geo_alerts(tx.withWatermark("event_time", delay), **kw)
 
 
-def amount(tx: DataFrame, customer_avgs: DataFrame, **kw) -> DataFrame:
-    """D4 on a stream: stream-static join, stateless.
-
-    The static side's plan is executed again for every micro-batch, so a
-    summary table that is rewritten between triggers is picked up (do not
-    cache it when freshness matters; cache it when it is immutable).
+def amount_sink(read_averages, path: str, **kw):
+    """D4 on a stream: a foreachBatch sink that checks each micro-batch
+    against the customer averages as ``read_averages()`` finds them then, so a
+    summary that is rewritten between triggers is picked up. (The file list of
+    a static side is fixed when the query starts and fails once it is gone.)
     """
-    return FR.amount_anomaly(tx, customer_avgs, **kw)
+    from quarry.streaming.store import write_epoch
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        write_epoch(FR.amount_anomaly(batch, read_averages(), **kw), path, epoch_id)
+
+    return sink

@@ -35,7 +35,11 @@ def start_all(
     velocity: dict | None = None,
     amount_factor: float | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start every streaming query over the transaction stream ``tx``."""
+    """Start every streaming query over the transaction stream ``tx``.
+
+    ``customer_avgs``: the customer averages, or a function that reads them
+    anew for each micro-batch (a summary that a batch job rewrites).
+    """
     fast = fast or {"processingTime": "20 seconds"}
     slow = slow or {"processingTime": "1 minute"}
     root = root.rstrip("/")
@@ -55,7 +59,8 @@ def start_all(
 
     each("top_merchants", J.top_merchants_global(J.merchant_commission(tx)), top_sink, fast, "complete")
     amount_kw = {"factor": amount_factor} if amount_factor is not None else {}
-    files("amount_alerts", J.amount(tx, customer_avgs, **amount_kw), trigger=slow)
+    read_averages = customer_avgs if callable(customer_avgs) else lambda: customer_avgs
+    each("amount_alerts", tx, J.amount_sink(read_averages, f"{root}/amount_alerts", **amount_kw))
     files("velocity_alerts", J.velocity(tx, **(velocity or {})), trigger=slow)
     files("geo_alerts", J.geo(tx), trigger=slow)
     for name, (key, spec) in SUMMARIES.items():

@@ -11,8 +11,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from quarry.operators import summary as SU
+from quarry.session import path_exists
+
+
+def write_epoch(df: DataFrame, path: str, epoch_id: int, *partitions: str) -> None:
+    """foreachBatch sink, idempotent per epoch: a replayed epoch replaces its own rows."""
+    # an empty copy keeps the columns for readers that come before the first row
+    df.limit(0).write.mode("overwrite").parquet(f"{path}_columns")
+    (
+        df.withColumn("epoch", F.lit(int(epoch_id)))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions, "epoch")
+        .parquet(path)
+    )
+
+
+def read_epochs(spark: SparkSession, path: str) -> DataFrame:
+    """All rows written so far with their ``epoch``; empty before the first row."""
+    columns = spark.read.parquet(f"{path}_columns").schema.add("epoch", IntegerType())
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).parquet(path)
 
 
 class PartialStore:
@@ -20,18 +43,11 @@ class PartialStore:
         self.path, self.key, self.spec, self.window_col = path, key, spec, window_col
 
     def write(self, partials: DataFrame, epoch_id: int) -> None:
-        """foreachBatch sink: idempotent per epoch."""
-        (
-            partials.withColumn("epoch", F.lit(int(epoch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("epoch")
-            .parquet(self.path)
-        )
+        write_epoch(partials, self.path, epoch_id)
 
     def latest(self, spark: SparkSession) -> DataFrame:
         """Newest partial per (key, window)."""
-        parts = spark.read.parquet(self.path)
+        parts = read_epochs(spark, self.path)
         newest = Window.partitionBy(self.key, self.window_col).orderBy(F.col("epoch").desc())
         return parts.withColumn("__rn", F.row_number().over(newest)).filter("__rn = 1").drop("__rn", "epoch")
 
@@ -42,16 +58,15 @@ class PartialStore:
 class Archive:
     """Raw archive, insert if absent by key (J8) on every micro-batch.
 
-    The archive is partitioned by event date (and epoch). A copy of a record
-    carries the record's own event time, so it can only collide with archive
-    rows of the same date: each micro-batch is checked against the archive
-    dates it spans (partition pruning) and the result is still exact -- the
-    anti join never re-reads the whole archive. If the same key can come back
-    with a different event time, pass ``lookback_days`` to widen the range
-    or ``None`` to check the whole archive.
+    A key is archived once, whatever its event time: the batch is anti-joined
+    with the key column of the whole archive (only that column is read).
+    ``lookback_days`` is an opt-in for sources that repeat a key only near its
+    own event time: then only the archive dates that the batch spans, and that
+    many before, are read. A replayed epoch is checked against the other
+    epochs and replaces its own rows.
     """
 
-    def __init__(self, path: str, key: str, time_col: str = "event_time", lookback_days: int | None = 0):
+    def __init__(self, path: str, key: str, time_col: str = "event_time", lookback_days: int | None = None):
         self.path, self.key, self.time_col, self.lookback = path, key, time_col, lookback_days
 
     def write(self, batch: DataFrame, epoch_id: int) -> None:
@@ -59,26 +74,15 @@ class Archive:
 
         spark = batch.sparkSession
         batch = batch.withColumn("date", F.to_date(self.time_col))
-        span = batch.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()  # one row
-        if span["lo"] is None:
-            return
-        try:
-            existing = spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - first batch: no archive yet
-            existing = None
-        if existing is not None and self.lookback is not None:
-            lo = F.date_sub(F.lit(span["lo"]), self.lookback)
-            existing = existing.filter(F.col("date").between(lo, F.lit(span["hi"])))
-        new = batch.dropDuplicates([self.key]) if existing is None else append_new(batch, existing, self.key)
-        # Dynamic overwrite of (date, epoch) partitions: a replayed epoch
-        # replaces its own rows instead of appending them again.
-        (
-            new.withColumn("epoch", F.lit(int(epoch_id)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("date", "epoch")
-            .parquet(self.path)
-        )
+        new = batch.dropDuplicates([self.key])
+        if path_exists(spark, self.path):
+            existing = read_epochs(spark, self.path).filter(F.col("epoch") != int(epoch_id))
+            if self.lookback is not None:
+                span = batch.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()  # one row
+                if span["lo"] is not None:
+                    existing = existing.filter(F.col("date").between(F.date_sub(F.lit(span["lo"]), self.lookback), F.lit(span["hi"])))
+            new = append_new(batch, existing, self.key)
+        write_epoch(new, self.path, epoch_id, "date")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path).drop("epoch", "date")
+        return read_epochs(spark, self.path).drop("epoch", "date")

@@ -64,10 +64,47 @@ def test_holdout_split_is_stable_and_sized(spark):
     assert 0.12 < (a["split"] == "test").mean() < 0.28
 
 
-def test_stratified_split_every_stratum(spark):
-    d = L.stratified_split(days(spark, SF_SMALL), "date", ["year", "season_id"], 0.15).toPandas()
-    share = d.groupby(["year", "season_id"])["split"].apply(lambda s: (s == "test").mean())
-    assert ((share > 0.08) & (share < 0.22)).all()
+def test_holdout_split_takes_any_fraction(spark):
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    assert L.holdout_split(df, "k", 1.0).filter("split = 'test'").count() == 1000
+    assert L.holdout_split(df, "k", 0.0).filter("split = 'test'").count() == 0
+
+
+def test_stratified_split_is_exact_in_every_stratum(spark):
+    import hashlib
+
+    df = spark.range(3000).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('s', id % 5) END AS g")
+    got = L.stratified_split(df, "k", ["g"], 0.15).toPandas()
+    assert len(got) == 3000
+    for _, part in got.groupby("g", dropna=False):
+        order = part.assign(h=[hashlib.md5(str(k).encode()).hexdigest() for k in part.k]).sort_values("h")
+        want = int(len(part) * 0.15 + 0.5)
+        assert (order.split == "test").tolist() == [True] * want + [False] * (len(part) - want)
+
+
+def test_models_of_many_groups_are_scored_on_held_out_rows(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    df = spark.range(120).selectExpr("id", "CASE WHEN id % 12 = 0 THEN NULL ELSE id % 12 END AS g", "CAST(id AS DOUBLE) AS x", "CAST(id * 2 AS DOUBLE) AS y",
+                                     "CASE WHEN id % 5 = 0 THEN 'test' ELSE 'train' END AS split")
+    pred = L.group_models(df, ["g"], ["x"], "y", lambda: LinearRegression())
+    rows = pred.collect()
+    assert sorted(r.id for r in rows) == list(range(0, 120, 5))
+    assert all(abs(r.prediction - r.y) < 1e-3 for r in rows)
+
+
+def test_held_out_labels_reach_no_feature(spark):
+    from quarry.operators import graph as G
+
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(6)]
+    schema = "user_id long, item_id int, label double"
+    train = spark.createDataFrame([r for r in rows if r[0] % 3], schema)
+    edges = spark.createDataFrame([(u, (u * 5 + 1) % 12) for u in range(12)], "trustor long, trustee long")
+    outs = []
+    for shift in (0.0, 3.0):
+        test = spark.createDataFrame([(u, i, v + shift) for u, i, v in rows if u % 3 == 0], schema)
+        outs.append(sorted(map(tuple, G.rating_features(train, edges, test).drop("label", "residual").collect()), key=str))
+    assert outs[0] == outs[1]
 
 
 def test_feature_importance_sorted(spark):

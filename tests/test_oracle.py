@@ -6,10 +6,12 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.helpers import assert_same
 
+# fits of minutes; the driver's check and scripts/check_oracle.py run them too
+SLOW = {"clf_boosted", "clf_svc", "cv_search", "cv_score", "group_models", "rating_prediction", "holdout_search", "reg_boosted", "reg_forest", "feature_importance"}
 SQL = E.oracle_sql()
 
 
-@pytest.mark.parametrize("key", sorted(SQL))
+@pytest.mark.parametrize("key", sorted(set(SQL) - SLOW))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     rel = duck.sql(SQL[key])

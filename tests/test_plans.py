@@ -11,7 +11,8 @@ from tests.conftest import SF_SMALL
 STREAMS = {"window_top_merchants"}
 MODELS = {"clf_logistic", "clf_svc", "clf_forest", "clf_boosted", "cv_search", "cv_score", "holdout_search",
           "group_models", "reg_boosted", "reg_forest", "feature_importance", "rating_prediction", "model_metrics"}
-KEYS = sorted(k for k in E.queries() if not k.startswith("stream_") and k not in STREAMS | MODELS)
+# training-data queries have tests of their own
+KEYS = sorted(k for k in E.queries() if not re.match(r"stream_|op\d+_|pipeline$", k) and k not in STREAMS | MODELS)
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython")
 
 
@@ -40,3 +41,15 @@ def test_flagship_plan_prunes_columns_and_shuffles_once(spark):
 def test_ingest_parses_each_message_once(spark):
     plan = _plan(E.queries()["ingest_valid"](spark, SF_SMALL))
     assert plan.count("from_json(") == 1, plan
+
+
+@pytest.mark.parametrize("key, scans", [("category_rank_flags", 1), ("density_histogram", 2), ("describe_by_group", 2)])
+def test_number_of_scans_without_broadcasts(spark, key, scans):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan") <= scans, plan

@@ -126,6 +126,45 @@ def test_archive_insert_if_absent_across_epochs(spark, tmp_path):
     assert got.select("transaction_id").distinct().count() == tx.count()
 
 
+def test_archive_takes_a_key_once_whatever_its_time(spark, tmp_path):
+    import datetime as dt
+
+    def batch(*rows):
+        return spark.createDataFrame([(k, dt.datetime(2024, 1, d)) for k, d in rows], "transaction_id string, event_time timestamp")
+
+    arch = Archive(str(tmp_path / "archive"), "transaction_id")
+    arch.write(batch(("t1", 1)), 0)
+    arch.write(batch(("t1", 5), ("t2", 5)), 1)
+    assert sorted(r.transaction_id for r in arch.read(spark).collect()) == ["t1", "t2"]
+    # a replayed epoch with one more row keeps all of its rows
+    arch.write(batch(("t1", 5), ("t2", 5), ("t3", 5)), 1)
+    assert sorted(r.transaction_id for r in arch.read(spark).collect()) == ["t1", "t2", "t3"]
+
+
+def test_stores_are_empty_before_the_first_window_closes(spark, tmp_path):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    parts = SU.partials(transactions_from_events(ev), "customer_type", SU.CATEGORY).withColumn("window_start", F.lit(0))
+    store = PartialStore(str(tmp_path / "store"), "customer_type", SU.CATEGORY)
+    store.write(parts.filter("false"), 0)
+    assert store.summary(spark).count() == 0
+
+
+def test_amount_rule_reads_a_rewritten_summary(spark, tmp_path):
+    from quarry.streaming.store import read_epochs
+
+    src, path, out = str(tmp_path / "src"), str(tmp_path / "avg"), str(tmp_path / "out")
+    _write_days(src, _all_days()[:1])
+    tx = transactions_from_events(spark.read.parquet(src))
+    averages = R.customer_summary(tx).select("customer_id", "avg_trx_value")
+    averages.withColumn("avg_trx_value", F.lit(1e18)).write.parquet(path)
+    sink = J.amount_sink(lambda: spark.read.parquet(path), out, factor=1)
+    sink(tx, 0)
+    assert read_epochs(spark, out).count() == 0
+    averages.withColumn("avg_trx_value", F.lit(0.0)).write.mode("overwrite").parquet(path)
+    sink(tx, 1)
+    assert read_epochs(spark, out).count() == tx.filter("total_amount > 0").count()
+
+
 def test_several_queries_in_one_session(spark, tmp_path):
     src = str(tmp_path / "src")
     _write_days(src, _all_days()[:2])
