@@ -141,9 +141,10 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
     median, min and max of the item's ratings by users within d hops;
     -1 (count 0) when there are none.
 
-    The neighbour rows are first collapsed to, per (row, rating value), the
-    number of neighbours within each depth (one aggregate with ``hops <= d``
-    conditions). Everything else follows from those counts: moments as
+    Reached users meet their ratings first, and are collapsed at once to, per
+    (source, item, rating value), the number of neighbours within each depth
+    (one aggregate with ``hops <= d`` conditions); only then are the asked rows
+    picked, so rows are never multiplied by the reach of their user. Everything else follows from those counts: moments as
     weighted sums, min / max as the extreme values with a non-zero count, and
     the exact median from running counts in rating order (a window over one
     row's distinct rating values, never over its neighbours).
@@ -151,13 +152,14 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
     from pyspark.sql import Window
 
     r = ratings.select(F.col("user_id").alias("dst"), "item_id", F.col("label").alias("v"))
-    cand = rows.select("user_id", "item_id").join(
-        reach.select(F.col("src").alias("user_id"), "dst", "hops"), "user_id").join(r, ["dst", "item_id"])
+    cand = reach.select(F.col("src").alias("user_id"), "dst", "hops").join(r, "dst")
     key = ["user_id", "item_id"]
     counts = cand.groupBy(*key, "v").agg(
         *[F.count(F.when(F.col("hops") <= d, 1)).alias(f"c{d}") for d in depths])
+    counts = counts.join(rows.select(*key).distinct(), key, "left_semi")
     upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*key)
+    counts = counts.withColumn("__low", F.min("v").over(whole))
     for d in depths:
         counts = counts.withColumn(f"r{d}", F.sum(f"c{d}").over(upto)).withColumn(f"n{d}", F.sum(f"c{d}").over(whole))
     aggs = []
@@ -165,8 +167,10 @@ def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, dep
         c, n, run = F.col(f"c{d}"), F.col(f"n{d}"), F.col(f"r{d}")
         has = F.when(c > 0, F.col("v"))
         total = F.sum(c)
-        mean = F.sum(F.col("v") * c) / total
-        var = F.greatest(F.lit(0.0), F.sum(F.col("v") * F.col("v") * c) / total - mean * mean)
+        mean = F.try_divide(F.sum(F.col("v") * c), total)
+        # centred on the smallest value, so large ratings do not cancel
+        off = F.col("v") - F.col("__low")
+        var = F.greatest(F.lit(0.0), F.try_divide(F.sum(off * off * c), total) - F.pow(F.try_divide(F.sum(off * c), total), 2))
         lower = F.min(F.when(run >= F.floor((n + 1) / 2), F.col("v")))
         upper = F.min(F.when(run >= F.floor(n / 2) + 1, F.col("v")))
         aggs += [

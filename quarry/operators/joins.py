@@ -6,8 +6,8 @@
   own bucket and the next one, so work is bounded by the rows that can
   actually fall inside the range. AQE's skew join splits a hot (key, bucket).
 * as-of lookup: last calendar date before / first on or after each row.
-  It depends on the date only, so it runs on the distinct dates (bounded by
-  the date range) and is joined back on the date.
+  Every day between two calendar dates has the same two neighbours, so the
+  gaps are spread to days (bounded by the date range) and joined on the date.
 * insert-if-absent: left anti join against the target plus de-duplication.
 """
 
@@ -69,11 +69,10 @@ def isin_calendar(df: DataFrame, date_col: str, calendar: DataFrame, cal_col: st
                   out: str = "is_holiday") -> DataFrame:
     """0/1 membership of ``date_col`` in a date set (left join on the date).
 
-    The calendar has one row per holiday: a few per year, bounded by the date
-    range, so it is broadcast.
+    Whether the calendar is broadcast is left to its size.
     """
     cal = calendar.select(F.col(cal_col).alias("__d")).distinct().withColumn("__hit", F.lit(1))
-    joined = df.join(F.broadcast(cal), df[date_col] == F.col("__d"), "left")
+    joined = df.join(cal, df[date_col] == F.col("__d"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__hit"), F.lit(0))).drop("__d", "__hit")
 
 
@@ -88,36 +87,27 @@ def asof_distance(
     """Days since the last calendar date strictly before each row's date,
     and days until the first calendar date on or after it (0 on the day).
 
-    The answer depends on the date only, so it is computed once per distinct
-    date: distinct dates (a partial-aggregated shuffle whose output is
-    bounded by the date range, not by the rows) are unioned with the
-    calendar, a running last / first non-null over date order carries the
-    nearest calendar date, and the result is joined back on the date.
+    Two neighbouring calendar dates are the answer for every day between them:
+    the calendar's gaps are spread to one row per day and meet the rows by an
+    equi-join. Only the calendar itself is put in order, never the rows' dates.
     """
     from pyspark.sql import Window
 
-    dates = df.select(F.col(date_col).alias("__d")).distinct().withColumn("__cal", F.lit(None).cast("date"))
-    cal = calendar.select(F.col(cal_col).alias("__d")).distinct().withColumn("__cal", F.col("__d"))
-    u = dates.withColumn("__is_cal", F.lit(False)).unionByName(cal.withColumn("__is_cal", F.lit(True)))
-    # On a tie the calendar row sorts after the data row: it is then outside
-    # the "before" frame (strict) and inside the "on or after" frame.
-    order = Window.orderBy(F.col("__d"), F.col("__is_cal"))
-    w_prev = order.rowsBetween(Window.unboundedPreceding, 0)
-    w_next = order.rowsBetween(0, Window.unboundedFollowing)
-    per_date = (
-        u.select(
-            "__d", "__is_cal",
-            F.last("__cal", ignorenulls=True).over(w_prev).alias("__prev_any"),
-            F.first("__cal", ignorenulls=True).over(w_next).alias("__next"),
-        )
-        .filter(~F.col("__is_cal"))
-        .select(
-            "__d",
-            F.datediff(F.col("__d"), F.col("__prev_any")).alias(prev_out),
-            F.datediff(F.col("__next"), F.col("__d")).alias(next_out),
-        )
+    cal = calendar.select(F.col(cal_col).alias("__d")).filter(F.col("__d").isNotNull()).distinct()
+    # days before the first and after the last calendar date have one neighbour
+    ends = df.select(F.col(date_col).alias("__d")).union(cal).agg(F.min("__d").alias("lo"), F.max("__d").alias("hi"))
+    outer = ends.select(F.explode(F.array(F.date_sub("lo", 1), F.date_add("hi", 1))).alias("__d"), F.lit(False).alias("__real"))
+    marks = cal.withColumn("__real", F.lit(True)).unionByName(outer.filter(F.col("__d").isNotNull()))
+    order = Window.orderBy("__d")  # calendar dates and two more
+    gaps = marks.select("__d", "__real", F.lead("__d").over(order).alias("__to"), F.lead("__real").over(order).alias("__to_real"))
+    gaps = gaps.filter(F.col("__to").isNotNull())
+    days = gaps.select("*", F.explode(F.sequence(F.date_add("__d", 1), F.col("__to"))).alias("__day"))
+    per_date = days.select(
+        "__day",
+        F.when(F.col("__real"), F.datediff(F.col("__day"), F.col("__d"))).alias(prev_out),
+        F.when(F.col("__to_real"), F.datediff(F.col("__to"), F.col("__day"))).alias(next_out),
     )
-    return df.join(per_date, df[date_col] == per_date["__d"], "left").drop("__d")
+    return df.join(per_date, df[date_col] == per_date["__day"], "left").drop("__day")
 
 
 def left_enrich(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:

@@ -38,24 +38,19 @@ def density_histogram(df: DataFrame, x: str, bins: int = 50) -> DataFrame:
     and density count / (n * width). One bin for each of ``bins``, empty ones
     too; without values no bins.
 
-    Values are counted first, so the extremes, the total and the bins all
-    follow from the distinct values in one plan; no job runs while it is built.
+    The extremes and n are one scalar subquery, so no job runs while the plan
+    is built; the bins' counts are one aggregate with partial sums.
     """
-    values = df.filter(F.col(x).isNotNull()).groupBy(F.col(x).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    # the extremes travel with every partial row of the bins: one aggregate, one row
-    ends = values.agg(F.min("v").alias("mn"), F.max("v").alias("mx"), F.sum("c").alias("n"))
-    width = F.when(F.col("mx") > F.col("mn"), (F.col("mx") - F.col("mn")) / bins).otherwise(F.lit(1.0))
-    ends = ends.filter("n > 0").select("mn", "n", width.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    at = F.least(F.floor((F.col("v") - F.col("mn")) / F.col("w")), F.lit(bins - 1)).cast("int")
-    one = F.broadcast(ends.filter("bin = 0").select("mn", "w", F.lit(1).alias("k")))
-    counts = values.withColumn("k", F.lit(1)).join(one, "k").groupBy(at.alias("bin")).agg(F.sum("c").alias("count"))
-    count = F.coalesce(F.col("count"), F.lit(0))
-    return ends.join(counts, "bin", "left").select(
-        "bin",
-        (F.col("mn") + F.col("bin") * F.col("w")).alias("bin_lo"),
-        (F.col("mn") + (F.col("bin") + 1) * F.col("w")).alias("bin_hi"),
-        count.cast("bigint").alias("count"),
-        (count / (F.col("n") * F.col("w"))).alias("density"),
+    ends = df.agg(F.struct(F.min(x).cast("double").alias("mn"), F.max(x).cast("double").alias("mx"), F.count(x).alias("n")).alias("e")).scalar()
+    mn, mx, n = ends["mn"], ends["mx"], ends["n"]
+    width = F.when(mx > mn, (mx - mn) / bins).otherwise(F.lit(1.0))
+    at = F.least(F.floor((F.col(x) - mn) / width), F.lit(bins - 1)).cast("int")
+    counts = df.filter(F.col(x).isNotNull()).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    count = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).filter(n > 0)
+    return grid.join(F.broadcast(counts), "bin", "left").select(
+        "bin", (mn + F.col("bin") * width).alias("bin_lo"), (mn + (F.col("bin") + 1) * width).alias("bin_hi"),
+        count.alias("count"), (count / (n * width)).alias("density"),
     )
 
 

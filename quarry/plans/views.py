@@ -158,13 +158,13 @@ def _holidays_sql() -> str:
 VIEWS["holidays"] = _holidays_sql()
 
 RATINGS = """
-SELECT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS item_id,
+SELECT user_id, CAST(20 * (user_id // 100) + CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS INTEGER) AS item_id,
        1 + (max(event_id) % 9) / 2 AS label
 FROM events GROUP BY 1, 2
 """
 TRUST = """
-SELECT DISTINCT user_id AS trustor, CAST(json_extract_string(props, '$.k') AS BIGINT) AS trustee
-FROM events WHERE event_id % 20 = 0
+SELECT DISTINCT user_id AS trustor, CAST(user_id + 1 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS BIGINT) AS trustee
+FROM events
 """
 REACH = """
 SELECT src, dst, min(hops) AS hops FROM (

@@ -233,22 +233,24 @@ def days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rating per (user, item) from events: item = props.k % 20,
+    """One rating per (user, item) from all events: twenty items for every
+    hundred users, item = 20 * (user_id // 100) + props.k % 20,
     label = 1 + (max(event_id) % 9) / 2 (1.0 .. 5.0 in halves)."""
     e = load(spark, sf_dir, "events")
+    item = (F.floor(F.col("user_id") / 100) * 20 + props_k() % 20).cast("int")
     return (
-        e.groupBy("user_id", (props_k() % 20).alias("item_id"))
+        e.groupBy("user_id", item.alias("item_id"))
         .agg(F.max("event_id").alias("__m"))
         .select("user_id", "item_id", (1 + (F.col("__m") % 9) / 2).alias("label"))
     )
 
 
 def trust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trust edges (trustor -> trustee) from declined events: distinct
-    (user_id, props.k); self-loops are kept."""
+    """Trust edges (trustor -> trustee) from all events: distinct
+    (user_id, user_id + 1 + props.k % 10). Users, edges and the graph's
+    diameter grow with the events; no depth reaches everybody."""
     e = load(spark, sf_dir, "events")
     return (
-        e.filter(F.col("event_id") % 20 == 0)
-        .select(F.col("user_id").alias("trustor"), props_k().cast("bigint").alias("trustee"))
+        e.select(F.col("user_id").alias("trustor"), (F.col("user_id") + 1 + props_k() % 10).cast("bigint").alias("trustee"))
         .distinct()
     )
