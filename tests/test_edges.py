@@ -397,3 +397,16 @@ def test_checkpoint_folder_is_mandatory_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+def test_khop_through_a_hub_to_depth_fourteen(spark):
+    # everybody trusts the hub, the hub starts a chain of twenty users
+    edges = [(u, 1000) for u in range(60)] + [(1000, 2000)] + [(2000 + i, 2001 + i) for i in range(20)]
+    e = spark.createDataFrame(edges, "trustor long, trustee long")
+    reach = G.khop_reach(e, spark.createDataFrame([(u,) for u in range(60)], "user_id long"), max_depth=14)
+    assert reach.filter("dst = 1000 AND hops = 1").count() == 60
+    assert reach.filter("dst = 2012 AND hops = 14").count() == 60 and reach.filter("dst > 2012").count() == 0
+    ratings = spark.createDataFrame([(u, 1, 3.0) for u in range(60)] + [(1000, 1, 1e9 + 1), (2000, 1, 1e9 + 3)], "user_id long, item_id int, label double")
+    rows_ = ratings.filter("user_id < 60")
+    got = G.khop_rating_stats(rows_, ratings, reach, range(1, 3)).filter("user_id = 7").first()
+    assert (got.trust_count1, got.trust_mean1, got.trust_count2, got.trust_mean2, got.trust_std2) == (1, 1e9 + 1, 2, 1e9 + 2, 1.0)
