@@ -1,24 +1,28 @@
 """Class-based n-gram language model, Brown style (operator 1).
 
-Exchange clustering assigns words to CLASSES classes: the HEAD most frequent
-words each on their own, all others through BUCKETS hash buckets, so every word
-has a class and the class table has a fixed size. A word moves to the class
-that gains most likelihood of the class bigrams. A sweep counts, over the whole
-training corpus, each unit's neighbours by class (UNITS x CLASSES cells, a fixed
-size, summed by Spark), then moves half of the units; the assignment with the
-best exact likelihood is kept.
+Exchange clustering assigns every word with LEAST or more occurrences to one of
+CLASSES classes; rarer and unseen words share one unit, which has a class too.
+A word moves to the class that gains most likelihood of the class bigrams. A
+sweep counts, over the whole training corpus, the class bigrams and the
+neighbours by class of the HEAD most frequent words (a fixed size, summed by
+Spark), which are moved one after another. All other words have a table with
+the list of their neighbours, grouped by one shuffle; tasks count it by class
+and move each word against the class bigrams of the sweep. After the first two
+sweeps half of the words move at a time; the assignment with the best exact
+likelihood is kept.
 
 The model: ``P(w | v) = P(class(w) | class(v)) * P(w | class(w))``. Transitions
 are smoothed towards the class unigram (Dirichlet, PRIOR); emissions discount
-each known word's count by DISCOUNT and give the mass to the class's unknown
-words. The text ends with one end token, which is a class of its own and also
-the context of the first word.
+the count of each word too rare for a class of its own by DISCOUNT and give the
+mass to the unknown words. The text ends with one end token, which is a class
+of its own and also the context of the first word.
 
 Scale: word counts are one aggregate over the corpus, written as a table. The
-counts of the most frequent words (at most KNOWN of them, found by a threshold)
-travel to the tasks as two arrays; all other words' counts are joined by a
-shuffle of what each text holds of them. Words are 64-bit hashes. Unit
-sequences (two bytes a token) are written once and read by every sweep.
+counts and classes of the most frequent words (at most KNOWN of them, found by
+a threshold) travel to the tasks as arrays. Words beyond them are placed once,
+after the sweeps; their classes are a table that is joined, with their counts,
+by a shuffle of what each text holds of them. Words are 64-bit hashes. Unit
+sequences (three bytes a token) are written once and read by every sweep.
 
 Defined results: null text is empty and has only its end token; without
 training rows N and V are 0 and all scores are those of unknown words; repeated
@@ -38,15 +42,19 @@ from quarry.llm.textarrays import doc_words, groups_of
 
 CLASSES = 32
 HEAD = 4096
-BUCKETS = 4096
+#: Occurrences from which a word is assigned to a class by its own neighbours.
+LEAST = 5
 KNOWN = 1 << 18
 SWEEPS = 6
 PRIOR = 20.0
 DISCOUNT = 0.6
 #: Distinct words a counting task holds before it passes their counts on.
 HELD_WORDS = 1 << 20
-END = HEAD + BUCKETS  # the end token's unit; its class is CLASSES
-UNITS = END + 1
+#: Occurrences a task holds before it passes their neighbours on.
+HELD_TOKENS = 1 << 22
+#: Units after the words': words too rare, words whose counts are not at hand, the end token (its class is CLASSES),
+#: a neighbour that is the word itself, and from MID on words of a known class whose counts are not at hand.
+SHARED, OUT, END, SELF, MID = range(KNOWN, KNOWN + 5)
 
 
 def _tally(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,13 +88,12 @@ class Vocabulary:
         self.total = len(hashes)
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
-        rank = order
-        self.units = np.where(rank < HEAD, rank, HEAD + (self.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)).astype(np.uint16)
+        self.units = np.where(self.counts >= LEAST, order, SHARED)
+        self.words = hashes[counts >= LEAST]  # by unit
 
     def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(unit, count or 0) of each word."""
-        unit = (HEAD + (h & np.uint64(BUCKETS - 1)).astype(np.int64)).astype(np.uint16)
-        count = np.zeros(len(h), np.int64)
+        unit, count = np.full(len(h), OUT), np.zeros(len(h), np.int64)
         if self.total:
             at = np.minimum(np.searchsorted(self.hashes, h), self.total - 1)
             same = self.hashes[at] == h
@@ -94,6 +101,16 @@ class Vocabulary:
         return unit, count
 
 
+def _pack(units: np.ndarray) -> np.ndarray:
+    """Three bytes each, a row per unit."""
+    return np.ascontiguousarray(units.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
+    return b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16
+
+
 def frequent(counts: DataFrame, most: int = KNOWN) -> Vocabulary:
     """The words whose count reaches a threshold that at most ``most`` words reach."""
     tiers = sorted(counts.groupBy(F.floor(F.log2("n") * 64).alias("tier")).count().collect(), reverse=True)  # a few thousand rows at most
@@ -126,9 +143,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int, v: int) -> DataFrame
                 doc = np.repeat(np.arange(len(size)), size)
                 sums = []
                 hit = count > 0
-                for x in (np.ones(hit.sum()), np.log10((count[hit] + 1) / (n + v + 1)), np.log10(count[hit] - DISCOUNT)):
+                for x in (np.ones(hit.sum()), np.log10((count[hit] + 1) / (n + v + 1)), np.log10(count[hit] - DISCOUNT * (count[hit] < LEAST))):
                     sums.append(np.bincount(doc[hit], x, len(size)).astype(float))  # of no words it is int
-                ends = np.cumsum(size)
+                ends, packed = np.cumsum(size), _pack(unit)
                 rare_doc, rare = doc[~hit], h[~hit]
                 order = np.lexsort((rare, rare_doc))
                 rare_doc, rare = rare_doc[order], rare[order]
@@ -136,57 +153,117 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int, v: int) -> DataFrame
                 new[1:] = (rare[1:] != rare[:-1]) | (rare_doc[1:] != rare_doc[:-1])
                 first = np.flatnonzero(new)
                 times = np.diff(first, append=len(rare)).astype(np.int32)
+                # of each such word in the text, its number in the list
+                slot = np.empty(len(rare), np.int32)
+                slot[order] = np.cumsum(new) - 1 - np.searchsorted(rare_doc[first], rare_doc)
+                cut = np.searchsorted(doc[~hit], np.arange(len(size) + 1))
+                places = pa.array([slot[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:], strict=False)], pa.binary())
                 offsets = pa.array(np.searchsorted(rare_doc[first], np.arange(len(size) + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (rare[first].view(np.int64), times)]
-                sequences = pa.array([unit[hi - k:hi].tobytes() for hi, k in zip(ends, size, strict=True)], pa.binary())
+                sequences = pa.array([packed[hi - k:hi].tobytes() for hi, k in zip(ends, size, strict=True)], pa.binary())
                 lo, k = part.start, part.stop - part.start
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, k) for c in (0, 1, 2)], pa.array(size + 1), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:]), sequences, *lists],
-                                                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit", "units", "rare", "times"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, k) for c in (0, 1, 2)], pa.array(size + 1), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:]), sequences, places, *lists],
+                                                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit", "units", "places", "rare", "times"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, emit double, units binary, rare array<bigint>, times array<int>")
+    return rows.mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, emit double, units binary, places binary, rare array<bigint>, times array<int>")
+
 
+def _sequence(texts: list, found: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Units of several texts with an end token after each, and the number of tokens of each. ``found``: per text the places and the classes of its words that are not at hand."""
+    size = np.array([len(t) // 3 + 1 for t in texts], np.int64)
+    end = _pack(np.array([END])).tobytes()
+    unit = _unpack(b"".join([x for t in texts for x in (t, end)]))
+    if found:
+        place = [np.frombuffer(p, np.int32) for p, _ in found]
+        cls = [np.array(c, np.int32)[p] if c is not None else np.full(len(p), -1, np.int32) for p, (_, c) in zip(place, found, strict=True)]
+        cls = np.concatenate(cls)
+        unit[np.flatnonzero(unit == OUT)] = np.where(cls < 0, OUT, MID + cls)
+    return unit, size
 
-def _sequence(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Units of several texts with an end token after each, and the number of tokens of each."""
-    size = np.array([len(t) // 2 + 1 for t in texts], np.int64)
-    end = np.array([END], np.uint16).tobytes()
-    return np.frombuffer(b"".join([x for t in texts for x in (t, end)]), np.uint16), size
 
+def _before(unit: np.ndarray, size: np.ndarray) -> np.ndarray:
+    before = np.roll(unit, 1)  # each text's first context is an end token
+    before[np.cumsum(size) - size] = END
+    return before
 
-def neighbours(coded: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """Cells [unit, side, class]: how often a class stands before (0) or after (1) a unit; the last class counts the unit itself."""
-    width = CLASSES + 2
+
+def _sequences(batch, columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of a batch with units, or with units, places and classes."""
+    cols = [batch.column(i).to_pylist() for i in range(columns)]
+    for part in groups_of(cols[0]):
+        yield _sequence(cols[0][part], list(zip(cols[1][part], cols[2][part], strict=True)) if columns > 1 else None)
+
+
+def neighbours(coded: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells [unit, side, class] of the HEAD units and, last, the shared one: how often a class stands before (0) or after (1) it, the last class counting the unit itself; and N[a, b]: class b after class a."""
+    width, k, head = CLASSES + 2, CLASSES + 1, HEAD
+    cells = (head + 1) * 2 * width
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        total = np.zeros(UNITS * 2 * width, np.int64)
+        total = np.zeros(cells + k * k, np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in groups_of(texts):
-                unit, size = _sequence(texts[part])
-                unit = unit.astype(np.int64)
-                before = np.roll(unit, 1)  # each text's first context is an end token
-                before[np.cumsum(size) - size] = END
-                same = before == unit
-                total += np.bincount(unit * (2 * width) + np.where(same, CLASSES + 1, classes[before]), minlength=len(total))
-                total += np.bincount(before * (2 * width) + width + np.where(same, CLASSES + 1, classes[unit]), minlength=len(total))
+            for unit, size in _sequences(batch, batch.num_columns):
+                before = _before(unit, size)
+                rows = [np.where(u < head, u, np.where((u == SHARED) | (u == OUT), head, -1)).astype(np.int64) for u in (unit, before)]
+                same = (rows[0] == rows[1]) & (rows[0] >= 0)
+                for side, (row, other) in enumerate(zip(rows, (before, unit), strict=True)):
+                    cell = (row * 2 + side) * width + np.where(same, k, classes[other])
+                    total[:cells] += np.bincount(cell[row >= 0], minlength=cells)
+                total[cells:] += np.bincount(classes[before] * k + classes[unit], minlength=k * k)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "n"])
 
-    got = coded.select("units").mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most UNITS * 2 * width rows
-    total = np.zeros(UNITS * 2 * width)
+    got = coded.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a fixed number of rows at most
+    total = np.zeros(cells + k * k)
     total[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return total.reshape(UNITS, 2, width)
+    return total[:cells].reshape(head + 1, 2, width), total[cells:].reshape(k, k)
+
+
+def contexts(coded: DataFrame, vocabulary: Vocabulary, beyond: bool) -> DataFrame:
+    """h and the neighbours (unit before, unit after) of every occurrence, for words with LEAST of them outside the HEAD; ``beyond``: there are such words not at hand."""
+    head = HEAD
 
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-def class_bigrams(cells: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """N[a, b]: class b after class a."""
-    out = np.zeros((CLASSES + 1, CLASSES + 1))
-    np.add.at(out.T, classes, cells[:, 0, :CLASSES + 1])
-    np.add.at(out, (classes, classes), cells[:, 0, CLASSES + 1])
-    return out
+        held, tokens = [], 0
+
+        def out():
+            word, sides = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(word, kind="stable")
+            word, raw = word[order], sides[order].tobytes()
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.empty(0, np.int64)
+            offsets = pa.array(np.append(first, len(word)).astype(np.int32) * 6)
+            lists = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, offsets.buffers()[1], pa.py_buffer(raw)])
+            return pa.RecordBatch.from_arrays([pa.array(word[first].view(np.int64)), lists], names=["h", "sides"])
+
+        for batch in batches:
+            texts, places, rare = (batch.column(i).to_pylist() for i in range(3))
+            for part in groups_of(texts):
+                unit, size = _sequence(texts[part])
+                word = np.zeros(len(unit), np.uint64)
+                own = unit < SHARED
+                word[own] = vocabulary.words[unit[own]]
+                if beyond:
+                    word[unit == OUT] = np.concatenate([np.array(r, np.int64)[np.frombuffer(p, np.int32)] for p, r in zip(places[part], rare[part], strict=True)]).view(np.uint64)
+                before = _before(unit, size)
+                after = np.roll(unit, -1)  # an end token's own are not used
+                after[np.append(word[1:] == word[:-1], False)] = SELF
+                before[np.append(False, word[1:] == word[:-1])] = SELF
+                used = (unit >= head) & own | (unit == OUT) & beyond
+                held.append((word[used], np.concatenate([_pack(before[used]), _pack(after[used])], axis=1)))
+                tokens += int(used.sum())
+                if tokens > HELD_TOKENS:
+                    yield out()
+                    held, tokens = [], 0
+        if tokens:
+            yield out()
+
+    found = coded.select("units", "places", "rare").mapInArrow(run, "h bigint, sides binary").groupBy("h").agg(F.collect_list("sides").alias("sides"))
+    return found.filter(F.aggregate("sides", F.lit(0), lambda n, x: n + F.octet_length(x)) >= 6 * LEAST)
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -197,73 +274,118 @@ def likelihood(bigrams: np.ndarray) -> float:
     return float(_f(bigrams).sum() - _f(bigrams.sum(0)).sum() - _f(bigrams.sum(1)).sum())
 
 
-def move_units(cells: np.ndarray, classes: np.ndarray, sweep: int) -> np.ndarray:
-    """Exchange: each unit of this sweep's half goes to its best class, class counts kept up to date."""
-    classes, n = classes.copy(), class_bigrams(cells, classes)
+def move_units(cells: np.ndarray, bigrams: np.ndarray, classes: np.ndarray, sweep: int) -> np.ndarray:
+    """Exchange: each counted unit of this sweep's half goes to its best class, class counts kept up to date."""
+    classes, n = classes.copy(), bigrams.copy()
     weight = cells[:, 0].sum(1)
-    k = CLASSES + 1
-    own = np.arange(CLASSES)
-    for u in np.argsort(-weight[:END], kind="stable"):
-        if not weight[u] or (u * 2654435761 >> 7) + sweep & 1 and sweep:
+    for row in np.argsort(-weight, kind="stable"):
+        u = int(row) if row < HEAD else SHARED
+        if not weight[row] or (u * 2654435761 >> 7) + sweep & 1 and sweep:
             continue
-        left, right = cells[u, 0, :k], cells[u, 1, :k]
-        itself, a = cells[u, 0, k], classes[u]
+        left, right = cells[row, 0, :CLASSES + 1], cells[row, 1, :CLASSES + 1]
+        itself, a = cells[row, 0, CLASSES + 1], classes[u]
         n[:, a] -= left
         n[a, :] -= right
         n[a, a] -= itself
         np.maximum(n, 0, out=n)
-        cols, rows = n[:, :CLASSES], n[:CLASSES]
-        gain = (_f(cols + left[:, None]) - _f(cols)).sum(0) + (_f(rows + right) - _f(rows)).sum(1)
-        corner = n[own, own]
-        gain += _f(corner + left[:CLASSES] + right[:CLASSES] + itself) - _f(corner + left[:CLASSES]) - _f(corner + right[:CLASSES]) + _f(corner)
-        for total, add in ((n.sum(0)[:CLASSES], left.sum() + itself), (n.sum(1)[:CLASSES], right.sum() + itself)):
-            gain -= _f(total + add) - _f(total)
-        b = int(gain.argmax())
+        b = int(gains(n[None], left[None], right[None], np.array([itself]))[0].argmax())
         classes[u] = b
         n[:, b] += left
         n[b, :] += right
         n[b, b] += itself
+    classes[OUT] = classes[SHARED]
     return classes
 
 
-def cluster(coded: DataFrame, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(class of every unit, class bigrams, likelihood after each sweep). The most frequent words start a class each, the rest shares the last."""
-    classes = np.full(UNITS, CLASSES - 1)
+def gains(n: np.ndarray, left: np.ndarray, right: np.ndarray, itself: np.ndarray) -> np.ndarray:
+    """[word, class]: likelihood gained by words put into each class; ``n``: class bigrams without the word."""
+    own = np.arange(CLASSES)
+    f = _f(n)
+    cols, rows = n[:, :, :CLASSES], n[:, :CLASSES]
+    gain = (_f(cols + left[:, :, None]) - f[:, :, :CLASSES]).sum(1) + (_f(rows + right[:, None, :]) - f[:, :CLASSES]).sum(2)
+    corner, l, r, i = n[:, own, own], left[:, :CLASSES], right[:, :CLASSES], itself[:, None]
+    gain += _f(corner + l + r + i) - _f(corner + l) - _f(corner + r) + _f(corner)
+    for total, add in ((n.sum(1)[:, :CLASSES], left), (n.sum(2)[:, :CLASSES], right)):
+        gain -= _f(total + add.sum(1)[:, None] + i) - _f(total)
+    return gain
+
+
+def move_listed(lists: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, bigrams: np.ndarray, sweep: int, placed_only: bool = False) -> DataFrame:
+    """h, unit and new class of the listed words of this sweep's half, each moved alone; in sweep 1 of all. ``placed_only``: new words, by their neighbours that have a class of their own."""
+    width, k = CLASSES + 3, CLASSES + 1
+    side = classes.copy()
+    side[SELF] = k
+    if placed_only:
+        side[[SHARED, OUT]] = k + 1  # not read
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64)
+            mine = np.flatnonzero((h >> np.uint64(40)).astype(np.int64) + sweep & 1 == 0) if sweep > 1 else np.arange(len(h))
+            unit = vocabulary.look_up(h)[0]
+            a, new = classes[unit], classes[unit].copy()
+            for lo in range(0, len(mine), 256):
+                part = mine[lo:lo + 256]
+                raw = [b"".join(batch.column(1)[int(i)].as_py()) for i in part]
+                word = np.repeat(np.arange(len(part)), [len(x) // 6 for x in raw])
+                units = _unpack(b"".join(raw)).reshape(-1, 2)
+                # a neighbour that is the word itself is seen from both sides and counted once, by the left one
+                left, right = (np.bincount(word * width + side[units[:, j]], minlength=len(part) * width).reshape(len(part), width).astype(float) for j in (0, 1))
+                itself, left, right, at, cls = left[:, k], left[:, :k], right[:, :k], np.arange(len(part)), a[part]
+                n = np.repeat(bigrams[None], len(part), 0)
+                if not placed_only:
+                    n[at, :, cls] -= left
+                    n[at, cls, :] -= right
+                    n[at, cls, cls] -= itself
+                new[part] = gains(np.maximum(n, 0), left, right, itself).argmax(1)
+            yield pa.RecordBatch.from_arrays([pa.array(h[mine].view(np.int64)), pa.array(unit[mine].astype(np.int32)), pa.array(new[mine].astype(np.int32))], names=["h", "unit", "class"])
+
+    return lists.mapInArrow(run, "h bigint, unit int, class int")
+
+
+def cluster(training: tuple[DataFrame, DataFrame, Vocabulary], sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of every unit, class bigrams, likelihood after each sweep). The most frequent words start a class each, the rest shares the last. The HEAD moves first, the listed words from the second sweep on."""
+    coded, lists, vocabulary = training
+    classes = np.full(MID + CLASSES, CLASSES - 1)
     classes[:CLASSES - 1] = np.arange(CLASSES - 1)
     classes[END] = CLASSES
+    classes[MID:] = np.arange(CLASSES)
     best, path = None, []
     for sweep in range(sweeps + 1):
-        cells = neighbours(coded, classes)
-        bigrams = class_bigrams(cells, classes)
+        cells, bigrams = neighbours(coded.select("units"), classes)
         path.append(likelihood(bigrams))
         if best is None or path[-1] > best[0]:
             best = path[-1], classes, bigrams
         if sweep < sweeps:
-            classes = move_units(cells, classes, sweep)
+            moved = move_units(cells, bigrams, classes, sweep)
+            if sweep and len(vocabulary.words) > HEAD:
+                got = move_listed(lists, vocabulary, classes, bigrams, sweep).filter(F.col("unit") < SHARED).select("unit", "class").toArrow()  # at most KNOWN rows
+                moved[got["unit"].to_numpy()] = got["class"].to_numpy()
+            classes = moved
     return best[1], best[2], path
 
 
 class Model:
-    """Class tables; ``types`` and ``tokens`` are the training words per class."""
+    """Class tables; ``rare`` is the number of training words that share a unit."""
 
-    def __init__(self, classes: np.ndarray, bigrams: np.ndarray, types: np.ndarray):
+    def __init__(self, classes: np.ndarray, bigrams: np.ndarray, rare: int):
         self.classes = classes
         tokens = bigrams.sum(0)
         prior = (tokens + 1) / (tokens.sum() + len(tokens))
         self.step = np.log10((bigrams + PRIOR * prior) / (bigrams.sum(1, keepdims=True) + PRIOR))
-        # what a class's words share: log10 of 1 / tokens, and of the mass of its unknown words
+        # what a class's words share: log10 of 1 / tokens, and of the mass of the unknown words
+        tokens[classes[SHARED]] += 0 if rare else DISCOUNT
         self.share = -np.log10(np.maximum(tokens, 1))
-        self.unknown = np.where(types > 0, np.log10(np.maximum(DISCOUNT * types, 1e-300)), 0.0)
+        self.unknown = float(np.log10(DISCOUNT * max(rare, 1)))
         self.share[CLASSES] = 0.0  # the end token is its class's only word
 
-    def transitions(self, texts: list) -> np.ndarray:
+    def transitions(self, unit: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Per text: log10 of the class transitions and of the classes' shares."""
-        unit, size = _sequence(texts)
         cls = self.classes[unit]
-        before = np.roll(cls, 1)
-        starts = np.cumsum(size) - size
-        before[starts] = CLASSES
-        return np.add.reduceat(self.step[before, cls] + self.share[cls], starts)
+        before = self.classes[_before(unit, size)]
+        return np.add.reduceat(self.step[before, cls] + self.share[cls], np.cumsum(size) - size)
 
 
 def score(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
@@ -272,45 +394,57 @@ def score(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
     learn = docs.filter(fold(F.col("doc_id"), 7) != 2)
     counts = saved(learn.select(F.coalesce(F.col("text"), F.lit("")).cast("binary")).mapInArrow(count_words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "lm-words")
     ends = learn.count()
-    words, tokens = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    words, tokens, placed = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") >= LEAST)).first()
     n, v = tokens + ends, words + (ends > 0)
     vocabulary = frequent(counts)
+    beyond = placed > len(vocabulary.words)  # words to place whose counts are not at hand
     coded = saved(encode(docs, vocabulary, n, v), "lm-units")
-    classes, bigrams, _ = cluster(coded.filter("not held_out"), sweeps)
-
-    # distinct words per class: the head's own, the others by bucket
-    bucket_class = F.split(F.lit(",".join(str(int(c)) for c in classes[HEAD:END])), ",").cast("array<int>")
-    bucket = F.col("h").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-    per_bucket = dict(counts.groupBy(bucket.alias("b")).count().collect())  # at most BUCKETS rows
-    types = np.bincount(classes[HEAD:END], [per_bucket.get(b, 0) for b in range(BUCKETS)], CLASSES + 1)
-    head = vocabulary.units < HEAD  # counted with their bucket above
-    types -= np.bincount(classes[HEAD:END][(vocabulary.hashes[head] & np.uint64(BUCKETS - 1)).astype(np.int64)], minlength=CLASSES + 1)
-    types += np.bincount(classes[vocabulary.units[head]], minlength=CLASSES + 1)
-    model = Model(classes, bigrams, types)
+    train = coded.filter("not held_out")
+    lists = contexts(train, vocabulary, beyond)
+    if placed > min(HEAD, len(vocabulary.words)):
+        lists = saved(lists, "lm-contexts")
+    classes, bigrams, _ = cluster((train, lists, vocabulary), sweeps)
+
+    # words outside the frequent ones: their counts and classes by a join, one row per text and distinct word
+    rest = counts.filter(F.col("n") < (int(vocabulary.counts.min()) if vocabulary.total else (1 << 62))).withColumn("class", F.lit(None).cast("int"))
+    if beyond:
+        cells, own = neighbours(train.select("units"), classes)
+        left, right, a = cells[HEAD, 0], cells[HEAD, 1], classes[SHARED]
+        own[:, a] -= left[:CLASSES + 1]
+        own[a, :] -= right[:CLASSES + 1]
+        own[a, a] -= left[CLASSES + 1]
+        found = saved(move_listed(lists, vocabulary, classes, np.maximum(own, 0), 1, True).filter(F.col("unit") == OUT).select("h", "class"), "lm-classes")
+        rest = rest.drop("class").join(found, "h", "left")
+    rare = coded.select("row", F.posexplode(F.arrays_zip("rare", "times")).alias("at", "x")).select("row", "at", F.col("x.rare").alias("h"), F.col("x.times").alias("k"))
+    spread = float(n + v + 1)
+    count = F.coalesce("n", F.lit(0))
+    model = Model(classes, bigrams, words - placed)
+    rare = rare.join(rest, "h", "left").groupBy("row").agg(
+        F.sum(F.when(count > 0, F.col("k")).otherwise(0)).cast("long").alias("known_r"),
+        F.sum(F.col("k") * F.log10((count + 1) / spread)).alias("base_r"),
+        F.sum(F.col("k") * F.when(count >= LEAST, F.log10(count)).when(count > 0, F.log10(count - DISCOUNT)).otherwise(model.unknown)).alias("emit_r"),
+        *([F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("class", F.lit(-1)).alias("c")))), lambda x: x["c"]).alias("found")] if beyond else []))
+    sums = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit"]
+    texts = ["units", "places", "found"] if beyond else ["units"]
+    if beyond:  # the class bigrams with the classes found
+        coded = saved(coded.drop("rare", "times").join(rare, "row", "left"), "lm-placed")
+        sums += ["known_r", "base_r", "emit_r"]
+        model = Model(classes, neighbours(coded.filter("not held_out").select(*texts), classes)[1], words - placed)
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            if texts:
-                found = np.concatenate([model.transitions(texts[part]) for part in groups_of(texts)])
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(1, batch.num_columns)], pa.array(found)], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit", "walk"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    whole = coded.select("units", "row", "doc_id", "held_out", "n_tokens", "known", "base", "emit").mapInArrow(
-        walk, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, emit double, walk double")
-    # words outside the frequent ones: their counts by a join, one row per text and distinct word
-    rare = coded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("k"))
-    spread = float(n + v + 1)
-    unknown = F.split(F.lit(",".join(repr(float(x)) for x in model.unknown)), ",").cast("array<double>")
-    count = F.coalesce("n", F.lit(0))
-    rare = rare.join(counts.filter(F.col("n") < (int(vocabulary.counts.min()) if vocabulary.total else (1 << 62))), "h", "left").groupBy("row").agg(
-        F.sum(F.when(count > 0, F.col("k")).otherwise(0)).cast("long").alias("known_r"),
-        F.sum(F.col("k") * F.log10((count + 1) / spread)).alias("base_r"),
-        F.sum(F.col("k") * F.when(count > 0, F.log10(count - DISCOUNT)).otherwise(F.get(unknown, F.get(bucket_class, bucket)))).alias("emit_r"))
+            if batch.num_rows:
+                found = np.concatenate([model.transitions(*x) for x in _sequences(batch, len(texts))])
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(texts), batch.num_columns)], pa.array(found)], names=[*sums, "walk"])
+
+    whole = coded.select(*texts, *sums)
+    kinds = ", ".join(f"{c} {whole.schema[c].dataType.simpleString()}" for c in sums)
+    out = whole.mapInArrow(walk, f"{kinds}, walk double")
+    if not beyond:
+        out = out.join(rare, "row", "left")
     end_base = float(np.log10((ends + 1) / spread))
-    out = whole.join(rare, "row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     total = F.col("walk") + F.col("emit") + zero("emit_r")
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + zero("known_r") + (1 if ends else 0)).cast("long").alias("n_known"),
