@@ -4,7 +4,7 @@ A text is cut into sentences at line ends and sentence marks. Each sentence is
 normalised (A-Z lower-cased, everything but letters, digits and the dots of
 version numbers becomes one blank) and looked up among known licence
 sentences; lines that a licence text was wrapped at are joined again when the
-joined sentence is known. The identifiers found, in text order, are matched
+joined sentence is known, and parts at a mark inside a known sentence likewise. The identifiers found, in text order, are matched
 against ordered rules: at each position the first rule whose identifiers
 follow one another there wins and takes them; up to GAP other sentences may
 stand between two of a rule's. Sentences and rules are small constants, so the
@@ -46,6 +46,7 @@ SENTENCES = [
     ("gpl-terms:{v}", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version {v}", ("1", "2", "3")),
     ("lgpl-name:{v}", "licensed under the gnu lesser general public license version {v}", ("2.1", "3", "3.0")),
     ("lgpl-terms:{v}+", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version {v} of the license or at your option any later version", ("2.1", "3")),
+    ("agpl-terms:{v}+", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version {v} of the license or at your option any later version", ("3",)),
     ("agpl-name:{v}", "licensed under the gnu affero general public license version {v}", ("3", "3.0")),
     ("bsd-use", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ()),
     ("bsd-source", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", ()),
@@ -53,6 +54,7 @@ SENTENCES = [
     ("bsd-endorse", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ()),
     ("isc-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ()),
     ("mpl-name:{v}", "this source code form is subject to the terms of the mozilla public license v {v}", ("1.1", "2.0")),
+    ("mpl-name:{v}", "the contents of this file are subject to the mozilla public license version {v} the license", ("1.1",)),
     ("cc-by:{v}", "licensed under cc by {v}", ("2.0", "3.0", "4.0")),
     ("cc-by-sa:{v}", "licensed under cc by sa {v}", ("2.0", "3.0", "4.0")),
     ("cc-by-nc:{v}", "licensed under cc by nc {v}", ("2.0", "3.0", "4.0")),
@@ -76,11 +78,16 @@ RULES = [
     ("GPL-{v}-or-later", ("gpl-free", "gpl-terms:{v}+")),
     ("GPL-{v}", ("gpl-free", "gpl-terms:{v}")),
     ("GPL-{v}", ("gpl-name:{v}",)),
+    ("LGPL-{v}-or-later", ("gpl-free", "lgpl-terms:{v}+")),
     ("LGPL-{v}-or-later", ("lgpl-terms:{v}+",)),
     ("LGPL-{v}", ("lgpl-name:{v}",)),
+    ("AGPL-{v}-or-later", ("gpl-free", "agpl-terms:{v}+")),
+    ("AGPL-{v}-or-later", ("agpl-terms:{v}+",)),
     ("AGPL-{v}", ("agpl-name:{v}",)),
     ("ISC", ("isc-grant", "as-is")),
     ("ISC", ("isc-grant",)),
+    ("MPL-{v}", ("mpl-name:{v}", "apache-comply", "apache-copy")),
+    ("MPL-{v}", ("mpl-name:{v}", "apache-comply")),
     ("MPL-{v}", ("mpl-name:{v}",)),
     ("CC-BY-NC-SA-{v}", ("cc-by-nc-sa:{v}",)),
     ("CC-BY-NC-ND-{v}", ("cc-by-nc-nd:{v}",)),
@@ -106,7 +113,12 @@ def normalise(sentence: str) -> str:
     return " ".join(_OTHER.sub(" ", sentence.translate(_UPPER)).split())
 
 
-def recognise(text: str, known: dict[str, str], longest: int) -> list[tuple[str, int, int, int]]:
+def beginnings(known: dict[str, str]) -> set[str]:
+    """Proper beginnings of the known sentences, by words."""
+    return {" ".join(words[:k]) for words in map(str.split, known) for k in range(1, len(words))}
+
+
+def recognise(text: str, known: dict[str, str], longest: int, begun: set[str]) -> list[tuple[str, int, int, int]]:
     """(identifier, sentence number, start, end) of the known sentences, in text order; a joined sentence counts as one, an unknown line each."""
     cuts = [(0, 0, True)] + [(m.start(), m.end(), m.group() != "\n") for m in _CUT.finditer(text)] + [(len(text), len(text), True)]
     parts = []  # normalised words, start, end, whether the sentence ends here
@@ -121,7 +133,7 @@ def recognise(text: str, known: dict[str, str], longest: int) -> list[tuple[str,
                 size = joined.count(" ") + 1
             if joined in known:
                 best = (k, joined)
-            if parts[k][3]:
+            if parts[k][3] and joined not in begun:
                 break
             k += 1
         number += bool(parts[i][0])
@@ -162,6 +174,7 @@ def match_rules(found: list[tuple], rules: list[tuple[str, tuple[str, ...]]], ga
 def scan_licenses(docs: DataFrame, sentences=SENTENCES, rules=RULES) -> DataFrame:
     """doc_id, licenses (distinct, sorted), n_licenses, sentence_ids (in text order), spans (start, end in characters) and unmatched."""
     known, ordered = known_sentences(sentences), expand_rules(rules)
+    begun = beginnings(known)
     longest = max(t.count(" ") + 1 for t in known)
     # a text can hold a known sentence only if it has one of these words, one from each sentence
     common = ("licen", "copyright", "permi", "redistribut", "software", "rights reserved")
@@ -177,7 +190,7 @@ def scan_licenses(docs: DataFrame, sentences=SENTENCES, rules=RULES) -> DataFram
             rows = []
             for text in batch.column(1):
                 text = text.as_py()
-                found = recognise(text, known, longest) if text and hint.search(text) else []
+                found = recognise(text, known, longest, begun) if text and hint.search(text) else []
                 names, left = match_rules(found, ordered)
                 rows.append((sorted(set(names)), len(set(names)), [x[0] for x in found], [{"start": x[2], "end": x[3]} for x in found], left > 0))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 5

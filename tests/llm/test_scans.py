@@ -62,6 +62,24 @@ def test_scan_of_awkward_documents(odd_docs, doc_rows, no_docs):
     assert S.scan_licenses(no_docs).count() == 0
 
 
+FREE = "This {} is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation{} either version {} of the License, or\n(at your option) any later version."
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.", "MPL-2.0"),
+    ('The contents of this file are subject to the Mozilla Public License Version\n1.1 (the "License"); you may not use this file except in compliance with\nthe License. You may obtain a copy of the License at\nhttp://www.mozilla.org/MPL/', "MPL-1.1"),
+    (FREE.format("program", ";", "", ";", 2), "GPL-2-or-later"),
+    (FREE.format("program", ":", "", ",", 3), "GPL-3-or-later"),
+    (FREE.format("library", ";", "Lesser ", ";", 2.1), "LGPL-2.1-or-later"),
+    (FREE.format("program", ":", "Lesser ", ",", 3), "LGPL-3-or-later"),
+    (FREE.format("program", ":", "Affero ", ",", 3), "AGPL-3-or-later"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2.", "GPL-2"),
+])
+def test_standard_headers_with_marks_inside(spark, text, want):
+    r = S.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (r["licenses"], r["unmatched"]) == ([want], False)
+
+
 def test_lines_with_a_licence_are_all_found(spark, tmp_path):
     """Against a search for the four lines that the generated documents carry."""
     lines = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
