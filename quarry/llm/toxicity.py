@@ -54,7 +54,8 @@ class Automaton:
     """Deterministic table of the trie's words within the allowed edits.
 
     ``terms``: text -> weight. A key that ends in ``*`` is a stem: any word
-    that starts with it is a hit (no edits).
+    that starts with it is a hit (no edits) unless it is a term or, where edits
+    are allowed, one edit away from one.
     """
 
     def __init__(self, terms: dict[str, float]):
@@ -92,7 +93,8 @@ class Automaton:
             out |= {(c, 1) for a, e in states if e == 0 and editable[a] for c in children[a].values() if editable[c]}
             return frozenset(out)
 
-        def step(states, b):
+        def step(state, b):
+            states, stem = state
             out = set()
             for a, e in states:
                 if b in children[a]:
@@ -101,35 +103,27 @@ class Automaton:
                     out.add((a, 1))  # a letter too many
                     out |= {(c, 1) for x, c in children[a].items() if x != b and editable[c]}
             # a state reached without edits covers the same state with one
-            return close({(a, e) for a, e in out if e == 0 or (a, 0) not in out})
+            out = close({(a, e) for a, e in out if e == 0 or (a, 0) not in out})
+            # the stem the word began with is kept while longer terms are still possible
+            return out, next((stems[a] for a, e in sorted(out) if e == 0 and a in stems), stem)
 
-        start = close({(0, 0)})
-        number, table, outcome, kind = {frozenset(): 0, start: 1}, [[0] * (len(letters) + 1)], [0, 0], [NONE, NONE]
+        start = close({(0, 0)}), 0
+        number, table, outcome, kind = {(frozenset(), 0): 0, start: 1}, [[0] * (len(letters) + 1)], [0, 0], [NONE, NONE]
         todo = [start]
         while todo:
             state = todo.pop(0)
             row = []
             for b in [None, *letters]:
                 nxt = step(state, b)
-                stem = next((stems[a] for a, e in sorted(nxt) if e == 0 and a in stems), 0)
-                if stem:
-                    nxt = frozenset({("stem", stem)})
                 if nxt not in number:
                     number[nxt] = len(number)
-                    if stem:
-                        outcome.append(stem)
-                        kind.append(STEM_HIT)
-                    else:
-                        hit = min(((e, ends[a][0]) for a, e in nxt if ends[a] and (e == 0 or ends[a][2])), default=None)
-                        outcome.append(hit[1] if hit else 0)
-                        kind.append(NONE if hit is None else EXACT if hit[0] == 0 else FUZZY)
-                        todo.append(nxt)
+                    states, stem = nxt
+                    hit = min(((e, ends[a][0]) for a, e in states if ends[a] and (e == 0 or ends[a][2])), default=None)
+                    outcome.append(hit[1] if hit else stem)
+                    kind.append((EXACT if hit[0] == 0 else FUZZY) if hit else STEM_HIT if stem else NONE)
+                    todo.append(nxt)
                 row.append(number[nxt])
             table.append(row)
-            while len(table) < len(number) and todo and number[todo[0]] != len(table):
-                table.append([len(table)] * (len(letters) + 1))  # a stem's state stays
-        while len(table) < len(number):
-            table.append([len(table)] * (len(letters) + 1))
         self.table = np.array(table, np.int32)
         self.outcome, self.kind = np.array(outcome), np.array(kind)
         self.final = np.array([i for i, r in enumerate(table) if (np.array(r) == i).all()])
@@ -250,8 +244,9 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     """Words and stems that toxic texts have far more often, with their log-odds.
 
     Text frequencies per word come from one aggregate. A stem's frequency is
-    the sum over its words; of stems that share a beginning the one with the
-    strongest evidence stands for its words. At most MAX_TERMS are kept.
+    the sum over its words but the most frequent toxic one, which must not be
+    its only evidence; of stems that share a beginning the one with the
+    strongest evidence is kept, beside the words. At most MAX_TERMS are kept.
     """
     words = F.array_remove(F.split(F.lower("text"), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
     texts = sample.select("toxic", words.alias("ws")).filter(F.size("ws") > 0)
@@ -272,7 +267,8 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     excess = t * F.log(t / ((t + c) * rate)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - rate)))).otherwise(0.0)
     pure = (t >= 3) & (t * n_clean > 3 * c * n_toxic) & (excess > surely)
     stems = freq.select("w", "t", "c", F.explode(F.array(*[F.lit(k) for k in STEM])).alias("k")).filter(F.length("w") > F.col("k"))
-    stems = stems.groupBy(F.substring("w", F.lit(1), F.col("k")).alias("w")).agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count("*").alias("forms"))
+    stems = stems.groupBy(F.substring("w", F.lit(1), F.col("k")).alias("w")).agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count("*").alias("forms"), F.max(F.struct("t", (-c).alias("m"))).alias("top"))
+    stems = stems.select("w", (t - F.col("top.t")).alias("t"), (c + F.col("top.m")).alias("c"), "forms")
     stems = stems.filter((t >= 8) & (t * n_clean > 4 * c * n_toxic) & (excess > surely) & (F.col("forms") >= 4)).select(F.concat("w", F.lit("*")).alias("w"), "t", "c")
     best = freq.filter(pure).select("w", "t", "c").union(stems).withColumns({"o": odds(t, c), "x": excess})
     rows = [(r["w"], float(r["o"])) for r in best.orderBy(F.desc("x"), F.desc(F.length("w")), "w").limit(4 * MAX_TERMS).collect()]
@@ -280,7 +276,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     for w, _ in rows:
         if w.endswith("*") and not any(w[:-1].startswith(k) or k.startswith(w[:-1]) for k in kept):
             kept.append(w[:-1])
-    entries = [(w, o) for w, o in rows if (w[:-1] in kept if w.endswith("*") else not any(w.startswith(k) for k in kept))]
+    entries = [(w, o) for w, o in rows if not w.endswith("*") or w[:-1] in kept]
     return dict(entries[:MAX_TERMS])
 
 

@@ -148,6 +148,22 @@ def toxic_corpus(n=420):
     return rows, labels
 
 
+def test_terms_inside_a_stem_keep_their_edits():
+    auto = X.Automaton({"loser": 2.0, "lose*": 1.0})
+    b, starts, ends = X.split_words(b"loser looser l0ser losr lose losesueno los closed")
+    term, kind = auto.run(b, starts, ends)
+    assert [(auto.keys[i - 1] if i else None, k) for i, k in zip(term, kind, strict=True)] == [
+        ("loser", X.EXACT), *[("loser", X.FUZZY)] * 4, ("lose*", X.STEM_HIT), (None, X.NONE), (None, X.NONE)]
+
+
+def test_a_stem_needs_more_than_its_strongest_word(spark):
+    odd = ["losesu", "losena", "loseto", "losemi"]
+    # the filler words differ, so no text is a near copy of another
+    rows = [(int(i < 90), " ".join(f"w{i}x{j}" for j in range(8)) + (" loser" if i < 80 else f" {odd[i % 4]}" if i < 88 or i in (100, 101) else "")) for i in range(400)]
+    words = X.learn_lexicon(spark.createDataFrame(rows, "toxic int, text string"), 90, 310)
+    assert "loser" in words and not any(w.endswith("*") and "loser".startswith(w[:-1]) for w in words)
+
+
 def test_toxicity_learns_terms_misspellings_and_quotation(spark):
     rows, labels = toxic_corpus()
     docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
