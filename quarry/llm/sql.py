@@ -81,3 +81,26 @@ def decontamination(docs: str = "documents") -> str:
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM docs LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)
     """
+
+
+def hard_negatives(vectors: str = "embeddings") -> str:
+    """All anchors against all rows, ranked by windows; scores are sums of integers, exact in a double."""
+    return f"""
+    WITH rows AS (
+        SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+        FROM {vectors}
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other,
+               list_dot_product(a.q, b.q)::BIGINT AS score
+        FROM rows a JOIN rows b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+    positives AS (
+        SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, other NULLS LAST) AS k FROM scored WHERE same
+        QUALIFY k <= 5),
+    placed AS (
+        SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.r, p.k ORDER BY n.score DESC, n.other NULLS LAST) AS rank
+        FROM positives p JOIN scored n ON n.r = p.r AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM placed WHERE rank <= 10
+    """
