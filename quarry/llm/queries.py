@@ -76,6 +76,12 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", *BASE, "base_failed", "kept", "score")
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.repair import repair_damaged
+
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm.negatives import hard_negatives
 
@@ -83,7 +89,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_brown, op2_embeddings, op3_quality, op4_licenses, op5_jaccard, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination, op11_quality_rules, op13_hard_negatives)
+    f.__name__: f for f in (op1_brown, op2_embeddings, op3_quality, op4_licenses, op5_jaccard, op6_toxicity, op7_language, op8_sharding, op9_mixing, op10_decontamination, op11_quality_rules, op12_conversations, op13_hard_negatives)
 }
 
-ORACLES: dict[str, str] = {"op8_sharding": sql.sharding(), "op9_mixing": sql.mixing(), "op10_decontamination": sql.decontamination(), "op13_hard_negatives": sql.hard_negatives()}
+ORACLES: dict[str, str] = {"op8_sharding": sql.sharding(), "op9_mixing": sql.mixing(), "op10_decontamination": sql.decontamination(), "op12_conversations": sql.conversations(), "op13_hard_negatives": sql.hard_negatives()}

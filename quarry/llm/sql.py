@@ -104,3 +104,67 @@ def hard_negatives(vectors: str = "embeddings") -> str:
         FROM positives p JOIN scored n ON n.r = p.r AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
     SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM placed WHERE rank <= 10
     """
+
+
+#: CRC-32 of an ASCII text, a bit at a time (DuckDB has no function for it).
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({text}) + 1), lambda i: ascii({text}[i])::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)))"""
+
+
+def conversations(table: str = "conversations") -> str:
+    """Suffixes of each conversation from the back, the best per grammar state as text (cost in nine digits, then the audit); then the audit is walked."""
+    def put(letter: str, cost: str, rest: str) -> str:
+        return f"(lpad((left({rest}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') || '{letter}' || substr({rest}, 10))"
+
+    def row(state: int) -> str:
+        keep = {0: "CASE r.initial WHEN 's' THEN d.v1 WHEN 'u' THEN d.v2 END", 1: "CASE r.initial WHEN 'u' THEN d.v2 END", 2: "CASE r.initial WHEN 'a' THEN d.v3 END", 3: "CASE r.initial WHEN 'u' THEN d.v2 END"}[state]
+        to = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+        return f"least({put('D', '3', f'd.v{state}')}, CASE WHEN r.fault NOT IN ('blank', 'duplicate') THEN {put('K', 'r.cut', f'({keep})')} END, CASE WHEN r.fault NOT IN ('blank', 'duplicate') THEN {put('R', '2 + r.cut', f'd.v{to}')} END)"
+
+    key = "(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))"
+    return f"""
+    WITH RECURSIVE marked AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format(text=key)} % 20 AS kind FROM {table}),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM marked WHERE kind <> 0),
+    convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM {table})),
+    placed AS (
+        SELECT c, turn, role, text, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+               row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i
+        FROM damaged d JOIN convs v ON d.conv_id IS NOT DISTINCT FROM v.conv_id),
+    seen AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again FROM placed),
+    rows AS (
+        SELECT *, CASE WHEN body = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               (fault = 'truncated')::INTEGER AS cut, lag(initial) OVER (PARTITION BY c ORDER BY i) || initial AS pair
+        FROM seen),
+    dp(c, i, v0, v1, v2, v3) AS (
+        SELECT c, max(i) + 1, '000000000', '000000004II', '000000002I', '000000000' FROM rows GROUP BY c
+        UNION ALL
+        SELECT c, i, least(w0, {put('I', '2', 'x2')}), least(w1, {put('I', '2', 'x2')}), x2, x3
+        FROM (SELECT *, least(w2, {put('I', '2', 'w3')}) AS x2, least(w3, {put('I', '2', 'w2')}) AS x3
+              FROM (SELECT d.c, r.i, {row(0)} AS w0, {row(1)} AS w1, {row(2)} AS w2, {row(3)} AS w3
+                    FROM dp d JOIN rows r ON r.c = d.c AND r.i = d.i - 1))),
+    best AS (SELECT c, left(v0, 9)::BIGINT AS cost, substr(v0, 10) AS audit FROM dp WHERE i = 1),
+    walk(c, k, i, state, lines) AS (
+        SELECT c, 1, 1::BIGINT, 0, []::VARCHAR[] FROM best
+        UNION ALL
+        SELECT c, k + 1, i + (letter <> 'I')::INTEGER,
+               CASE WHEN letter = 'D' THEN state WHEN letter = 'K' AND initial = 's' THEN 1 WHEN state = 2 THEN 3 ELSE 2 END,
+               CASE letter WHEN 'D' THEN lines WHEN 'K' THEN lines || [role || ':' || text]
+                    ELSE lines || [CASE WHEN state = 2 THEN 'assistant:' ELSE 'user:' END || CASE WHEN letter = 'R' THEN text ELSE '' END] END
+        FROM (SELECT w.*, b.audit[w.k] AS letter, r.role, r.text, r.initial
+              FROM walk w JOIN best b ON b.c = w.c AND w.k <= length(b.audit) LEFT JOIN rows r ON r.c = w.c AND r.i = w.i)),
+    written AS (SELECT w.c, array_to_string(lines, chr(10)) AS lines FROM walk w JOIN best b ON b.c = w.c AND w.k = length(b.audit) + 1),
+    sums AS (
+        SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM rows GROUP BY c)
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+           coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+    FROM convs LEFT JOIN sums USING (c) LEFT JOIN best USING (c) LEFT JOIN written USING (c)
+    """
