@@ -1,19 +1,20 @@
 """Rating statistics and trust-graph features.
 
 The reference runs one breadth-first search per rating row and per depth
-(9 x rows traversals). Here the hop table (source, reached user, shortest hop
-count) is built once by iterative frontier joins for all sources together;
-the neighbour rows are collapsed to counts per (row, hop, rating value) and
-every depth's statistics come from one more aggregate with ``hops <= d``
-conditions.
+(9 x rows traversals). Here one breadth-first search runs for all sources, 64
+to a 64-bit mask; the neighbours' ratings are collapsed to counts per (row, hop,
+rating value) and every depth's statistics come from one more aggregate with
+``hops <= d`` conditions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir, cut_lineage
+from quarry.session import cut_lineage, remove_path, written
 
 
 def item_rating_stats(ratings: DataFrame, item: str = "item_id", label: str = "label") -> DataFrame:
@@ -98,65 +99,120 @@ def trusted_rating_stats(rows: DataFrame, ratings: DataFrame, edges: DataFrame)
     return rows.join(stats, ["user_id", "item_id"], "left").na.fill(-1.0, cols)
 
 
-def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9,
-               src: str = "trustor", dst: str = "trustee", checkpoint_every: int = 1) -> DataFrame:
-    """(src, dst, hops) with the shortest hop count 1..max_depth from each
-    source to every user it reaches, the source itself excluded.
-
-    One frontier join per hop: frontier (source, node) x edges on node,
-    distinct, minus everything already reached (anti join). Each hop's new
-    pairs are checkpointed to the shared folder, which cuts the lineage and
-    makes the loop restartable after executor loss; the reached set is the
-    union of those checkpoints. The loop stops early when a hop adds nothing
-    (a bounded ``isEmpty`` check on the checkpointed hop).
+@dataclass
+class Reach:
+    """Who reaches whom within how many hops, 64 sources to a row.
+
+    ``sources``: src, block, flag (one bit of the block's 64). ``hops``: block,
+    node, hops, mask -- the sources of the block whose shortest way to the node
+    has that many hops. A node stands once per block and hop, not once per source.
+    """
+
+    sources: DataFrame
+    hops: DataFrame
+
+    def with_sources(self, masked: DataFrame, mask: str) -> DataFrame:
+        """``masked`` rows (with ``block`` and a bit mask) once per source whose bit is set, as ``src``."""
+        members = self.sources.groupBy("block").agg(F.collect_list(F.struct("flag", "src")).alias("__members"))  # at most 64
+        named = F.filter("__members", lambda m: m["flag"].bitwiseAND(F.col(mask)) != 0)
+        return masked.join(members, "block").withColumn("__member", F.explode(named)).withColumn("src", F.col("__member.src")).drop("__members", "__member", "block", mask)
+
+    def pairs(self) -> DataFrame:
+        """(src, dst, hops), a row per source and user reached."""
+        return self.with_sources(self.hops, "mask").select("src", F.col("node").alias("dst"), "hops")
+
+
+def in_blocks(sources: DataFrame) -> DataFrame:
+    """src, block and flag: distinct sources in order, 64 to a block (neighbours in order tend to reach the same users)."""
+    src = sources.columns[0]
+    seeds = sources.select(F.col(src).alias("src")).filter("src IS NOT NULL").distinct().repartitionByRange("src").sortWithinPartitions("src")
+    numbered, _ = written(seeds.withColumn("__at", F.monotonically_increasing_id()), "khop-sources")
+    return numbered.select("src", F.shiftright("__at", 6).alias("block"), F.expr("shiftleft(1L, CAST(__at & 63 AS INT))").alias("flag"))
+
+
+def pack(pairs: DataFrame) -> Reach:
+    """The block form of (src, dst, hops) rows."""
+    sources = in_blocks(pairs.select("src"))
+    hops = pairs.join(sources, "src").groupBy("block", F.col("dst").alias("node"), "hops").agg(F.bit_or("flag").alias("mask"))
+    return Reach(sources, hops)
+
+
+def khop_masks(edges: DataFrame, sources: DataFrame, max_depth: int = 9, src: str = "trustor", dst: str = "trustee") -> Reach:
+    """Breadth-first search from all sources at once, 64 of them per machine word.
+
+    The state is one row per (block of 64 sources, user): ``seen``, the sources
+    that have reached the user, and ``new``, those that did so in the last hop.
+    A hop joins the rows with new bits to the edges, combines the masks per
+    (block, next user) with ``bit_or`` (map-side first) together with the state,
+    and keeps ``found & ~seen``: one equi-join and one aggregate for 64 searches,
+    and no anti-join against earlier hops. Every hop's state is a table in the
+    shared folder, split into rows with new bits (kept: they are the result)
+    and the others, which go as soon as the next hop stands. The loop ends when
+    a hop finds nothing.
     """
-    checkpoint_dir(edges.sparkSession)
-    # The edge list is read by every hop: de-duplicate it once, hash it by the
-    # join key and checkpoint it, so each hop shuffles only its frontier.
-    e = cut_lineage(edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).filter("node <> next")
-                    .distinct().repartition("node"))
-    seeds = sources.select(F.col(sources.columns[0]).alias("src")).distinct()
-    frontier = seeds.select("src", F.col("src").alias("node"))
-    reached = seeds.select("src", F.col("src").alias("dst"), F.lit(0).alias("hops"))
+    spark = edges.sparkSession
+    e = cut_lineage(edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).filter("node <> next").distinct().repartition("node"))
+    blocks = in_blocks(sources)
+    none = F.lit(0).cast("long")
+    # a source has seen itself, so it is never its own neighbour
+    state, fresh, stale = blocks.select("block", F.col("src").alias("node"), F.col("flag").alias("seen")), None, None
+    frontier = state.withColumnRenamed("seen", "new")
+    parts = []
     for hop in range(1, max_depth + 1):
-        step = (
-            frontier.join(e, "node")
-            .select("src", F.col("next").alias("dst"))
-            .distinct()
-            .join(reached.select("src", "dst"), ["src", "dst"], "left_anti")
-            .withColumn("hops", F.lit(hop))
-        )
-        # Only the new hop is written; the reached set stays a union of
-        # checkpointed hops, so nothing is recomputed or rewritten.
-        step = cut_lineage(step) if hop % checkpoint_every == 0 else step
-        if step.isEmpty():
+        found = frontier.join(e, "node").select("block", F.col("next").alias("node"), none.alias("seen"), F.col("new").alias("found"))
+        both = state.withColumn("found", none).unionByName(found).groupBy("block", "node").agg(F.bit_or("seen").alias("seen"), F.bit_or("found").alias("found"))
+        new = F.col("found").bitwiseAND(F.bitwise_not("seen"))
+        step, path = written(both.select("block", "node", F.col("seen").bitwiseOR(F.col("found")).alias("seen"), new.alias("new"), (new != 0).alias("fresh")), "khop-state", ("fresh",))
+        if stale:
+            remove_path(spark, stale)
+        stale = f"{path}/fresh=false"
+        fresh = step.filter("fresh")
+        if fresh.isEmpty():
             break
-        reached = reached.unionByName(step)
-        frontier = step.select("src", F.col("dst").alias("node"))
-    return reached.filter(F.col("hops") > 0)
+        parts.append(fresh.select("block", "node", F.lit(hop).alias("hops"), F.col("new").alias("mask")))
+        state, frontier = step.select("block", "node", "seen"), fresh.select("block", "node", "new")
+    if stale:
+        remove_path(spark, stale)
+    kind = edges.schema[dst].dataType.simpleString()
+    hops = spark.createDataFrame([], f"block long, node {kind}, hops int, mask long")
+    for part in parts:
+        hops = hops.unionByName(part) if part is not parts[0] else part
+    return Reach(blocks, hops)
 
 
-def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: DataFrame, depths: range = range(1, 10)) -> DataFrame:
+def khop_reach(edges: DataFrame, sources: DataFrame, max_depth: int = 9, src: str = "trustor", dst: str = "trustee") -> DataFrame:
+    """(src, dst, hops) with the shortest hop count 1..max_depth from each
+    source to every user it reaches, the source itself excluded; see ``khop_masks``."""
+    return khop_masks(edges, sources, max_depth, src, dst).pairs()
+
+
+def khop_rating_stats(rows: DataFrame, ratings: DataFrame, reach: Reach | DataFrame, depths: range = range(1, 10)) -> DataFrame:
     """For every (user, item) row and depth d, mean, population sd, count,
     median, min and max of the item's ratings by users within d hops;
-    -1 (count 0) when there are none.
-
-    Reached users meet their ratings first, and are collapsed at once to, per
-    (source, item, rating value), the number of neighbours within each depth
-    (one aggregate with ``hops <= d`` conditions); only then are the asked rows
-    picked, so rows are never multiplied by the reach of their user. Everything else follows from those counts: moments as
-    weighted sums, min / max as the extreme values with a non-zero count, and
-    the exact median from running counts in rating order (a window over one
-    row's distinct rating values, never over its neighbours).
+    -1 (count 0) when there are none. ``reach`` may also be (src, dst, hops) rows.
+
+    Reached users meet their ratings by block; only bits whose source asks for
+    that item stay, equal masks are counted together, and only those counts are
+    spread over the sources. So neither the reach nor the ratings are multiplied
+    by sources that ask for something else. Everything else follows from the
+    counts per (user, item, rating value): moments as weighted sums, min / max
+    as the extreme values with a non-zero count, and the exact median from
+    running counts in rating order (a window over one row's distinct rating
+    values, never over its neighbours).
     """
     from pyspark.sql import Window
 
-    r = ratings.select(F.col("user_id").alias("dst"), "item_id", F.col("label").alias("v"))
-    cand = reach.select(F.col("src").alias("user_id"), "dst", "hops").join(r, "dst")
+    if isinstance(reach, DataFrame):
+        reach = pack(reach)
     key = ["user_id", "item_id"]
+    asking = rows.select(F.col("user_id").alias("src"), "item_id").distinct().join(reach.sources, "src")
+    asked = asking.groupBy("block", "item_id").agg(F.bit_or("flag").alias("asked"))
+    r = ratings.select(F.col("user_id").alias("node"), "item_id", F.col("label").alias("v"))
+    met = reach.hops.join(r, "node").join(asked, ["block", "item_id"]).withColumn("mask", F.col("mask").bitwiseAND(F.col("asked"))).filter("mask <> 0")
+    met = met.groupBy("block", "item_id", "v", "hops", "mask").agg(F.count(F.lit(1)).alias("__n"))
+    cand = reach.with_sources(met, "mask").withColumnRenamed("src", "user_id")
     counts = cand.groupBy(*key, "v").agg(
-        *[F.count(F.when(F.col("hops") <= d, 1)).alias(f"c{d}") for d in depths])
-    counts = counts.join(rows.select(*key).distinct(), key, "left_semi")
+        *[F.coalesce(F.sum(F.when(F.col("hops") <= d, F.col("__n"))), F.lit(0)).alias(f"c{d}") for d in depths])
     upto = Window.partitionBy(*key).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*key)
     counts = counts.withColumn("__low", F.min("v").over(whole))

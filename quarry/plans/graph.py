@@ -113,7 +113,7 @@ FROM ratings r LEFT JOIN s ON r.user_id = s.user_id AND r.item_id = s.item_id"""
 @query("khop_rating_stats", _khop_sql(), ("ratings", "trust", "reach"))
 def q_khop_stats(spark, sf):
     r, t = ratings(spark, sf), trust(spark, sf)
-    reach = G.khop_reach(t, r.select("user_id"), max_depth=max(DEPTHS))
+    reach = G.khop_masks(t, r.select("user_id"), max_depth=max(DEPTHS))
     return rounded(G.khop_rating_stats(r, r, reach, DEPTHS))
 
 

@@ -83,6 +83,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, tag: str, partition_by: tuple[str, ...] = ()):
+    """(``df`` written as Parquet into the checkpoint folder and read back, its path): lineage ends at files that every executor can read."""
+    path = scratch_path(df.sparkSession, tag)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``written`` that no step reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df):
     """Reliable checkpoint of ``df`` into the shared checkpoint folder.
 
