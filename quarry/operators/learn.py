@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators import trees as trees_
+
 SEED = 42
 
 
@@ -215,6 +217,33 @@ def group_models(df: DataFrame, groups: list[str], features: list[str], label: s
     return spark.read.schema(empty).parquet(out) if written else spark.createDataFrame([], empty)
 
 
+def group_forests(df: DataFrame, groups: list[str], features: list[str], label: str, key: list[str], trees: int = 200, depth: int = 8,
+                  split: str = "split") -> DataFrame:
+    """A forest per group, all grown together on the rows with ``split`` = 'train'
+    (a number of jobs that depends on ``depth`` only); returns the other rows of
+    groups with training rows with their ``prediction``."""
+    forest = trees_.grow(df.filter(F.col(split) == "train"), groups, features, [F.col(label)], key, trees, depth)
+    return trees_.predict(forest, df.filter(F.col(split) != "train"))
+
+
+def forest_search(train: DataFrame, held: DataFrame, features: list[str], label: str, classes: list, key: list[str],
+                  sizes: list[int], depths: list[int]) -> DataFrame:
+    """H8: (trees, depth, n, accuracy) of every setting on the hold-out, read off one forest of the largest setting
+    (square root of the features tried at a node)."""
+    whole = trees_.grow(train, [], features, trees_.class_outputs(label, classes), key, max(sizes), max(depths), columns=max(1, int(len(features) ** 0.5)))
+    return trees_.scores(whole, held, label, sizes, depths, classes)
+
+
+def forest_cv(df: DataFrame, features: list[str], label: str, key: str, trees: int, depth: int, folds: int = 5) -> DataFrame:
+    """(fold, n, mse) of a forest per fold, grown together on the rows of the other folds."""
+    fold = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int")
+    held = df.withColumn("fold", fold)
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold"))
+    train = held.withColumn("fold", F.explode(others))
+    forest = trees_.grow(train, ["fold"], features, [F.col(label)], [key], trees, depth)
+    return trees_.scores(forest, held, label, [trees], [depth]).select("fold", "n", "mse")
+
+
 def reg_boosted(max_iter: int = 50, max_depth: int = 4, step: float = 0.1, subsample: float = 0.8, columns: str = "0.8") -> GBTRegressor:
     """Rows and columns are subsampled for every tree (``columns``: share of features tried at a split)."""
     return GBTRegressor(maxIter=max_iter, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=columns, seed=SEED)

@@ -147,16 +147,24 @@ def q_model_metrics(spark, sf):
     return out.select(*[((F.col(c) > 0) & (F.col(c) <= 1)).alias(c) for c in out.columns])
 
 
-SEARCH = {"numTrees": [20, 50], "maxDepth": [4, 8]}
+SEARCH = {"numTrees": list(range(50, 400, 25)), "maxDepth": list(range(6, 20, 2))}
 
 
 @query("holdout_search", _grid_sql(_grid_names(**SEARCH), "accuracy"))
 def q_holdout_search(spark, sf):
-    train, _ = _clf_split(spark, sf)
-    est = L.clf_forest()
-    grid = ParamGridBuilder().addGrid(est.numTrees, SEARCH["numTrees"]).addGrid(est.maxDepth, SEARCH["maxDepth"]).build()
-    _, rows = L.holdout_search(est, grid, L.evaluator_accuracy(), train)
-    return _scored(L.search_table(spark, rows, "accuracy"), "accuracy")
+    """All 98 settings of the reference's grid, read off one forest of 375 trees of depth 18."""
+    e = load(spark, sf, "embeddings").filter("label IS NOT NULL")
+    size = e.agg(F.max(F.size("embedding"))).first()[0]
+    classes = sorted(r[0] for r in e.select("label").distinct().collect())  # one value per class
+    names = [f"x{i}" for i in range(size)]
+    rows = L.holdout_split(e.select("vec_id", "label", *[F.col("embedding")[i].alias(c) for i, c in enumerate(names)]), "vec_id", 0.2)
+    rows = L.holdout_split(rows.filter("split = 'train'"), "vec_id", 0.2, salt="search")
+    table = L.forest_search(rows.filter("split = 'train'"), rows.filter("split = 'test'"), names, "label", classes, ["vec_id"], **_SETTINGS)
+    return table.select(F.format_string("[('maxDepth', %.1f), ('numTrees', %.1f)]", F.col("depth").cast("double"), F.col("trees").cast("double")).alias("params"),
+                        _finite("accuracy").alias("scored"))
+
+
+_SETTINGS = {"sizes": SEARCH["numTrees"], "depths": SEARCH["maxDepth"]}
 
 
 def _day_data(spark, sf):
@@ -184,8 +192,7 @@ def q_cv_score(spark, sf):
     selected = [r["feature"] for r in found.collect()]  # at most one row per feature
     out = None
     for name, cols in (("all", DAY_FEATURES), ("selected", selected or DAY_FEATURES)):
-        _, rows = L.cv_search(L.reg_forest(num_trees=50, max_depth=6), ParamGridBuilder().build(), L.evaluator_mse(), L.assemble(d, cols), folds=5)
-        t = spark.createDataFrame([(name, float(rows[0][1]))], "feature_set string, mse double")
+        t = L.forest_cv(d, cols, "label", "date", trees=200, depth=6).agg(F.lit(name).alias("feature_set"), F.avg("mse").alias("mse"))
         out = t if out is None else out.unionByName(t)
     return out.select("feature_set", _finite("mse").alias("scored"))
 
@@ -197,10 +204,10 @@ WITH s AS (SELECT year, season_id, date, total_users,
 SELECT year, season_id, date, CAST(total_users AS DOUBLE) AS label, true AS finite FROM s
 WHERE test AND (year, season_id) IN (SELECT (year, season_id) FROM s WHERE NOT test)""", ("days",))
 def q_group_models(spark, sf):
-    """Each group's model scored on the group's held-out days."""
+    """Forests of 200 trees for all groups at once, scored on the groups' held-out days."""
     d = days(spark, sf).withColumn("label", F.col("total_users").cast("double"))
     d = L.stratified_split(d, "date", ["year", "season_id"], 0.15)
-    pred = L.group_models(d, ["year", "season_id"], DAY_FEATURES[:4], "label", lambda: L.reg_forest(num_trees=50, max_depth=8))
+    pred = L.group_forests(d, ["year", "season_id"], DAY_FEATURES, "label", ["date"], trees=200, depth=8)
     return pred.select("year", "season_id", "date", "label", _finite("prediction").alias("finite"))
 
 
