@@ -185,6 +185,68 @@ def group_line_mse(df: DataFrame, groups: list[str], x: str, y: str) -> DataFram
     return per.unionByName(total)
 
 
+#: Share of a feature's variance that must be left beside the features before it.
+DEPENDENT = 1e-10
+
+
+def group_linear(df: DataFrame, groups: list[str], features: list[str], label: str) -> DataFrame:
+    """Least squares on a list of features per group: group columns, n,
+    mse (training), intercept and coefficients, all groups in one aggregate.
+
+    The aggregate holds the covariances of the features and the label (summed
+    around running means, so large values do not cancel); the normal equations
+    are solved by Cholesky in array expressions, forwards for the explained
+    part and backwards for the coefficients. A feature that is constant or a
+    combination of those before it in a group gets the coefficient 0 and
+    changes nothing; so does every feature beyond a group's rows. Rows with a NULL or NaN
+    in a feature or the label are left out, and so is a group without rows.
+    """
+    p = len(features)
+    columns = [F.col(c).cast("double") for c in (*features, label)]
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & c.isNotNull() & ~F.isnan(c)
+    cells = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.covar_pop(columns[i], columns[j]).alias("c")) for i in range(p + 1) for j in range(i + 1)]
+    out = df.filter(whole).groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.array(*cells).alias("__cells"), F.array(*[F.avg(c) for c in columns]).alias("__means"))
+
+    def dot(a: str, b: str) -> str:
+        return f"aggregate(zip_with({a}, {b}, (a, b) -> a * b), 0D, (t, v) -> t + v)"
+
+    # the factor's lower triangle, row after row; the row of (i, j) begins at i (i + 1) / 2
+    before = dot("slice(l, x.i * (x.i + 1) div 2 + 1, x.j)", "slice(l, x.j * (x.j + 1) div 2 + 1, x.j)")
+    pivot = "element_at(l, CAST((x.j + 1) * (x.j + 2) div 2 AS INT))"
+    own = f"if(x.c - {before} > {DEPENDENT}D * x.c, sqrt(x.c - {before}), 0D)"
+    out = out.withColumn("__l", F.expr(f"aggregate(__cells, CAST(array() AS array<double>), (l, x) -> concat(l, array(if(x.i = x.j, {own}, if({pivot} = 0, 0D, (x.c - {before}) / {pivot})))))"))
+    last = F.slice("__l", p * (p + 1) // 2 + 1, p)
+    explained = F.aggregate(last, F.lit(0.0), lambda t, v: t + v * v)
+    out = out.withColumn("mse", F.greatest(F.lit(0.0), F.element_at("__cells", -1)["c"] - explained)).withColumn("__z", last)
+    column = f"transform(slice(sequence(0, {p - 1}), j + 2, {p - 1} - j), i -> element_at(__l, CAST(i * (i + 1) div 2 + j + 1 AS INT)))"
+    diagonal = "element_at(__l, CAST((j + 1) * (j + 2) div 2 AS INT))"
+    back = f"aggregate(sequence({p - 1}, 0, -1), CAST(array() AS array<double>), (w, j) -> concat(array(if({diagonal} = 0, 0D, (element_at(__z, j + 1) - {dot(column, 'w')}) / {diagonal})), w))"
+    out = out.withColumn("coefficients", F.expr(back))
+    shift = F.expr(dot(f"slice(__means, 1, {p})", "coefficients"))
+    return out.select(*groups, "n", "mse", (F.element_at("__means", -1) - shift).alias("intercept"), "coefficients")
+
+
+def group_linear_mse(df: DataFrame, groups: list[str], features: list[str], label: str) -> DataFrame:
+    """N and training MSE per group of at least two rows, and the row-weighted total with keys 'all'."""
+    per = group_linear(df, groups, features, label).filter("n >= 2").select(*[F.col(g).cast("string").alias(g) for g in groups], "n", "mse")
+    total = per.agg(*[F.lit("all").alias(g) for g in groups], F.sum("n").alias("n"), F.try_divide(F.sum(F.col("n") * F.col("mse")), F.sum("n")).alias("mse"))
+    return per.unionByName(total)
+
+
+def group_linear_predict(df: DataFrame, groups: list[str], features: list[str], label: str, split: str = "split") -> DataFrame:
+    """Rows with ``split`` other than 'train' and their ``prediction`` by the line of their group, fitted on the rows with 'train'."""
+    lines = group_linear(df.filter(F.col(split) == "train"), groups, features, label)
+    lines = lines.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], "intercept", "coefficients")
+    rest = df.filter(F.col(split) != "train")
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & rest[g].eqNullSafe(F.col(f"__g{i}"))
+    value = F.col("intercept") + sum((F.col("coefficients")[i] * F.col(c).cast("double") for i, c in enumerate(features)), F.lit(0.0))
+    return rest.join(lines, same).select(*df.columns, value.alias("prediction"))
+
+
 def group_models(df: DataFrame, groups: list[str], features: list[str], label: str, estimator_factory,
                  split: str = "split") -> DataFrame:
     """One model per group, fitted on its rows with ``split`` = 'train';

@@ -131,6 +131,34 @@ def q_group_mse(spark, sf):
     return rounded(group_line_mse(days(spark, sf), ["year", "season_id"], "temperature", "total_users"))
 
 
+def _determinant(names: list[str]) -> str:
+    """Determinant of the covariance matrix of ``names`` by expansion along the first row."""
+    def minor(rows, cols):
+        if not rows:
+            return "1"
+        return "(" + " ".join(f"{'-' if k % 2 else '+'} c_{min(rows[0], c)}_{max(rows[0], c)} * {minor(rows[1:], cols[:k] + cols[k + 1:])}" for k, c in enumerate(cols)) + ")"
+
+    every = tuple(range(len(names)))
+    return minor(every, every)
+
+
+_LINE = ["temperature", "humidity", "wind_speed", "total_users"]
+
+
+# The variance left by a regression is the determinant of all covariances over that of the features'.
+@query("group_mse_features", f"""
+WITH c AS (SELECT year, season_id, count(*) AS n, {', '.join(f"covar_pop({a}, {b}) AS c_{i}_{j}" for i, a in enumerate(_LINE) for j, b in enumerate(_LINE) if i <= j)}
+           FROM days GROUP BY year, season_id),
+g AS (SELECT CAST(year AS VARCHAR) AS year, CAST(season_id AS VARCHAR) AS season_id, n, {_determinant(_LINE)} / {_determinant(_LINE[:3])} AS mse FROM c)
+SELECT year, season_id, CAST(n AS BIGINT) AS n, round(mse, 6) AS mse FROM g
+UNION ALL
+SELECT 'all', 'all', CAST(sum(n) AS BIGINT), round(sum(n * mse) / sum(n), 6) FROM g""", ("days",))
+def q_group_mse_features(spark, sf):
+    from quarry.operators.learn import group_linear_mse
+
+    return rounded(group_linear_mse(days(spark, sf), ["year", "season_id"], _LINE[:3], _LINE[3]))
+
+
 @query("rating_features", f"""
 WITH t AS ({_TRUSTED_SQL}),
 u AS (SELECT u.*, coalesce(d.total_number_of_trustees, 0) AS total_number_of_trustees,

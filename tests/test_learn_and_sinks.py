@@ -152,3 +152,39 @@ def test_job_runner_writes_result(spark, tmp_path):
     out = str(tmp_path / "c1")
     assert main(["merchant_category_summary", SF_SMALL, out, "--master", "local[4]", "--shuffle-partitions", "8"]) == 0
     assert spark.read.parquet(out).count() == 5
+
+
+def test_group_linear_on_many_features_and_singular_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    rows, x_of = [], {}
+    for g, n in (("plain", 300), ("large", 200), ("twin", 80), ("still", 50), ("few", 3), ("one", 1)):
+        x = rng.normal(size=(n, 4)) * [1, 5, 0.1, 3]
+        if g == "large":
+            x += 1e7  # means far from 0
+        if g == "twin":
+            x[:, 2] = x[:, 0] * 2 + x[:, 1]  # a combination of those before it
+        if g == "still":
+            x[:, 1] = 4.0
+        y = x @ [1.0, -2.0, 3.0, 0.5] + rng.normal(size=n)
+        x_of[g] = x, y
+        rows += [(g, *map(float, a), float(b)) for a, b in zip(x, y)]
+    rows += [("plain", None, 1.0, 1.0, 1.0, 1.0), ("plain", 1.0, 1.0, 1.0, 1.0, None), ("plain", float("nan"), 1.0, 1.0, 1.0, 1.0), (None, 1.0, 2.0, 3.0, 4.0, 5.0), ("none", None, 1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c double, d double, y double").repartition(5)
+    got = {r["g"]: r for r in L.group_linear(df, ["g"], ["a", "b", "c", "d"], "y").collect()}
+    assert set(got) == {*x_of, None}
+    for g, (x, y) in x_of.items():
+        design = np.column_stack([np.ones(len(y)), x - x.mean(axis=0)])
+        best = design @ np.linalg.lstsq(design, y, rcond=None)[0]
+        mse = ((y - best) ** 2).mean()
+        assert got[g]["n"] == len(y) and abs(got[g]["mse"] - mse) < 1e-6 * max(1, y.var())
+        mine = got[g]["intercept"] + x @ np.array(got[g]["coefficients"])
+        assert np.abs(mine - best).max() < 1e-4
+    assert got["twin"]["coefficients"][2] == 0 and got["still"]["coefficients"][1] == 0 and got["one"]["coefficients"] == [0, 0, 0, 0]
+    total = {r["g"]: (r["n"], r["mse"]) for r in L.group_linear_mse(df, ["g"], ["a", "b", "c", "d"], "y").collect()}
+    assert set(total) == {"plain", "large", "twin", "still", "few", "all"}
+    assert total["all"][0] == 633 and abs(total["all"][1] - sum(n * m for g, (n, m) in total.items() if g != "all") / 633) < 1e-9
+    marked = df.withColumn("split", F.when(F.rand(1) < 0.3, "test").otherwise("train"))
+    pred = L.group_linear_predict(marked, ["g"], ["a", "b", "c", "d"], "y").filter("g = 'plain' AND NOT isnan(prediction + y)")
+    assert pred.agg(F.avg(F.pow(F.col("prediction") - F.col("y"), F.lit(2)))).first()[0] < 1.6
