@@ -1,7 +1,8 @@
 """Cleaning and column functions.
 
 All are projections, filters, joins or aggregates; nothing is fetched to the
-driver and no job runs while a plan is built.
+driver, and no job runs while a plan is built but for the tables that number
+the tokens of a dictionary (``multi_hot_indices``).
 """
 
 from __future__ import annotations
@@ -9,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.ordered import numbered
+from quarry.session import written
+
+
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Drop rows with a NULL in any (or the given) column."""
     return df.na.drop(how="any", subset=subset)
@@ -65,20 +70,12 @@ def multi_hot_indices(df: DataFrame, col: str, out: str = "indices", sep: str =
     added), and reach the rows by a join, so no dictionary is held anywhere as
     a whole. A row without tokens has an empty array.
     """
-    from pyspark.sql import Window
-
     words = df.select(F.explode(F.array_distinct(tokens(F.col(col), sep))).alias("token")).distinct()
-    # number within a leading character pair, plus the tokens before that pair
-    words = words.withColumn("__p", F.substring("token", 1, 2))
-    before = words.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = before.withColumn("__before", F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).drop("__n")
-    place = F.row_number().over(Window.partitionBy("__p").orderBy("token")) - 1
-    numbered = words.withColumn("__k", place).join(before, "__p").select("token", (F.col("__k") + F.col("__before")).alias("__k"))
-    keyed = df.withColumn("__toks", F.coalesce(F.array_distinct(tokens(F.col(col), sep)), F.array().cast("array<string>")))
-    keyed = keyed.withColumn("__id", F.struct(*df.columns))
-    rows = keyed.select("__id", F.explode("__toks").alias("token")).join(numbered, "token")
-    got = rows.groupBy("__id").agg(F.array_sort(F.collect_set("__k")).alias(out))
-    return keyed.join(got, "__id", "left").select(*df.columns, F.coalesce(out, F.array().cast("array<bigint>")).alias(out))
+    codes = numbered(words, [F.col("token").asc()], "tokens", out="__k")
+    keyed, _ = written(df.withColumn("__id", F.monotonically_increasing_id()), "token-rows")
+    toks = F.array_distinct(tokens(F.col(col), sep))
+    got = keyed.select("__id", F.explode(toks).alias("token")).join(codes, "token").groupBy("__id").agg(F.array_sort(F.collect_set("__k")).alias("__codes"))
+    return keyed.join(got, "__id", "left").select(*df.columns, F.coalesce("__codes", F.array().cast("array<bigint>")).alias(out))
 
 
 def multi_hot(df: DataFrame, col: str, dictionary: list[str], prefix: str, sep: str = ",") -> DataFrame:

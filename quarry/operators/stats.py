@@ -2,7 +2,8 @@
 
 Moments, shares and intervals are single grouped aggregates (partial +
 final). Quantiles are Spark's exact ``percentile`` (value counts per group)
-or ``percentile_approx`` (bounded sketch) on request. Tail probabilities use
+or, on request, positions in one distributed order or ``percentile_approx``
+(bounded sketch). Tail probabilities use
 a pandas UDF on the aggregated rows only.
 """
 
@@ -10,13 +11,12 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions import vocab as V
 from quarry.functions.tails import normal_p_udf, t_p_udf
+from quarry.operators.ordered import group_quantiles, rolling
 
 def outcome_summary(df: DataFrame, group: str, x: str) -> DataFrame:
     """Mean, population sd and standard error (sd / sqrt(n)) per group."""
@@ -137,14 +137,18 @@ def spread_pvalue(spread_row: DataFrame) -> DataFrame:
     return spread_row.withColumn("p_value", normal_p_udf(F.col("z")))
 
 
-def describe_by_group(df: DataFrame, group: str, cols: list[str], exact: bool = True) -> DataFrame:
+def describe_by_group(df: DataFrame, group: str, cols: list[str], exact: bool | str = True) -> DataFrame:
     """Count, mean, sample sd, min, quartiles, max per (group, column).
 
     Columns are unpivoted first so one grouped aggregate serves them all.
     ``exact`` uses Spark's ``percentile`` (linear interpolation, like pandas);
-    otherwise ``percentile_approx`` with a bounded sketch.
+    ``exact="sorted"`` gives the same quartiles for groups of any size: the
+    values are put in one order over all groups instead of one buffer per
+    group; otherwise ``percentile_approx`` with a bounded sketch.
     """
     long = df.unpivot(group, cols, "metric", "value")
+    if exact == "sorted":
+        return _describe_sorted(long, group)
     q = (F.percentile("value", [0.25, 0.5, 0.75]) if exact
          else F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).cast("array<double>"))
     return long.groupBy(group, "metric").agg(
@@ -159,6 +163,15 @@ def describe_by_group(df: DataFrame, group: str, cols: list[str], exact: bool =
              F.col("__q")[2].alias("q75"), "max")
 
 
+def _describe_sorted(long: DataFrame, group: str) -> DataFrame:
+    plain = long.groupBy(F.col(group).alias("__grp"), F.col("metric").alias("__metric")).agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    found = group_quantiles(long, [group, "metric"], "value", [0.25, 0.5, 0.75])
+    both = plain.join(found, F.col("__grp").eqNullSafe(found[group]) & (F.col("__metric") == found["metric"]), "left")
+    return both.select(F.col("__grp").alias(group), F.col("__metric").alias("metric"), "count", "mean", "std", "min",
+                       *[F.col("quantiles")[i].alias(c) for i, c in enumerate(("q25", "q50", "q75"))], "max")
+
+
 def group_moments(df: DataFrame, group: str, cols: list[str]) -> DataFrame:
     """Mean, sample sd and non-null n per (group, metric), one aggregate."""
     long = df.unpivot(group, cols, "metric", "value")
@@ -212,56 +225,7 @@ def rolling_mean(df: DataFrame, order: list[str], values: list[str], rows: int =
     the total order ``order``, optionally restarting per ``series``.
 
     A window without a partition would run in one task, and a window per
-    series puts a hot series in one task. Instead the rows are range
-    partitioned by (series, order) and sorted; each partition's last
-    ``rows - 1`` rows (a bounded set: partitions x (rows - 1)) are fetched
-    and handed to the following partition, which prepends them before the
-    rolling mean runs in pandas. The ranged data is checkpointed to the
-    shared folder so both passes see the same partitioning.
+    series puts a hot series in one task; see ``ordered.rolling``: blocks of
+    consecutive rows with a halo of ``rows - 1`` rows. NULL and NaN are missing.
     """
-    from quarry.session import cut_lineage
-
-    spark = df.sparkSession
-    keys = ([series] if series else []) + order
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
-    k = rows - 1
-    pid = F.spark_partition_id().alias("__pid")
-    tagged = ranged.select("*", pid)
-    schema = tagged.schema
-
-    def tail(it):
-        last = None
-        for pdf in it:
-            last = pdf if last is None else pd.concat([last, pdf]).tail(k)
-            last = last.tail(k)
-        if last is not None and len(last):
-            yield last
-
-    tails = tagged.mapInPandas(tail, schema).toPandas() if k > 0 else pd.DataFrame(columns=schema.names)
-    tails = tails.sort_values("__pid", kind="stable")
-    out_schema = T.StructType(list(ranged.schema.fields) + [
-        T.StructField(f"rolling_{v}", T.DoubleType()) for v in values])
-
-    def roll(it):
-        carry = None
-        for pdf in it:
-            if pdf.empty:
-                continue
-            if carry is None:
-                me = int(pdf["__pid"].iloc[0])
-                carry = tails[tails["__pid"] < me].tail(k) if k > 0 else tails.iloc[0:0]
-            both = pd.concat([carry, pdf], ignore_index=True)
-            for v in values:
-                col = both[v].astype("float64")
-                if series:
-                    r = col.groupby(both[series].values, dropna=False).rolling(rows, min_periods=1).mean()
-                    r = r.reset_index(level=0, drop=True).sort_index()
-                else:
-                    r = col.rolling(rows, min_periods=1).mean()
-                both[f"rolling_{v}"] = r.values
-            yield both.iloc[len(carry):].drop(columns="__pid")
-            # Only the last rows - 1 rows can reach into the next batch.
-            carry = both.drop(columns=[f"rolling_{v}" for v in values]).tail(k) if k > 0 else both.iloc[0:0]
-
-    return tagged.mapInPandas(roll, out_schema)
+    return rolling(df, ([series] if series else []) + order, series, values, rows, partitions)

@@ -9,6 +9,7 @@ from quarry.operators import fraud as FR
 from quarry.operators import reports as R
 from quarry.operators import summary as SU
 from quarry.operators.joins import append_new, left_enrich
+from quarry.operators.ordered import asof_join
 from quarry.plans import sqlparts as S
 from quarry.plans.registry import query
 from quarry.sources.fixtures import listings, neighbourhoods, transactions
@@ -155,3 +156,17 @@ def q_listing_rollup(spark, sf):
         F.avg("latitude").alias("avg_latitude"),
         F.avg("longitude").alias("avg_longitude"),
     )
+
+
+@query("asof_last_decline", """
+WITH d AS (SELECT customer_id, event_time, max(transaction_id) AS transaction_id FROM transactions WHERE status = 'declined' GROUP BY 1, 2)
+SELECT l.transaction_id, l.customer_id, l.event_time,
+       CASE WHEN d.event_time >= l.event_time - INTERVAL 2 DAY THEN d.event_time END AS matched_ts,
+       CASE WHEN d.event_time >= l.event_time - INTERVAL 2 DAY THEN d.transaction_id END AS matched_transaction_id
+FROM (SELECT * FROM transactions WHERE status = 'approved') l ASOF LEFT JOIN d ON l.customer_id = d.customer_id AND l.event_time >= d.event_time""",
+       ("transactions",))
+def q_asof_last_decline(spark, sf):
+    """Each approved transaction with its customer's last declined one, if that was within two days."""
+    t = transactions(spark, sf).select("transaction_id", "customer_id", "event_time", "status")
+    approved = t.filter("status = 'approved'").drop("status")
+    return asof_join(approved, t.filter("status = 'declined'"), "customer_id", "event_time", ["transaction_id"], tolerance="2 DAYS")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import stats as ST
-from quarry.plans.registry import query
+from quarry.plans.registry import ORACLES, query
 from quarry.sources.fixtures import days, outcomes, polls, trial
 
 O, PL, TR, DY = ("outcomes",), ("polls",), ("trial",), ("days",)
@@ -138,6 +138,11 @@ def q_describe(spark, sf):
     return rounded(ST.describe_by_group(trial(spark, sf).drop("doc_id"), "grp", ["n_chars", "toxic"]))
 
 
+@query("describe_by_group_sorted", ORACLES["describe_by_group"])
+def q_describe_sorted(spark, sf):
+    return rounded(ST.describe_by_group(trial(spark, sf).drop("doc_id"), "grp", ["n_chars", "toxic"], exact="sorted"))
+
+
 @query("group_moments", f"""
 SELECT grp, metric, {r6('avg(value)')} AS mean, {r6('stddev_samp(value)')} AS sd, count(value) AS n
 FROM (UNPIVOT trial ON n_chars, toxic INTO NAME metric VALUE value) GROUP BY grp, metric""", TR)
