@@ -44,7 +44,11 @@ def drain_topic(spark: SparkSession, servers: str, topic: str, ending: str = "la
 def event_file_stream(spark: SparkSession, directory: str, glob: str = "*.parquet",
                       max_files_per_trigger: int | None = None) -> DataFrame:
     """Events (driver-table schema) from the parquet files of ``directory``
-    matching ``glob``, as a stream flattened to transactions."""
+    matching ``glob``, as a stream flattened to transactions.
+
+    The file source takes files in the order of their modification times. With
+    ``max_files_per_trigger`` files of equal times may come in any order, and
+    then rows of a file read after a later one can fall behind the watermark."""
     directory = directory.rstrip("/")
     schema = spark.read.option("pathGlobFilter", glob).parquet(directory).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
