@@ -74,14 +74,17 @@ def velocity_members(tx: DataFrame, alerts: DataFrame, window: str = "2 minutes"
     )
 
 
-def geo_alerts(tx: DataFrame, within: str = V.GEO_WINDOW, threshold: float = V.GEO_THRESHOLD) -> DataFrame:
+def geo_alerts(tx: DataFrame, within: str = V.GEO_WINDOW, threshold: float = V.GEO_THRESHOLD, later: DataFrame | None = None) -> DataFrame:
     """Two transactions of a customer within ``within`` whose locations are
-    more than ``threshold`` apart (time-bucketed interval self-join)."""
-    geo = tx.select(
-        F.col("transaction_id").alias("tx_id"), "customer_id", "event_time",
-        F.col("location_lat").alias("lat"), F.col("location_lng").alias("lng"),
-    )
-    pairs = interval_join(geo, geo, "customer_id", "event_time", within, "t1_", "t2_")
+    more than ``threshold`` apart (time-bucketed interval self-join; with
+    ``later`` the second transaction comes from there)."""
+    def places(df: DataFrame) -> DataFrame:
+        return df.select(
+            F.col("transaction_id").alias("tx_id"), "customer_id", "event_time",
+            F.col("location_lat").alias("lat"), F.col("location_lng").alias("lng"),
+        )
+
+    pairs = interval_join(places(tx), places(tx if later is None else later), "customer_id", "event_time", within, "t1_", "t2_")
     dist = euclid(F.col("t1_lat"), F.col("t1_lng"), F.col("t2_lat"), F.col("t2_lng"))
     return (
         pairs.withColumn("euclidean_distance", dist)

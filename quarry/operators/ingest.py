@@ -187,3 +187,9 @@ def to_alerts(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 def ingest(raw: DataFrame, **validate_kwargs) -> DataFrame:
     """decode -> flatten -> validate in one projection; stream or batch."""
     return validate(flatten(decode(raw)), **validate_kwargs)
+
+
+def transactions_from_messages(raw: DataFrame, **validate_kwargs) -> DataFrame:
+    """The accepted, flattened transactions of raw (key, value, timestamp) messages; stream or batch."""
+    accepted, _ = split_valid(ingest(raw, **validate_kwargs))
+    return accepted.select(*FLAT_COLUMNS)

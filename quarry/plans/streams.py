@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 from quarry.functions import vocab as V
 from quarry.operators import reports as R
 from quarry.operators import summary as SU
+from quarry.operators.ingest import transactions_from_messages
 from quarry.plans import sqlparts as S
 from quarry.plans.fraud import AMOUNT_FACTOR, VELOCITY, _AMOUNT_SQL, _GEO_SQL, _HALF_DAY_US
-from quarry.plans.registry import query
+from quarry.plans.registry import ORACLES, query
 from quarry.session import scratch_path
-from quarry.sources.fixtures import transactions
+from quarry.sources.fixtures import raw_messages_from_transactions, transactions, transactions_from_events
 from quarry.sources.sinks import load_summary
 from quarry.sources.streams import event_file_stream, read_summary
+from quarry.sources.tables import load
 from quarry.streaming import jobs as J
 from quarry.streaming import runner
+from quarry.streaming.platform import Platform
 from quarry.streaming.store import Archive, PartialStore, read_epochs, write_epoch
 
 TX = ("transactions",)
@@ -165,3 +168,21 @@ def q_stream_archive(spark, sf):
     src = _stream(spark, sf).select("transaction_id", "customer_id", "total_amount", "event_time")
     runner.run_foreach(spark, src, "archive", archive.write)
     return archive.read(spark)
+
+
+def _platform_sql() -> str:
+    """The batch alerts over the accepted rows of the raw messages; velocity windows that the watermark has passed."""
+    body = ORACLES["alerts_union"]
+    body = body[body.index("am AS ("):].replace("transactions", "accepted").replace(
+        "HAVING count(*) > 5", "HAVING count(*) > 5 AND window_start + INTERVAL 24 HOUR <= (SELECT max(event_time) FROM accepted) - INTERVAL 2 MINUTE")
+    return f"WITH accepted AS (SELECT * EXCLUDE (ingest_time, error_code) FROM validated WHERE error_code IS NULL),\n{body}"
+
+
+@query("stream_platform_alerts", _platform_sql(), ("transactions", "raw_flat", "validated"))
+def q_stream_platform_alerts(spark, sf):
+    """Raw messages through the one sink that splits them: the alerts of its committed epochs, with member ids."""
+    accepted = transactions_from_messages(raw_messages_from_transactions(transactions_from_events(load(spark, sf, "events"))))
+    averages = R.customer_summary(accepted).select("customer_id", "avg_trx_value")
+    platform = Platform(scratch_path(spark, "platform"), lambda: averages, amount_factor=AMOUNT_FACTOR, velocity=VELOCITY)
+    platform.start(raw_messages_from_transactions(_stream(spark, sf))).awaitTermination()
+    return platform.read(spark, "alerts")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators import summary as SU
+from quarry.operators.ingest import transactions_from_messages
 from quarry.streaming import jobs as J
 from quarry.streaming.runner import start
 from quarry.streaming.store import Archive, PartialStore
@@ -71,3 +72,8 @@ def start_all(
     archive = Archive(f"{root}/archive", "transaction_id")
     each("archive", tx.select("transaction_id", "customer_id", "total_amount", "event_time"), archive.write, fast)
     return q
+
+
+def start_from_messages(spark: SparkSession, raw: DataFrame, root: str, customer_avgs, **kw) -> dict[str, StreamingQuery]:
+    """``start_all`` over the accepted transactions of raw (key, value, timestamp) messages, e.g. of ``read_topic``."""
+    return start_all(spark, transactions_from_messages(raw), root, customer_avgs, **kw)
