@@ -121,6 +121,47 @@ def q_clf_boosted(spark, sf):
     return _checked_classifier(spark, sf, L.clf_boosted(max_iter=10, max_depth=3))
 
 
+@query("clf_svc_rbf", _CLF_SQL)
+def q_clf_svc_rbf(spark, sf):
+    e = load(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"), F.col("label").cast("double").alias("label"))
+    d = L.holdout_split(e, "vec_id", 0.2)
+    train, test = d.filter("split = 'train'"), d.filter("split = 'test'")
+    pred = L.svc_rbf(train, train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1))), "x")
+    labels = [r[0] for r in train.select("label").distinct().collect()]  # one value per class
+    accuracy = pred.filter("part = 0").agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).scalar()
+    majority = train.groupBy("label").count().agg(F.max("count") / F.sum("count")).scalar()
+    return pred.filter("part = 1").select("vec_id", "label", F.col("prediction").isin(labels).alias("in_domain"), (accuracy > majority).alias("beats_majority"))
+
+
+# one-vs-rest lines cannot part the middle quarters from the rest by the month, the other fits can
+FLOORS = {"logistic": 0.9, "svc": 0.7, "svc_rbf": 0.9, "forest": 0.95, "boosted": 0.95, "reg_boosted": 0.8, "reg_forest": 0.8, "group_forests": 0.5}
+
+
+@query("model_floors", "SELECT * FROM (VALUES " + ", ".join(f"('{m}', true)" for m in FLOORS) + ") t(model, reached)")
+def q_model_floors(spark, sf):
+    """Held-out accuracy (classifiers: season from the day's figures) or explained share (regression: a mix of figures
+    with products) of every kind of fit against a fixed floor, on labels that the features determine."""
+    d = days(spark, sf)
+    target = F.col("month") * 2.0 + F.when(F.col("weekday") < 5, 4.0).otherwise(0.0) + F.col("month") * F.col("year")
+    x = F.array(*[F.col(c).cast("double") for c in ("month", "weekday", "year")])
+    d = L.holdout_split(L.assemble(d, ["month", "weekday", "year"]).withColumns({"x": x, "season": (F.col("season_id") - 1).cast("double"), "target": target}), "date", 0.2)
+    train, test = d.filter("split = 'train'").persist(), d.filter("split = 'test'").persist()
+    right = F.avg((F.col("season") == F.col("prediction")).cast("double"))
+    share = 1 - F.avg(F.pow(F.col("target") - F.col("prediction"), F.lit(2))) / F.var_pop("target")
+    by_season, by_target = (lambda df: df.withColumn("label", F.col("season"))), (lambda df: df.withColumn("label", F.col("target")))
+    out = {}
+    for name, est in (("logistic", L.clf_logistic()), ("svc", L.clf_svc()), ("forest", L.clf_forest(50, 5)), ("boosted", L.clf_boosted(10, 3))):
+        out[name] = est.fit(by_season(train)).transform(by_season(test)).agg(right)
+    out["svc_rbf"] = L.svc_rbf(by_season(train), by_season(test), "x", gamma=1.0).agg(right)
+    for name, est in (("reg_boosted", L.reg_boosted(40)), ("reg_forest", L.reg_forest(50, 8))):
+        out[name] = est.fit(by_target(train)).transform(by_target(test)).agg(share)
+    out["group_forests"] = L.group_forests(d, ["season_id"], ["month", "weekday", "year"], "target", ["date"], trees=20, depth=5).agg(share)
+    train.unpersist()
+    rows = [(name, float(out[name].first()[0]) >= floor) for name, floor in FLOORS.items()]  # one number per model
+    test.unpersist()
+    return spark.createDataFrame(rows, "model string, reached boolean")
+
+
 # Metric arithmetic checked exactly on a deterministic (label, prediction)
 # pair set read from the labels table: quality against 1 - toxic.
 @query("classification_metrics", """

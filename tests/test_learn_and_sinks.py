@@ -188,3 +188,43 @@ def test_group_linear_on_many_features_and_singular_groups(spark):
     marked = df.withColumn("split", F.when(F.rand(1) < 0.3, "test").otherwise("train"))
     pred = L.group_linear_predict(marked, ["g"], ["a", "b", "c", "d"], "y").filter("g = 'plain' AND NOT isnan(prediction + y)")
     assert pred.agg(F.avg(F.pow(F.col("prediction") - F.col("y"), F.lit(2)))).first()[0] < 1.6
+
+
+def test_fourier_features_beat_the_line_on_two_rings(spark):
+    import math
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        radius, angle = (1.0 if i % 2 else 2.5) + rng.gauss(0, 0.15), rng.uniform(0, 2 * math.pi)
+        rows.append(([radius * math.cos(angle), radius * math.sin(angle)], float(i % 2)))
+    d = spark.createDataFrame(rows, "x array<double>, label double").repartition(4)
+    train, test = d.limit(400), d.exceptAll(d.limit(400))
+    right = lambda p: p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    line = L.clf_svc(50).fit(L.vectors(train, "x"))
+    assert right(line.transform(L.vectors(test, "x"))) < 0.75
+    assert right(L.svc_rbf(train, test, "x", gamma=1.0, components=128)) > 0.97
+
+
+def test_fourier_features_approximate_the_kernel(spark):
+    import numpy as np
+
+    x = np.random.default_rng(1).normal(size=(12, 5))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "i int, x array<double>")
+    z = np.array([r["features"].toArray() for r in L.fourier_features(df, "x", 5, 0.1, 4000).orderBy("i").collect()])
+    kernel = np.exp(-0.1 * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - kernel).max() < 0.08
+
+
+def test_console_sink_and_csv_scan(spark, tmp_path, capfd):
+    from pyspark.sql import types as T
+
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("a", 1), ("b", None)], "k string, v int").coalesce(1).write.option("header", True).csv(src)
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
+    assert sorted(map(tuple, read_table(spark, src, schema).collect()), key=str) == [("a", 1), ("b", None)]
+    stream = spark.readStream.schema(schema).option("header", True).csv(src)
+    q = sinks.console(stream, str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    assert q.exception() is None and q.lastProgress["numInputRows"] == 2
