@@ -27,6 +27,18 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """``names`` as column names that ``df`` does not have, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. ``lower`` is the same and faster when all is ASCII."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ascii_lower
+from quarry.llm.common import ascii_lower, private
 
 N = 10
 SPLIT = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -112,11 +112,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N, mode: str =
     """
     if mode not in ("document", "span"):
         raise ValueError("mode is document or span")
+    key, at = private(docs, "_key", "_hit_at")
     texts = docs.select("text").withColumn("_key", _text_key(docs)[1])
-    bad = hits(texts, benchmark, n, keep=("_key",)).filter(F.size("hit_at") > 0).select("_key", "hit_at").dropDuplicates(["_key"])
-    keyed = docs.withColumn("_key", _text_key(docs)[1])
+    bad = hits(texts, benchmark, n, keep=("_key",)).filter(F.size("hit_at") > 0).select(F.col("_key").alias(key), F.col("hit_at").alias(at)).dropDuplicates([key])
+    keyed = docs.withColumn(key, _text_key(docs)[1])
     if mode == "document":
-        return keyed.join(bad.select("_key"), "_key", "left_anti").select(*docs.columns)
-    left = F.array_join(F.filter(words(F.col("text")), lambda w, i: ~F.array_contains("hit_at", i + 1)), " ")
-    out = keyed.join(bad, "_key", "left")
-    return out.select(*[F.when(F.col("hit_at").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns])
+        return keyed.join(bad.select(key), key, "left_anti").select(*docs.columns)
+    left = F.array_join(F.filter(words(F.col("text")), lambda w, i: ~F.array_contains(at, i + 1)), " ")
+    out = keyed.join(bad, key, "left")
+    return out.select(*[F.when(F.col(at).isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns])

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import private, saved
 from quarry.llm.components import connected_components
 from quarry.llm.counttree import CountTree, enough, pack, small_run_pairs, unpack
 from quarry.llm.textarrays import doc_words, groups_of, mix
@@ -373,11 +373,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     # a document repeated with its id is one of a group, too
     times = rows.filter("sid is not null").groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"))
     empty = rows.filter("sid is null").select("doc_id", "key").distinct()
+    ident, key, repeated, own = private(docs, "_id", "_key", "_repeated", "_text_key")
     stay = saved(first.join(times, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k")), "left").select(
-        F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("_k").isNotNull().alias("_repeated")).union(
+        F.col("doc_id").alias(ident), F.col("key").alias(key), F.col("_k").isNotNull().alias(repeated)).union(
         empty.select("doc_id", "key", F.lit(False))), "jac-stay")
-    keyed = docs.withColumn("_text_key", F.md5(F.coalesce(F.col("text"), F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    once = keyed.join(stay.filter("not _repeated"), same, "left_semi").select(*docs.columns)
-    again = keyed.join(stay.filter("_repeated"), same, "left_semi").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+    keyed = docs.withColumn(own, F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col(ident)) & (F.col(own) == F.col(key))
+    once = keyed.join(stay.filter(~F.col(repeated)), same, "left_semi").select(*docs.columns)
+    again = keyed.join(stay.filter(F.col(repeated)), same, "left_semi").dropDuplicates(["doc_id", own]).select(*docs.columns)
     return once.unionByName(again)

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import saved
+from quarry.llm.common import private, saved
 from quarry.llm.textarrays import PIECE, groups_of, mix, pieces, powers, word_hashes
 
 WORD_BITS, SHAPE_BITS = 17, 14
@@ -190,6 +190,7 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: i
 
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` without those that the sampling rejects."""
-    out = resample(docs, labels, seed=seed).filter("not selected").select(F.col("doc_id").alias("_id"), "noise").distinct()
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("noise") == F.col("_noise"))
-    return docs.withColumn("_noise", noise_hash(docs, seed)).join(out, same, "left_anti").select(*docs.columns)
+    ident, theirs, own = private(docs, "_id", "_theirs", "_noise")
+    out = resample(docs, labels, seed=seed).filter("not selected").select(F.col("doc_id").alias(ident), F.col("noise").alias(theirs)).distinct()
+    same = F.col(ident).eqNullSafe(F.col("doc_id")) & (F.col(theirs) == F.col(own))
+    return docs.withColumn(own, noise_hash(docs, seed)).join(out, same, "left_anti").select(*docs.columns)

@@ -38,3 +38,14 @@ def test_stages_on_awkward_documents(spark, odd_docs, no_docs):
                 assert out.columns == docs.columns, name
                 step = out.cache()
         assert step.count() <= docs.count() * 3
+
+
+def test_columns_named_like_the_helpers_come_back_as_they_were(spark, doc_rows):
+    names = ["_key", "_id", "_noise", "_theirs", "_text_key", "_hit_at", "_repeated", "_KEY_", "_doc", "_copies", "_order", "_pattern"]
+    docs = spark.createDataFrame([(*r, *[f"{c}{i}" for c in names]) for i, r in enumerate(doc_rows)], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in names)).repartition(3)
+    given = {str(tuple(r)) for r in docs.collect()}
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and {str(tuple(r)) for r in rows} <= given, name
