@@ -1,7 +1,20 @@
-"""Training-data pipeline over ``documents``: five stages of ``quarry.llm``, each written as Parquet and read again."""
+"""Training-data pipeline over ``documents``: five stages of ``quarry.llm``, each written as Parquet and read again.
+
+While a stage runs, Arrow batches hold at most ``BATCH_BYTES``: a Python worker
+then holds a few batches of texts instead of a few times the session's limit
+(64 MB by default), which is what an executor with several workers has to pay.
+
+Defined results: null texts are empty; an empty table passes as an empty table;
+repeated rows count as near duplicates of each other; every other column is
+carried along unchanged, whatever its name; all stages but the last return the
+columns of their input, the last adds ``slot`` and ``shard``.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.common import saved, table
@@ -49,8 +62,24 @@ STAGES = [
 ORACLE_SQL = None
 
 
+BATCH_BYTES = 4 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The session's Arrow batches hold at most BATCH_BYTES until the end."""
+    before = spark.conf.get(_LIMIT)
+    spark.conf.set(_LIMIT, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LIMIT, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
