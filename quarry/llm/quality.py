@@ -191,6 +191,6 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, sample: i
 def keep_good(docs: DataFrame, labels: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` without those that the sampling rejects."""
     ident, theirs, own = private(docs, "_id", "_theirs", "_noise")
-    out = resample(docs, labels, seed=seed).filter("not selected").select(F.col("doc_id").alias(ident), F.col("noise").alias(theirs)).distinct()
+    out = resample(docs.select("doc_id", "text"), labels, seed=seed).filter("not selected").select(F.col("doc_id").alias(ident), F.col("noise").alias(theirs)).distinct()
     same = F.col(ident).eqNullSafe(F.col("doc_id")) & (F.col(theirs) == F.col(own))
     return docs.withColumn(own, noise_hash(docs, seed)).join(out, same, "left_anti").select(*docs.columns)
