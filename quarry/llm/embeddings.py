@@ -16,7 +16,8 @@ size, and tables follow from the wanted recall at the threshold.
 Defined results: a vector that is null, empty, zero or has null or non-finite
 parts, or whose label or id is null, has 0 links and is its own component;
 vectors of different length are never linked; repeated rows link with each
-other; an empty table gives no rows.
+other, and rows that share an id but not the vector or label are vectors of
+their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -110,8 +111,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     rows = rows.withColumn("ok", F.coalesce(whole & finite & nonzero, F.lit(False)))
     keyed = rows.withColumns({"k1": F.xxhash64("embedding", F.lit(1)), "k2": F.xxhash64("embedding", F.lit(2))})
     distinct = keyed.filter("ok").groupBy("label", "k1", "k2").agg(
-        F.min("vec_id").cast("bigint").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("vec"))
-    distinct = saved(distinct, "emb")
+        F.min("vec_id").cast("bigint").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("vec"))
+    # an id may stand with several vectors or labels: a vector goes by a number of its own
+    distinct = saved(distinct.select("label", "k1", "k2", F.monotonically_increasing_id().alias("rep"), "copies", "vec", "least"), "emb")
     n = distinct.count()
     bits, tables = shape_of(n, threshold, recall)
 
@@ -130,7 +132,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "sig"])
 
     label = vectors.schema["label"].dataType.simpleString()
-    signed = saved(distinct.mapInArrow(sign, f"label {label}, k1 bigint, k2 bigint, rep bigint, copies bigint, vec array<double>, sig array<bigint>"), "emb-signed")
+    signed = saved(distinct.drop("least").mapInArrow(sign, f"label {label}, k1 bigint, k2 bigint, rep bigint, copies bigint, vec array<double>, sig array<bigint>"), "emb-signed")
     met = signed.select("rep", "label", F.size("vec").alias("dim"), F.posexplode("sig").alias("table", "s"))
     bucket = ["label", "dim", "table", "s"]
     sizes = met.groupBy(*bucket).count().filter("count > 1").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
@@ -169,9 +171,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     found = saved(met.mapInArrow(compare, "a bigint, b bigint, edge boolean"), "emb-links")
     group = connected_components(found.filter("edge").select("a", "b"))
     count = found.filter("not edge").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("linked"))
-    facts = distinct.select("label", "k1", "k2", "rep", "copies").join(count, "rep", "left").join(group.withColumnRenamed("id", "rep"), "rep", "left")
+    named = distinct.select("rep", "least").join(group.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = named.join(named.groupBy("component").agg(F.min("least").alias("first")), "component").select("rep", "first")
+    facts = distinct.select("label", "k1", "k2", "rep", "copies").join(count, "rep", "left").join(named, "rep")
     facts = facts.select(F.col("label").alias("_l"), F.col("k1").alias("_k1"), F.col("k2").alias("_k2"),
-                         (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
+                         (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), F.col("first").alias("component"))
     out = keyed.select("vec_id", "label", "k1", "k2", "ok").join(
         facts, F.col("ok") & (F.col("label") == F.col("_l")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left")
     component = F.coalesce("component", F.col("vec_id"))
