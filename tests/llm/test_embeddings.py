@@ -102,7 +102,7 @@ def test_an_id_with_several_vectors_and_labels(spark):
     a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
     near_a, near_b = [1.0, 0.02, 0.2], [0.01, 1.0, 0.1]
     rows = [(5, a, 0), (5, b, 0), (6, near_a, 0), (7, near_b, 0), (5, near_b, 1), (8, near_a, 1), (4, near_b, 0)]
-    out = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    out = E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in out)
     assert got == sorted([(5, 1, 5, True), (5, 2, 4, False), (6, 1, 5, False), (7, 2, 4, False), (5, 0, 5, True), (8, 0, 8, True), (4, 2, 4, True)])
 
@@ -118,6 +118,6 @@ def test_recall_of_planted_pairs_near_the_threshold(spark):
     cosine = rng.uniform(0.9305, 0.94, n)[:, None]
     y = cosine * x + np.sqrt(1 - cosine**2) * side
     rows = [(int(i), [float(v) for v in r], int(i % 3)) for i, r in enumerate(x)] + [(int(n + i), [float(v) for v in r], int(i % 3)) for i, r in enumerate(y)]
-    out = {r["vec_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    out = {r["vec_id"]: r["component_id"] for r in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
     found = sum(out[i] == out[n + i] for i in range(n)) / n
     assert found >= 0.998  # RECALL is 0.999 for a pair at the threshold itself
