@@ -215,3 +215,90 @@ def test_languages(spark, odd_docs, doc_rows, no_docs):
     assert L.identify(no_docs).count() == 0
     bare = L.identify(docs.selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()
     assert {r["lang_pred"] for r in bare} == {"und"}
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+THIRD = """3. Neither the name of {} nor the names of its contributors may be used
+   to endorse or promote products derived from this software without specific
+   prior written permission.
+"""
+ADVERT = """3. All advertising materials mentioning features or use of this software must
+   display the following acknowledgement: This product includes software
+   developed by the University of California, Berkeley and its contributors.
+4. Neither the name of the University nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+"""
+
+
+def scanned(spark, texts):
+    out = S.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)).collect()
+    return [(r["licenses"], r["unmatched"]) for r in sorted(out, key=lambda r: r["doc_id"])]
+
+
+def test_usual_texts_in_their_usual_wording(spark):
+    cases = {
+        BSD.format(""): "BSD-2-Clause", BSD.format(THIRD.format("the copyright holder")): "BSD-3-Clause", BSD.format(THIRD.format("Example Org. Inc.")): "BSD-3-Clause",
+        BSD.format(THIRD.format("the University of California, Berkeley")): "BSD-3-Clause", BSD.format(ADVERT): "BSD-4-Clause",
+        "// SPDX-License-Identifier: Apache-2.0\nint x;": "Apache-2.0", "# SPDX-License-Identifier: MIT": "MIT", "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2-or-later",
+        "SPDX-License-Identifier: LGPL-2.1+": "LGPL-2.1-or-later", "SPDX-License-Identifier: GPL-3.0-only": "GPL-3",
+        "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/": "Apache-2.0", "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n": "GPL-3",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991": "GPL-2", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999": "LGPL-2.1",
+        "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007": "AGPL-3", "Mozilla Public License Version 2.0": "MPL-2.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": "CC-BY-4.0",
+        "Licensed under the Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "CC-BY-NC-SA-4.0",
+        "Boost Software License - Version 1.0 - August 17th, 2003": "BSL-1.0", "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+        "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License v2.0": None,
+        "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0": "EPL-2.0", "Eclipse Public License - v 1.0": "EPL-1.0",
+        "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not\nclaim that you wrote it.": "Zlib",
+        "Licensed to the Apache Software Foundation (ASF) under one or more\ncontributor license agreements.  See the NOTICE file.\nThe ASF licenses this file to You under the Apache License, Version 2.0\n(the \"License\"); you may not use this file except in compliance with\nthe License.  You may obtain a copy of the License at\n": "Apache-2.0",
+        MIT.replace("\n\nTHE SOFTWARE IS", "\n\nThe Software shall be used for Good, not Evil.\n\nTHE SOFTWARE IS"): "JSON",
+    }
+    for (text, want), got in zip(cases.items(), scanned(spark, cases)):
+        if want:
+            assert got[0] == [want], (text, got)
+    both = scanned(spark, ["SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0", "SPDX-License-Identifier: Own-1.0"])
+    assert both == [(["Apache-2.0", "GPL-2", "MIT"], False), ([], True)]
+
+
+def test_an_unknown_clause_gives_no_weaker_licence(spark):
+    altered = [BSD.format(THIRD.format("the copyright holder").replace("promote products", "advertise products")), BSD.format("3. You must send us a postcard.\n"),
+               BSD.format(ADVERT.replace("display the following", "hide the following")), MIT.replace("\n\nTHE SOFTWARE IS", "\n\nThe Software shall not be used on Sundays.\n\nTHE SOFTWARE IS")]
+    for (licenses, unmatched), text in zip(scanned(spark, altered), altered):
+        assert licenses == [] and unmatched, text
+
+
+def test_every_rule_by_its_canonical_text_and_with_an_altered_clause(spark):
+    wording = {}
+    for ident, text, versions in S.SENTENCES:
+        for v in versions or ("",):
+            wording.setdefault(ident.replace("{v}", v), text.replace("{v}", v).replace("{name}", "example org"))
+    cases, broken = [], []
+    for name, ids in S.expand_rules():
+        ids = [i.removeprefix("=") for i in ids if i != "|"]
+        if not all(i in wording for i in ids):
+            continue  # a version that no sentence has
+        lines = [wording[i] for i in ids]
+        cases.append((name, ". \n".join(lines) + "."))
+        for k in range(len(lines)):
+            words = lines[k].split()
+            words[len(words) // 2] = "zebra"
+            broken.append((name, ". \n".join([*lines[:k], " ".join(words), *lines[k + 1:]]) + "."))
+    assert len({n for n, _ in cases}) > 50
+    for (name, text), got in zip(cases, scanned(spark, [t for _, t in cases])):
+        assert got == ([name], False), (name, text, got)
+    same = {"JSON": {"JSON", "MIT"}}  # its name line alone names MIT
+    for (name, text), (licenses, _) in zip(broken, scanned(spark, [t for _, t in broken])):
+        assert set(licenses) <= same.get(name, {name}), (name, text, licenses)
+        if len(text.split(". \n")) == 1:
+            assert licenses == [], (name, text)
