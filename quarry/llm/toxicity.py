@@ -10,9 +10,12 @@ around it, and quotation marks or words of reporting near it, which tell a
 quoted term from abuse. A logistic model over the summed features gives the
 score.
 
-Only sums over the sample reach the driver (terms by a threshold and at most
-MAX_TERMS of them; one feature row per sampled text), and only the automaton
-and weights go to the tasks; scoring has no shuffle. Defined results: null and
+Only sums over the sample reach the driver (terms whose evidence passes a
+threshold, so fewer than the sample has words; one feature row per sampled
+text), and only the automata and weights go to the tasks; scoring has no
+shuffle. A lexicon of more than PART_BYTES is split over several automata, so
+one table stays below some 100,000 states; a term has at most TERM_BYTES.
+Learning and scoring read the same lower-cased text. Defined results: null and
 empty texts score like a text without hits; without labels every score is 0;
 without toxic labels the lexicon is empty; repeated rows are scored each;
 other columns are ignored.
@@ -31,7 +34,9 @@ from quarry.llm.common import fold, saved
 from quarry.llm.textarrays import groups_of, mix, pieces, powers
 
 SAMPLE = 20_000
-MAX_TERMS = 400
+#: Bytes of terms that one automaton holds.
+PART_BYTES = 1 << 12
+TERM_BYTES = 1 << 10
 EDIT_FROM = 5
 STEM = (4, 5, 6, 7)
 WINDOW = 6
@@ -144,6 +149,37 @@ class Automaton:
         return self.outcome[state], self.kind[state]
 
 
+class Lexicon:
+    """Automata that hold the terms together; a word counts as its best hit: exact, then one edit, then stem."""
+
+    def __init__(self, terms: dict[str, float], part_bytes: int = PART_BYTES):
+        parts: list[list[str]] = [[]]
+        size = 0
+        for key in sorted(terms):
+            if parts[-1] and size + len(key.encode()) > part_bytes:
+                parts.append([])
+                size = 0
+            parts[-1].append(key)
+            size += len(key.encode())
+        self.parts = [Automaton({k: terms[k] for k in part}) for part in parts]
+        self.keys = [k for a in self.parts for k in a.keys]
+        self.weights = np.concatenate([[0.0], *[a.weights[1:] for a in self.parts]])
+
+    def run(self, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(term number, kind) of every word."""
+        term, kind, before = None, None, 0
+        for part in self.parts:
+            t, k = part.run(b, starts, ends)
+            t = np.where(t > 0, t + before, 0)
+            if term is None:
+                term, kind = t, k
+            else:
+                better = (k > 0) & ((kind == 0) | (k < kind))
+                term, kind = np.where(better, t, term), np.where(better, k, kind)
+            before += len(part.keys)
+        return term, kind
+
+
 def split_words(buf: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Folded bytes, and starts and ends of the runs of letters, digits and non-ASCII bytes."""
     b = _FOLD[np.frombuffer(buf, np.uint8)]
@@ -169,7 +205,7 @@ for _w in REPORTING:
 N_FEATURES = 10
 
 
-def read_hits(texts: list, auto: Automaton) -> Iterator[tuple]:
+def read_hits(texts: list, auto: Automaton | Lexicon) -> Iterator[tuple]:
     """(text number, term, kind, quoted, words of the piece, hashes of the window's words) of every hit; (text, 0, 0, 0, words, ()) once per piece."""
     for part in groups_of(texts):
         for buf, docs, offs in pieces(texts[part]):
@@ -199,7 +235,7 @@ def read_hits(texts: list, auto: Automaton) -> Iterator[tuple]:
                 yield part.start + int(docs[where[h]]), int(term[h]), int(kind[h]), int(quoted[i]), 0.0, hashed[i][inside[i]]
 
 
-def features(texts: list, auto: Automaton, context: np.ndarray) -> np.ndarray:
+def features(texts: list, auto: Automaton | Lexicon, context: np.ndarray) -> np.ndarray:
     """One row per text: counts of its exact, misspelled and stem hits, plain and quoted, their weights, their context, and their share of the words."""
     out = np.zeros((len(texts), N_FEATURES))
     words = np.zeros(len(texts))
@@ -218,7 +254,7 @@ def features(texts: list, auto: Automaton, context: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, auto: Automaton, context: np.ndarray, beta: np.ndarray):
+    def __init__(self, auto: Automaton | Lexicon, context: np.ndarray, beta: np.ndarray):
         self.auto, self.context, self.beta = auto, context, beta
 
     def score(self, texts: list) -> np.ndarray:
@@ -246,7 +282,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     Text frequencies per word come from one aggregate. A stem's frequency is
     the sum over its words but the most frequent toxic one, which must not be
     its only evidence; of stems that share a beginning the one with the
-    strongest evidence is kept, beside the words. At most MAX_TERMS are kept.
+    strongest evidence is kept, beside the words.
     """
     words = F.array_remove(F.split(F.lower("text"), "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
     texts = sample.select("toxic", words.alias("ws")).filter(F.size("ws") > 0)
@@ -254,7 +290,7 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     at = F.sequence(F.lit(1), F.greatest(F.size("ws") - 4, F.lit(1)))
     texts = texts.withColumn("kin", F.array_min(F.transform(at, lambda i: F.xxhash64(F.slice("ws", i, 5)))))
     texts = texts.groupBy("kin", "toxic").agg(F.min("ws").alias("ws")).withColumn("ws", F.array_distinct("ws"))
-    seen = texts.select("toxic", F.explode("ws").alias("w")).filter(F.octet_length("w") <= 40)
+    seen = texts.select("toxic", F.explode("ws").alias("w")).filter(F.octet_length("w") <= TERM_BYTES)
     freq = saved(seen.groupBy("w").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "tox-words")
     rate = n_toxic / max(1, n_toxic + n_clean)
     surely = float(np.log(100.0 * max(1, freq.count())))
@@ -271,13 +307,13 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> dict[str, fl
     stems = stems.select("w", (t - F.col("top.t")).alias("t"), (c + F.col("top.m")).alias("c"), "forms")
     stems = stems.filter((t >= 8) & (t * n_clean > 4 * c * n_toxic) & (excess > surely) & (F.col("forms") >= 4)).select(F.concat("w", F.lit("*")).alias("w"), "t", "c")
     best = freq.filter(pure).select("w", "t", "c").union(stems).withColumns({"o": odds(t, c), "x": excess})
-    rows = [(r["w"], float(r["o"])) for r in best.orderBy(F.desc("x"), F.desc(F.length("w")), "w").limit(4 * MAX_TERMS).collect()]
+    rows = [(r["w"], float(r["o"])) for r in best.orderBy(F.desc("x"), F.desc(F.length("w")), "w").collect()]  # as many as pass the threshold
     kept: list[str] = []  # stems, the strongest of those that share a beginning
     for w, _ in rows:
         if w.endswith("*") and not any(w[:-1].startswith(k) or k.startswith(w[:-1]) for k in kept):
             kept.append(w[:-1])
     entries = [(w, o) for w, o in rows if not w.endswith("*") or w[:-1] in kept]
-    return dict(entries[:MAX_TERMS])
+    return dict(entries)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
@@ -291,7 +327,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     chosen = usable.filter(at < min(1.0, sample / n)).limit(sample * 3 // 2)
     rows = saved(docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).select(F.coalesce(docs["text"], F.lit("")).alias("text"), "toxic", "_id"), "tox-sample")
     counts = Counter({r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()})
-    auto = Automaton(learn_lexicon(rows, counts[1], counts[0]))
+    auto = Lexicon(learn_lexicon(rows, counts[1], counts[0]))
 
     def window_words(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -305,7 +341,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         cls, cell = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(cell), pa.array(total[cls, cell])], names=["toxic", "cell", "n"])
 
-    binary = rows.select(F.col("text").cast("binary").alias("text"), "toxic")
+    binary = rows.select(F.lower("text").cast("binary").alias("text"), "toxic")
     got = binary.mapInArrow(window_words, "toxic bigint, cell bigint, n bigint").groupBy("toxic", "cell").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros((2, 1 << CONTEXT_BITS))
     total[got["toxic"].to_numpy(), got["cell"].to_numpy()] = got["n"].to_numpy()
@@ -330,7 +366,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
 
 def predict(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted for every document."""
-    rows = docs.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.col("text").cast("binary"))
+    rows = docs.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), F.lower("text").cast("binary").alias("text"))
 
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -302,3 +302,32 @@ def test_every_rule_by_its_canonical_text_and_with_an_altered_clause(spark):
         assert set(licenses) <= same.get(name, {name}), (name, text, licenses)
         if len(text.split(". \n")) == 1:
             assert licenses == [], (name, text)
+
+
+def test_a_split_lexicon_finds_what_one_automaton_finds():
+    rng = random.Random(4)
+    terms = {"".join(rng.choice("abcdeé") for _ in range(rng.randint(3, 9))): rng.random() for _ in range(120)} | {"abca*": 1.0, "zz" * 40: 2.0}
+    words = [w for t in terms for w in (t.rstrip("*"), t.rstrip("*")[1:], t.rstrip("*") + "x", t[:2] + "q" + t[3:])] + ["abcazzz", "nothing"]
+    buf = " ".join(words).encode()
+    whole, split = X.Automaton(terms), X.Lexicon(terms, 64)
+    assert len(split.parts) > 5 and sorted(split.keys) == sorted(whole.keys)
+    (t1, k1), (t2, k2) = whole.run(*X.split_words(buf)), split.run(*X.split_words(buf))
+    assert (k1 == k2).all()
+    name = lambda auto, t: "" if t == 0 else auto.keys[t - 1]
+    for a, b, k in zip(t1, t2, k1):
+        assert (a == 0) == (b == 0)
+        if k in (X.EXACT, X.STEM_HIT):
+            assert name(whole, a) == name(split, b)
+    assert X.Lexicon({}).run(*X.split_words(buf))[0].sum() == 0
+
+
+def test_one_case_folding_for_learning_and_scoring(spark):
+    clean = ["слово дома тихо город", "река лес поле гора", "The calm river runs by"]
+    rows = [(i, f"{clean[i % 3]} {i}", 0) for i in range(0, 300)] + [(1000 + i, f"{clean[i % 2]} {'дурак' if i % 2 else 'ДУРАК'} {i * 7}", 1) for i in range(120)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    model = X.train(docs, labels)
+    assert "дурак" in model.auto.keys
+    probe = spark.createDataFrame([(1, "дом ДУРАК лес"), (2, "дом дурак лес"), (3, "дом Дурак лес"), (4, "дом тихо лес")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in X.predict(probe, model).collect()}
+    assert got[1] == got[2] == got[3] > 0.7 > got[4]
