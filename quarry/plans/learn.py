@@ -16,6 +16,7 @@ from quarry.operators import graph as G
 from quarry.operators import learn as L
 from quarry.plans.registry import query
 from quarry.plans.stats import rounded
+from quarry.session import written
 from quarry.sources.fixtures import days, ratings, trust
 from quarry.sources.tables import load
 
@@ -287,13 +288,16 @@ def q_regression_error(spark, sf):
     return rounded(L.regression_error(d.join(means, "season_id").withColumn("label", F.col("total_users"))))
 
 
-@query("rating_prediction", """
+_RATING_SQL = """
 WITH s AS (SELECT *, substr(md5(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR)), 1, 4) < '3333' AS test FROM ratings),
 g AS (SELECT avg(label) AS m FROM s WHERE NOT test),
 u AS (SELECT user_id, avg(label) - any_value(m) AS b FROM s, g WHERE NOT test GROUP BY 1),
 i AS (SELECT item_id, avg(label) - any_value(m) AS b FROM s, g WHERE NOT test GROUP BY 1)
 SELECT s.user_id, s.item_id, s.label, round(m + coalesce(u.b, 0) + coalesce(i.b, 0), 6) AS baseline_pred, true AS finite
-FROM s CROSS JOIN g LEFT JOIN u ON s.user_id = u.user_id LEFT JOIN i ON s.item_id = i.item_id WHERE test""", ("ratings",))
+FROM s CROSS JOIN g LEFT JOIN u ON s.user_id = u.user_id LEFT JOIN i ON s.item_id = i.item_id WHERE test"""
+
+
+@query("rating_prediction", _RATING_SQL, ("ratings",))
 def q_rating_prediction(spark, sf):
     """Split first; biases, statistics and the residual model come from the training ratings alone."""
     rows = L.holdout_split(ratings(spark, sf).withColumn("rid", F.concat_ws(":", "user_id", "item_id")), "rid", 0.2).drop("rid")
@@ -306,3 +310,25 @@ def q_rating_prediction(spark, sf):
     model = L.reg_boosted(max_iter=70).setLabelCol("residual").fit(features(train))
     pred = model.transform(features(test)).withColumn("prediction", F.col("baseline_pred") + F.col("prediction"))
     return rounded(pred.select("user_id", "item_id", "label", "baseline_pred", _finite("prediction").alias("finite")))
+
+
+@query("rating_prediction_khop", _RATING_SQL, ("ratings",))
+def q_rating_prediction_khop(spark, sf):
+    """G6 on the k-hop columns (G3): a boosted residual model on mean, spread, count, median, least and greatest of the
+    ratings within 1 to 9 hops, all from the training ratings; a row's own rating is never among them."""
+    rows = L.holdout_split(ratings(spark, sf).withColumn("rid", F.concat_ws(":", "user_id", "item_id")), "rid", 0.2).drop("rid")
+    train, test = (rows.filter(F.col("split") == k).drop("split") for k in ("train", "test"))
+    depths = range(1, 10)
+    reach = G.khop_masks(trust(spark, sf), rows.select("user_id"), max_depth=9)
+    cols = [f"{c}{d}" for d in depths for c in ("trust_mean", "trust_std", "trust_count", "median", "min", "max")]
+
+    def features(part):
+        base = G.rating_baseline(train, part).select("user_id", "item_id", "label", "baseline_pred", "residual")
+        near = G.khop_rating_stats(part, train, reach, depths).select("user_id", "item_id", *cols)
+        return L.assemble(base.join(near, ["user_id", "item_id"]), cols).select("user_id", "item_id", "label", "baseline_pred", "residual", "features")
+
+    known, _ = written(features(train), "khop-train")
+    asked, _ = written(features(test), "khop-test")
+    model = L.reg_boosted(max_iter=70).setLabelCol("residual").fit(known)
+    pred = model.transform(asked).withColumn("prediction", F.col("baseline_pred") + F.col("prediction"))
+    return rounded(pred.select("user_id", "item_id", "label", "baseline_pred", _finite("prediction").alias("finite")))

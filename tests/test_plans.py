@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 
 STREAMS = {"window_top_merchants"}
 MODELS = {"clf_logistic", "clf_svc", "clf_forest", "clf_boosted", "cv_search", "cv_score", "holdout_search",
-          "group_models", "reg_boosted", "reg_forest", "feature_importance", "rating_prediction", "model_metrics", "clf_svc_rbf", "model_floors"}
+          "group_models", "reg_boosted", "reg_forest", "feature_importance", "rating_prediction", "rating_prediction_khop", "model_metrics", "clf_svc_rbf", "model_floors"}
 # training-data queries have tests of their own
 KEYS = sorted(k for k in E.queries() if not re.match(r"stream_|op\d+_|pipeline$", k) and k not in STREAMS | MODELS)
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython")
