@@ -1,8 +1,8 @@
 """Benchmark decontamination by a broadcast hash set of test n-grams (operator 10, native).
 
 A window is ``n`` consecutive words of an item (all its words, if it has
-fewer). The windows' 64-bit hashes fill a bitmap of fixed size, which travels
-as a constant: a document's windows are hashed and tested inside the row, with
+fewer). The windows' 64-bit hashes fill a bitmap sized from their number,
+which travels as a constant: a document's windows are hashed and tested inside the row, with
 no shuffle, and only the few that pass are written out as rows. These are then
 verified by their text against the window table, which is broadcast when it
 was counted and is small, and shuffled otherwise. Item ids are kept once per
@@ -17,15 +17,19 @@ told apart by row, not by id, so repeated or null ids do not meet.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import ascii_lower, private
+from quarry.llm.common import ascii_lower, private, saved
 
 N = 10
 SPLIT = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Bits of the prefilter; a larger window table only lets more windows pass to the exact join.
+#: Bits of the prefilter: at least these, else BITS_PER_WINDOW for each window (so that fewer than 1 % of other
+#: windows pass), at most MOST_BITS (8 MB); beyond that more of them pass to the exact join, nothing else changes.
 BITMAP_BITS = 1 << 20
+BITS_PER_WINDOW = 128
+MOST_BITS = 1 << 26
 #: Windows that may be broadcast (checked by a count); beyond, Spark shuffles the join.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -39,6 +43,11 @@ def _starts(count: Column, length: Column) -> Column:
     return F.when((count >= length) & (length > 0), F.sequence(F.lit(1), count - length + 1)).otherwise(F.array().cast("array<int>"))
 
 
+def bitmap_bits(windows: int) -> int:
+    """Size of the prefilter for a number of windows, a power of two."""
+    return min(MOST_BITS, max(BITMAP_BITS, 1 << (BITS_PER_WINDOW * max(windows, 1) - 1).bit_length()))
+
+
 def item_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     """One row per distinct window: ``w_len``, ``w_text``, ``w_hash`` and ``w_items`` (sorted ids as text)."""
     item = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w"))
@@ -55,13 +64,16 @@ def _text_hash(word_hashes: Column) -> Column:
 
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document: ``keep`` columns, n_words, ``hit_at`` (sorted 1-based positions of hit words) and ``items``."""
-    windows = item_windows(benchmark, n).persist()
-    few = windows.count() <= BROADCAST_WINDOWS
+    windows = saved(item_windows(benchmark, n), "windows")
+    count = windows.count()
+    few, size = count <= BROADCAST_WINDOWS, bitmap_bits(count)
     lengths = sorted(r[0] for r in windows.select("w_len").distinct().collect())  # at most n values
-    # at most BITMAP_BITS / 64 numbers, as one constant array
-    bits = dict(windows.select(F.pmod("w_hash", F.lit(BITMAP_BITS)).alias("bit")).groupBy(
-        F.expr("bit div 64").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))"))).collect())
-    bit_of = F.split(F.lit(",".join(str(bits.get(i, 0)) for i in range(BITMAP_BITS // 64))), ",").cast("array<bigint>")
+    # at most MOST_BITS / 64 numbers, as one constant array
+    got = windows.select(F.pmod("w_hash", F.lit(size)).alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("cell")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("v")).toArrow()
+    cells = np.zeros(size // 64, np.int64)
+    cells[got["cell"].to_numpy()] = got["v"].to_numpy()
+    bit_of = F.split(F.lit(",".join(map(str, cells.tolist()))), ",").cast("array<bigint>")
 
     inner = docs.select(F.monotonically_increasing_id().alias("_row"),
                         *[F.col(c).alias(f"_keep_{c}") for c in keep], words(docs["text"]).alias("_w"))
@@ -69,7 +81,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, keep: tuple[str, ...
     found = F.array().cast("array<struct<i:int,len:int,h:bigint>>")
     if lengths:
         def passes(x):
-            bit = F.pmod(x["h"], F.lit(BITMAP_BITS))
+            bit = F.pmod(x["h"], F.lit(size))
             return F.get(bit_of, F.shiftright(bit, 6).cast("int")).bitwiseAND(
                 F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))) != 0
 

@@ -82,3 +82,19 @@ def test_spans_are_removed(tables):
 def test_plan_is_native(tables):
     plan = D.contamination(*tables)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("MapIn", "Python", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+def test_the_filter_grows_with_the_windows(spark, monkeypatch):
+    monkeypatch.setattr(D, "BITMAP_BITS", 1 << 10)
+    items = [(i, " ".join(f"item{i}word{j}" for j in range(60))) for i in range(60)]  # 51 windows each, more than the least bits
+    docs = [(i, " ".join(f"doc{i}word{j}" for j in range(400))) for i in range(40)] + [(99, "x " + items[7][1] + " y")]
+    windows = D.item_windows(spark.createDataFrame(items, "item_id long, text string"))
+    n = windows.count()
+    assert n == 60 * 51 > 1 << 10
+    size = D.bitmap_bits(n)
+    own = {r[0] % size for r in windows.select("w_hash").collect()}
+    other = D.item_windows(spark.createDataFrame(docs[:40], "item_id long, text string")).select("w_hash").collect()
+    assert sum(r[0] % size in own for r in other) < 0.01 * len(other)
+    got = D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_hit"] for r in got if r["contaminated"]} == {99: 60}
+    assert D.bitmap_bits(0) == 1 << 10 and D.bitmap_bits(10**9) == D.MOST_BITS
