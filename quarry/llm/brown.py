@@ -5,11 +5,13 @@ CLASSES classes; rarer and unseen words share one unit, which has a class too.
 A word moves to the class that gains most likelihood of the class bigrams. A
 sweep counts, over the whole training corpus, the class bigrams and the
 neighbours by class of the HEAD most frequent words (a fixed size, summed by
-Spark), which are moved one after another. All other words have a table with
-the list of their neighbours, grouped by one shuffle; tasks count it by class
-and move each word against the class bigrams of the sweep. After the first two
-sweeps half of the words move at a time; the assignment with the best exact
-likelihood is kept.
+Spark), which are moved one after another. Every other word is moved in each
+sweep but the first, by itself, against the class bigrams of the sweep: a piece
+of the corpus sends one message for each of its words, with the word's
+neighbours by class (at most CELLS numbers); one shuffle brings a word's
+messages together in order of words, a task adds them as they pass, moves the
+word, and answers the pieces that asked. After the first two sweeps half of the
+words move at a time; the assignment with the best exact likelihood is kept.
 
 The model: ``P(w | v) = P(class(w) | class(v)) * P(w | class(w))``. Transitions
 are smoothed towards the class unigram (Dirichlet, PRIOR); emissions discount
@@ -18,11 +20,13 @@ mass to the unknown words. The text ends with one end token, which is a class
 of its own and also the context of the first word.
 
 Scale: word counts are one aggregate over the corpus, written as a table. The
-counts and classes of the most frequent words (at most KNOWN of them, found by
-a threshold) travel to the tasks as arrays. Words beyond them are placed once,
-after the sweeps; their classes are a table that is joined, with their counts,
-by a shuffle of what each text holds of them. Words are 64-bit hashes. Unit
-sequences (three bytes a token) are written once and read by every sweep.
+counts of the most frequent words (at most AT_HAND of them, found by a
+threshold) travel to the tasks as arrays. The texts are written once, as pieces
+of about PIECE_TOKENS tokens: a token is the number of a word at hand or of one
+of the piece's own words, whose counts are joined once for each piece that has
+them. Pieces and the tables that answer them are bucketed by piece, so that a
+sweep does not shuffle the texts. AT_HAND only says by which way a word's class
+reaches the texts; it changes no result (tested). Words are 64-bit hashes.
 
 Defined results: null text is empty and has only its end token; without
 training rows N and V are 0 and all scores are those of unknown words; repeated
@@ -32,29 +36,36 @@ rows and ids are scored each; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fold, saved
+from quarry.llm.common import Table, bucketed, fold
 from quarry.llm.textarrays import doc_words, groups_of
+from quarry.session import remove_path, written
 
 CLASSES = 32
 HEAD = 4096
 #: Occurrences from which a word is assigned to a class by its own neighbours.
 LEAST = 5
-KNOWN = 1 << 18
+#: At least HEAD and CLASSES.
+AT_HAND = 1 << 18
 SWEEPS = 6
 PRIOR = 20.0
 DISCOUNT = 0.6
 #: Distinct words a counting task holds before it passes their counts on.
 HELD_WORDS = 1 << 20
-#: Occurrences a task holds before it passes their neighbours on.
-HELD_TOKENS = 1 << 22
-#: Units after the words': words too rare, words whose counts are not at hand, the end token (its class is CLASSES),
-#: a neighbour that is the word itself, and from MID on words of a known class whose counts are not at hand.
-SHARED, OUT, END, SELF, MID = range(KNOWN, KNOWN + 5)
+#: Tokens from which a piece ends (a longer text is a piece of its own).
+PIECE_TOKENS = 1 << 21
+#: A word's neighbours: of each class before it, of each class after it, and the word itself before it.
+SIDE = CLASSES + 1
+CELLS = 2 * SIDE + 1
+#: Groups in which classes of words at hand are brought together.
+GROUPS = 1024
+#: Bits of a count beside a word's number.
+COUNT_BITS = 40
 
 
 def _tally(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,37 +92,23 @@ def count_words(batches: Iterator) -> Iterator:
 
 
 class Vocabulary:
-    """Counts of the frequent words, and the unit of every word."""
+    """Words at hand in order of falling count: a word's place is its code. The end token's code is ``end``, a piece's own words follow."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        """In order of falling count."""
-        self.total = len(hashes)
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
-        self.units = np.where(self.counts >= LEAST, order, SHARED)
-        self.words = hashes[counts >= LEAST]  # by unit
+        self.words, self.counts, self.end = hashes, counts, len(hashes)
+        self.placed = int((counts >= LEAST).sum())
+        self._order = np.argsort(hashes)
+        self._sorted = hashes[self._order]
 
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(unit, count or 0) of each word."""
-        unit, count = np.full(len(h), OUT), np.zeros(len(h), np.int64)
-        if self.total:
-            at = np.minimum(np.searchsorted(self.hashes, h), self.total - 1)
-            same = self.hashes[at] == h
-            unit[same], count[same] = self.units[at[same]], self.counts[at[same]]
-        return unit, count
+    def codes(self, h: np.ndarray) -> np.ndarray:
+        """-1: not at hand."""
+        if not self.end:
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self._sorted, h), self.end - 1)
+        return np.where(self._sorted[at] == h, self._order[at], -1)
 
 
-def _pack(units: np.ndarray) -> np.ndarray:
-    """Three bytes each, a row per unit."""
-    return np.ascontiguousarray(units.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
-    return b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16
-
-
-def frequent(counts: DataFrame, most: int = KNOWN) -> Vocabulary:
+def frequent(counts: DataFrame, most: int) -> Vocabulary:
     """The words whose count reaches a threshold that at most ``most`` words reach."""
     tiers = sorted(counts.groupBy(F.floor(F.log2("n") * 64).alias("tier")).count().collect(), reverse=True)  # a few thousand rows at most
     seen, least = 0, None
@@ -127,143 +124,265 @@ def frequent(counts: DataFrame, most: int = KNOWN) -> Vocabulary:
     return Vocabulary(h[order], n[order])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, n: int, v: int) -> DataFrame:
-    """One row per text: units of its tokens, sums over its frequent words, and its other words with their number."""
+def _pack(codes: np.ndarray) -> bytes:
+    """Three bytes each, four where a code needs them."""
+    wide = codes.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return np.ascontiguousarray(wide[:, :4 if wide[:, 3].any() else 3]).tobytes()
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    b = np.frombuffer(raw, np.uint8).reshape(n, -1) if n else np.empty((0, 3), np.uint8)
+    wide = np.zeros((n, 4), np.uint8)
+    wide[:, :b.shape[1]] = b
+    return wide.view("<u4").ravel().astype(np.int32)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """One row per piece of a partition: its ids, whether they are held out, their numbers of words, the words' codes, and the piece's own words."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"),
-                       F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def out(held):
+            row, ids, flags = (pa.concat_arrays([x[0].column(c) for x in held]) for c in range(3))
+            h, size = (np.concatenate([x[c] for x in held]) for c in (1, 2))
+            code = vocabulary.codes(h)
+            rare, own = np.unique(h[code < 0], return_inverse=True)
+            code[code < 0] = own + vocabulary.end + 1
+            whole = pa.array([0, len(size)], pa.int32())
+            lists = [pa.ListArray.from_arrays(whole, x) for x in (ids, flags, pa.array(size.astype(np.int32)))]
+            rare = pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), pa.array(rare.view(np.int64)))
+            return pa.RecordBatch.from_arrays([row.slice(0, 1), *lists, pa.array([_pack(code)], pa.binary()), rare], names=["piece", "ids", "held", "sizes", "codes", "rare"])
+
+        held, tokens = [], 0
         for batch in batches:
             texts = batch.column(3).to_pylist()
+            keys = batch.select([0, 1, 2])
             for part in groups_of(texts):
                 h, size = doc_words(texts[part])
-                unit, count = vocabulary.look_up(h)
-                doc = np.repeat(np.arange(len(size)), size)
-                sums = []
-                hit = count > 0
-                for x in (np.ones(hit.sum()), np.log10((count[hit] + 1) / (n + v + 1)), np.log10(count[hit] - DISCOUNT * (count[hit] < LEAST))):
-                    sums.append(np.bincount(doc[hit], x, len(size)).astype(float))  # of no words it is int
-                ends, packed = np.cumsum(size), _pack(unit)
-                rare_doc, rare = doc[~hit], h[~hit]
-                order = np.lexsort((rare, rare_doc))
-                rare_doc, rare = rare_doc[order], rare[order]
-                new = np.ones(len(rare), bool)
-                new[1:] = (rare[1:] != rare[:-1]) | (rare_doc[1:] != rare_doc[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(first, append=len(rare)).astype(np.int32)
-                # of each such word in the text, its number in the list
-                slot = np.empty(len(rare), np.int32)
-                slot[order] = np.cumsum(new) - 1 - np.searchsorted(rare_doc[first], rare_doc)
-                cut = np.searchsorted(doc[~hit], np.arange(len(size) + 1))
-                places = pa.array([slot[lo:hi].tobytes() for lo, hi in zip(cut, cut[1:], strict=False)], pa.binary())
-                offsets = pa.array(np.searchsorted(rare_doc[first], np.arange(len(size) + 1)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (rare[first].view(np.int64), times)]
-                sequences = pa.array([packed[hi - k:hi].tobytes() for hi, k in zip(ends, size, strict=True)], pa.binary())
-                lo, k = part.start, part.stop - part.start
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, k) for c in (0, 1, 2)], pa.array(size + 1), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:]), sequences, places, *lists],
-                                                 names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit", "units", "places", "rare", "times"])
+                held.append((keys.slice(part.start, part.stop - part.start), h, size))
+                tokens += len(h)
+                if tokens >= PIECE_TOKENS:
+                    yield out(held)
+                    held, tokens = [], 0
+        if held:
+            yield out(held)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, known bigint, base double, emit double, units binary, places binary, rare array<bigint>, times array<int>")
+    return rows.mapInArrow(run, f"piece bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, rare array<bigint>")
 
 
-def _sequence(texts: list, found: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Units of several texts with an end token after each, and the number of tokens of each. ``found``: per text the places and the classes of its words that are not at hand."""
-    size = np.array([len(t) // 3 + 1 for t in texts], np.int64)
-    end = _pack(np.array([END])).tobytes()
-    unit = _unpack(b"".join([x for t in texts for x in (t, end)]))
-    if found:
-        place = [np.frombuffer(p, np.int32) for p, _ in found]
-        cls = [np.array(c, np.int32)[p] if c is not None else np.full(len(p), -1, np.int32) for p, (_, c) in zip(place, found, strict=True)]
-        cls = np.concatenate(cls)
-        unit[np.flatnonzero(unit == OUT)] = np.where(cls < 0, OUT, MID + cls)
-    return unit, size
+def own_counts(pieces: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Per piece: ``counts`` of its own words that have one (number and count in one long), and as ``moves`` the first class of those that are placed."""
+    asked = pieces.select("piece", F.posexplode("rare").alias("slot", "h"))
+    rest = counts.filter(F.col("n") <= int(vocabulary.counts.min())) if vocabulary.end else counts
+    found = asked.join(rest, "h").select("piece", (F.shiftleft(F.col("slot").cast("long"), COUNT_BITS) + F.col("n")).alias("x")).groupBy("piece").agg(F.collect_list("x").alias("counts"))
+    placed = F.filter("counts", lambda x: x.bitwiseAND(F.lit((1 << COUNT_BITS) - 1)) >= LEAST)
+    return found.select("piece", "counts", F.transform(placed, lambda x: F.shiftleft(F.shiftright(x, COUNT_BITS), 8) + (CLASSES - 1)).alias("moves"))
 
 
-def _before(unit: np.ndarray, size: np.ndarray) -> np.ndarray:
-    before = np.roll(unit, 1)  # each text's first context is an end token
-    before[np.cumsum(size) - size] = END
+class State(NamedTuple):
+    """Classes by code of the words at hand, the end token and (last) the shared unit; and the tables, latest last, with the classes of the pieces' own words."""
+
+    classes: np.ndarray
+    moves: list[Table]
+
+
+class Piece:
+    """One row of a state's frame inside a task."""
+
+    def __init__(self, batch, i: int, classes: np.ndarray, tables: int):
+        def array(name):
+            x = batch.column(name)[i].values
+            return np.empty(0, np.int64) if x is None else x.to_numpy(zero_copy_only=False)
+
+        self.array, self.end = array, len(classes) - 2
+        self.id = batch.column("piece")[i].as_py()
+        self.sizes = array("sizes").astype(np.int64)
+        self.held = array("held").astype(bool)
+        self.codes = _unpack(batch.column("codes")[i].as_py(), int(self.sizes.sum()))
+        #: class of each own word, -1: the shared unit's
+        self.own = np.full(batch.column("own")[i].as_py(), -1, np.int16)
+        for t in range(tables):
+            moves = array(f"moves_{t}")
+            self.own[moves >> 8] = moves & 255
+        self.by_code = np.concatenate([classes[:-1], np.where(self.own < 0, classes[-1], self.own)]).astype(np.uint8)
+
+    def tokens(self, training: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the texts with an end token after each, and the number of tokens of each; of training texts or of all."""
+        code, size = self.codes, self.sizes
+        if training:
+            code, size = code[np.repeat(~self.held, size)], size[~self.held]
+        return np.insert(code, np.cumsum(size), self.end), size + 1
+
+
+def _before(code: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
+    before = np.roll(code, 1)  # each text's first context is an end token
+    before[np.cumsum(size) - size] = end
     return before
 
 
-def _sequences(batch, columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of a batch with units, or with units, places and classes."""
-    cols = [batch.column(i).to_pylist() for i in range(columns)]
-    for part in groups_of(cols[0]):
-        yield _sequence(cols[0][part], list(zip(cols[1][part], cols[2][part], strict=True)) if columns > 1 else None)
+def frame(pieces: DataFrame, state: State, *more: str) -> DataFrame:
+    """The pieces with what a state says of their own words; nothing is shuffled where all is bucketed by piece."""
+    out = pieces.select("piece", "sizes", "held", "codes", F.size("rare").alias("own"), *more)
+    for t, moves in enumerate(state.moves):
+        out = out.join(moves.rows.select("piece", F.col("moves").alias(f"moves_{t}")), "piece", "left")
+    return out
+
+
+def _pieces(batches: Iterator, classes: np.ndarray, tables: int) -> Iterator[Piece]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Piece(batch, i, classes, tables)
 
 
-def neighbours(coded: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cells [unit, side, class] of the HEAD units and, last, the shared one: how often a class stands before (0) or after (1) it, the last class counting the unit itself; and N[a, b]: class b after class a."""
-    width, k, head = CLASSES + 2, CLASSES + 1, HEAD
+def neighbours(pieces: DataFrame, state: State, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Cells [unit, side, class] of the HEAD words and, last, the shared unit: how often a class stands before (0) or after (1) it, the last class counting the unit itself; and N[a, b]: class b after class a."""
+    width, k, head = SIDE + 1, SIDE, HEAD
     cells = (head + 1) * 2 * width
+    classes, tables = state.classes, len(state.moves)
+    fixed = np.full(vocabulary.end + 1, -1)  # row by code
+    fixed[:min(head, vocabulary.placed)] = np.arange(min(head, vocabulary.placed))
+    fixed[vocabulary.placed:-1] = head
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         total = np.zeros(cells + k * k, np.int64)
-        for batch in batches:
-            for unit, size in _sequences(batch, batch.num_columns):
-                before = _before(unit, size)
-                rows = [np.where(u < head, u, np.where((u == SHARED) | (u == OUT), head, -1)).astype(np.int64) for u in (unit, before)]
-                same = (rows[0] == rows[1]) & (rows[0] >= 0)
-                for side, (row, other) in enumerate(zip(rows, (before, unit), strict=True)):
-                    cell = (row * 2 + side) * width + np.where(same, k, classes[other])
-                    total[:cells] += np.bincount(cell[row >= 0], minlength=cells)
-                total[cells:] += np.bincount(classes[before] * k + classes[unit], minlength=k * k)
+        for piece in _pieces(batches, classes, tables):
+            code, size = piece.tokens(True)
+            row_of = np.concatenate([fixed, np.where(piece.own < 0, head, -1)])
+            cls, row = piece.by_code[code], row_of[code]
+            cls_before, row_before = (_before(x, size, e) for x, e in ((cls, CLASSES), (row, -1)))
+            total[cells:] += np.bincount(cls_before.astype(np.int64) * k + cls, minlength=k * k)
+            same = row == row_before
+            for side, (r, other) in enumerate(((row, cls_before), (row_before, cls))):
+                mine = np.flatnonzero(r >= 0)
+                cell = (r[mine] * 2 + side) * width + np.where(same[mine], k, other[mine])
+                total[:cells] += np.bincount(cell, minlength=cells)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "n"])
 
-    got = coded.mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a fixed number of rows at most
+    got = frame(pieces, state).mapInArrow(run, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a fixed number of rows at most
     total = np.zeros(cells + k * k)
     total[got["cell"].to_numpy()] = got["n"].to_numpy()
     return total[:cells].reshape(head + 1, 2, width), total[cells:].reshape(k, k)
 
 
-def contexts(coded: DataFrame, vocabulary: Vocabulary, beyond: bool) -> DataFrame:
-    """h and the neighbours (unit before, unit after) of every occurrence, for words with LEAST of them outside the HEAD; ``beyond``: there are such words not at hand."""
-    head = HEAD
+def _turn(h: np.ndarray, sweep: int) -> np.ndarray:
+    """Which words outside the HEAD move in this sweep: all in sweep 1, then half."""
+    return np.full(len(h), True) if sweep == 1 else (h.view(np.uint64) >> np.uint64(40)).astype(np.int64) + sweep & 1 == 0
+
+
+def messages(pieces: DataFrame, state: State, vocabulary: Vocabulary, sweep: int) -> DataFrame:
+    """One row per piece and word to move: its hash, the piece and the word's number in it (-1 and the code: at hand), its class, and its neighbours as pairs of bytes (cell, count)."""
+    head, classes, tables = HEAD, state.classes, len(state.moves)
+    moving = np.zeros(vocabulary.end + 1, bool)
+    moving[head:vocabulary.placed] = _turn(vocabulary.words[head:vocabulary.placed], sweep)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held, tokens = [], 0
+        for piece in _pieces(batches, classes, tables):
+            rare = piece.array("rare").view(np.uint64)
+            code, size = piece.tokens(True)
+            sent = np.concatenate([moving, (piece.own >= 0) & _turn(rare, sweep)])
+            cls = piece.by_code[code].astype(np.int64)
+            at = np.flatnonzero(sent[code])  # no end token is sent, so a next token is there
+            mine = code[at].astype(np.int64) * CELLS
+            before, cls_before = (_before(x, size, e)[at] for x, e in ((code, piece.end), (cls, CLASSES)))
+            left = mine + np.where(before == code[at], 2 * SIDE, cls_before)
+            other = code[at + 1] != code[at]  # a word after itself is counted once, from the right one
+            right = (mine + SIDE + cls[at + 1])[other]
+            key, n = np.unique(np.concatenate([left, right]), return_counts=True)
+            parts = (n + 254) // 255
+            last = np.cumsum(parts) - 1
+            pair = np.full((int(parts.sum()), 2), 255, np.uint8)
+            pair[:, 0] = np.repeat(key % CELLS, parts)
+            pair[last, 1] = n - 255 * (parts - 1)
+            # words at hand that occur, and all own words: a held-out text needs their classes too
+            words = np.union1d(key // CELLS, np.flatnonzero(sent[piece.end + 1:]) + piece.end + 1)
+            cut = np.searchsorted(np.repeat(key // CELLS, parts), np.append(words, words[-1:] + 1)).astype(np.int32) * 2
+            own = words > piece.end
+            slot = np.where(own, words - piece.end - 1, words)
+            h = np.empty(len(words), np.uint64)
+            h[own], h[~own] = rare[slot[own]], vocabulary.words[slot[~own]]
+            if len(words):
+                pairs = pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(pair.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.where(own, piece.id, -1)), pa.array(slot.astype(np.int32)), pa.array(piece.by_code[words].astype(np.int32)), pairs],
+                                                 names=["h", "piece", "slot", "class", "pairs"])
+
+    return frame(pieces, state, "rare").mapInArrow(run, "h bigint, piece bigint, slot int, class int, pairs binary")
+
+
+class Words(NamedTuple):
+    """Neighbours of words in order of hash, with the messages that ask for their classes."""
+
+    h: np.ndarray
+    sums: np.ndarray
+    cls: np.ndarray
+    word: np.ndarray
+    piece: np.ndarray
+    slot: np.ndarray
+
+    def part(self, words: slice) -> Words:
+        lo, hi, _ = words.indices(len(self.h))
+        rows = slice(*np.searchsorted(self.word, (lo, hi)))
+        return Words(self.h[words], self.sums[words], self.cls[words], self.word[rows] - lo, self.piece[rows], self.slot[rows])
+
+    def after(self, held: Words) -> Words:
+        """``held``: one word, the same as the first here or an earlier one."""
+        new = int(not len(self.h) or held.h[0] != self.h[0])
+        sums = np.concatenate([held.sums, self.sums[1 - new:]])
+        if not new:
+            sums[0] += self.sums[0]
+        word = np.concatenate([held.word, self.word + new])
+        out = Words(np.concatenate([held.h, self.h[1 - new:]]), sums, np.concatenate([held.cls, self.cls[1 - new:]]), word, *(np.concatenate(x) for x in ((held.piece, self.piece), (held.slot, self.slot))))
+        return out.once()
+
+    def once(self) -> Words:
+        """Words at hand are asked for once."""
+        keep = self.piece >= 0
+        keep[np.searchsorted(self.word, np.arange(len(self.h)))] = True
+        return self._replace(word=self.word[keep], piece=self.piece[keep], slot=self.slot[keep])
+
+
+def _words(batch) -> Words:
+    h, piece, slot, cls = (batch.column(c).to_numpy() for c in range(4))
+    pairs = batch.column(4).to_pylist()
+    words, first, word = np.unique(h, return_index=True, return_inverse=True)
+    cells = np.frombuffer(b"".join(pairs), np.uint8).reshape(-1, 2)
+    of = np.repeat(word, [len(x) // 2 for x in pairs])
+    sums = np.bincount(of * CELLS + cells[:, 0], cells[:, 1], len(words) * CELLS).reshape(-1, CELLS)
+    return Words(words, sums.astype(float), cls[first].astype(np.int64), word, piece, slot.astype(np.int64)).once()
+
+
+def answers(sent: DataFrame, bigrams: np.ndarray) -> DataFrame:
+    """Per piece (below 0: words at hand) the ``moves``: number of the word and its new class."""
+
+    def out(words: Words):
+        import pyarrow as pa
 
-        def out():
-            word, sides = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(word, kind="stable")
-            word, raw = word[order], sides[order].tobytes()
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.empty(0, np.int64)
-            offsets = pa.array(np.append(first, len(word)).astype(np.int32) * 6)
-            lists = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, offsets.buffers()[1], pa.py_buffer(raw)])
-            return pa.RecordBatch.from_arrays([pa.array(word[first].view(np.int64)), lists], names=["h", "sides"])
+        new = best_classes(words.sums, words.cls, bigrams)[words.word]
+        piece = np.where(words.piece < 0, -1 - words.slot % GROUPS, words.piece)
+        return pa.RecordBatch.from_arrays([pa.array(piece), pa.array(words.slot << 8 | new)], names=["piece", "move"])
 
+    def run(batches: Iterator) -> Iterator:
+        held = None
         for batch in batches:
-            texts, places, rare = (batch.column(i).to_pylist() for i in range(3))
-            for part in groups_of(texts):
-                unit, size = _sequence(texts[part])
-                word = np.zeros(len(unit), np.uint64)
-                own = unit < SHARED
-                word[own] = vocabulary.words[unit[own]]
-                if beyond:
-                    word[unit == OUT] = np.concatenate([np.array(r, np.int64)[np.frombuffer(p, np.int32)] for p, r in zip(places[part], rare[part], strict=True)]).view(np.uint64)
-                before = _before(unit, size)
-                after = np.roll(unit, -1)  # an end token's own are not used
-                after[np.append(word[1:] == word[:-1], False)] = SELF
-                before[np.append(False, word[1:] == word[:-1])] = SELF
-                used = (unit >= head) & own | (unit == OUT) & beyond
-                held.append((word[used], np.concatenate([_pack(before[used]), _pack(after[used])], axis=1)))
-                tokens += int(used.sum())
-                if tokens > HELD_TOKENS:
-                    yield out()
-                    held, tokens = [], 0
-        if tokens:
-            yield out()
+            if batch.num_rows:
+                words = _words(batch)
+                if held is not None:
+                    words = words.after(held)
+                yield out(words.part(slice(0, -1)))
+                held = words.part(slice(-1, None))
+        if held is not None:
+            yield out(held)
 
-    found = coded.select("units", "places", "rare").mapInArrow(run, "h bigint, sides binary").groupBy("h").agg(F.collect_list("sides").alias("sides"))
-    return found.filter(F.aggregate("sides", F.lit(0), lambda n, x: n + F.octet_length(x)) >= 6 * LEAST)
+    ordered = sent.repartition("h").sortWithinPartitions("h")
+    return ordered.mapInArrow(run, "piece bigint, move bigint").groupBy("piece").agg(F.collect_list("move").alias("moves"))
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -274,16 +393,16 @@ def likelihood(bigrams: np.ndarray) -> float:
     return float(_f(bigrams).sum() - _f(bigrams.sum(0)).sum() - _f(bigrams.sum(1)).sum())
 
 
-def move_units(cells: np.ndarray, bigrams: np.ndarray, classes: np.ndarray, sweep: int) -> np.ndarray:
-    """Exchange: each counted unit of this sweep's half goes to its best class, class counts kept up to date."""
+def move_units(cells: np.ndarray, bigrams: np.ndarray, classes: np.ndarray, sweep: int, placed: int) -> np.ndarray:
+    """Exchange: each counted unit of this sweep's half goes to its best class, class bigrams kept up to date, neighbours as counted at its start. ``placed``: words at hand that have a class of their own."""
     classes, n = classes.copy(), bigrams.copy()
     weight = cells[:, 0].sum(1)
     for row in np.argsort(-weight, kind="stable"):
-        u = int(row) if row < HEAD else SHARED
-        if not weight[row] or (u * 2654435761 >> 7) + sweep & 1 and sweep:
+        u = int(row) if row < HEAD else len(classes) - 1
+        if not weight[row] or (int(row) * 2654435761 >> 7) + sweep & 1 and sweep:
             continue
-        left, right = cells[row, 0, :CLASSES + 1], cells[row, 1, :CLASSES + 1]
-        itself, a = cells[row, 0, CLASSES + 1], classes[u]
+        left, right = cells[row, 0, :SIDE], cells[row, 1, :SIDE]
+        itself, a = cells[row, 0, SIDE], classes[u]
         n[:, a] -= left
         n[a, :] -= right
         n[a, a] -= itself
@@ -293,7 +412,7 @@ def move_units(cells: np.ndarray, bigrams: np.ndarray, classes: np.ndarray, swee
         n[:, b] += left
         n[b, :] += right
         n[b, b] += itself
-    classes[OUT] = classes[SHARED]
+    classes[placed:-2] = classes[-1]
     return classes
 
 
@@ -310,143 +429,100 @@ def gains(n: np.ndarray, left: np.ndarray, right: np.ndarray, itself: np.ndarray
     return gain
 
 
-def move_listed(lists: DataFrame, vocabulary: Vocabulary, classes: np.ndarray, bigrams: np.ndarray, sweep: int, placed_only: bool = False) -> DataFrame:
-    """h, unit and new class of the listed words of this sweep's half, each moved alone; in sweep 1 of all. ``placed_only``: new words, by their neighbours that have a class of their own."""
-    width, k = CLASSES + 3, CLASSES + 1
-    side = classes.copy()
-    side[SELF] = k
-    if placed_only:
-        side[[SHARED, OUT]] = k + 1  # not read
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64)
-            mine = np.flatnonzero((h >> np.uint64(40)).astype(np.int64) + sweep & 1 == 0) if sweep > 1 else np.arange(len(h))
-            unit = vocabulary.look_up(h)[0]
-            a, new = classes[unit], classes[unit].copy()
-            for lo in range(0, len(mine), 256):
-                part = mine[lo:lo + 256]
-                raw = [b"".join(batch.column(1)[int(i)].as_py()) for i in part]
-                word = np.repeat(np.arange(len(part)), [len(x) // 6 for x in raw])
-                units = _unpack(b"".join(raw)).reshape(-1, 2)
-                # a neighbour that is the word itself is seen from both sides and counted once, by the left one
-                left, right = (np.bincount(word * width + side[units[:, j]], minlength=len(part) * width).reshape(len(part), width).astype(float) for j in (0, 1))
-                itself, left, right, at, cls = left[:, k], left[:, :k], right[:, :k], np.arange(len(part)), a[part]
-                n = np.repeat(bigrams[None], len(part), 0)
-                if not placed_only:
-                    n[at, :, cls] -= left
-                    n[at, cls, :] -= right
-                    n[at, cls, cls] -= itself
-                new[part] = gains(np.maximum(n, 0), left, right, itself).argmax(1)
-            yield pa.RecordBatch.from_arrays([pa.array(h[mine].view(np.int64)), pa.array(unit[mine].astype(np.int32)), pa.array(new[mine].astype(np.int32))], names=["h", "unit", "class"])
-
-    return lists.mapInArrow(run, "h bigint, unit int, class int")
-
-
-def cluster(training: tuple[DataFrame, DataFrame, Vocabulary], sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray, list[float]]:
-    """(class of every unit, class bigrams, likelihood after each sweep). The most frequent words start a class each, the rest shares the last. The HEAD moves first, the listed words from the second sweep on."""
-    coded, lists, vocabulary = training
-    classes = np.full(MID + CLASSES, CLASSES - 1)
-    classes[:CLASSES - 1] = np.arange(CLASSES - 1)
-    classes[END] = CLASSES
-    classes[MID:] = np.arange(CLASSES)
-    best, path = None, []
+def best_classes(sums: np.ndarray, cls: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """The best class of each word, moved alone; ``sums``: its neighbours, ``cls``: its class in ``bigrams``."""
+    new = np.empty(len(cls), np.int64)
+    for lo in range(0, len(cls), 256):
+        part, a = sums[lo:lo + 256], cls[lo:lo + 256]
+        left, right, itself, at = part[:, :SIDE], part[:, SIDE:-1], part[:, -1], np.arange(len(a))
+        n = np.repeat(bigrams[None], len(a), 0)
+        n[at, :, a] -= left
+        n[at, a, :] -= right
+        n[at, a, a] -= itself
+        new[lo:lo + 256] = gains(np.maximum(n, 0), left, right, itself).argmax(1)
+    return new
+
+
+def cluster(pieces: DataFrame, first: Table, vocabulary: Vocabulary, placed: int, buckets: int, sweeps: int = SWEEPS) -> tuple[State, np.ndarray, list[float]]:
+    """(the best state, its class bigrams, likelihood after each sweep). The most frequent words start a class each, the rest shares the last. The HEAD moves first, the other ``placed`` words from the second sweep on. Tables that no kept state reads are deleted."""
+    classes = np.full(vocabulary.end + 2, CLASSES - 1)
+    classes[:CLASSES - 1][:vocabulary.placed] = np.arange(CLASSES - 1)[:vocabulary.placed]
+    classes[vocabulary.end] = CLASSES
+    state, best, path = State(classes, [first]), None, []
     for sweep in range(sweeps + 1):
-        cells, bigrams = neighbours(coded.select("units"), classes)
+        cells, bigrams = neighbours(pieces, state, vocabulary)
         path.append(likelihood(bigrams))
         if best is None or path[-1] > best[0]:
-            best = path[-1], classes, bigrams
-        if sweep < sweeps:
-            moved = move_units(cells, bigrams, classes, sweep)
-            if sweep and len(vocabulary.words) > HEAD:
-                got = move_listed(lists, vocabulary, classes, bigrams, sweep).filter(F.col("unit") < SHARED).select("unit", "class").toArrow()  # at most KNOWN rows
-                moved[got["unit"].to_numpy()] = got["class"].to_numpy()
-            classes = moved
+            best = path[-1], state, bigrams
+        if sweep == sweeps:
+            break
+        moved, tables = move_units(cells, bigrams, state.classes, sweep, vocabulary.placed), state.moves
+        if sweep and placed > min(HEAD, vocabulary.placed):
+            got = bucketed(answers(messages(pieces, state, vocabulary, sweep), bigrams), "lm-moves", "piece", buckets)
+            at_hand = got.rows.filter("piece < 0").select("moves").toArrow()["moves"].combine_chunks().flatten().to_numpy()  # at most AT_HAND words
+            moved[at_hand >> 8] = at_hand & 255
+            tables = [*tables, got][-2:]  # two halves, or all words and a half
+        old, state = state, State(moved, tables)
+        for table in old.moves:
+            if not any(table is kept for s in (state, best[1]) for kept in (*s.moves, first)):
+                table.delete()
     return best[1], best[2], path
 
 
 class Model:
-    """Class tables; ``rare`` is the number of training words that share a unit."""
+    """Class tables; ``rare`` is the number of training words that share a unit, ``shared`` its class."""
 
-    def __init__(self, classes: np.ndarray, bigrams: np.ndarray, rare: int):
-        self.classes = classes
+    def __init__(self, bigrams: np.ndarray, rare: int, shared: int):
         tokens = bigrams.sum(0)
         prior = (tokens + 1) / (tokens.sum() + len(tokens))
         self.step = np.log10((bigrams + PRIOR * prior) / (bigrams.sum(1, keepdims=True) + PRIOR))
         # what a class's words share: log10 of 1 / tokens, and of the mass of the unknown words
-        tokens[classes[SHARED]] += 0 if rare else DISCOUNT
+        tokens[shared] += 0 if rare else DISCOUNT
         self.share = -np.log10(np.maximum(tokens, 1))
         self.unknown = float(np.log10(DISCOUNT * max(rare, 1)))
         self.share[CLASSES] = 0.0  # the end token is its class's only word
 
-    def transitions(self, unit: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Per text: log10 of the class transitions and of the classes' shares."""
-        cls = self.classes[unit]
-        before = self.classes[_before(unit, size)]
-        return np.add.reduceat(self.step[before, cls] + self.share[cls], np.cumsum(size) - size)
 
-
-def score(docs: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
+def score(docs: DataFrame, sweeps: int = SWEEPS, at_hand: int = AT_HAND) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity for every document."""
     spark: SparkSession = docs.sparkSession
     learn = docs.filter(fold(F.col("doc_id"), 7) != 2)
-    counts = saved(learn.select(F.coalesce(F.col("text"), F.lit("")).cast("binary")).mapInArrow(count_words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "lm-words")
+    counts, counts_path = written(learn.select(F.coalesce(F.col("text"), F.lit("")).cast("binary")).mapInArrow(count_words, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "llm-lm-words")
     ends = learn.count()
     words, tokens, placed = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") >= LEAST)).first()
     n, v = tokens + ends, words + (ends > 0)
-    vocabulary = frequent(counts)
-    beyond = placed > len(vocabulary.words)  # words to place whose counts are not at hand
-    coded = saved(encode(docs, vocabulary, n, v), "lm-units")
-    train = coded.filter("not held_out")
-    lists = contexts(train, vocabulary, beyond)
-    if placed > min(HEAD, len(vocabulary.words)):
-        lists = saved(lists, "lm-contexts")
-    classes, bigrams, _ = cluster((train, lists, vocabulary), sweeps)
-
-    # words outside the frequent ones: their counts and classes by a join, one row per text and distinct word
-    rest = counts.filter(F.col("n") < (int(vocabulary.counts.min()) if vocabulary.total else (1 << 62))).withColumn("class", F.lit(None).cast("int"))
-    if beyond:
-        cells, own = neighbours(train.select("units"), classes)
-        left, right, a = cells[HEAD, 0], cells[HEAD, 1], classes[SHARED]
-        own[:, a] -= left[:CLASSES + 1]
-        own[a, :] -= right[:CLASSES + 1]
-        own[a, a] -= left[CLASSES + 1]
-        found = saved(move_listed(lists, vocabulary, classes, np.maximum(own, 0), 1, True).filter(F.col("unit") == OUT).select("h", "class"), "lm-classes")
-        rest = rest.drop("class").join(found, "h", "left")
-    rare = coded.select("row", F.posexplode(F.arrays_zip("rare", "times")).alias("at", "x")).select("row", "at", F.col("x.rare").alias("h"), F.col("x.times").alias("k"))
-    spread = float(n + v + 1)
-    count = F.coalesce("n", F.lit(0))
-    model = Model(classes, bigrams, words - placed)
-    rare = rare.join(rest, "h", "left").groupBy("row").agg(
-        F.sum(F.when(count > 0, F.col("k")).otherwise(0)).cast("long").alias("known_r"),
-        F.sum(F.col("k") * F.log10((count + 1) / spread)).alias("base_r"),
-        F.sum(F.col("k") * F.when(count >= LEAST, F.log10(count)).when(count > 0, F.log10(count - DISCOUNT)).otherwise(model.unknown)).alias("emit_r"),
-        *([F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("class", F.lit(-1)).alias("c")))), lambda x: x["c"]).alias("found")] if beyond else []))
-    sums = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "emit"]
-    texts = ["units", "places", "found"] if beyond else ["units"]
-    if beyond:  # the class bigrams with the classes found
-        coded = saved(coded.drop("rare", "times").join(rare, "row", "left"), "lm-placed")
-        sums += ["known_r", "base_r", "emit_r"]
-        model = Model(classes, neighbours(coded.filter("not held_out").select(*texts), classes)[1], words - placed)
+    vocabulary = frequent(counts, at_hand)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = bucketed(encode(docs, vocabulary), "lm-pieces", "piece", buckets).rows
+    own = bucketed(own_counts(pieces, counts, vocabulary), "lm-counts", "piece", buckets)
+    remove_path(spark, counts_path)
+    state, bigrams, _ = cluster(pieces, own, vocabulary, placed, buckets, sweeps)
+
+    classes, tables, spread = state.classes, len(state.moves), float(n + v + 1)
+    model = Model(bigrams, words - placed, int(classes[-1]))
+    known = np.append(vocabulary.counts, ends)  # by code
 
     def walk(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            if batch.num_rows:
-                found = np.concatenate([model.transitions(*x) for x in _sequences(batch, len(texts))])
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(texts), batch.num_columns)], pa.array(found)], names=[*sums, "walk"])
-
-    whole = coded.select(*texts, *sums)
-    kinds = ", ".join(f"{c} {whole.schema[c].dataType.simpleString()}" for c in sums)
-    out = whole.mapInArrow(walk, f"{kinds}, walk double")
-    if not beyond:
-        out = out.join(rare, "row", "left")
-    end_base = float(np.log10((ends + 1) / spread))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    total = F.col("walk") + F.col("emit") + zero("emit_r")
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + zero("known_r") + (1 if ends else 0)).cast("long").alias("n_known"),
-                      F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("base_r") + end_base).alias("base_score"),
-                      total.alias("score"), F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"))
+            for i in range(batch.num_rows):
+                piece = Piece(batch, i, classes, tables)
+                packed = piece.array("counts")
+                rare = np.zeros(len(piece.own), np.int64)
+                rare[packed >> COUNT_BITS] = packed & (1 << COUNT_BITS) - 1
+                count = np.concatenate([known, rare])
+                base = np.log10((count + 1) / spread)
+                emit = np.where(count > 0, np.log10(np.maximum(count - DISCOUNT * (count < LEAST), 1e-9)), model.unknown) + model.share[piece.by_code]
+                emit[piece.end] = 0.0
+                code, size = piece.tokens(False)
+                cls = piece.by_code[code]
+                first = np.cumsum(size) - size
+                sums = [np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64)[code], base[code], emit[code] + model.step[_before(cls, size, CLASSES), cls])]
+                yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, batch.column("held")[i].values, pa.array(size), *map(pa.array, sums)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = frame(pieces, state, "ids").join(own.rows.select("piece", "counts"), "piece", "left")
+    out = out.mapInArrow(walk, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score",
+                      F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import scratch_path
+from quarry.session import remove_path, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII white space that separates words.
@@ -27,6 +29,27 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Table(NamedTuple):
+    """A table in the shared checkpoint folder that its writer deletes when no step reads it any more."""
+
+    rows: DataFrame
+    path: str
+
+    def delete(self) -> None:
+        remove_path(self.rows.sparkSession, self.path)
+
+
+def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> Table:
+    """As ``saved``, bucketed by ``key``: joins on ``key`` of tables with as many buckets shuffle nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{tag}")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    rows = spark.read.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only, not the files
+    return Table(rows, path)
+
+
 def private(df: DataFrame, *names: str) -> list[str]:
     """``names`` as column names that ``df`` does not have, whatever the case of its own."""
     taken = {c.lower() for c in df.columns}

@@ -46,12 +46,125 @@ def test_counts_and_base_score(odd_docs, doc_rows):
     assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in rows)
 
 
-def test_rare_words_are_joined_exactly(odd_docs, monkeypatch):
-    whole = {(r["doc_id"], r["n_tokens"]): r for r in B.score(odd_docs, sweeps=0).collect()}
-    monkeypatch.setattr(B.frequent, "__defaults__", (40,))
-    few = {(r["doc_id"], r["n_tokens"]): r for r in B.score(odd_docs, sweeps=0).collect()}
-    for k, r in whole.items():
-        assert few[k]["n_known"] == r["n_known"] and few[k]["base_score"] == pytest.approx(r["base_score"])
+def by_hash(text):
+    return TA.doc_words([text.encode()])[0].tolist()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Texts over words of falling frequency, with some null and empty texts, and words of held-out texts alone."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.3, 60) % 900) + f" only{i}") for i in range(300)]
+    rows += [(1000, None), (1001, ""), (1001, "w1 w1 w1 w2")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+def test_words_at_hand_change_no_result(skewed, monkeypatch):
+    monkeypatch.setattr(B, "HEAD", 20)
+    monkeypatch.setattr(B, "PIECE_TOKENS", 500)
+    want = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in B.score(skewed[1], sweeps=4).collect())
+    for few in (40, 200):
+        got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in B.score(skewed[1], sweeps=4, at_hand=few).collect())
+        assert [x[:3] for x in got] == [x[:3] for x in want]
+        assert np.allclose([x[3:] for x in got], [x[3:] for x in want], rtol=1e-12)
+
+
+def test_scores_by_brute_force(skewed, monkeypatch):
+    """Every sweep and score again in plain Python: all bigrams in a dictionary, likelihood by its definition, words moved one by one."""
+    rows, docs = skewed
+    monkeypatch.setattr(B, "HEAD", 20)
+    monkeypatch.setattr(B, "PIECE_TOKENS", 500)
+    got = {(r["doc_id"], r["n_tokens"]): r["score"] for r in B.score(docs, sweeps=3, at_hand=60).collect()}
+    k, end, shared = B.CLASSES, "end", "shared"
+    train = [by_hash(t or "") for i, t in rows if fold(i, 7) != 2]
+    count = Counter(w for t in train for w in t)
+    order = sorted(count, key=lambda w: (-count[w], w))
+    placed = [w for w in order if count[w] >= B.LEAST]
+    unit = lambda w: w if w == end or count.get(w, 0) >= B.LEAST else shared
+    pairs = Counter((a, b) for t in train for u in [[unit(w) for w in t]] for a, b in zip([end, *u], [*u, end], strict=True))
+    cls = {w: min(i, k - 1) for i, w in enumerate(placed)} | {shared: k - 1, end: k}
+
+    def table(c):
+        n = np.zeros((k + 1, k + 1))
+        for (a, b), x in pairs.items():
+            n[c[a], c[b]] += x
+        return n
+
+    of = {w: [(p, x) for p, x in pairs.items() if w in p] for w in [*placed, shared]}
+
+    def best(w, c, n):
+        """The class with the highest likelihood of all bigrams, the word moved alone. ``n``: the table of ``c``, which becomes that of the move."""
+        def add(at, sign):
+            for (a, b), x in of[w]:
+                n[at if a == w else c[a], at if b == w else c[b]] += sign * x
+
+        found = []
+        add(c[w], -1)
+        np.maximum(n, 0, out=n)
+        for b in range(k):
+            add(b, 1)
+            found.append(round(B.likelihood(n), 7))
+            add(b, -1)
+        add(best := int(np.argmax(found)), 1)
+        return best
+
+    seen = None
+    for sweep in range(4):
+        n = table(cls)
+        if seen is None or B.likelihood(n) > seen[0]:
+            seen = B.likelihood(n), cls, n
+        if sweep == 3:
+            break
+        new, weight, moving = dict(cls), Counter(), n.copy()
+        for (_, b), x in pairs.items():
+            weight[b] += x
+        head = [(w, i) for i, w in enumerate(placed[:20])] + [(shared, 20)] * (weight[shared] > 0)
+        for w, i in sorted(head, key=lambda x: (-weight[x[0]], x[1])):
+            if not ((i * 2654435761 >> 7) + sweep & 1 and sweep):
+                new[w] = best(w, cls, moving)  # neighbours as at the sweep's start
+        for w in placed[20:] if sweep else []:
+            if sweep == 1 or (w >> 40) + sweep & 1 == 0:
+                new[w] = best(w, cls, n.copy())
+        cls = new
+    _, cls, n = seen
+    rare = sum(count[w] < B.LEAST for w in count)
+    tokens = n.sum(0)
+    prior = (tokens + 1) / (tokens.sum() + k + 1)
+    mass = tokens.copy()
+    mass[cls[shared]] += 0 if rare else B.DISCOUNT
+    for i, t in rows:
+        u = by_hash(t or "")
+        c, want = [k, *[cls[unit(w)] for w in u], k], 0.0
+        for a, b in zip(c, c[1:], strict=False):
+            want += np.log10((n[a, b] + B.PRIOR * prior[b]) / (n[a].sum() + B.PRIOR))
+        for w in u:
+            x = count.get(w, 0)
+            want += np.log10((x - B.DISCOUNT * (x < B.LEAST) if x else B.DISCOUNT * max(rare, 1)) / mass[cls[unit(w)]])
+        assert got[i, len(u) + 1] == pytest.approx(want, rel=1e-9)
+
+
+def test_a_word_spread_over_batches_is_moved_once(monkeypatch):
+    """Messages in any batches give the sums and the answers of one batch."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n = 500
+    h = np.sort(rng.choice([-9, -2, 5, 7, 8, 30], n, p=[0.02, 0.02, 0.9, 0.02, 0.02, 0.02]))
+    own = h % 2 == 0
+    rows = [h, np.where(own, np.arange(n), -1), np.where(own, rng.integers(0, 99, n), h), np.full(n, 3)]
+    pairs = [rng.integers(0, B.CELLS, (rng.integers(0, 4), 2)).astype(np.uint8).tobytes() for _ in range(n)]
+    whole = pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(pairs, pa.binary())], names=list("abcde"))
+
+    def words(cuts):
+        held, out = None, []
+        for lo, hi in zip([0, *cuts], [*cuts, n], strict=True):
+            w = B._words(whole.slice(lo, hi - lo))
+            w = w.after(held) if held is not None else w
+            out.append(w.part(slice(0, -1)))
+            held = w.part(slice(-1, None))
+        return [(int(x.h[j]), x.sums[j].tolist(), sorted(zip(x.piece[x.word == j].tolist(), x.slot[x.word == j].tolist(), strict=True))) for x in [*out, held] for j in range(len(x.h))]
+
+    assert words([]) == words([1, 2, 100, 101, 300, 499]) == words(list(range(1, n)))
 
 
 def test_sweeps_raise_likelihood_and_model_beats_unigrams(spark):
@@ -63,7 +176,7 @@ def test_sweeps_raise_likelihood_and_model_beats_unigrams(spark):
     seen = []
     cluster = B.cluster
     try:
-        B.cluster = lambda coded, sweeps: seen.append(cluster(coded, sweeps)) or seen[-1]
+        B.cluster = lambda *args: seen.append(cluster(*args)) or seen[-1]
         out = B.score(docs).filter("held_out").agg(F.sum("base_score").alias("b"), F.sum("score").alias("s"), F.sum("n_tokens").alias("n")).first()
     finally:
         B.cluster = cluster
