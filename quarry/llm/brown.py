@@ -62,6 +62,8 @@ PIECE_TOKENS = 1 << 21
 #: A word's neighbours: of each class before it, of each class after it, and the word itself before it.
 SIDE = CLASSES + 1
 CELLS = 2 * SIDE + 1
+#: Counts of neighbours whose terms are computed once for all words.
+SMALL = 64
 #: Groups in which classes of words at hand are brought together.
 GROUPS = 1024
 #: Bits of a count beside a word's number.
@@ -149,12 +151,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             row, ids, flags = (pa.concat_arrays([x[0].column(c) for x in held]) for c in range(3))
             h, size = (np.concatenate([x[c] for x in held]) for c in (1, 2))
             code = vocabulary.codes(h)
-            rare, own = np.unique(h[code < 0], return_inverse=True)
-            code[code < 0] = own + vocabulary.end + 1
+            rare, where = np.unique(h[code < 0], return_inverse=True)
+            code[code < 0] = where + vocabulary.end + 1
             whole = pa.array([0, len(size)], pa.int32())
             lists = [pa.ListArray.from_arrays(whole, x) for x in (ids, flags, pa.array(size.astype(np.int32)))]
-            rare = pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), pa.array(rare.view(np.int64)))
-            return pa.RecordBatch.from_arrays([row.slice(0, 1), *lists, pa.array([_pack(code)], pa.binary()), rare], names=["piece", "ids", "held", "sizes", "codes", "rare"])
+            own = pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), pa.array(rare.view(np.int64)))
+            return pa.RecordBatch.from_arrays([row.slice(0, 1), *lists, pa.array([_pack(code)], pa.binary()), pa.array([len(rare)], pa.int32()), own], names=["piece", "ids", "held", "sizes", "codes", "own", "rare"])
 
         held, tokens = [], 0
         for batch in batches:
@@ -171,7 +173,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield out(held)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"piece bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, rare array<bigint>")
+    return rows.mapInArrow(run, f"piece bigint, ids array<{kind}>, held array<boolean>, sizes array<int>, codes binary, own int, rare array<bigint>")
 
 
 def own_counts(pieces: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -226,7 +228,7 @@ def _before(code: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
 
 def frame(pieces: DataFrame, state: State, *more: str) -> DataFrame:
     """The pieces with what a state says of their own words; nothing is shuffled where all is bucketed by piece."""
-    out = pieces.select("piece", "sizes", "held", "codes", F.size("rare").alias("own"), *more)
+    out = pieces.select("piece", "sizes", "held", "codes", "own", *more)
     for t, moves in enumerate(state.moves):
         out = out.join(moves.rows.select("piece", F.col("moves").alias(f"moves_{t}")), "piece", "left")
     return out
@@ -361,11 +363,12 @@ def _words(batch) -> Words:
 
 def answers(sent: DataFrame, bigrams: np.ndarray) -> DataFrame:
     """Per piece (below 0: words at hand) the ``moves``: number of the word and its new class."""
+    added = added_terms(bigrams)
 
     def out(words: Words):
         import pyarrow as pa
 
-        new = best_classes(words.sums, words.cls, bigrams)[words.word]
+        new = best_classes(words.sums, words.cls, bigrams, added)[words.word]
         piece = np.where(words.piece < 0, -1 - words.slot % GROUPS, words.piece)
         return pa.RecordBatch.from_arrays([pa.array(piece), pa.array(words.slot << 8 | new)], names=["piece", "move"])
 
@@ -389,6 +392,11 @@ def _f(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+def _first(gain: np.ndarray) -> np.ndarray:
+    """The best class, the first of those equal to six places."""
+    return np.round(gain, 6).argmax(1)
+
+
 def likelihood(bigrams: np.ndarray) -> float:
     return float(_f(bigrams).sum() - _f(bigrams.sum(0)).sum() - _f(bigrams.sum(1)).sum())
 
@@ -407,7 +415,7 @@ def move_units(cells: np.ndarray, bigrams: np.ndarray, classes: np.ndarray, swee
         n[a, :] -= right
         n[a, a] -= itself
         np.maximum(n, 0, out=n)
-        b = int(gains(n[None], left[None], right[None], np.array([itself]))[0].argmax())
+        b = int(_first(gains(n[None], left[None], right[None], np.array([itself])))[0])
         classes[u] = b
         n[:, b] += left
         n[b, :] += right
@@ -429,17 +437,52 @@ def gains(n: np.ndarray, left: np.ndarray, right: np.ndarray, itself: np.ndarray
     return gain
 
 
-def best_classes(sums: np.ndarray, cls: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+def dense_gains(sums: np.ndarray, a: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """``gains`` of words with classes ``a`` in ``bigrams``, from a copy of the bigrams per word."""
+    at, left, right, itself = np.arange(len(a)), sums[:, :SIDE], sums[:, SIDE:-1], sums[:, -1]
+    n = np.repeat(bigrams[None], len(a), 0)
+    n[at, :, a] -= left
+    n[at, a, :] -= right
+    n[at, a, a] -= itself
+    return gains(n, left, right, itself)
+
+
+def read_gains(sums: np.ndarray, a: np.ndarray, bigrams: np.ndarray, added: np.ndarray) -> np.ndarray:
+    """The same for words with counts below SMALL: most terms are read from ``added`` (``added_terms``), as a word changes only the row and the column of its class."""
+    at, left, right, itself = np.arange(len(a)), sums[:, :SIDE], sums[:, SIDE:-1], sums[:, -1]
+    l, r, side = left[:, :CLASSES], right[:, :CLASSES], np.arange(SIDE)
+    whole = sums.astype(np.intp)
+    gain = added[0, whole[:, :SIDE], side].sum(1) + added[1, whole[:, SIDE:-1], side].sum(1)
+    for own, other, x, table in ((bigrams[a, :CLASSES] - r, left[at, a], whole[at, a], added[0]), (bigrams.T[a, :CLASSES] - l, right[at, a], whole[at, SIDE + a], added[1])):
+        gain += _f(own + other[:, None]) - _f(own) - table[x, a]
+    col, row = bigrams.T[a] - left, bigrams[a] - right  # of the word's class, without it
+    col[at, a] -= right[at, a] + itself
+    row[at, a] -= left[at, a] + itself
+    gain[at, a] = (_f(col + left) - _f(col)).sum(1) + (_f(row + right) - _f(row)).sum(1)
+    corner = np.repeat(np.diag(bigrams)[None, :CLASSES], len(a), 0)
+    corner[at, a] = col[at, a]
+    i = itself[:, None]
+    gain += _f(corner + l + r + i) - _f(corner + l) - _f(corner + r) + _f(corner)
+    for total, add, mine in ((bigrams.sum(0)[:CLASSES] - r, left, col), (bigrams.sum(1)[:CLASSES] - l, right, row)):
+        total[at, a] = mine.sum(1)
+        gain -= _f(total + add.sum(1)[:, None] + i) - _f(total)
+    return gain
+
+
+def added_terms(bigrams: np.ndarray) -> np.ndarray:
+    """[side, count, neighbour's class, class]: what so many neighbours add to one term of the likelihood."""
+    n = np.stack([bigrams[:, :CLASSES], bigrams.T[:, :CLASSES]])[:, None]
+    return _f(n + np.arange(SMALL)[:, None, None]) - _f(n)
+
+
+def best_classes(sums: np.ndarray, cls: np.ndarray, bigrams: np.ndarray, added: np.ndarray) -> np.ndarray:
     """The best class of each word, moved alone; ``sums``: its neighbours, ``cls``: its class in ``bigrams``."""
     new = np.empty(len(cls), np.int64)
-    for lo in range(0, len(cls), 256):
-        part, a = sums[lo:lo + 256], cls[lo:lo + 256]
-        left, right, itself, at = part[:, :SIDE], part[:, SIDE:-1], part[:, -1], np.arange(len(a))
-        n = np.repeat(bigrams[None], len(a), 0)
-        n[at, :, a] -= left
-        n[at, a, :] -= right
-        n[at, a, a] -= itself
-        new[lo:lo + 256] = gains(np.maximum(n, 0), left, right, itself).argmax(1)
+    small = (sums < SMALL).all(1)
+    for mine, gains_of in ((np.flatnonzero(small), lambda *x: read_gains(*x, bigrams, added)), (np.flatnonzero(~small), lambda *x: dense_gains(*x, bigrams))):
+        for lo in range(0, len(mine), 256):
+            part = mine[lo:lo + 256]
+            new[part] = _first(gains_of(sums[part], cls[part]))
     return new
 
 

@@ -143,6 +143,18 @@ def test_scores_by_brute_force(skewed, monkeypatch):
         assert got[i, len(u) + 1] == pytest.approx(want, rel=1e-9)
 
 
+def test_terms_read_from_a_table_give_the_same_gains():
+    rng = np.random.default_rng(4)
+    sums = rng.poisson(0.5, (300, B.CELLS)).astype(float)
+    bigrams = rng.integers(0, 90, (B.SIDE, B.SIDE)).astype(float)
+    cls = rng.integers(0, B.CLASSES, 300)
+    for x, a in zip(sums, cls, strict=True):  # every word is in the bigrams
+        bigrams[:, a] += x[:B.SIDE]
+        bigrams[a] += x[B.SIDE:-1]
+        bigrams[a, a] += x[-1]
+    assert np.allclose(B.read_gains(sums, cls, bigrams, B.added_terms(bigrams)), B.dense_gains(sums, cls, bigrams), atol=1e-7)
+
+
 def test_a_word_spread_over_batches_is_moved_once(monkeypatch):
     """Messages in any batches give the sums and the answers of one batch."""
     import pyarrow as pa
