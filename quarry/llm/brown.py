@@ -59,6 +59,8 @@ DISCOUNT = 0.6
 HELD_WORDS = 1 << 20
 #: Tokens from which a piece ends (a longer text is a piece of its own).
 PIECE_TOKENS = 1 << 21
+#: Tokens a task has in full arrays at a time (or those of a longer text).
+SLICE_TOKENS = 1 << 18
 #: A word's neighbours: of each class before it, of each class after it, and the word itself before it.
 SIDE = CLASSES + 1
 CELLS = 2 * SIDE + 1
@@ -149,9 +151,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
         def out(held):
             row, ids, flags = (pa.concat_arrays([x[0].column(c) for x in held]) for c in range(3))
-            h, size = (np.concatenate([x[c] for x in held]) for c in (1, 2))
-            code = vocabulary.codes(h)
-            rare, where = np.unique(h[code < 0], return_inverse=True)
+            code, h, size = (np.concatenate([x[c] for x in held]) for c in (1, 2, 3))
+            rare, where = np.unique(h, return_inverse=True)
             code[code < 0] = where + vocabulary.end + 1
             whole = pa.array([0, len(size)], pa.int32())
             lists = [pa.ListArray.from_arrays(whole, x) for x in (ids, flags, pa.array(size.astype(np.int32)))]
@@ -164,7 +165,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             keys = batch.select([0, 1, 2])
             for part in groups_of(texts):
                 h, size = doc_words(texts[part])
-                held.append((keys.slice(part.start, part.stop - part.start), h, size))
+                code = vocabulary.codes(h).astype(np.int32)
+                held.append((keys.slice(part.start, part.stop - part.start), code, h[code < 0], size))
                 tokens += len(h)
                 if tokens >= PIECE_TOKENS:
                     yield out(held)
@@ -212,12 +214,17 @@ class Piece:
             self.own[moves >> 8] = moves & 255
         self.by_code = np.concatenate([classes[:-1], np.where(self.own < 0, classes[-1], self.own)]).astype(np.uint8)
 
-    def tokens(self, training: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the texts with an end token after each, and the number of tokens of each; of training texts or of all."""
-        code, size = self.codes, self.sizes
-        if training:
-            code, size = code[np.repeat(~self.held, size)], size[~self.held]
-        return np.insert(code, np.cumsum(size), self.end), size + 1
+    def tokens(self, training: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of some texts at a time: codes with an end token after each text, and the number of tokens of each; of training texts or of all."""
+        ends = np.cumsum(self.sizes)
+        cuts = np.flatnonzero(np.diff(np.cumsum(self.sizes + 1) // SLICE_TOKENS, prepend=0)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(ends)], strict=True):
+            size = self.sizes[lo:hi]
+            code = self.codes[ends[lo] - size[0]:ends[hi - 1]] if hi > lo else self.codes[:0]
+            if training:
+                code, size = code[np.repeat(~self.held[lo:hi], size)], size[~self.held[lo:hi]]
+            if len(size):
+                yield np.insert(code, np.cumsum(size), self.end), size + 1
 
 
 def _before(code: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
@@ -254,16 +261,16 @@ def neighbours(pieces: DataFrame, state: State, vocabulary: Vocabulary) -> tuple
 
         total = np.zeros(cells + k * k, np.int64)
         for piece in _pieces(batches, classes, tables):
-            code, size = piece.tokens(True)
             row_of = np.concatenate([fixed, np.where(piece.own < 0, head, -1)])
-            cls, row = piece.by_code[code], row_of[code]
-            cls_before, row_before = (_before(x, size, e) for x, e in ((cls, CLASSES), (row, -1)))
-            total[cells:] += np.bincount(cls_before.astype(np.int64) * k + cls, minlength=k * k)
-            same = row == row_before
-            for side, (r, other) in enumerate(((row, cls_before), (row_before, cls))):
-                mine = np.flatnonzero(r >= 0)
-                cell = (r[mine] * 2 + side) * width + np.where(same[mine], k, other[mine])
-                total[:cells] += np.bincount(cell, minlength=cells)
+            for code, size in piece.tokens(True):
+                cls, row = piece.by_code[code], row_of[code]
+                cls_before, row_before = (_before(x, size, e) for x, e in ((cls, CLASSES), (row, -1)))
+                total[cells:] += np.bincount(cls_before.astype(np.int64) * k + cls, minlength=k * k)
+                same = row == row_before
+                for side, (r, other) in enumerate(((row, cls_before), (row_before, cls))):
+                    mine = np.flatnonzero(r >= 0)
+                    cell = (r[mine] * 2 + side) * width + np.where(same[mine], k, other[mine])
+                    total[:cells] += np.bincount(cell, minlength=cells)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "n"])
 
@@ -289,16 +296,18 @@ def messages(pieces: DataFrame, state: State, vocabulary: Vocabulary, sweep: int
 
         for piece in _pieces(batches, classes, tables):
             rare = piece.array("rare").view(np.uint64)
-            code, size = piece.tokens(True)
             sent = np.concatenate([moving, (piece.own >= 0) & _turn(rare, sweep)])
-            cls = piece.by_code[code].astype(np.int64)
-            at = np.flatnonzero(sent[code])  # no end token is sent, so a next token is there
-            mine = code[at].astype(np.int64) * CELLS
-            before, cls_before = (_before(x, size, e)[at] for x, e in ((code, piece.end), (cls, CLASSES)))
-            left = mine + np.where(before == code[at], 2 * SIDE, cls_before)
-            other = code[at + 1] != code[at]  # a word after itself is counted once, from the right one
-            right = (mine + SIDE + cls[at + 1])[other]
-            key, n = np.unique(np.concatenate([left, right]), return_counts=True)
+            found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+            for code, size in piece.tokens(True):
+                cls = piece.by_code[code]
+                at = np.flatnonzero(sent[code])  # no end token is sent, so a next token is there
+                mine = code[at].astype(np.int64) * CELLS
+                before, cls_before = (_before(x, size, e)[at] for x, e in ((code, piece.end), (cls, CLASSES)))
+                left = mine + np.where(before == code[at], 2 * SIDE, cls_before)
+                other = code[at + 1] != code[at]  # a word after itself is counted once, from the right one
+                right = (mine + SIDE + cls[at + 1])[other]
+                found.append(np.unique(np.concatenate([left, right]), return_counts=True))
+            key, n = _tally(*(np.concatenate(x) for x in zip(*found, strict=True)))
             parts = (n + 254) // 255
             last = np.cumsum(parts) - 1
             pair = np.full((int(parts.sum()), 2), 255, np.uint8)
@@ -558,11 +567,14 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, at_hand: int = AT_HAND) -> Data
                 base = np.log10((count + 1) / spread)
                 emit = np.where(count > 0, np.log10(np.maximum(count - DISCOUNT * (count < LEAST), 1e-9)), model.unknown) + model.share[piece.by_code]
                 emit[piece.end] = 0.0
-                code, size = piece.tokens(False)
-                cls = piece.by_code[code]
-                first = np.cumsum(size) - size
-                sums = [np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64)[code], base[code], emit[code] + model.step[_before(cls, size, CLASSES), cls])]
-                yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, batch.column("held")[i].values, pa.array(size), *map(pa.array, sums)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+                at = 0
+                for code, size in piece.tokens(False):
+                    cls = piece.by_code[code]
+                    first = np.cumsum(size) - size
+                    sums = [np.add.reduceat(x, first) for x in ((count > 0).astype(np.int64)[code], base[code], emit[code] + model.step[_before(cls, size, CLASSES), cls])]
+                    keys = [batch.column(c)[i].values.slice(at, len(size)) for c in ("ids", "held")]
+                    at += len(size)
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array(size), *map(pa.array, sums)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = frame(pieces, state, "ids").join(own.rows.select("piece", "counts"), "piece", "left")

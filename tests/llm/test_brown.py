@@ -243,3 +243,20 @@ def tail_gain(docs):
 
 def test_words_outside_the_head_are_placed_by_their_neighbours(two_kinds):
     assert tail_gain(two_kinds) > 0  # it was -0.27 with classes by hash bucket
+
+
+@pytest.mark.parametrize("tokens", [1, 3, 10, 100])
+def test_slices_of_a_piece_hold_every_text_once(tokens, monkeypatch):
+    monkeypatch.setattr(B, "SLICE_TOKENS", tokens)
+    rng = np.random.default_rng(tokens)
+    piece = B.Piece.__new__(B.Piece)
+    piece.end = 99
+    for n in (0, 1, 5, 40):
+        piece.sizes, piece.held = rng.integers(0, 6, n), rng.random(n) < 0.3
+        piece.codes = rng.integers(0, 9, piece.sizes.sum()).astype(np.int32)
+        texts = np.split(piece.codes, np.cumsum(piece.sizes)[:-1]) if n else []
+        for training in (True, False):
+            kept = [t for t, held in zip(texts, piece.held, strict=True) if not (held and training)]
+            got = list(piece.tokens(training))
+            assert [x for code, _ in got for x in code.tolist()] == [x for t in kept for x in [*t.tolist(), 99]]
+            assert [x for _, size in got for x in size.tolist()] == [len(t) + 1 for t in kept]
