@@ -8,9 +8,9 @@ neighbours by class of the HEAD most frequent words (a fixed size, summed by
 Spark), which are moved one after another. Every other word is moved in each
 sweep but the first, by itself, against the class bigrams of the sweep: a piece
 of the corpus sends one message for each of its words, with the word's
-neighbours by class (at most CELLS numbers); one shuffle brings a word's
-messages together in order of words, a task adds them as they pass, moves the
-word, and answers the pieces that asked. After the first two sweeps half of the
+neighbours by class (at most CELLS numbers); one shuffle brings the messages
+together in blocks of words, a task adds them as they pass, moves the words, and
+answers the pieces that asked. After the first two sweeps half of the
 words move at a time; the assignment with the best exact likelihood is kept.
 
 The model: ``P(w | v) = P(class(w) | class(v)) * P(w | class(w))``. Transitions
@@ -66,6 +66,9 @@ SIDE = CLASSES + 1
 CELLS = 2 * SIDE + 1
 #: Counts of neighbours whose terms are computed once for all words.
 SMALL = 64
+#: Words in a block of messages, about, and messages that a task adds up at a time.
+BLOCK_WORDS = 1024
+MESSAGES = 1 << 14
 #: Groups in which classes of words at hand are brought together.
 GROUPS = 1024
 #: Bits of a count beside a word's number.
@@ -285,8 +288,8 @@ def _turn(h: np.ndarray, sweep: int) -> np.ndarray:
     return np.full(len(h), True) if sweep == 1 else (h.view(np.uint64) >> np.uint64(40)).astype(np.int64) + sweep & 1 == 0
 
 
-def messages(pieces: DataFrame, state: State, vocabulary: Vocabulary, sweep: int) -> DataFrame:
-    """One row per piece and word to move: its hash, the piece and the word's number in it (-1 and the code: at hand), its class, and its neighbours as pairs of bytes (cell, count)."""
+def messages(pieces: DataFrame, state: State, vocabulary: Vocabulary, sweep: int, bits: int) -> DataFrame:
+    """What a piece says of the words to move, one row per piece and block of words (those whose hashes begin with the same ``bits``), in arrays as bytes: hashes, the words' numbers in the piece (at hand: -1 - code), classes, and neighbours as pairs (cell, count)."""
     head, classes, tables = HEAD, state.classes, len(state.moves)
     moving = np.zeros(vocabulary.end + 1, bool)
     moving[head:vocabulary.placed] = _turn(vocabulary.words[head:vocabulary.placed], sweep)
@@ -315,17 +318,36 @@ def messages(pieces: DataFrame, state: State, vocabulary: Vocabulary, sweep: int
             pair[last, 1] = n - 255 * (parts - 1)
             # words at hand that occur, and all own words: a held-out text needs their classes too
             words = np.union1d(key // CELLS, np.flatnonzero(sent[piece.end + 1:]) + piece.end + 1)
-            cut = np.searchsorted(np.repeat(key // CELLS, parts), np.append(words, words[-1:] + 1)).astype(np.int32) * 2
+            cut = np.searchsorted(np.repeat(key // CELLS, parts), np.append(words, words[-1:] + 1))
             own = words > piece.end
-            slot = np.where(own, words - piece.end - 1, words)
+            slot = np.where(own, words - piece.end - 1, -1 - words)
             h = np.empty(len(words), np.uint64)
-            h[own], h[~own] = rare[slot[own]], vocabulary.words[slot[~own]]
-            if len(words):
-                pairs = pa.BinaryArray.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(cut.tobytes()), pa.py_buffer(pair.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.where(own, piece.id, -1)), pa.array(slot.astype(np.int32)), pa.array(piece.by_code[words].astype(np.int32)), pairs],
-                                                 names=["h", "piece", "slot", "class", "pairs"])
+            h[own], h[~own] = rare[slot[own]], vocabulary.words[words[~own]]
+            if not len(words):
+                continue
+            order = np.argsort(h)
+            block = _block(h[order], bits)
+            first = np.flatnonzero(np.diff(block, prepend=-1))
+            pairs = np.diff(cut)[order]
+            ends = np.cumsum(pairs)
+            pair = pair[np.arange(len(pair)) + np.repeat(cut[:-1][order] - ends + pairs, pairs)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[first]), pa.array(np.full(len(first), piece.id)), *(_cut(x, first) for x in (h[order], slot[order].astype(np.int32), piece.by_code[words][order], pairs.astype(np.int32))), _cut(pair, (ends - pairs)[first])],
+                names=["block", "piece", "h", "slot", "class", "n_pairs", "pairs"])
 
-    return frame(pieces, state, "rare").mapInArrow(run, "h bigint, piece bigint, slot int, class int, pairs binary")
+    return frame(pieces, state, "rare").mapInArrow(run, "block bigint, piece bigint, h binary, slot binary, class binary, n_pairs binary, pairs binary")
+
+
+def _block(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+def _cut(x: np.ndarray, first: np.ndarray):
+    """The rows of ``x`` as bytes, cut before each of ``first``."""
+    import pyarrow as pa
+
+    offsets = np.append(first, len(x)) * (x.nbytes // max(len(x), 1))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(np.ascontiguousarray(x).tobytes())])
 
 
 class Words(NamedTuple):
@@ -344,33 +366,46 @@ class Words(NamedTuple):
         return Words(self.h[words], self.sums[words], self.cls[words], self.word[rows] - lo, self.piece[rows], self.slot[rows])
 
     def after(self, held: Words) -> Words:
-        """``held``: one word, the same as the first here or an earlier one."""
-        new = int(not len(self.h) or held.h[0] != self.h[0])
-        sums = np.concatenate([held.sums, self.sums[1 - new:]])
-        if not new:
-            sums[0] += self.sums[0]
-        word = np.concatenate([held.word, self.word + new])
-        out = Words(np.concatenate([held.h, self.h[1 - new:]]), sums, np.concatenate([held.cls, self.cls[1 - new:]]), word, *(np.concatenate(x) for x in ((held.piece, self.piece), (held.slot, self.slot))))
-        return out.once()
-
-    def once(self) -> Words:
-        """Words at hand are asked for once."""
-        keep = self.piece >= 0
-        keep[np.searchsorted(self.word, np.arange(len(self.h)))] = True
-        return self._replace(word=self.word[keep], piece=self.piece[keep], slot=self.slot[keep])
+        """With what is ``held`` of earlier messages."""
+        h = np.union1d(held.h, self.h)
+        sums, cls = np.zeros((len(h), CELLS)), np.empty(len(h), np.int64)
+        at = [np.searchsorted(h, x.h) for x in (held, self)]
+        for x, where in zip((held, self), at, strict=True):
+            sums[where] += x.sums
+            cls[where] = x.cls
+        word = np.concatenate([where[x.word] for x, where in zip((held, self), at, strict=True)])
+        return Words(h, sums, cls, word, np.concatenate([held.piece, self.piece]), np.concatenate([held.slot, self.slot])).in_order()
+
+    def in_order(self) -> Words:
+        """Messages in order of words; words at hand are asked for once."""
+        order = np.argsort(self.word, kind="stable")
+        word = self.word[order]
+        keep = self.slot[order] >= 0
+        keep[np.searchsorted(word, np.arange(len(self.h)))] = True
+        order = order[keep]
+        return self._replace(word=word[keep], piece=self.piece[order], slot=self.slot[order])
 
 
 def _words(batch) -> Words:
-    h, piece, slot, cls = (batch.column(c).to_numpy() for c in range(4))
-    pairs = batch.column(4).to_pylist()
+    h, slot, cls, pairs, cells = (np.frombuffer(b"".join(batch.column(c).to_pylist()), kind) for c, kind in zip(range(2, 7), (np.uint64, np.int32, np.uint8, np.int32, np.uint8), strict=True))
+    piece = np.repeat(batch.column(1).to_numpy(), [len(x) // 8 for x in batch.column(2).to_pylist()])
     words, first, word = np.unique(h, return_index=True, return_inverse=True)
-    cells = np.frombuffer(b"".join(pairs), np.uint8).reshape(-1, 2)
-    of = np.repeat(word, [len(x) // 2 for x in pairs])
+    cells, of = cells.reshape(-1, 2), np.repeat(word, pairs)
     sums = np.bincount(of * CELLS + cells[:, 0], cells[:, 1], len(words) * CELLS).reshape(-1, CELLS)
-    return Words(words, sums.astype(float), cls[first].astype(np.int64), word, piece, slot.astype(np.int64)).once()
+    return Words(words, sums.astype(float), cls[first].astype(np.int64), word, piece, slot.astype(np.int64)).in_order()
+
 
+def _parts(batches: Iterator) -> Iterator[Words]:
+    """A few messages at a time."""
+    for batch in batches:
+        size = np.array([len(x) // 8 for x in batch.column(2).to_pylist()], np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(size) // MESSAGES, prepend=0)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(size)], strict=True):
+            if hi > lo:
+                yield _words(batch.slice(lo, hi - lo))
 
-def answers(sent: DataFrame, bigrams: np.ndarray) -> DataFrame:
+
+def answers(sent: DataFrame, bigrams: np.ndarray, bits: int) -> DataFrame:
     """Per piece (below 0: words at hand) the ``moves``: number of the word and its new class."""
     added = added_terms(bigrams)
 
@@ -378,23 +413,28 @@ def answers(sent: DataFrame, bigrams: np.ndarray) -> DataFrame:
         import pyarrow as pa
 
         new = best_classes(words.sums, words.cls, bigrams, added)[words.word]
-        piece = np.where(words.piece < 0, -1 - words.slot % GROUPS, words.piece)
-        return pa.RecordBatch.from_arrays([pa.array(piece), pa.array(words.slot << 8 | new)], names=["piece", "move"])
+        at_hand = words.slot < 0
+        slot = np.where(at_hand, -1 - words.slot, words.slot)
+        piece = np.where(at_hand, -1 - slot % GROUPS, words.piece)
+        order = np.argsort(piece, kind="stable")
+        piece, move = piece[order], (slot << 8 | new)[order]
+        first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1])) if len(piece) else np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(piece[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(piece)).astype(np.int32)), pa.array(move))], names=["piece", "moves"])
 
     def run(batches: Iterator) -> Iterator:
         held = None
-        for batch in batches:
-            if batch.num_rows:
-                words = _words(batch)
-                if held is not None:
-                    words = words.after(held)
-                yield out(words.part(slice(0, -1)))
-                held = words.part(slice(-1, None))
+        for words in _parts(batches):
+            if held is not None:
+                words = words.after(held)
+            block = _block(words.h, bits)
+            last = int(np.searchsorted(block, block[-1]))  # the last block may go on
+            yield out(words.part(slice(0, last)))
+            held = words.part(slice(last, None))
         if held is not None:
             yield out(held)
 
-    ordered = sent.repartition("h").sortWithinPartitions("h")
-    return ordered.mapInArrow(run, "piece bigint, move bigint").groupBy("piece").agg(F.collect_list("move").alias("moves"))
+    ordered = sent.repartition("block").sortWithinPartitions("block")
+    return ordered.mapInArrow(run, "piece bigint, moves array<bigint>").groupBy("piece").agg(F.flatten(F.collect_list("moves")).alias("moves"))
 
 
 def _f(x: np.ndarray) -> np.ndarray:
@@ -501,6 +541,7 @@ def cluster(pieces: DataFrame, first: Table, vocabulary: Vocabulary, placed: int
     classes[:CLASSES - 1][:vocabulary.placed] = np.arange(CLASSES - 1)[:vocabulary.placed]
     classes[vocabulary.end] = CLASSES
     state, best, path = State(classes, [first]), None, []
+    bits = max(placed // BLOCK_WORDS, 1).bit_length() - 1
     for sweep in range(sweeps + 1):
         cells, bigrams = neighbours(pieces, state, vocabulary)
         path.append(likelihood(bigrams))
@@ -510,7 +551,7 @@ def cluster(pieces: DataFrame, first: Table, vocabulary: Vocabulary, placed: int
             break
         moved, tables = move_units(cells, bigrams, state.classes, sweep, vocabulary.placed), state.moves
         if sweep and placed > min(HEAD, vocabulary.placed):
-            got = bucketed(answers(messages(pieces, state, vocabulary, sweep), bigrams), "lm-moves", "piece", buckets)
+            got = bucketed(answers(messages(pieces, state, vocabulary, sweep, bits), bigrams, bits), "lm-moves", "piece", buckets)
             at_hand = got.rows.filter("piece < 0").select("moves").toArrow()["moves"].combine_chunks().flatten().to_numpy()  # at most AT_HAND words
             moved[at_hand >> 8] = at_hand & 255
             tables = [*tables, got][-2:]  # two halves, or all words and a half

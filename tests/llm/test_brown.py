@@ -62,6 +62,7 @@ def skewed(spark):
 def test_words_at_hand_change_no_result(skewed, monkeypatch):
     monkeypatch.setattr(B, "HEAD", 20)
     monkeypatch.setattr(B, "PIECE_TOKENS", 500)
+    monkeypatch.setattr(B, "BLOCK_WORDS", 16)
     want = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in B.score(skewed[1], sweeps=4).collect())
     for few in (40, 200):
         got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in B.score(skewed[1], sweeps=4, at_hand=few).collect())
@@ -74,6 +75,7 @@ def test_scores_by_brute_force(skewed, monkeypatch):
     rows, docs = skewed
     monkeypatch.setattr(B, "HEAD", 20)
     monkeypatch.setattr(B, "PIECE_TOKENS", 500)
+    monkeypatch.setattr(B, "BLOCK_WORDS", 16)
     got = {(r["doc_id"], r["n_tokens"]): r["score"] for r in B.score(docs, sweeps=3, at_hand=60).collect()}
     k, end, shared = B.CLASSES, "end", "shared"
     train = [by_hash(t or "") for i, t in rows if fold(i, 7) != 2]
@@ -155,28 +157,34 @@ def test_terms_read_from_a_table_give_the_same_gains():
     assert np.allclose(B.read_gains(sums, cls, bigrams, B.added_terms(bigrams)), B.dense_gains(sums, cls, bigrams), atol=1e-7)
 
 
-def test_a_word_spread_over_batches_is_moved_once(monkeypatch):
-    """Messages in any batches give the sums and the answers of one batch."""
+def test_messages_in_any_parts_give_the_same_sums():
     import pyarrow as pa
 
     rng = np.random.default_rng(3)
-    n = 500
-    h = np.sort(rng.choice([-9, -2, 5, 7, 8, 30], n, p=[0.02, 0.02, 0.9, 0.02, 0.02, 0.02]))
-    own = h % 2 == 0
-    rows = [h, np.where(own, np.arange(n), -1), np.where(own, rng.integers(0, 99, n), h), np.full(n, 3)]
-    pairs = [rng.integers(0, B.CELLS, (rng.integers(0, 4), 2)).astype(np.uint8).tobytes() for _ in range(n)]
-    whole = pa.RecordBatch.from_arrays([*map(pa.array, rows), pa.array(pairs, pa.binary())], names=list("abcde"))
-
-    def words(cuts):
-        held, out = None, []
-        for lo, hi in zip([0, *cuts], [*cuts, n], strict=True):
+    rows, want = [], {}
+    for piece in range(60):
+        h = np.unique(rng.integers(0, 12, rng.integers(1, 9))).astype(np.uint64)
+        slot = np.where(h % 2 == 0, rng.integers(0, 99, len(h)), -1 - h.astype(np.int64)).astype(np.int32)
+        n = rng.integers(0, 4, len(h)).astype(np.int32)
+        pairs = rng.integers(0, B.CELLS, (n.sum(), 2)).astype(np.uint8)
+        rows.append([0, piece, *(x.tobytes() for x in (h, slot, (h % 5).astype(np.uint8), n, pairs))])
+        for w, x, p in zip(h.tolist(), slot.tolist(), np.split(pairs, np.cumsum(n)[:-1]), strict=True):
+            sums, asked = want.setdefault(w, (np.zeros(B.CELLS), set()))
+            np.add.at(sums, p[:, 0], p[:, 1])
+            asked.add((piece, x) if x >= 0 else x)
+    whole = pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 2 else pa.binary()) for i, c in enumerate(zip(*rows, strict=True))], names=list("abcdefg"))
+    for cuts in ([], [1, 2, 30, 59], list(range(1, 60))):
+        held = None
+        for lo, hi in zip([0, *cuts], [*cuts, 60], strict=True):
             w = B._words(whole.slice(lo, hi - lo))
-            w = w.after(held) if held is not None else w
-            out.append(w.part(slice(0, -1)))
-            held = w.part(slice(-1, None))
-        return [(int(x.h[j]), x.sums[j].tolist(), sorted(zip(x.piece[x.word == j].tolist(), x.slot[x.word == j].tolist(), strict=True))) for x in [*out, held] for j in range(len(x.h))]
-
-    assert words([]) == words([1, 2, 100, 101, 300, 499]) == words(list(range(1, n)))
+            held = w.after(held) if held is not None else w
+        assert held.h.tolist() == sorted(want)
+        for part in (held, held.part(slice(3, None))):
+            for j, w in enumerate(part.h.tolist()):
+                mine = part.word == j
+                asked = [(p, x) if x >= 0 else x for p, x in zip(part.piece[mine].tolist(), part.slot[mine].tolist(), strict=True)]
+                assert (part.sums[j] == want[w][0]).all() and part.cls[j] == w % 5
+                assert len(asked) == len(set(asked)) and set(asked) == want[w][1]
 
 
 def test_sweeps_raise_likelihood_and_model_beats_unigrams(spark):
