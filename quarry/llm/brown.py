@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import Table, bucketed, fold
+from quarry.llm.common import Table, batches_of, bucketed, fold
 from quarry.llm.textarrays import doc_words, groups_of
 from quarry.session import remove_path, written
 
@@ -58,7 +58,9 @@ DISCOUNT = 0.6
 #: Distinct words a counting task holds before it passes their counts on.
 HELD_WORDS = 1 << 20
 #: Tokens from which a piece ends (a longer text is a piece of its own).
-PIECE_TOKENS = 1 << 21
+PIECE_TOKENS = 1 << 20
+#: Bytes of an Arrow batch while the model is learned: a piece or two.
+BATCH_BYTES = 4 << 20
 #: Tokens a task has in full arrays at a time (or those of a longer text).
 SLICE_TOKENS = 1 << 18
 #: A word's neighbours: of each class before it, of each class after it, and the word itself before it.
@@ -586,10 +588,11 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, at_hand: int = AT_HAND) -> Data
     n, v = tokens + ends, words + (ends > 0)
     vocabulary = frequent(counts, at_hand)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = bucketed(encode(docs, vocabulary), "lm-pieces", "piece", buckets).rows
-    own = bucketed(own_counts(pieces, counts, vocabulary), "lm-counts", "piece", buckets)
-    remove_path(spark, counts_path)
-    state, bigrams, _ = cluster(pieces, own, vocabulary, placed, buckets, sweeps)
+    with batches_of(spark, BATCH_BYTES):
+        pieces = bucketed(encode(docs, vocabulary), "lm-pieces", "piece", buckets).rows
+        own = bucketed(own_counts(pieces, counts, vocabulary), "lm-counts", "piece", buckets)
+        remove_path(spark, counts_path)
+        state, bigrams, _ = cluster(pieces, own, vocabulary, placed, buckets, sweeps)
 
     classes, tables, spread = state.classes, len(state.moves), float(n + v + 1)
     model = Model(bigrams, words - placed, int(classes[-1]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +52,18 @@ def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> Table:
     return Table(rows, path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs run inside pass Arrow batches of about ``size`` bytes at most."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def private(df: DataFrame, *names: str) -> list[str]:
     """``names`` as column names that ``df`` does not have, whatever the case of its own."""
     taken = {c.lower() for c in df.columns}
