@@ -323,6 +323,30 @@ def group_forests(df: DataFrame, groups: list[str], features: list[str], label:
     return trees_.predict(forest, df.filter(F.col(split) != "train"))
 
 
+def group_boosted(df: DataFrame, groups: list[str], features: list[str], label: str, rounds: int = 50, depth: int = 5, rate: float = 0.1,
+                  split: str = "split") -> DataFrame:
+    """Boosted trees per group, all groups grown together on the rows with ``split`` = 'train' (a number of jobs
+    that depends on ``rounds`` and ``depth`` only); returns the other rows of groups with training rows with their
+    ``prediction``."""
+    model = trees_.boost(df.filter(F.col(split) == "train"), groups, features, F.col(label), rounds, depth, rate)
+    return trees_.predict(model, df.filter(F.col(split) != "train"))
+
+
+def boosted_search(df: DataFrame, features: list[str], label: str, key: str, sizes: list[int], rates: list[float], depths: list[int],
+                   folds: int = 5) -> DataFrame:
+    """H9: (depth, rate, trees, n, rmse) of every setting, ``rmse`` the mean over the folds. All settings and folds grow
+    in one run, as groups of ``boost``; numbers of trees are read off the longest. A setting's rows are a copy of
+    the table, as what its trees leave over is its own."""
+    grid = F.explode(F.array(*[F.struct(F.lit(float(r)).alias("rate"), F.lit(d).alias("limit")) for r in rates for d in depths]))
+    rows = df.select(F.col(key).alias("key"), F.col(label).cast("double").alias("label"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    names = [f"x{i}" for i in range(len(features))]
+    rows = rows.select("key", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(names)], _fold("key", folds).alias("fold"), grid.alias("s")).select("*", "s.rate", "s.limit").drop("s")
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold"))
+    model = trees_.boost(rows.withColumn("fold", F.explode(others)), ["fold", "rate", "limit"], names, F.col("label"), max(sizes), max(depths), "rate", "limit")
+    table = trees_.scores(model, rows, "label", sizes, [max(depths)])
+    return table.groupBy(F.col("limit").alias("depth"), "rate", "trees").agg(F.sum("n").alias("n"), F.avg(F.sqrt("mse")).alias("rmse"))
+
+
 def forest_search(train: DataFrame, held: DataFrame, features: list[str], label: str, classes: list, key: list[str],
                   sizes: list[int], depths: list[int]) -> DataFrame:
     """H8: (trees, depth, n, accuracy) of every setting on the hold-out, read off one forest of the largest setting
@@ -331,10 +355,13 @@ def forest_search(train: DataFrame, held: DataFrame, features: list[str], label:
     return trees_.scores(whole, held, label, sizes, depths, classes)
 
 
+def _fold(key: str, folds: int):
+    return F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int")
+
+
 def forest_cv(df: DataFrame, features: list[str], label: str, key: str, trees: int, depth: int, folds: int = 5) -> DataFrame:
     """(fold, n, mse) of a forest per fold, grown together on the rows of the other folds."""
-    fold = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(folds)).cast("int")
-    held = df.withColumn("fold", fold)
+    held = df.withColumn("fold", _fold(key, folds))
     others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold"))
     train = held.withColumn("fold", F.explode(others))
     forest = trees_.grow(train, ["fold"], features, [F.col(label)], [key], trees, depth)

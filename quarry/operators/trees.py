@@ -15,6 +15,12 @@ from a hash of the row's key and the tree's number, so a forest of 50 trees is
 the first 50 of a forest of 200, and a tree cut at depth 4 is the tree grown to
 depth 4: ``scores`` reads every (trees, depth) setting off one forest.
 
+Boosted trees (``boost``) of all groups grow together too, a round after another:
+each round's trees fit what the earlier ones left of the label. The state is one
+row per training row with its bins and what is left; it is rewritten each round.
+Rate and depth may be columns of the groups, so every setting of a search is a
+group of one run, and ``scores`` reads all numbers of rounds off it.
+
 Rows with a NULL or NaN feature take no part in a fit and get no prediction.
 Equally good splits (to nine digits of the node's variance) go to the first
 feature, then the lowest bin. A group whose rows cannot be split predicts its
@@ -29,7 +35,7 @@ from math import exp, factorial, gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import written
+from quarry.session import remove_path, written
 
 POISSON = [sum(exp(-1) / factorial(i) for i in range(k + 1)) for k in range(9)]
 LEAST_SHARE = 1e-9  # of a node's variance, and of its squares
@@ -71,6 +77,14 @@ class Forest:
     tables: DataFrame
     roots: DataFrame
     levels: list[DataFrame]
+    #: of boosted trees: a number, or the name of a group column
+    rate: float | str | None = None
+
+    def total(self, value: Column, trees: Column) -> Column:
+        """What the summed ``value`` of so many trees says: its mean, or for boosted trees the sum times the rate."""
+        if self.rate is None:
+            return value / trees
+        return value * (F.col(self.rate) if isinstance(self.rate, str) else F.lit(self.rate))
 
     def binned(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``__bins`` (a byte per feature) and ``__means`` of their group; rows of unknown groups are left out."""
@@ -106,13 +120,13 @@ class Forest:
         return met
 
     def outputs(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``__out``, the mean over all trees of every output (NULL for rows that cannot be scored)."""
+        """``rows`` with ``__out``, the mean (boosted: the sum) over all trees of every output (NULL for rows that cannot be scored)."""
         numbered = rows.withColumn("__row", F.monotonically_increasing_id())
         met = self.binned(numbered.filter(_usable(self.features))).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
         walked = self.descend(met, len(self.levels), True)
         # the pairs of a row sit side by side, so the sums leave the task once per row
         long = walked.select(*rows.columns, "__row", "__means", F.posexplode("__value").alias("__k", "__v"))
-        sums = long.groupBy(*rows.columns, "__row", "__means", "__k").agg(F.avg("__v").alias("__v"))
+        sums = long.groupBy(*rows.columns, "__row", "__means", "__k").agg(self.total(F.sum("__v"), F.count("__v")).alias("__v"))
         out = sums.groupBy(*rows.columns, "__row", "__means").agg(F.transform(F.array_sort(F.collect_list(F.struct("__k", "__v"))), lambda x: x["__v"]).alias("__o"))
         scored = out.withColumn("__out", F.zip_with("__o", "__means", lambda o, m: o + m)).select(*rows.columns, "__out")
         unscored = rows.filter(~_usable(self.features)).withColumn("__out", F.lit(None).cast("array<double>"))
@@ -138,8 +152,8 @@ def _tried(features: int, columns: int | None, seed: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(columns - 1)), lambda i: F.pmod(start + i * step, F.lit(features)).cast("int"))
 
 
-def _best_splits(met: DataFrame, groups: list[str], features: int, outputs: int, columns: int | None, seed: int, least: int) -> DataFrame:
-    """The best split of every node: group, tree, node, feature, bin, left and right values."""
+def _best_splits(met: DataFrame, groups: list[str], features: int, outputs: int, columns: int | None, seed: int, least: int, ridge: float = 0.0) -> DataFrame:
+    """The best split of every node: group, tree, node, feature, bin, left and right values. ``ridge`` is added to the rows of a node where its value is taken."""
     tried = met.withColumn("__f", F.explode(_tried(features, columns, seed)))
     # tree, node, feature and bin in one number: one key to hash and to sort by
     cell = F.shiftleft(F.col("tree").cast("long"), 40).bitwiseOR(F.shiftleft(F.col("__node").cast("long"), 20)).bitwiseOR(F.shiftleft(F.col("__f").cast("long"), 8))
@@ -154,6 +168,7 @@ def _best_splits(met: DataFrame, groups: list[str], features: int, outputs: int,
     cells = cells.withColumns({f"{c}_l": F.sum(c).over(upto) for c in names if c != "__q"} | {f"{c}_t": F.sum(c).over(whole) for c in names})
     n, left, right = F.col("__n_t"), F.col("__n_l"), F.col("__n_t") - F.col("__n_l")
     cells = cells.filter((left >= least) & (right >= least))
+    n, left, right = n + ridge, left + ridge, right + ridge
     total = sum((F.col(f"__s{k}_t") * F.col(f"__s{k}_t") for k in range(outputs)), F.lit(0.0)) / n
     rest = [F.col(f"__s{k}_t") - F.col(f"__s{k}_l") for k in range(outputs)]
     parts = sum((F.col(f"__s{k}_l") * F.col(f"__s{k}_l") / left + rest[k] * rest[k] / right for k in range(outputs)), F.lit(0.0))
@@ -196,6 +211,60 @@ def grow(rows: DataFrame, groups: list[str], features: list[str], outputs: list[
     return forest
 
 
+def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column, rounds: int = 50, depth: int = 5, rate: float | str = 0.1,
+          limit: str | None = None, ridge: float = 1.0, bins: int = 32, least: int = 1) -> Forest:
+    """Boosted regression trees per group (squared error, leaves shrunk by ``ridge``), one per round.
+
+    ``rate``: a number or a group column; ``limit``: a group column with the depth of the group's own trees, at most
+    ``depth``. Jobs depend on ``rounds`` and ``depth`` alone. Rows with a NULL label take no part.
+    """
+    if depth > 19 or bins > 128 or len(features) > 4096:
+        raise ValueError("a tree has at most 19 levels, 4096 features and 128 bins")
+    if any(isinstance(c, str) and c not in groups for c in (rate, limit)):
+        raise ValueError("rate and limit are columns of the groups")
+    spark, rows = rows.sparkSession, rows.filter(_usable(features) & label.isNotNull())
+    tables, _ = written(bin_edges(rows, groups, features, [label], bins), "boost-edges")
+    forest = Forest(groups, features, rounds, tables, None, [], rate)
+    start = forest.binned(rows).select(*groups, "__bins", F.array(label.cast("double") - F.col("__means")[0]).alias("__y"))
+    state, path = written(start, "boost-rows")
+    roots, levels, kind = [], [[] for _ in range(depth)], {}
+
+    def keep(df: DataFrame, paths: list[str], name: str) -> DataFrame:
+        out, at = written(df, f"boost-{name}")
+        paths.append(at)
+        kind[name] = out.schema
+        return out
+
+    for tree in range(rounds):
+        met = state.withColumns({"tree": F.lit(tree), "__w": F.lit(1), "__square": F.col("__y")[0] * F.col("__y")[0]})
+        mean = F.array(F.sum(F.col("__y")[0]) / (F.count(F.lit(1)) + ridge))
+        one = Forest(groups, features, 1, tables, keep(met.groupBy(*groups, "tree").agg(mean.alias("__value")), roots, "roots"), [])
+        for level in range(depth):
+            here = one.descend(met, level, False).filter(F.col("__node") >= 1 << level)
+            if limit is not None:
+                here = here.filter(F.col(limit) > level)
+            splits = keep(_best_splits(here, groups, len(features), 1, None, 0, least, ridge), levels[level], "splits")
+            if splits.isEmpty():
+                break
+            one.levels.append(splits)
+        left = F.array(F.col("__y")[0] - forest.total(F.col("__value")[0], F.lit(1)))
+        old = path
+        state, path = written(one.descend(met, len(one.levels), True).select(*groups, "__bins", left.alias("__y")), "boost-rows")
+        remove_path(spark, old)
+    remove_path(spark, path)
+
+    def together(paths: list[str], name: str) -> DataFrame:
+        """The rounds' tables as one."""
+        out, _ = written(spark.read.schema(kind[name]).parquet(*paths), f"boost-{name}")
+        for at in paths:
+            remove_path(spark, at)
+        return out
+
+    forest.roots = together(roots, "roots")
+    forest.levels = [together(paths, "splits") for paths in levels if paths]
+    return forest
+
+
 def class_outputs(label: str, classes: list) -> list[Column]:
     """Indicators of the classes of ``label``."""
     return [(F.col(label) == F.lit(c)).cast("double") for c in classes]
@@ -229,7 +298,7 @@ def scores(forest: Forest, rows: DataFrame, label: str, sizes: list[int], depths
     run = Window.partitionBy(*forest.groups, "__row", "depth").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, 0)
     size = F.element_at(F.array(*[F.lit(c) for c in cuts]), F.col("__stretch") + 1)
     summed = part.withColumns({f"__o{k}": F.sum(f"__o{k}").over(run) for k in range(width)}).withColumn("trees", size)
-    out = F.array(*[F.col(f"__o{k}") / F.col("trees") + F.col("__means")[k] for k in range(width)])
+    out = F.array(*[forest.total(F.col(f"__o{k}"), F.col("trees")) + F.col("__means")[k] for k in range(width)])
     if classes is None:
         measure = F.avg(F.pow(out[0] - F.col("__label"), F.lit(2))).alias("mse")
     else:

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.operators import learn as L
 from quarry.operators import trees as T
 from quarry.plans.learn import DAY_FEATURES
 from quarry.sources.fixtures import days
@@ -142,3 +143,73 @@ def test_awkward_rows(spark):
     assert got[903] == got[904] == pytest.approx(4.0) and got[905] == pytest.approx(7.0)
     empty = T.grow(data.limit(0), ["g"], ["a", "b", "c"], [F.col("y")], ["id"], trees=3, depth=2)
     assert T.predict(empty, data).filter("prediction is not null").count() == 0
+
+
+def plain_boost(rows, cuts, rounds, depth, rate, ridge):
+    """rows: (features, label). What the trees of every round say of each row, by the definition: recursive splits, shrunk leaves."""
+    mean = sum(y for _, y in rows) / len(rows)
+    at = [[sum(e < v for e in cuts[f]) for f, v in enumerate(x)] for x, _ in rows]
+    said = [mean] * len(rows)
+
+    def fit(members, left, level, out):
+        n, s = len(members), sum(left[i] for i in members)
+        q, best = sum(left[i] ** 2 for i in members), None
+        total = s * s / (n + ridge)
+        if level < depth and q - total > T.LEAST_SHARE * q:
+            for f in range(len(cuts)):
+                for b in sorted({at[i][f] for i in members})[:-1]:
+                    low = [i for i in members if at[i][f] <= b]
+                    sl, nl = sum(left[i] for i in low), len(low)
+                    share = round((sl * sl / (nl + ridge) + (s - sl) ** 2 / (n - nl + ridge) - total) / (q - total), 9)
+                    if share > T.LEAST_SHARE and (best is None or share > best[0]):
+                        best = share, f, b
+        if best is None:
+            out.update((i, s / (n + ridge)) for i in members)
+            return
+        _, f, b = best
+        fit([i for i in members if at[i][f] <= b], left, level + 1, out)
+        fit([i for i in members if at[i][f] > b], left, level + 1, out)
+
+    path = []
+    for _ in range(rounds):
+        out = {}
+        fit(list(range(len(rows))), [y - p for (_, y), p in zip(rows, said)], 0, out)
+        said = [p + rate * out[i] for i, p in enumerate(said)]
+        path.append(said)
+    return path
+
+
+def curved(n, seed=5):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        a, b, c = rng.random(), rng.randrange(5) / 4, rng.random()
+        out.append((i % 3, i, a, b, c, (i % 3) * 10 + 6 * a * a + 3 * b + rng.random() / 10))
+    return out
+
+
+def test_boosted_trees_equal_a_plain_booster(spark):
+    rows = curved(150) + [(7, 900, 0.1, 0.2, 0.3, 4.0), (None, 901, 0.1, 0.2, 0.3, 1.0), (None, 902, 0.9, 0.2, 0.3, 2.0)]
+    data = spark.createDataFrame(rows, ROW)
+    model = T.boost(data, ["g"], ["a", "b", "c"], F.col("y"), rounds=3, depth=3, rate=0.4, bins=8)
+    cuts = {r["g"]: r["__edges"] for r in model.tables.collect()}
+    got = {r["id"]: r["prediction"] for r in T.predict(model, data).collect()}
+    for g in (0, 1, 2, 7, None):
+        mine = [r for r in rows if r[0] == g]
+        want = plain_boost([(r[2:5], r[5]) for r in mine], cuts[g], 3, 3, 0.4, 1.0)[-1]
+        assert [got[r[1]] for r in mine] == pytest.approx(want)
+    odd = spark.createDataFrame([(0, 1, None, 0.1, 0.1, None), (0, 2, float("nan"), 0.1, 0.1, 1.0), (5, 3, 0.1, 0.1, 0.1, 1.0)], ROW)
+    assert {r["id"]: r["prediction"] for r in T.predict(model, odd).collect()} == {1: None, 2: None}
+
+
+def test_settings_as_groups_equal_boosting_alone(spark):
+    data = spark.createDataFrame(curved(120), ROW)
+    table = {(r["depth"], r["rate"], r["trees"]): (r["n"], r["rmse"]) for r in L.boosted_search(data, ["a", "b", "c"], "y", "id", [1, 3], [0.3, 0.6], [1, 2], folds=2).collect()}
+    assert len(table) == 2 * 2 * 2 and {n for n, _ in table.values()} == {120}
+    folds = data.withColumn("fold", L._fold("id", 2))
+    for depth, rate, trees in ((1, 0.6, 3), (2, 0.3, 1)):
+        errors = []
+        for f in (0, 1):
+            alone = T.boost(folds.filter(F.col("fold") != f), [], ["a", "b", "c"], F.col("y"), trees, depth, rate)
+            errors.append(T.predict(alone, folds.filter(F.col("fold") == f)).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("y"), F.lit(2))))).first()[0])
+        assert table[depth, rate, trees][1] == pytest.approx(sum(errors) / 2)
