@@ -225,7 +225,7 @@ def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column
     spark, rows = rows.sparkSession, rows.filter(_usable(features) & label.isNotNull())
     tables, _ = written(bin_edges(rows, groups, features, [label], bins), "boost-edges")
     forest = Forest(groups, features, rounds, tables, None, [], rate)
-    start = forest.binned(rows).select(*groups, "__bins", F.array(label.cast("double") - F.col("__means")[0]).alias("__y"))
+    start = forest.binned(rows).select(*groups, "__bins", F.array(label.cast("double") - F.col("__means")[0]).alias("__y"), F.lit(0).alias("tree"))
     state, path = written(start, "boost-rows")
     roots, levels, kind = [], [[] for _ in range(depth)], {}
 
@@ -235,8 +235,9 @@ def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column
         kind[name] = out.schema
         return out
 
-    for tree in range(rounds):
-        met = state.withColumns({"tree": F.lit(tree), "__w": F.lit(1), "__square": F.col("__y")[0] * F.col("__y")[0]})
+    # the round's number is a column, so that all rounds run the same compiled code
+    for _ in range(rounds):
+        met = state.withColumns({"__w": F.lit(1), "__square": F.col("__y")[0] * F.col("__y")[0]})
         mean = F.array(F.sum(F.col("__y")[0]) / (F.count(F.lit(1)) + ridge))
         one = Forest(groups, features, 1, tables, keep(met.groupBy(*groups, "tree").agg(mean.alias("__value")), roots, "roots"), [])
         for level in range(depth):
@@ -249,7 +250,7 @@ def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column
             one.levels.append(splits)
         left = F.array(F.col("__y")[0] - forest.total(F.col("__value")[0], F.lit(1)))
         old = path
-        state, path = written(one.descend(met, len(one.levels), True).select(*groups, "__bins", left.alias("__y")), "boost-rows")
+        state, path = written(one.descend(met, len(one.levels), True).select(*groups, "__bins", left.alias("__y"), (F.col("tree") + 1).alias("tree")), "boost-rows")
         remove_path(spark, old)
     remove_path(spark, path)
 

@@ -253,6 +253,25 @@ def q_group_models(spark, sf):
     return pred.select("year", "season_id", "date", "label", _finite("prediction").alias("finite"))
 
 
+@query("group_boosted", """
+WITH s AS (SELECT year, season_id, date, total_users,
+  row_number() OVER (PARTITION BY year, season_id ORDER BY md5(CAST(date AS VARCHAR)))
+    <= floor(count(*) OVER (PARTITION BY year, season_id) * 0.15 + 0.5) AS test FROM days),
+g AS (SELECT year, season_id, var_pop(total_users) > 0 AS varied FROM s WHERE NOT test GROUP BY 1, 2)
+SELECT s.year, s.season_id, date, CAST(total_users AS DOUBLE) AS label, true AS finite, varied AS beats_mean
+FROM s JOIN g ON s.year = g.year AND s.season_id = g.season_id WHERE test""", ("days",))
+def q_group_boosted(spark, sf):
+    """Boosted trees for all groups at once on the groups' held-out days; ``beats_mean``: a group's trees come closer to
+    its training rows than their mean does."""
+    d = days(spark, sf).withColumn("label", F.col("total_users").cast("double"))
+    d = L.stratified_split(d, "date", ["year", "season_id"], 0.15)
+    seen = d.filter("split = 'train'").withColumn("split", F.lit("seen"))
+    pred, _ = written(L.group_boosted(d.unionByName(seen), ["year", "season_id"], DAY_FEATURES, "label", rounds=6, depth=3, rate=0.3), "boosted-days")
+    error = F.avg(F.pow(F.col("label") - F.col("prediction"), F.lit(2)))
+    fit = pred.filter("split = 'seen'").groupBy("year", "season_id").agg((error < F.var_pop("label")).alias("beats_mean"))
+    return pred.filter("split = 'test'").join(fit, ["year", "season_id"]).select("year", "season_id", "date", "label", _finite("prediction").alias("finite"), "beats_mean")
+
+
 @query("reg_boosted", _REG_SQL, ("days",))
 def q_reg_boosted(spark, sf):
     d = L.holdout_split(_day_data(spark, sf), "date", 0.15)

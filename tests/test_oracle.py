@@ -7,7 +7,7 @@ from tests.conftest import SF_SMALL
 from tests.helpers import assert_same
 
 # fits of minutes; the driver's check and scripts/check_oracle.py run them too
-SLOW = {"clf_boosted", "clf_svc", "cv_search", "cv_score", "group_models", "rating_prediction", "rating_prediction_khop", "holdout_search", "reg_boosted", "reg_forest", "feature_importance", "clf_svc_rbf", "model_floors"}
+SLOW = {"clf_boosted", "clf_svc", "cv_search", "cv_score", "group_boosted", "group_models", "rating_prediction", "rating_prediction_khop", "holdout_search", "reg_boosted", "reg_forest", "feature_importance", "clf_svc_rbf", "model_floors"}
 SQL = E.oracle_sql()
 
 
