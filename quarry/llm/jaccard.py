@@ -16,9 +16,12 @@ Groups of copies are never expanded into pairs:
    against its PARTNERS closest sets by the bound on the overlap;
 3. of runs that still hold several components, all pairs across components that
    the R-tree cannot exclude are verified.
-Verification compares whole sets. Runs of more than BLOCK sets are dealt out as
-pairs of blocks. Components come from star contraction, edges only from
-verified pairs.
+Verification compares whole sets, by KEPT_BYTES of each hash. Equal parts of
+different hashes only add to an overlap, so what falls short is no pair, and a
+surplus of ``doubt`` makes a pair; the few pairs between (of the last step, all
+others have met again) are verified by whole hashes. Runs of more than BLOCK sets
+are dealt out as pairs of blocks. Components come from star contraction, edges
+only from verified pairs.
 
 Defined results: null and empty texts and texts without words have 0 shingles
 and are linked with nothing; with fewer than WORDS words the whole sequence is
@@ -46,7 +49,8 @@ PARTNERS = 4
 BLOCK = 2048
 SMALL = 24  # runs up to this size are compared without a tree
 BITMAP_BITS = 1 << 23
-#: Bytes kept of a shingle's hash when whole sets travel.
+#: Bytes of a shingle's hash, and those kept when whole sets travel.
+HASH_BYTES = 8
 KEPT_BYTES = 5
 _POWERS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WORDS)], np.uint64)
 
@@ -185,8 +189,8 @@ def compatible(a: str, b: str):
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
-def whole_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(sid, n, vec, body) of the sets named in ``members`` (column sid); a bitmap of fixed size keeps most others out of the shuffle."""
+def whole_sets(docs: DataFrame, members: DataFrame, kept: int) -> DataFrame:
+    """(sid, n, vec, body) of the sets named in ``members`` (column sid), ``kept`` bytes of each hash; a bitmap of fixed size keeps most others out of the shuffle."""
     cells = members.select(F.pmod("sid", F.lit(BITMAP_BITS)).alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("cell")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("v")).toArrow()  # at most BITMAP_BITS / 64 rows
     bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
@@ -202,7 +206,7 @@ def whole_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
         rows, held = [], 0
         for sid, s in _new_sets(batches, wanted):
             vec = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-            rows.append((sid, len(s), pack(vec), s.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()))
+            rows.append((sid, len(s), pack(vec), s.view(np.uint8).reshape(-1, HASH_BYTES)[:, :kept].tobytes()))
             held += len(s)
             if held > 1 << 19:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
@@ -218,32 +222,46 @@ def whole_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     return found.dropDuplicates(["sid"])
 
 
-def _body(x: bytes) -> np.ndarray:
-    wide = np.zeros((len(x) // KEPT_BYTES, 8), np.uint8)
-    wide[:, :KEPT_BYTES] = np.frombuffer(x, np.uint8).reshape(-1, KEPT_BYTES)
+def _body(x: bytes, kept: int) -> np.ndarray:
+    wide = np.zeros((len(x) // kept, HASH_BYTES), np.uint8)
+    wide[:, :kept] = np.frombuffer(x, np.uint8).reshape(-1, kept)
     return wide.view(np.uint64).ravel()
 
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids whose sets reach the similarity."""
+def doubt(total, kept: int):
+    """Matches of different hashes by ``kept`` bytes that sets of ``total`` shingles together stay below, as surely as whole hashes differ."""
+    return 0 if kept == HASH_BYTES else 5 + np.ceil(16 * np.square(total, dtype=float) / 2.0 ** (8 * kept + 1))
+
+
+def verify(pairs: DataFrame, sets: DataFrame, kept: int) -> DataFrame:
+    """The pairs (a, b) of set ids whose sets reach the similarity; ``sure``: whatever the bytes left out are."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            near = np.zeros(len(a), bool)
+            total = na + nb
+            near, sure = np.zeros(len(a), bool), np.zeros(len(a), bool)
             for lo in range(0, len(a), 1024):
                 va, vb = (unpack(batch.column(i).slice(lo, 1024).to_pylist()) for i in (4, 5))
-                near[lo:lo + 1024] = enough(np.minimum(va, vb).sum(1), na[lo:lo + 1024] + nb[lo:lo + 1024])
+                near[lo:lo + 1024] = enough(np.minimum(va, vb).sum(1), total[lo:lo + 1024])
             for i in np.flatnonzero(near):
-                x, y = _body(batch.column(6)[i].as_py()), _body(batch.column(7)[i].as_py())
-                near[i] = enough(np.intersect1d(x, y, assume_unique=True).size, na[i] + nb[i])
-            yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near])], names=["a", "b"])
+                both = np.concatenate([_body(batch.column(c)[i].as_py(), kept) for c in (6, 7)])
+                both.sort()
+                equal = int((both[1:] == both[:-1]).sum())  # never fewer than the hashes in both
+                near[i], sure[i] = enough(equal, total[i]), enough(equal - doubt(total[i], kept), total[i])
+            yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near]), pa.array(sure[near])], names=["a", "b", "sure"])
 
     left, right = (sets.select(*[F.col(c).alias(f"{p}_{c}") for c in sets.columns]) for p in "ab")
     both = pairs.select("a", "b").join(left, F.col("a") == F.col("a_sid")).join(right, F.col("b") == F.col("b_sid"))
-    return both.select("a", "b", "a_n", "b_n", "a_vec", "b_vec", "a_body", "b_body").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "a_n", "b_n", "a_vec", "b_vec", "a_body", "b_body").mapInArrow(run, "a bigint, b bigint, sure boolean")
+
+
+def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the doubtful ``pairs`` whose sets reach the similarity by whole hashes; the texts are read again for their sets only."""
+    sides = pairs.select(F.col("a").alias("sid")).union(pairs.select("b"))
+    return verify(pairs, saved(whole_sets(docs, sides, HASH_BYTES), "jac-whole"), HASH_BYTES)
 
 
 def open_runs(members: DataFrame, groups: DataFrame) -> DataFrame:
@@ -343,14 +361,18 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sorted_ = prefixes(docs, frequency).repartition(parts, "key").sortWithinPartitions("key", "sid")
     runs = saved(sorted_.mapInArrow(_to_first, "key bigint, sid bigint, n int, lo bigint, n_lo int"), "jac-runs")
     members = runs.select("key", "sid").union(runs.select("key", "lo").distinct().toDF("key", "sid"))
-    sets = saved(whole_sets(docs, members), "jac-sets")
+    sets = saved(whole_sets(docs, members, KEPT_BYTES), "jac-sets")
 
-    links = saved(verify(runs.filter(compatible("n", "n_lo")).select(F.col("sid").alias("a"), F.col("lo").alias("b")).distinct(), sets), "jac-links")
-    groups = connected_components(links)
+    pairs = runs.filter(compatible("n", "n_lo")).select(F.col("sid").alias("a"), F.col("lo").alias("b")).distinct()
+    links = saved(verify(pairs, sets, KEPT_BYTES), "jac-links")
+    groups = connected_components(links.filter("sure"))
     for partners in (PARTNERS, None):
         members = saved(open_runs(members.select("key", "sid"), groups), "jac-open")
-        links = links.union(saved(verify(tree_pairs(members, sets, partners), sets), "jac-links"))
-        groups = connected_components(links)
+        found = saved(verify(tree_pairs(members, sets, partners), sets, KEPT_BYTES), "jac-links")
+        links = links.union(found)
+        if partners is None and not found.filter("not sure").isEmpty():
+            links = links.union(saved(confirm(docs, found.filter("not sure")), "jac-confirmed"))
+        groups = connected_components(links.filter("sure"))
     return read.filter("cell is null").select("doc_id", "key", "n", "sid"), groups
 
 

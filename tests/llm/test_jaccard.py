@@ -56,6 +56,23 @@ def test_threshold_is_exact(spark):
     assert run(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+@pytest.mark.parametrize("kept", [1, 2])
+def test_hashes_cut_short_change_no_result(spark, monkeypatch, kept):
+    """With one byte kept most pairs have matches of different hashes; whole hashes decide them."""
+    rows = near_threshold() + [(1000 + i, t) for i, t in copies_of_a_template(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked = []
+    confirm = J.confirm
+    monkeypatch.setattr(J, "KEPT_BYTES", kept)
+    monkeypatch.setattr(J, "confirm", lambda *a: asked.append(1) or confirm(*a))
+    assert run(docs) == brute(rows) and asked
+
+
+def test_surplus_that_settles_a_pair():
+    assert J.doubt(5000, J.HASH_BYTES) == 0
+    assert J.doubt(2000, 5) == 6 and J.doubt(2_000_000, 5) == 5 + np.ceil(16 * 4e12 / 2.0 ** 41)
+
+
 def copies_of_a_template(n=90):
     rng = np.random.default_rng(5)
     base = [f"t{j}" for j in range(120)]
