@@ -31,6 +31,7 @@ id unless all its ids are null; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -228,9 +229,15 @@ def _body(x: bytes, kept: int) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
-def doubt(total, kept: int):
-    """Matches of different hashes by ``kept`` bytes that sets of ``total`` shingles together stay below, as surely as whole hashes differ."""
-    return 0 if kept == HASH_BYTES else 5 + np.ceil(16 * np.square(total, dtype=float) / 2.0 ** (8 * kept + 1))
+def doubt(total: int, kept: int) -> int:
+    """So many matches by ``kept`` bytes may be of different hashes, for sets of ``total`` shingles together; more are as unlikely as equal whole hashes of different shingles."""
+    if kept == HASH_BYTES:
+        return 0
+    some, whole = (2 * math.log(total) - (8 * k + 1) * math.log(2) for k in (kept, HASH_BYTES))
+    k = 0  # the chance of more than k is at most some ** (k + 1) / (k + 1)!
+    while (k + 1) * some - math.lgamma(k + 2) > whole:
+        k += 1
+    return k
 
 
 def verify(pairs: DataFrame, sets: DataFrame, kept: int) -> DataFrame:
@@ -250,7 +257,7 @@ def verify(pairs: DataFrame, sets: DataFrame, kept: int) -> DataFrame:
                 both = np.concatenate([_body(batch.column(c)[i].as_py(), kept) for c in (6, 7)])
                 both.sort()
                 equal = int((both[1:] == both[:-1]).sum())  # never fewer than the hashes in both
-                near[i], sure[i] = enough(equal, total[i]), enough(equal - doubt(total[i], kept), total[i])
+                near[i], sure[i] = enough(equal, total[i]), enough(equal - doubt(int(total[i]), kept), total[i])
             yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near]), pa.array(sure[near])], names=["a", "b", "sure"])
 
     left, right = (sets.select(*[F.col(c).alias(f"{p}_{c}") for c in sets.columns]) for p in "ab")
