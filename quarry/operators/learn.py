@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import trees as trees_
+from quarry.session import written
 
 SEED = 42
+#: Rows of a fit's input that one task takes at least, where there are so many.
+PART_ROWS = 1 << 15
 
 
 # --- splits ---------------------------------------------------------------------
@@ -79,6 +82,14 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
 
 
+def settled(df: DataFrame, tag: str = "fit-rows") -> DataFrame:
+    """``df`` written once and read in as many parts as its rows ask for. A fit passes over its input hundreds of times;
+    what comes before it is not computed again then, and the passes over a small table are a task each, not one for
+    every partition of the shuffle that made it."""
+    rows, _ = written(df, tag)
+    return rows.coalesce(max(1, -(-rows.count() // PART_ROWS)))
+
+
 # --- classifiers (H3-H6) ---------------------------------------------------------------
 
 def clf_logistic(max_iter: int = 1000) -> Pipeline:

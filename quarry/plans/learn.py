@@ -211,7 +211,7 @@ _SETTINGS = {"sizes": SEARCH["numTrees"], "depths": SEARCH["maxDepth"]}
 
 def _day_data(spark, sf):
     d = days(spark, sf)
-    return L.assemble(d, DAY_FEATURES).withColumn("label", F.col("total_users").cast("double"))
+    return L.settled(L.assemble(d, DAY_FEATURES).withColumn("label", F.col("total_users").cast("double")))
 
 
 CV_SEARCH = {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}
