@@ -145,7 +145,8 @@ def q_model_floors(spark, sf):
     d = days(spark, sf)
     target = F.col("month") * 2.0 + F.when(F.col("weekday") < 5, 4.0).otherwise(0.0) + F.col("month") * F.col("year")
     x = F.array(*[F.col(c).cast("double") for c in ("month", "weekday", "year")])
-    d = L.holdout_split(L.assemble(d, ["month", "weekday", "year"]).withColumns({"x": x, "season": (F.col("season_id") - 1).cast("double"), "target": target}), "date", 0.2)
+    d = L.settled(L.assemble(d, ["month", "weekday", "year"]).withColumns({"x": x, "season": (F.col("season_id") - 1).cast("double"), "target": target}))
+    d = L.holdout_split(d, "date", 0.2)
     train, test = d.filter("split = 'train'").persist(), d.filter("split = 'test'").persist()
     right = F.avg((F.col("season") == F.col("prediction")).cast("double"))
     share = 1 - F.avg(F.pow(F.col("target") - F.col("prediction"), F.lit(2))) / F.var_pop("target")

@@ -39,3 +39,7 @@ def test_settled_keeps_all_rows_in_parts_by_their_number(spark, monkeypatch):
 
 def test_cv_search_fits_on_written_days(spark):
     check_settled(P._day_data(spark, SF_SMALL))
+
+
+def test_model_floors_fits_on_written_days(spark, monkeypatch):
+    check_settled(given(monkeypatch, "holdout_split", lambda: P.q_model_floors(spark, SF_SMALL)))
