@@ -29,7 +29,7 @@ def _embeddings(spark, sf):
 
 
 def _clf_split(spark, sf):
-    d = L.holdout_split(_embeddings(spark, sf), "vec_id", 0.2)
+    d = L.holdout_split(L.settled(_embeddings(spark, sf)), "vec_id", 0.2)
     return d.filter("split = 'train'"), d.filter("split = 'test'")
 
 

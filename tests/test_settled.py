@@ -43,3 +43,7 @@ def test_cv_search_fits_on_written_days(spark):
 
 def test_model_floors_fits_on_written_days(spark, monkeypatch):
     check_settled(given(monkeypatch, "holdout_split", lambda: P.q_model_floors(spark, SF_SMALL)))
+
+
+def test_classifiers_fit_on_written_vectors(spark, monkeypatch):
+    check_settled(given(monkeypatch, "holdout_split", lambda: P.q_clf_svc(spark, SF_SMALL)))
