@@ -3,10 +3,12 @@
 A forest per group is not a loop of fits: all trees of all groups grow level by
 level. A level is one histogram aggregate keyed by (group, tree, node, feature,
 bin) and one window over the bins, so a fit takes ``depth`` + 2 jobs whatever
-the number of groups or trees. Rows are never copied per tree on disk: a row
-meets its trees in flight, finds its nodes by joins with the (small, written)
-split tables of the levels above, and is added up before anything is shuffled;
-a group with most of the rows therefore costs no more than its histograms.
+the number of groups or trees. A row meets its trees in flight at the root; from
+there on the pairs of rows and trees are a table, rewritten at every level by one
+join with the splits of the level above and without the pairs that ended in a leaf,
+so a level costs the same however deep it lies. Pairs are added up before anything
+is shuffled for the histograms; a group with most of the rows therefore costs no
+more than those.
 
 Labels are vectors of outputs: one number for regression, one indicator per
 class for classification, where the reduction of the outputs' variance is the
@@ -183,6 +185,14 @@ def _best_splits(met: DataFrame, groups: list[str], features: int, outputs: int,
                        F.col("__split.left").alias("left"), F.col("__split.right").alias("right"))
 
 
+def _below(met: DataFrame, splits: DataFrame, groups: list[str]) -> DataFrame:
+    """Pairs of the split nodes, a level further down; those of leaves are left out."""
+    named = _prefixed(splits.drop("left", "right"), groups, "__s_").withColumnsRenamed({"tree": "__s_tree", "node": "__s_node"})
+    on = _same(met, groups, "__s_") & (met["tree"] == F.col("__s_tree")) & (met["__node"] == F.col("__s_node"))
+    right = (F.col("__bins")[F.col("feature")] > F.col("bin")).cast("int")
+    return met.join(named, on).withColumn("__node", 2 * F.col("__node") + right).select(*met.columns)
+
+
 def grow(rows: DataFrame, groups: list[str], features: list[str], outputs: list[Column], key: list[str], trees: int = 200, depth: int = 8,
          bins: int = 32, columns: int | None = None, least: int = 1, seed: int = 42, bagged: bool = True) -> Forest:
     """A forest per group in ``depth`` + 2 jobs. ``key`` names the columns that draw a row's bags; ``columns``: features tried at a node (all)."""
@@ -202,12 +212,19 @@ def grow(rows: DataFrame, groups: list[str], features: list[str], outputs: list[
     met = _pairs(base, trees, keys, seed) if bagged else base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("__w", F.lit(1))
     mean = [(F.sum(F.col("__w") * F.col("__y")[k]) / F.sum("__w")) for k in range(len(outputs))]
     forest.roots, _ = written(met.groupBy(*groups, "tree").agg(F.array(*mean).alias("__value")), "forest-roots")
+    spark, here, path = rows.sparkSession, met.withColumn("__node", F.lit(1)), None
     for level in range(depth):
-        here = forest.descend(met, level, False).filter(F.col("__node") >= 1 << level)
         splits, _ = written(_best_splits(here, groups, len(features), len(outputs), columns, seed, least), "forest-splits")
         if splits.isEmpty():
             break
         forest.levels.append(splits)
+        if level + 1 < depth:
+            old = path
+            here, path = written(_below(here, splits, groups), "forest-pairs")
+            if old:
+                remove_path(spark, old)
+    if path:
+        remove_path(spark, path)
     return forest
 
 

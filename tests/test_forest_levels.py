@@ -1,0 +1,20 @@
+"""A level of a forest joins the pairs with the splits above it once, at any depth."""
+
+from pyspark.sql import functions as F
+
+from quarry.operators import trees as T
+
+
+def test_a_deep_level_joins_no_more_than_a_shallow_one(spark, monkeypatch):
+    rows = spark.range(0, 300, 1, 2).select(F.col("id"), (F.xxhash64("id") % 97).cast("double").alias("a"), (F.col("id") % 13).cast("double").alias("b"),
+                                            (F.xxhash64("id", F.lit(1)) % 31).cast("double").alias("y"))
+    joins, best = [], T._best_splits
+
+    def counted(met, *args):
+        joins.append(met._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return best(met, *args)
+
+    monkeypatch.setattr(T, "_best_splits", counted)
+    forest = T.grow(rows, [], ["a", "b"], [F.col("y")], ["id"], trees=3, depth=6)
+    assert len(forest.levels) == 6 and len(joins) == 6
+    assert max(joins) == 0  # the pairs are read as they were written
