@@ -326,7 +326,7 @@ def q_rating_prediction(spark, sf):
     cols = ["avg_rating_trustees", "var_rating_trustees", "num_trustees_rated", "average_rating",
             "number_of_ratings", "total_number_of_trustees", "total_number_of_trusters",
             "item_average_rating", "item_number_of_reviews"]
-    features = lambda part: L.assemble(G.rating_features(train, edges, part).na.fill(-1.0, cols).na.fill(-1, cols), cols)
+    features = lambda part: L.settled(L.assemble(G.rating_features(train, edges, part).na.fill(-1.0, cols).na.fill(-1, cols), cols).select("user_id", "item_id", "label", "baseline_pred", "residual", "features"))
     model = L.reg_boosted(max_iter=70).setLabelCol("residual").fit(features(train))
     pred = model.transform(features(test)).withColumn("prediction", F.col("baseline_pred") + F.col("prediction"))
     return rounded(pred.select("user_id", "item_id", "label", "baseline_pred", _finite("prediction").alias("finite")))

@@ -47,3 +47,17 @@ def test_model_floors_fits_on_written_days(spark, monkeypatch):
 
 def test_classifiers_fit_on_written_vectors(spark, monkeypatch):
     check_settled(given(monkeypatch, "holdout_split", lambda: P.q_clf_svc(spark, SF_SMALL)))
+
+
+def test_rating_model_fits_on_written_features(spark, monkeypatch):
+    class Fit:
+        def setLabelCol(self, name):
+            return self
+
+        def fit(self, df):
+            raise Seen(df)
+
+    monkeypatch.setattr(L, "reg_boosted", lambda **kwargs: Fit())
+    with pytest.raises(Seen) as found:
+        P.q_rating_prediction(spark, SF_SMALL)
+    check_settled(found.value.args[0])
