@@ -26,9 +26,7 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage with data that every executor can read again: a lost
     executor costs the tasks it ran, not the steps before.
     """
-    path = scratch_path(df.sparkSession, f"llm-{tag}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, tag).rows
 
 
 class Table(NamedTuple):
@@ -41,6 +39,13 @@ class Table(NamedTuple):
         remove_path(self.rows.sparkSession, self.path)
 
 
+def stored(df: DataFrame, tag: str) -> Table:
+    """As ``saved``, for a table that its writer deletes."""
+    path = scratch_path(df.sparkSession, f"llm-{tag}")
+    df.write.parquet(path)
+    return Table(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
 def bucketed(df: DataFrame, tag: str, key: str, buckets: int) -> Table:
     """As ``saved``, bucketed by ``key``: joins on ``key`` of tables with as many buckets shuffle nothing."""
     spark = df.sparkSession

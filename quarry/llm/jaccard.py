@@ -11,17 +11,20 @@ no pair is lost, and shingles of widespread passages come last and route almost
 nothing. The sets that meet at a shingle form a run.
 
 Groups of copies are never expanded into pairs:
-1. every set of a run is verified against the run's first set;
+1. every set of a run is verified against the run's first set; the others of a run
+   are cut where their sizes leave a gap that no pair can span;
 2. runs that are not yet one component get an R-tree, and each set is verified
    against its PARTNERS closest sets by the bound on the overlap;
-3. of runs that still hold several components, all pairs across components that
-   the R-tree cannot exclude are verified.
+3. of runs where that left pairs out and that still hold several components, all
+   pairs across components that the R-tree cannot exclude are verified.
+Most sets share a shingle with others by chance only, so a pair's count vectors meet
+first, and whole sets are read for pairs that the bound allows, once for each pair.
 Verification compares whole sets, by KEPT_BYTES of each hash. Equal parts of
 different hashes only add to an overlap, so what falls short is no pair, and a
-surplus of ``doubt`` makes a pair; the few pairs between (of the last step, all
-others have met again) are verified by whole hashes. Runs of more than BLOCK sets
-are dealt out as pairs of blocks. Components come from star contraction, edges
-only from verified pairs.
+surplus of ``doubt`` makes a pair; the few pairs between that are not yet in one
+component are verified by whole hashes. Runs of more than BLOCK sets are dealt out
+as pairs of blocks. Components come from star contraction, edges only from verified
+pairs. Tables are deleted when no step reads them any more.
 
 Defined results: null and empty texts and texts without words have 0 shingles
 and are linked with nothing; with fewer than WORDS words the whole sequence is
@@ -35,10 +38,10 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import private, saved
+from quarry.llm.common import private, saved, stored
 from quarry.llm.components import connected_components
 from quarry.llm.counttree import CountTree, enough, pack, small_run_pairs, unpack
 from quarry.llm.textarrays import doc_words, groups_of, mix
@@ -82,12 +85,16 @@ def set_id(s: np.ndarray) -> int:
         return int(mix(mix(s).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def count_vector(s: np.ndarray) -> bytes:
+    return pack(np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS))
+
+
 def _frequency_group(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
 
 
 def read_documents(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, key, n, sid) of documents, and rows (cell, docs) of the frequency groups; ``key`` is the text's md5."""
+    """Rows (doc_id, key, n, sid, vec) of documents, and rows (cell, docs) of the frequency groups; ``key`` is the text's md5, ``vec`` the count vector."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.md5(text).alias("key"), text.cast("binary"))
 
@@ -97,10 +104,11 @@ def read_documents(docs: DataFrame) -> DataFrame:
         total, ids = np.zeros(1 << FREQUENCY_BITS, np.int64), None
         for batch in batches:
             ids = batch.column(0).type
-            n, sid, found = [], [], []
+            n, sid, vec, found = [], [], [], []
             for s in shingle_sets(batch.column(2).to_pylist()):
                 n.append(len(s))
                 sid.append(set_id(s) if len(s) else None)
+                vec.append(count_vector(s) if len(s) else None)
                 found.append(s)
                 if len(found) >= 256:
                     total += np.bincount(_frequency_group(np.concatenate(found)), minlength=len(total))
@@ -109,25 +117,25 @@ def read_documents(docs: DataFrame) -> DataFrame:
                 total += np.bincount(_frequency_group(np.concatenate(found)), minlength=len(total))
             k = batch.num_rows
             none = pa.nulls(k, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), none, none], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(vec, pa.binary()), none, none], names=names)
         used = np.flatnonzero(total)
         if ids is not None and len(used):
             none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), ids), pa.nulls(len(used), pa.string()), none, none, pa.array(used), pa.array(total[used])], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), ids), pa.nulls(len(used), pa.string()), none, none, pa.nulls(len(used), pa.binary()), pa.array(used), pa.array(total[used])], names=names)
 
-    names = ["doc_id", "key", "n", "sid", "cell", "docs"]
+    names = ["doc_id", "key", "n", "sid", "vec", "cell", "docs"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, key string, n bigint, sid bigint, cell bigint, docs bigint")
+    return rows.mapInArrow(run, f"doc_id {kind}, key string, n bigint, sid bigint, vec binary, cell bigint, docs bigint")
 
 
-def _new_sets(batches: Iterator, wanted=None) -> Iterator[tuple[int, np.ndarray]]:
-    """Each set once per task (again after a million others), with its id."""
+def _new_sets(texts: Iterator) -> Iterator[tuple[int, np.ndarray]]:
+    """Each set of the lists of texts once per task (again after a million others), with its id."""
     seen: set[int] = set()
-    for batch in batches:
-        for s in shingle_sets(batch.column(0).to_pylist()):
+    for some in texts:
+        for s in shingle_sets(some):
             if len(s):
                 sid = set_id(s)
-                if sid not in seen and (wanted is None or wanted(sid)):
+                if sid not in seen:
                     seen.add(sid)
                     yield sid, s
                     if len(seen) > 1 << 20:
@@ -147,7 +155,7 @@ def prefixes(docs: DataFrame, frequency: np.ndarray) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(sids, np.int64), size)),
                                                pa.array(np.repeat(np.array(sizes, np.int32), size))], names=["key", "sid", "n"])
 
-        for sid, s in _new_sets(batches):
+        for sid, s in _new_sets(batch.column(0).to_pylist() for batch in batches):
             n = len(s)
             first = np.lexsort((s, frequency[_frequency_group(s)]))[:n - (4 * n + 4) // 5 + 1]
             keys.append(s[first])
@@ -186,40 +194,70 @@ def _to_first(batches: Iterator) -> Iterator:
         last = k[-1], s[-1], lo[-1], n_lo[-1]
 
 
-def compatible(a: str, b: str):
+def compatible(a: Column, b: Column) -> Column:
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
-def whole_sets(docs: DataFrame, members: DataFrame, kept: int) -> DataFrame:
-    """(sid, n, vec, body) of the sets named in ``members`` (column sid), ``kept`` bytes of each hash; a bitmap of fixed size keeps most others out of the shuffle."""
-    cells = members.select(F.pmod("sid", F.lit(BITMAP_BITS)).alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("cell")).agg(
+def allowed(pairs: DataFrame, vecs: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) that the bound by count vectors does not exclude."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b, total = (batch.column(i).to_numpy() for i in range(3))
+            near = np.zeros(len(a), bool)
+            for lo in range(0, len(a), 1024):
+                va, vb = (unpack(batch.column(i).slice(lo, 1024).to_pylist()) for i in (3, 4))
+                near[lo:lo + 1024] = enough(np.minimum(va, vb).sum(1), total[lo:lo + 1024])
+            yield pa.RecordBatch.from_arrays([pa.array(a[near]), pa.array(b[near])], names=["a", "b"])
+
+    left, right = (vecs.select(F.col("sid").alias(p), F.col("n").alias(f"{p}_n"), F.col("vec").alias(f"{p}_vec")) for p in "ab")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("total"), "a_vec", "b_vec").mapInArrow(run, "a bigint, b bigint")
+
+
+def whole_sets(docs: DataFrame, read: DataFrame, pairs: DataFrame, kept: int) -> DataFrame:
+    """(sid, n, body) of the sets of ``pairs`` (a, b), ``kept`` bytes of each hash.
+
+    One text of each set is looked for by its md5; a bitmap of fixed size keeps
+    most other texts from being cut into shingles, the few it lets by are no harm.
+    """
+    sides = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    bit = F.conv(F.substring("key", 1, 12), 16, 10).cast("long") % BITMAP_BITS
+    texts = read.select("sid", "key").join(sides, "sid", "left_semi").groupBy("sid").agg(F.min("key").alias("key"))
+    cells = texts.select(bit.alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("cell")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("v")).toArrow()  # at most BITMAP_BITS / 64 rows
     bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
     bitmap[cells["cell"].to_numpy()] = cells["v"].to_numpy()
 
-    def wanted(sid):
-        bit = sid % BITMAP_BITS
-        return int(bitmap[bit >> 6]) >> (bit & 63) & 1
-
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def wanted() -> Iterator[list]:
+            for batch in batches:
+                at = batch.column(1).to_numpy()
+                yield batch.column(0).filter(pa.array((bitmap[at >> 6] >> (at & 63) & 1).astype(bool))).to_pylist()
+
+        def out():
+            return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
+
         rows, held = [], 0
-        for sid, s in _new_sets(batches, wanted):
-            vec = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-            rows.append((sid, len(s), pack(vec), s.view(np.uint8).reshape(-1, HASH_BYTES)[:, :kept].tobytes()))
+        for sid, s in _new_sets(wanted()):
+            rows.append((sid, len(s), s.view(np.uint8).reshape(-1, HASH_BYTES)[:, :kept].tobytes()))
             held += len(s)
             if held > 1 << 19:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
+                yield out()
                 rows, held = [], 0
         if rows:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
+            yield out()
 
     import pyarrow as pa
 
-    names = ["sid", "n", "vec", "body"]
-    schema = pa.schema([("sid", pa.int64()), ("n", pa.int32()), ("vec", pa.binary()), ("body", pa.binary())])
-    found = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary")).mapInArrow(run, "sid bigint, n int, vec binary, body binary")
+    names = ["sid", "n", "body"]
+    schema = pa.schema([("sid", pa.int64()), ("n", pa.int32()), ("body", pa.binary())])
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = docs.select(text.cast("binary").alias("text"), F.md5(text).alias("key")).select("text", bit).mapInArrow(run, "sid bigint, n int, body binary")
     return found.dropDuplicates(["sid"])
 
 
@@ -250,11 +288,8 @@ def verify(pairs: DataFrame, sets: DataFrame, kept: int) -> DataFrame:
             a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
             total = na + nb
             near, sure = np.zeros(len(a), bool), np.zeros(len(a), bool)
-            for lo in range(0, len(a), 1024):
-                va, vb = (unpack(batch.column(i).slice(lo, 1024).to_pylist()) for i in (4, 5))
-                near[lo:lo + 1024] = enough(np.minimum(va, vb).sum(1), total[lo:lo + 1024])
-            for i in np.flatnonzero(near):
-                both = np.concatenate([_body(batch.column(c)[i].as_py(), kept) for c in (6, 7)])
+            for i in range(len(a)):
+                both = np.concatenate([_body(batch.column(c)[i].as_py(), kept) for c in (4, 5)])
                 both.sort()
                 equal = int((both[1:] == both[:-1]).sum())  # never fewer than the hashes in both
                 near[i], sure[i] = enough(equal, total[i]), enough(equal - doubt(int(total[i]), kept), total[i])
@@ -262,27 +297,54 @@ def verify(pairs: DataFrame, sets: DataFrame, kept: int) -> DataFrame:
 
     left, right = (sets.select(*[F.col(c).alias(f"{p}_{c}") for c in sets.columns]) for p in "ab")
     both = pairs.select("a", "b").join(left, F.col("a") == F.col("a_sid")).join(right, F.col("b") == F.col("b_sid"))
-    return both.select("a", "b", "a_n", "b_n", "a_vec", "b_vec", "a_body", "b_body").mapInArrow(run, "a bigint, b bigint, sure boolean")
+    return both.select("a", "b", "a_n", "b_n", "a_body", "b_body").mapInArrow(run, "a bigint, b bigint, sure boolean")
+
 
+def linked(docs: DataFrame, read: DataFrame, pairs: DataFrame, kept: int) -> DataFrame:
+    """``verify`` of ``pairs``, for which the texts are read again for their sets only; written."""
+    sets = stored(whole_sets(docs, read, pairs, kept), "jac-sets")
+    links = saved(verify(pairs, sets.rows, kept), "jac-links")
+    sets.delete()
+    return links
 
-def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the doubtful ``pairs`` whose sets reach the similarity by whole hashes; the texts are read again for their sets only."""
-    sides = pairs.select(F.col("a").alias("sid")).union(pairs.select("b"))
-    return verify(pairs, saved(whole_sets(docs, sides, HASH_BYTES), "jac-whole"), HASH_BYTES)
+
+def confirm(docs: DataFrame, read: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the doubtful ``pairs`` whose sets reach the similarity by whole hashes."""
+    return linked(docs, read, pairs, HASH_BYTES)
+
+
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) across components."""
+    a, b = (groups.select(F.col("id").alias(p), F.col("component").alias(f"{p}_c")) for p in "ab")
+    named = pairs.select("a", "b").join(a, "a", "left").join(b, "b", "left")
+    return named.filter(F.coalesce("a_c", "a") != F.coalesce("b_c", "b")).select("a", "b")
+
+
+def size_runs(runs: DataFrame) -> DataFrame:
+    """Members (key, sid) of the runs without their first sets, which have met all others, cut where no size is compatible with the next; sets left alone drop out."""
+    order = Window.partitionBy("key").orderBy("n", "sid")
+
+    def meets(other: Column) -> Column:
+        return other.isNotNull() & compatible(other, F.col("n"))
+
+    marked = runs.select("key", "sid", "n", meets(F.lag("n").over(order)).alias("before"), meets(F.lead("n").over(order)).alias("after"))
+    part = F.sum(F.when(F.col("before"), 0).otherwise(1)).over(order)
+    return marked.withColumn("part", part).filter("before or after").select(F.xxhash64("key", "part").alias("key"), "sid")
 
 
 def open_runs(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members (key, sid, n) of the runs that hold several components, with ``comp``."""
+    """Members (key, sid) of the runs that hold several components, with ``comp`` and their run's ``size``."""
     named = members.join(groups.select(F.col("id").alias("sid"), "component"), "sid", "left").withColumn("comp", F.coalesce("component", "sid")).drop("component")
     split = named.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("size")).filter("c1 <> c2")
     return named.join(split.select("key", "size"), "key")
 
 
-def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> DataFrame:
+def tree_pairs(members: DataFrame, vecs: DataFrame, partners: int | None) -> DataFrame:
     """Distinct pairs (a, b) across components that the R-trees of the runs allow.
 
     With ``partners``: for each set its closest ones by the bound, within its
-    block of a long run. Without: all, over all pairs of blocks.
+    block of a long run; rows (null, null, ``cut``) name the runs where pairs were
+    left out. Without: all, over all pairs of blocks.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
@@ -291,7 +353,7 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
     else:
         dealt = members.withColumns({"own": own, "o": F.explode(F.sequence(F.lit(0), blocks - 1))}).select(
             "key", "sid", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") <= F.col("o")).alias("left"))
-    rows = dealt.join(sets.select("sid", "n", "vec"), "sid").select(
+    rows = dealt.join(vecs.select("sid", "n", "vec"), "sid").select(
         F.xxhash64("key", "i", "j").alias("run"), "sid", "comp", "n", "vec", "left", (F.col("i") != F.col("j")).alias("cross"))
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "run").sortWithinPartitions("run", "sid")
@@ -299,8 +361,8 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def found(part) -> np.ndarray:
-            """All pairs of a table of whole runs, as rows (a, b)."""
+        def found(part):
+            """All pairs of a table of whole runs, and the runs where pairs were left out."""
             key, sid, comp, n = (part[c].to_numpy() for c in ("run", "sid", "comp", "n"))
             vec = unpack(part["vec"].to_pylist())
             left, cross = part["left"].to_numpy(), part["cross"].to_numpy()
@@ -320,8 +382,9 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
             for lo, k in zip(starts[~few], size[~few], strict=True):
                 for i, j, bound in CountTree(vec[lo:lo + k], n[lo:lo + k]).close_pairs():
                     keep(lo + i, lo + j, bound)
+            cut = key[:0]
             if not out:
-                return np.empty((0, 2), np.int64)
+                return answer(np.empty((0, 2), np.int64), cut)
             i, j, bound = (np.concatenate(x) for x in zip(*out, strict=True))
             if partners and len(i):
                 # of each set the pairs with the largest bound for their sizes
@@ -331,8 +394,16 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
                 at, other = at[order], other[order]
                 first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
                 rank = np.arange(len(at)) - np.repeat(first, np.diff(first, append=len(at)))
-                i, j = at[rank < partners], other[rank < partners]
-            return np.unique(np.stack([np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])], 1), axis=0)
+                near = rank < partners
+                times = np.unique(np.stack([np.minimum(at, other), np.maximum(at, other)], 1)[near], axis=0)
+                whole = np.bincount(np.searchsorted(starts, i, "right") - 1, minlength=len(starts))
+                cut = key[starts][whole > np.bincount(np.searchsorted(starts, times[:, 0], "right") - 1, minlength=len(starts))]
+                i, j = times[:, 0], times[:, 1]
+            return answer(np.unique(np.stack([np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])], 1), axis=0), cut)
+
+        def answer(pairs, cut):
+            a, b = (pa.array(np.append(pairs[:, k], cut), mask=np.arange(len(pairs) + len(cut)) >= len(pairs)) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([a, b, pa.array(np.append(pairs[:, 0], cut), mask=np.arange(len(pairs) + len(cut)) < len(pairs))], names=["a", "b", "cut"])
 
         held: list = []
         count = 0
@@ -346,15 +417,13 @@ def tree_pairs(members: DataFrame, sets: DataFrame, partners: int | None) -> Dat
                 key = whole["run"].to_numpy()
                 cut = len(key) - int((key == key[-1]).sum())  # the last run may go on
                 if cut:
-                    pairs = found(whole.slice(0, cut).combine_chunks())
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                    yield found(whole.slice(0, cut).combine_chunks())
                 held = whole.slice(cut).to_batches()
                 count = len(key) - cut
         if held:
-            pairs = found(pa.Table.from_batches(held).combine_chunks())
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            yield found(pa.Table.from_batches(held).combine_chunks())
 
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(run, "a bigint, b bigint, cut bigint").distinct()
 
 
 def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -366,20 +435,34 @@ def link_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = prefixes(docs, frequency).repartition(parts, "key").sortWithinPartitions("key", "sid")
-    runs = saved(sorted_.mapInArrow(_to_first, "key bigint, sid bigint, n int, lo bigint, n_lo int"), "jac-runs")
-    members = runs.select("key", "sid").union(runs.select("key", "lo").distinct().toDF("key", "sid"))
-    sets = saved(whole_sets(docs, members, KEPT_BYTES), "jac-sets")
+    runs = stored(sorted_.mapInArrow(_to_first, "key bigint, sid bigint, n int, lo bigint, n_lo int"), "jac-runs")
+    sets = read.filter("sid is not null")
+    vecs = stored(sets.select("sid", "n", "vec").dropDuplicates(["sid"]), "jac-vecs")
 
-    pairs = runs.filter(compatible("n", "n_lo")).select(F.col("sid").alias("a"), F.col("lo").alias("b")).distinct()
-    links = saved(verify(pairs, sets, KEPT_BYTES), "jac-links")
+    first = runs.rows.filter(compatible(F.col("n"), F.col("n_lo"))).select(F.col("sid").alias("a"), F.col("lo").alias("b")).distinct()
+    met = saved(allowed(first, vecs.rows).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jac-met")
+    links = linked(docs, sets, met, KEPT_BYTES)
     groups = connected_components(links.filter("sure"))
+    members = stored(size_runs(runs.rows), "jac-members")
+    runs.delete()
     for partners in (PARTNERS, None):
-        members = saved(open_runs(members.select("key", "sid"), groups), "jac-open")
-        found = saved(verify(tree_pairs(members, sets, partners), sets, KEPT_BYTES), "jac-links")
-        links = links.union(found)
-        if partners is None and not found.filter("not sure").isEmpty():
-            links = links.union(saved(confirm(docs, found.filter("not sure")), "jac-confirmed"))
+        open_ = stored(open_runs(members.rows, groups), "jac-open")
+        members.delete()
+        found = stored(tree_pairs(open_.rows, vecs.rows, partners), "jac-found")
+        pairs = saved(found.rows.filter("a is not null").select("a", "b").join(met, ["a", "b"], "left_anti"), "jac-met")
+        links, met = links.union(linked(docs, sets, pairs, KEPT_BYTES)), met.union(pairs)
         groups = connected_components(links.filter("sure"))
+        if partners:
+            run = F.xxhash64("key", F.lit(0), F.lit(0))  # of a run of one block, as in tree_pairs
+            cut = found.rows.filter("cut is not null").select("cut").distinct()
+            again = open_.rows.filter(F.col("size") <= BLOCK).select("key", "sid", run.alias("cut")).join(cut, "cut", "left_semi")
+            members = stored(again.select("key", "sid").union(open_.rows.filter(F.col("size") > BLOCK).select("key", "sid")), "jac-members")
+        for table in (open_, found):
+            table.delete()
+    vecs.delete()
+    doubtful = saved(apart(links.filter("not sure"), groups), "jac-doubtful")
+    if not doubtful.isEmpty():
+        groups = connected_components(links.filter("sure").union(confirm(docs, sets, doubtful)))
     return read.filter("cell is null").select("doc_id", "key", "n", "sid"), groups
 
 

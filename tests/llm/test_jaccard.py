@@ -1,10 +1,12 @@
 import itertools
+import os
 
 import numpy as np
 import pytest
 
 from quarry.llm import counttree as T
 from quarry.llm import jaccard as J
+from quarry.session import checkpoint_dir
 from tests.llm.conftest import tokens
 
 
@@ -94,6 +96,39 @@ def test_group_of_near_copies_with_blocks(spark, monkeypatch, block):
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def test_sets_that_share_by_chance_are_not_read(spark, monkeypatch):
+    """Texts that share half of their shingles with each neighbour meet as count vectors only; whole sets leave no table behind."""
+    part = [[f"p{i}x{j}" for j in range(30)] for i in range(40)]
+    rows = [(i, " ".join(part[i] + part[(i + 1) % 40])) for i in range(40)] + [(1000 + i, t) for i, t in copies_of_a_template(3)]
+    read = []
+    verify = J.verify
+    monkeypatch.setattr(J, "verify", lambda pairs, sets, kept: read.append(sets.count()) or verify(pairs, sets, kept))
+    before = set(os.listdir(checkpoint_dir(spark).removeprefix("file:")))
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+    assert 0 < max(read) <= 3
+    left = set(os.listdir(checkpoint_dir(spark).removeprefix("file:"))) - before
+    assert not [x for x in left if x.startswith(("llm-jac-sets", "llm-jac-runs", "llm-jac-open", "llm-jac-vecs"))]
+
+
+def test_runs_are_cut_where_no_sizes_fit(spark):
+    rows = [(1, i, n) for i, n in enumerate([52, 10, 20, 11, 50, 100])] + [(2, 7, 10), (3, 8, 10), (3, 9, 12)]
+    parts = {}
+    for r in J.size_runs(spark.createDataFrame(rows, "key long, sid long, n int")).collect():
+        parts.setdefault(r["key"], []).append(r["sid"])
+    assert sorted(map(sorted, parts.values())) == [[0, 4], [1, 3], [8, 9]]
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_runs_of_many_sizes_lose_no_pair(spark, monkeypatch, block):
+    """Groups of near copies that grow word by word, with so few partners that pairs are left out at first."""
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "PARTNERS", 1)
+    monkeypatch.setattr(J, "SMALL", 4)
+    base = [f"t{j}" for j in range(200)]
+    rows = [(1000 * k + i, " ".join(base[:20 + 7 * i] + [f"e{k}y{j}" for j in range(k)])) for k in range(3) for i in range(26)]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
+
+
 def test_one_document_of_each_group_stays(odd_docs, doc_rows):
     out = J.keep_one(odd_docs)
     assert out.columns == odd_docs.columns
