@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators import intask
 from quarry.operators import trees as trees_
 from quarry.session import written
 
@@ -198,14 +199,49 @@ def holdout_search(estimator, grid, evaluator, train: DataFrame, ratio: float =
     return model, list(zip(grid, model.validationMetrics))
 
 
-def cv_search(estimator, grid, evaluator, train: DataFrame, folds: int = 5, parallelism: int = 4):
-    """K-fold grid search (an empty grid scores one model)."""
+def cv_search(estimator, grid, evaluator, train: DataFrame, folds: int = 5, parallelism: int = 4, key: str | None = None):
+    """K-fold grid search (an empty grid scores one model).
+
+    Boosted regressors on rows with a ``key`` are not fitted one by one: all settings and folds grow together
+    (``boosted_search``, with the estimator's shares of rows and features, seed and bins), numbers of rounds are read off
+    the longest, and the model returned is the best setting's trees on all rows.
+    """
+    if key is not None and _boosts_together(estimator, grid, evaluator):
+        return _cv_boosted(estimator, grid, train, folds, key)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
                         seed=SEED, parallelism=parallelism)
     model = cv.fit(train)
     return model, list(zip(grid, model.avgMetrics))
 
 
+def _boosts_together(estimator, grid, evaluator) -> bool:
+    """Whether ``boosted_search`` does what the estimator says."""
+    plain = isinstance(estimator, GBTRegressor) and isinstance(evaluator, RegressionEvaluator) and evaluator.getMetricName() == "rmse"
+    return plain and estimator.getLossType() == "squared" and estimator.getMinInstancesPerNode() == 1 and estimator.getMinInfoGain() == 0 \
+        and estimator.getMinWeightFractionPerNode() == 0 and not any(estimator.isDefined(p) for p in (estimator.weightCol, estimator.validationIndicatorCol)) \
+        and estimator.getFeatureSubsetStrategy().replace(".", "", 1).isdigit() and {p.name for point in grid for p in point} <= {"maxDepth", "maxIter", "stepSize"}
+
+
+def _cv_boosted(estimator, grid, train: DataFrame, folds: int, key: str):
+    from pyspark.ml.functions import vector_to_array
+
+    x = train.select(F.col(key), F.col(estimator.getLabelCol()).cast("double").alias("label"), vector_to_array(estimator.getFeaturesCol()).alias("x"))
+    size = x.agg(F.max(F.size("x"))).first()[0]
+    names = [f"x{i}" for i in range(size)]
+    rows = x.select(key, "label", *[F.col("x")[i].alias(c) for i, c in enumerate(names)])
+    share = estimator.getFeatureSubsetStrategy()  # as MLlib reads it: with a point a share, else a number
+    columns = min(size, -int(-float(share) * size // 1) if "." in share else int(share))
+    drawn = {"sample": estimator.getSubsamplingRate(), "columns": columns, "seed": estimator.getSeed() % (1 << 30), "bins": estimator.getMaxBins()}
+    points = [{p.name: v for p, v in point.items()} for point in grid]
+    settings = [(p.get("maxDepth", estimator.getMaxDepth()), p.get("stepSize", estimator.getStepSize()), p.get("maxIter", estimator.getMaxIter())) for p in points]
+    depths, rates, sizes = (sorted({s[i] for s in settings}) for i in range(3))
+    table = boosted_search(rows, names, "label", key, sizes, rates, depths, folds, **drawn)
+    found = {(r["depth"], r["rate"], r["trees"]): r["rmse"] for r in table.collect()}  # at most one row per setting
+    metrics = [found.get(s, float("nan")) for s in settings]
+    depth, rate, rounds = settings[metrics.index(min(metrics))]
+    return trees_.boost(rows, [], names, F.col("label"), rounds, depth, rate, key=key, **drawn), list(zip(grid, metrics))
+
+
 def search_table(spark, rows, metric_name: str) -> DataFrame:
     """Grid results (bounded by the grid size) as a DataFrame."""
     data = [({p.name: float(v) if isinstance(v, (int, float)) else str(v) for p, v in pm.items()}, float(m))
@@ -344,17 +380,23 @@ def group_boosted(df: DataFrame, groups: list[str], features: list[str], label:
 
 
 def boosted_search(df: DataFrame, features: list[str], label: str, key: str, sizes: list[int], rates: list[float], depths: list[int],
-                   folds: int = 5) -> DataFrame:
+                   folds: int = 5, sample: float = 1.0, columns: int | None = None, seed: int = SEED, bins: int = 32) -> DataFrame:
     """H9: (depth, rate, trees, n, rmse) of every setting, ``rmse`` the mean over the folds. All settings and folds grow
-    in one run, as groups of ``boost``; numbers of trees are read off the longest. A setting's rows are a copy of
-    the table, as what its trees leave over is its own."""
+    in one run, as groups of ``boost`` (``sample`` and ``columns`` as there); numbers of trees are read off the longest. A
+    setting's rows are a copy of the table, as what its trees leave over is its own. Where the table fits a task, a
+    setting and fold is grown and scored in one."""
     grid = F.explode(F.array(*[F.struct(F.lit(float(r)).alias("rate"), F.lit(d).alias("limit")) for r in rates for d in depths]))
     rows = df.select(F.col(key).alias("key"), F.col(label).cast("double").alias("label"), F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
     names = [f"x{i}" for i in range(len(features))]
-    rows = rows.select("key", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(names)], _fold("key", folds).alias("fold"), grid.alias("s")).select("*", "s.rate", "s.limit").drop("s")
+    rows = rows.select("key", "label", *[F.col("x")[i].alias(c) for i, c in enumerate(names)], _fold("key", folds).alias("fold"))
     others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda f: f != F.col("fold"))
-    model = trees_.boost(rows.withColumn("fold", F.explode(others)), ["fold", "rate", "limit"], names, F.col("label"), max(sizes), max(depths), "rate", "limit")
-    table = trees_.scores(model, rows, "label", sizes, [max(depths)])
+    drawn = {"sample": sample, "columns": columns, "seed": seed}
+    if intask.fits(rows.count(), len(names), 1):
+        table = trees_.boosted_scores(rows, rows.withColumn("fold", F.explode(others)), "fold", names, "label", "key", sizes, grid, len(rates) * len(depths) * folds, bins=bins, **drawn)
+    else:
+        rows = rows.withColumn("s", grid).select("*", "s.rate", "s.limit").drop("s")
+        model = trees_.boost(rows.withColumn("fold", F.explode(others)), ["fold", "rate", "limit"], names, F.col("label"), max(sizes), max(depths), "rate", "limit", bins=bins, key="key", **drawn)
+        table = trees_.scores(model, rows, "label", sizes, [max(depths)])
     return table.groupBy(F.col("limit").alias("depth"), "rate", "trees").agg(F.sum("n").alias("n"), F.avg(F.sqrt("mse")).alias("rmse"))
 
 

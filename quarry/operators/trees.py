@@ -19,7 +19,8 @@ Boosted trees (``boost``) of all groups grow together too, a round after another
 each round's trees fit what the earlier ones left of the label. The state is one
 row per training row with its bins and what is left; it is rewritten each round.
 Rate and depth may be columns of the groups, so every setting of a search is a
-group of one run, and ``scores`` reads all numbers of rounds off it.
+group of one run, and ``scores`` reads all numbers of rounds off it. Groups that fit
+a task are boosted whole in it (``intask``), the same trees without a job for each level.
 
 Rows with a NULL or NaN feature take no part in a fit and get no prediction.
 Equally good splits (to nine digits of the node's variance) go to the first
@@ -30,16 +31,15 @@ feature, then the lowest bin. A group whose rows cannot be split predicts its
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import exp, factorial, gcd
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import intask
+from quarry.operators.intask import LEAST_SHARE, POISSON
 from quarry.session import remove_path, written
 
-POISSON = [sum(exp(-1) / factorial(i) for i in range(k + 1)) for k in range(9)]
-LEAST_SHARE = 1e-9  # of a node's variance, and of its squares
-
 
 def _usable(features: list[str]) -> Column:
     out = F.lit(True)
@@ -95,11 +95,12 @@ class Forest:
 
         return joined.withColumn("__bins", F.array(*[place(i, F.col(c).cast("double")) for i, c in enumerate(self.features)])).drop("__edges", *[f"__g_{c}" for c in self.groups])
 
-    def descend(self, met: DataFrame, levels: int, values: bool, kept: tuple[int, ...] = ()) -> DataFrame:
-        """(row, tree) pairs walked down ``levels`` levels: ``__node``, with ``values`` also ``__value`` there and ``__value{d}`` at the depths ``kept``."""
+    def descend(self, met: DataFrame, levels: int, values: bool, kept: tuple[int, ...] = (), outer: bool = False) -> DataFrame:
+        """(row, tree) pairs walked down ``levels`` levels: ``__node``, with ``values`` also ``__value`` there and ``__value{d}`` at the depths ``kept``.
+        Pairs whose tree has no root are left out, with ``outer`` they stay without a value."""
         if values:
             roots = _prefixed(self.roots, self.groups, "__r_").withColumnRenamed("tree", "__r_tree")
-            met = met.join(roots, _same(met, self.groups, "__r_") & (met["tree"] == F.col("__r_tree"))).drop("__r_tree", *[f"__r_{c}" for c in self.groups])
+            met = met.join(roots, _same(met, self.groups, "__r_") & (met["tree"] == F.col("__r_tree")), "left" if outer else "inner").drop("__r_tree", *[f"__r_{c}" for c in self.groups])
         met = met.withColumn("__node", F.lit(1))
         for d in range(levels + 1):
             if values and d in kept:
@@ -133,10 +134,15 @@ class Forest:
         return scored.unionByName(unscored)
 
 
+def _unit(key: list[str], seed: int) -> Column:
+    """A number from 0 to 1 drawn by the row's key and the tree's number."""
+    return F.pmod(F.xxhash64(*key, "tree", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+
+
 def _pairs(rows: DataFrame, trees: int, key: list[str], seed: int) -> DataFrame:
     """Rows times the trees that drew them, with the number of draws as ``__w``."""
     met = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    u = F.pmod(F.xxhash64(*key, "tree", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    u = _unit(key, seed)
     draws = sum(((u >= p).cast("int") for p in POISSON), F.lit(0))
     return met.withColumn("__w", draws).filter("__w > 0")
 
@@ -211,22 +217,64 @@ def grow(rows: DataFrame, groups: list[str], features: list[str], outputs: list[
     return forest
 
 
+def dealt(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """``rows`` by ``keys``, in so many more partitions than ``parts`` keys that few of these meet in one."""
+    return rows.repartition(max(1, min(4 * parts, 2000)), *keys)
+
+
+def _boosted_in_tasks(start: DataFrame, groups: list[str], features: int, count: int, rounds: int, depth: int, rate: float | str, limit: str | None,
+                      ridge: float, least: int, sample: float, columns: int | None, seed: int) -> DataFrame:
+    """Roots (level -1, value in ``left``) and splits of all rounds, each group's grown in one task."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = start.select(*groups, *[F.lit(0).alias(c) for c in ("level", "tree", "node", "feature", "bin")], F.col("__y").alias("left"), F.col("__y").alias("right")).schema
+    names = to_arrow_schema(schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        own = table.select(groups).slice(0, 1)
+        value = lambda c: own.column(c)[0].as_py() if isinstance(c, str) else c
+        keep: list = []
+        for _ in intask.boosted(intask.matrix(table["__bins"], features), table["__h"].to_numpy(), intask.matrix(table["__y"], 1)[:, 0], rounds,
+                                depth if limit is None else min(depth, value(limit)), value(rate), ridge, least, sample, columns, seed, keep=keep):
+            pass
+        out = [(-1, tree, 1, 0, 0, [root], [root]) for tree, root, _ in keep]
+        out += [(level, tree, *map(int, row[:3]), row[3].tolist(), row[4].tolist()) for tree, _, splits in keep for level, found in enumerate(splits) for row in zip(*found)]
+        repeated = [own.column(g).take(pa.array([0] * len(out), "int64")).cast(names.field(g).type) for g in groups]
+        return pa.table([*repeated, *[pa.array(c, names.field(len(groups) + i).type) for i, c in enumerate(zip(*out))]], schema=names)
+
+    return dealt(start.withColumn("__block", F.lit(0)), [*groups, "__block"], count).groupBy(*groups, "__block").applyInArrow(run, schema)
+
+
 def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column, rounds: int = 50, depth: int = 5, rate: float | str = 0.1,
-          limit: str | None = None, ridge: float = 1.0, bins: int = 32, least: int = 1) -> Forest:
+          limit: str | None = None, ridge: float = 1.0, bins: int = 32, least: int = 1, key: str | None = None, sample: float = 1.0,
+          columns: int | None = None, seed: int = 42) -> Forest:
     """Boosted regression trees per group (squared error, leaves shrunk by ``ridge``), one per round.
 
     ``rate``: a number or a group column; ``limit``: a group column with the depth of the group's own trees, at most
-    ``depth``. Jobs depend on ``rounds`` and ``depth`` alone. Rows with a NULL label take no part.
+    ``depth``. A round's tree grows on a share ``sample`` of the rows, drawn from a hash of ``key`` and the round, and tries
+    ``columns`` features at a node (all). Jobs depend on ``rounds`` and ``depth`` alone, and not even on these where every
+    group fits a task. Rows with a NULL label take no part.
     """
     if depth > 19 or bins > 128 or len(features) > 4096:
         raise ValueError("a tree has at most 19 levels, 4096 features and 128 bins")
     if any(isinstance(c, str) and c not in groups for c in (rate, limit)):
         raise ValueError("rate and limit are columns of the groups")
+    if sample < 1 and key is None:
+        raise ValueError("rows are drawn by their key")
     spark, rows = rows.sparkSession, rows.filter(_usable(features) & label.isNotNull())
     tables, _ = written(bin_edges(rows, groups, features, [label], bins), "boost-edges")
     forest = Forest(groups, features, rounds, tables, None, [], rate)
-    start = forest.binned(rows).select(*groups, "__bins", F.array(label.cast("double") - F.col("__means")[0]).alias("__y"), F.lit(0).alias("tree"))
+    drawn_by = [F.col(key).alias("__k"), F.xxhash64(key).alias("__h")] if key else [F.lit(0).alias("__k"), F.lit(0).cast("long").alias("__h")]
+    start = forest.binned(rows).select(*groups, "__bins", F.array(label.cast("double") - F.col("__means")[0]).alias("__y"), F.lit(0).alias("tree"), *drawn_by)
     state, path = written(start, "boost-rows")
+    most, count = state.groupBy(*groups).count().agg(F.coalesce(F.max("count"), F.lit(0)), F.count(F.lit(1))).first()
+    if intask.fits(most, len(features), 1) and count <= intask.MOST_GROUPS:
+        found, _ = written(_boosted_in_tasks(state, groups, len(features), count, rounds, depth, rate, limit, ridge, least, sample, columns, seed), "boost-trees")
+        remove_path(spark, path)
+        forest.roots = found.filter("level = -1").select(*groups, "tree", F.col("left").alias("__value"))
+        forest.levels = [found.filter(F.col("level") == d).drop("level") for d in range(depth)]
+        return forest
     roots, levels, kind = [], [[] for _ in range(depth)], {}
 
     def keep(df: DataFrame, paths: list[str], name: str) -> DataFrame:
@@ -238,19 +286,23 @@ def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column
     # the round's number is a column, so that all rounds run the same compiled code
     for _ in range(rounds):
         met = state.withColumns({"__w": F.lit(1), "__square": F.col("__y")[0] * F.col("__y")[0]})
+        if sample < 1:
+            met = met.filter(_unit(["__k"], seed) < sample)
         mean = F.array(F.sum(F.col("__y")[0]) / (F.count(F.lit(1)) + ridge))
         one = Forest(groups, features, 1, tables, keep(met.groupBy(*groups, "tree").agg(mean.alias("__value")), roots, "roots"), [])
         for level in range(depth):
             here = one.descend(met, level, False).filter(F.col("__node") >= 1 << level)
             if limit is not None:
                 here = here.filter(F.col(limit) > level)
-            splits = keep(_best_splits(here, groups, len(features), 1, None, 0, least, ridge), levels[level], "splits")
+            splits = keep(_best_splits(here, groups, len(features), 1, columns, seed, least, ridge), levels[level], "splits")
             if splits.isEmpty():
                 break
             one.levels.append(splits)
         left = F.array(F.col("__y")[0] - forest.total(F.col("__value")[0], F.lit(1)))
         old = path
-        state, path = written(one.descend(met, len(one.levels), True).select(*groups, "__bins", left.alias("__y"), (F.col("tree") + 1).alias("tree")), "boost-rows")
+        # a group of which a round drew no row has no tree in it
+        moved = one.descend(state, len(one.levels), True, outer=True).withColumn("__value", F.coalesce("__value", F.array(F.lit(0.0))))
+        state, path = written(moved.select(*groups, "__bins", left.alias("__y"), (F.col("tree") + 1).alias("tree"), "__k", "__h"), "boost-rows")
         remove_path(spark, old)
     remove_path(spark, path)
 
@@ -266,6 +318,37 @@ def boost(rows: DataFrame, groups: list[str], features: list[str], label: Column
     return forest
 
 
+def boosted_scores(rows: DataFrame, seen: DataFrame, fold: str, features: list[str], label: str, key: str, sizes: list[int], settings: Column, count: int,
+                   ridge: float = 1.0, bins: int = 32, least: int = 1, sample: float = 1.0, columns: int | None = None, seed: int = 42) -> DataFrame:
+    """(fold, rate, limit, trees, n, mse) of boosted trees for each fold and each of ``settings`` (structs of rate and limit, exploded): grown on
+    ``seen``, the training rows of each fold, and scored on the fold's own ``rows``, each of the ``count`` runs whole in one task."""
+    import numpy as np
+    import pyarrow as pa
+
+    usable = _usable(features) & F.col(label).isNotNull()
+    seen, rows = seen.filter(usable), rows.filter(usable)
+    tables, _ = written(bin_edges(seen, [fold], features, [F.col(label)], bins), "boost-edges")
+    both = seen.withColumn("held", F.lit(False)).unionByName(rows.withColumn("held", F.lit(True)))
+    binned = Forest([fold], features, max(sizes), tables, None, []).binned(both)
+    base, _ = written(binned.select(fold, "held", "__bins", (F.col(label).cast("double") - F.col("__means")[0]).alias("__y"), F.xxhash64(key).alias("__h")), "boost-rows")
+    width, wanted, kind = len(features), sorted(sizes), dict(base.dtypes)[fold]
+
+    def run(table: pa.Table) -> pa.Table:
+        held, all_bins, y = table["held"].to_numpy(), intask.matrix(table["__bins"], width), table["__y"].to_numpy()
+        one, squares = table.slice(0, 1), []
+        if held.any() and not held.all():
+            grown = intask.boosted(all_bins[~held], table["__h"].to_numpy()[~held], y[~held], wanted[-1], one["limit"][0].as_py(), one["rate"][0].as_py(),
+                                   ridge, least, sample, columns, seed, all_bins[held])
+            squares = [(t + 1, float(np.square(said - y[held]).mean())) for t, said in enumerate(grown) if t + 1 in wanted]
+        same = [one[c].take(pa.array([0] * len(squares), "int64")) for c in (fold, "rate", "limit")]
+        return pa.table([*same, pa.array([t for t, _ in squares], "int32"), pa.array([int(held.sum())] * len(squares), "int64"), pa.array([m for _, m in squares], "float64")],
+                        names=[fold, "rate", "limit", "trees", "n", "mse"])
+
+    met = base.withColumn("s", settings).select("*", "s.rate", "s.limit").drop("s")
+    keys = [fold, "rate", "limit"]
+    return dealt(met, keys, count).groupBy(*keys).applyInArrow(run, f"`{fold}` {kind}, rate double, limit int, trees int, n bigint, mse double")
+
+
 def class_outputs(label: str, classes: list) -> list[Column]:
     """Indicators of the classes of ``label``."""
     return [(F.col(label) == F.lit(c)).cast("double") for c in classes]

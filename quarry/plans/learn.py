@@ -215,14 +215,15 @@ def _day_data(spark, sf):
     return L.settled(L.assemble(d, DAY_FEATURES).withColumn("label", F.col("total_users").cast("double")))
 
 
-CV_SEARCH = {"maxDepth": [2, 4], "stepSize": [0.1, 0.3]}
+CV_SEARCH = {"maxDepth": [3, 4, 5, 6, 7], "maxIter": [50, 75, 100, 125], "stepSize": [0.075, 0.05, 0.1]}
 
 
 @query("cv_search", _grid_sql(_grid_names(**CV_SEARCH), "rmse"))
 def q_cv_search(spark, sf):
-    est = L.reg_boosted(max_iter=10)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, CV_SEARCH["maxDepth"]).addGrid(est.stepSize, CV_SEARCH["stepSize"]).build()
-    _, rows = L.cv_search(est, grid, L.evaluator_rmse(), _day_data(spark, sf), folds=5)
+    """All 60 settings of the reference's grid on 5 folds: 300 boosted fits, with 0.8 of the rows and of the features."""
+    est = L.reg_boosted()
+    grid = ParamGridBuilder().addGrid(est.maxDepth, CV_SEARCH["maxDepth"]).addGrid(est.maxIter, CV_SEARCH["maxIter"]).addGrid(est.stepSize, CV_SEARCH["stepSize"]).build()
+    _, rows = L.cv_search(est, grid, L.evaluator_rmse(), _day_data(spark, sf), folds=5, key="date")
     return _scored(L.search_table(spark, rows, "rmse"), "rmse")
 
 
