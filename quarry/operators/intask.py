@@ -20,7 +20,7 @@ import numpy as np
 POISSON = [sum(exp(-1) / factorial(i) for i in range(k + 1)) for k in range(9)]
 LEAST_SHARE = 1e-9  # of a node's variance, and of its squares
 #: Bytes of arrays that a task may hold for its rows.
-TASK_BYTES = 1 << 27
+TASK_BYTES = 1 << 28
 #: Groups that are worth a call each.
 MOST_GROUPS = 10_000
 _P1, _P2, _P3, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))

@@ -404,8 +404,7 @@ def forest_search(train: DataFrame, held: DataFrame, features: list[str], label:
                   sizes: list[int], depths: list[int]) -> DataFrame:
     """H8: (trees, depth, n, accuracy) of every setting on the hold-out, read off one forest of the largest setting
     (square root of the features tried at a node)."""
-    whole = trees_.grow(train, [], features, trees_.class_outputs(label, classes), key, max(sizes), max(depths), columns=max(1, int(len(features) ** 0.5)))
-    return trees_.scores(whole, held, label, sizes, depths, classes)
+    return trees_.search(train, held, features, label, classes, key, sizes, depths, columns=max(1, int(len(features) ** 0.5)))
 
 
 def _fold(key: str, folds: int):

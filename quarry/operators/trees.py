@@ -379,13 +379,76 @@ def scores(forest: Forest, rows: DataFrame, label: str, sizes: list[int], depths
     long = walked.select(*forest.groups, "__row", F.col(label).alias("__label"), "__means", stretch.alias("__stretch"), by_depth.alias("__at"))
     keys = [*forest.groups, "__row", "__label", "__means", F.col("__at.depth").alias("depth")]
     part = long.groupBy(*keys, "__stretch").agg(*[F.sum(F.col("__at.value")[k]).alias(f"__o{k}") for k in range(width)])
-    run = Window.partitionBy(*forest.groups, "__row", "depth").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, 0)
+    means = [F.col("__means")[k] for k in range(width)]
+    return _measured(part, forest.groups, cuts, lambda k, trees: forest.total(k, trees), means, classes)
+
+
+def _measured(part: DataFrame, groups: list[str], cuts: list[int], total, means: list[Column], classes: list | None) -> DataFrame:
+    """group columns, trees, depth, n and measure from the sums ``__o{k}`` of (row, depth, stretch)."""
+    width = len(means)
+    run = Window.partitionBy(*groups, "__row", "depth").orderBy("__stretch").rowsBetween(Window.unboundedPreceding, 0)
     size = F.element_at(F.array(*[F.lit(c) for c in cuts]), F.col("__stretch") + 1)
     summed = part.withColumns({f"__o{k}": F.sum(f"__o{k}").over(run) for k in range(width)}).withColumn("trees", size)
-    out = F.array(*[forest.total(F.col(f"__o{k}"), F.col("trees")) + F.col("__means")[k] for k in range(width)])
+    out = F.array(*[total(F.col(f"__o{k}"), F.col("trees")) + means[k] for k in range(width)])
     if classes is None:
         measure = F.avg(F.pow(out[0] - F.col("__label"), F.lit(2))).alias("mse")
     else:
         named = F.element_at(F.array(*[F.lit(float(c)) for c in classes]), F.array_position(F.col("__out"), F.array_max("__out")).cast("int"))
         measure = F.avg((named == F.col("__label")).cast("double")).alias("accuracy")
-    return summed.withColumn("__out", out).groupBy(*forest.groups, "trees", "depth").agg(F.count(F.lit(1)).alias("n"), measure)
+    return summed.withColumn("__out", out).groupBy(*groups, "trees", "depth").agg(F.count(F.lit(1)).alias("n"), measure)
+
+
+#: Trees that one task of ``search`` grows.
+PIECE = 13
+
+
+def search(train: DataFrame, held: DataFrame, features: list[str], label: str, classes: list, key: list[str], sizes: list[int], depths: list[int],
+           columns: int | None = None, bins: int = 32, least: int = 1, seed: int = 42) -> DataFrame:
+    """``scores`` on ``held`` of the largest forest grown on ``train``: trees, depth, n and accuracy of every setting.
+
+    Where the rows fit a task, the trees are dealt to tasks that have all rows: each grows its trees and walks the held rows
+    down at once, so neither splits nor pairs of rows and trees are written, and sums per row, depth and stretch are all
+    that comes back. Larger tables are grown and walked level by level."""
+    import numpy as np
+    import pyarrow as pa
+
+    outputs, usable = class_outputs(label, classes), _usable(features) & F.col(label).isNotNull()
+    train, held = train.filter(usable), held.filter(usable)
+    width, cuts, wanted, many = len(features), sorted(sizes), sorted(depths), len(classes)
+    if not intask.fits(train.count() + held.count(), width, many):
+        return scores(grow(train, [], features, outputs, key, cuts[-1], wanted[-1], bins, columns, least, seed), held, label, sizes, depths, classes)
+    tables, _ = written(bin_edges(train, [], features, outputs, bins), "forest-edges")
+    means = [m or 0.0 for m in tables.first()["__means"]]  # a number per class
+    taken = [*features, F.col(label).cast("double").alias("__label")]
+    both = train.select(*taken, F.lit(False).alias("__held"), F.xxhash64(*key).alias("__h")).unionByName(
+        held.select(*taken, F.lit(True).alias("__held"), F.monotonically_increasing_id().alias("__h")))
+    base, path = written(Forest([], features, cuts[-1], tables, None, []).binned(both).select("__bins", "__label", "__held", "__h"), "forest-rows")
+    pieces = [(first, min(first + PIECE, end), stretch) for stretch, (begin, end) in enumerate(zip([0, *cuts], cuts)) for first in range(begin, end, PIECE)]
+
+    def run(table: pa.Table) -> pa.Table:
+        out, all_bins, names, keys = table["__held"].to_numpy(), intask.matrix(table["__bins"], width), table["__label"].to_numpy(), table["__h"].to_numpy()
+        first, end, stretch = pieces[table["__piece"][0].as_py()]
+        seen, keys, rows, names, walked = all_bins[~out], keys[~out], keys[out], names, all_bins[out]
+        y = np.equal.outer(names[~out], np.array(classes, np.float64)) - np.array(means)
+        sums = np.tile(np.array(means) * (end - first), (len(wanted), len(rows), 1))
+        for tree in range(first, end):
+            w = intask.bag(keys, tree, seed)
+            drawn = np.flatnonzero(w)
+            if len(drawn):
+                for d, value in enumerate(intask.grown(seen[drawn], w[drawn].astype(np.float64), y[drawn], walked, tree, wanted[-1], columns, seed, least)):
+                    if d in wanted:
+                        sums[wanted.index(d)] += value
+        n = 0 if out.all() else len(rows) * len(wanted)
+        at = [np.tile(rows, len(wanted)), np.tile(names[out], len(wanted)), np.repeat(np.array(wanted, np.int32), len(rows)), np.full(len(rows) * len(wanted), stretch, np.int32)]
+        flat = sums.reshape(-1, many)
+        return pa.table([*[pa.array(c[:n]) for c in at], *[pa.array(np.ascontiguousarray(flat[:n, k])) for k in range(many)]],
+                        names=["__row", "__label", "depth", "__stretch", *[f"__o{k}" for k in range(many)]])
+
+    met = base.withColumn("__piece", F.explode(F.sequence(F.lit(0), F.lit(len(pieces) - 1))))
+    kind = "__row bigint, __label double, depth int, __stretch int, " + ", ".join(f"__o{k} double" for k in range(many))
+    long = dealt(met, ["__piece"], len(pieces)).groupBy("__piece").applyInArrow(run, kind)
+    part = long.groupBy("__row", "__label", "depth", "__stretch").agg(*[F.sum(f"__o{k}").alias(f"__o{k}") for k in range(many)])
+    # the sums hold the means of their trees
+    table, _ = written(_measured(part, [], cuts, lambda value, trees: value / trees, [F.lit(0.0)] * many, classes), "forest-scores")
+    remove_path(train.sparkSession, path)
+    return table

@@ -8,7 +8,8 @@ from quarry.operators import intask
 from quarry.operators import learn as L
 from quarry.operators import trees as T
 from quarry.plans import learn as P
-from tests.test_trees import ROW, curved
+from tests.conftest import SF_SMALL
+from tests.test_trees import ROW, curved, labelled
 
 
 def test_draws_are_those_of_spark(spark):
@@ -66,3 +67,40 @@ def test_cv_search_of_boosted_trees_scores_and_refits(spark):
     table = {r["params"]: r["rmse"] for r in L.search_table(spark, rows, "rmse").collect()}
     assert set(table) == {str(p) for p in P._grid_names(maxDepth=[1, 3], maxIter=[2, 30], stepSize=[0.1, 0.2])}
     assert table["[('maxDepth', 3.0), ('maxIter', 30.0), ('stepSize', 0.2)]"] < 0.7 * table["[('maxDepth', 1.0), ('maxIter', 2.0), ('stepSize', 0.1)]"]
+
+
+def test_forest_search_in_tasks_equals_levels(spark, monkeypatch):
+    data = spark.createDataFrame([r[1:] for r in labelled(240)] + [(900, None, 0.1, 0.2, 1.0), (901, 0.1, 0.1, 0.2, None), (902, float("nan"), 0.1, 0.2, 1.0)], ROW.split(", ", 1)[1])
+    train, held = data.filter("id % 4 > 0"), data.filter("id % 4 = 0")
+    call = lambda: {(r["trees"], r["depth"]): (r["n"], r["accuracy"]) for r in L.forest_search(train, held, ["a", "b", "c"], "y", [0, 1, 2, 3], ["id"], [3, 20, 16], [0, 2, 5]).collect()}
+    assert L.forest_search(train.limit(0), held, ["a", "b", "c"], "y", [0, 1], ["id"], [3], [2]).count() == 0
+    here, levels = both_ways(monkeypatch, call)
+    assert len(here) == 9 and here == levels
+    assert {n for n, _ in here.values()} == {60} and here[20, 5][1] > here[20, 0][1]
+
+
+def test_deep_nodes_split_as_wide_ones():
+    """Nodes of few rows are put in order instead of counted by bin; both ways are the same."""
+    rng = np.random.default_rng(1)
+    bins, rank = rng.integers(0, 32, (400, 5)).astype(np.int8), np.sort(rng.integers(0, 40, 400))
+    w, y = rng.integers(1, 4, 400).astype(float), rng.normal(size=(400, 3))
+    wy, wq, slots = np.ascontiguousarray((w[:, None] * y).T), w * np.square(y).sum(1), intask.tried(np.arange(40), 3, 5, 2, 42)
+    deep = intask.best_splits(rank, 40, bins, w, wy, wq, slots)
+    assert len(deep[0]) > 30
+    for node in range(40):
+        own = rank == node
+        alone = intask.best_splits(np.zeros(own.sum() * 20, np.int64), 1, np.tile(bins[own], (20, 1)), np.tile(w[own], 20), np.tile(wy[:, own], 20), np.tile(wq[own], 20), slots[node:node + 1])
+        mine = [v[deep[0] == node] for v in deep[1:]]
+        assert [v.tolist() for v in mine[:2]] == [v.tolist() for v in alone[1:3]]
+        assert all(np.allclose(a, b) for a, b in zip(mine[2:], alone[3:]))
+
+
+def test_holdout_search_writes_no_pairs(spark, monkeypatch):
+    """It grew 375 trees level by level, which did not end in time on 10,000 vectors."""
+    def stop(*args, **kwargs):
+        raise AssertionError("grown level by level")
+
+    monkeypatch.setattr(T, "grow", stop)
+    monkeypatch.setitem(P._SETTINGS, "sizes", [3, 5])
+    monkeypatch.setitem(P._SETTINGS, "depths", [2, 4])
+    assert sorted(map(tuple, P.q_holdout_search(spark, SF_SMALL).collect())) == sorted((str(p), True) for p in P._grid_names(maxDepth=[2, 4], numTrees=[3, 5]))
