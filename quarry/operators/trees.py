@@ -33,6 +33,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import gcd
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ from quarry.operators import intask
 from quarry.operators.intask import LEAST_SHARE, POISSON
 from quarry.session import remove_path, written
 
+cloudpickle.register_pickle_by_value(intask)  # executors need not find this package
+
 
 def _usable(features: list[str]) -> Column:
     out = F.lit(True)

@@ -1,7 +1,12 @@
 """Trees grown inside a task are those grown level by level."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from quarry.operators import intask
@@ -104,3 +109,11 @@ def test_holdout_search_writes_no_pairs(spark, monkeypatch):
     monkeypatch.setitem(P._SETTINGS, "sizes", [3, 5])
     monkeypatch.setitem(P._SETTINGS, "depths", [2, 4])
     assert sorted(map(tuple, P.q_holdout_search(spark, SF_SMALL).collect())) == sorted((str(p), True) for p in P._grid_names(maxDepth=[2, 4], numTrees=[3, 5]))
+
+
+def test_executors_need_not_find_the_package(tmp_path):
+    """A driver started elsewhere adds the package to its own path only."""
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(lambda: (intask.bag(np.arange(3), 1, 42).tolist(), "quarry" in sys.modules)))
+    told = "from pyspark import cloudpickle; print(cloudpickle.loads(open('f', 'rb').read())())"
+    out = subprocess.run([sys.executable, "-c", told], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True)
+    assert out.stdout.strip() == str((intask.bag(np.arange(3), 1, 42).tolist(), False)), out.stderr
