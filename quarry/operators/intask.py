@@ -62,6 +62,33 @@ def tried(nodes: np.ndarray, tree: int, features: int, columns: int | None, seed
     return (start[:, None] + np.arange(columns) * steps[draw % len(steps)][:, None]) % features
 
 
+class Outputs:
+    """Weights and outputs of a tree's rows: numbers as ``y`` (row, output), or with ``means`` the indicators of the classes ``y``, less these."""
+
+    def __init__(self, w, y, means=None):
+        self.w, self.means = w, means
+        if means is None:
+            self.y, self.square = np.ascontiguousarray((w[:, None] * y).T), w * np.square(y).sum(1)
+        else:
+            self.y, self.square = y, w * (1 - 2 * means + np.square(means).sum())[y]
+
+    def taken(self, rows) -> Outputs:
+        out = object.__new__(Outputs)
+        out.w, out.y, out.square, out.means = self.w[rows], self.y[..., rows], self.square[rows], self.means
+        return out
+
+    def sums(self, cell, cells: int, order=None):
+        """Weights, and outputs as (output, cell), added up by ``cell``, that of the rows in ``order``."""
+        w = self.w if order is None else self.w[order]
+        if self.means is None:
+            return np.bincount(cell, w, cells), np.stack([np.bincount(cell, v if order is None else v[order], cells) for v in self.y])
+        many = len(self.means)
+        by_class = np.bincount(cell + cells * (self.y if order is None else self.y[order]), w, cells * many).reshape(many, cells)
+        n = by_class.sum(0)
+        by_class -= self.means[:, None] * n
+        return n, by_class
+
+
 def _shares(left, n_left, s, n, total, spread, least: int, ridge: float):
     """The share of its node's variance that a cut takes away, -1 where it may not be made. ``left``: (output, ...) sums."""
     n_right = n - n_left
@@ -71,33 +98,31 @@ def _shares(left, n_left, s, n, total, spread, least: int, ridge: float):
     return np.where((n_left >= least) & (n_right >= least) & ~np.isnan(share), share, -1.0)
 
 
-def best_splits(rank, count: int, bins, w, wy, wq, slots, least: int = 1, ridge: float = 0.0):
+def best_splits(rank, count: int, bins, outputs: Outputs, slots, least: int = 1, ridge: float = 0.0):
     """The best split of each of ``count`` nodes: (nodes that are split, feature, bin, left values, right values).
 
-    ``rank``: node of a row; ``wy``: (output, row); ``slots``: (node, place) -> feature tried."""
-    n, q = np.bincount(rank, w, count), np.bincount(rank, wq, count)
-    s = np.stack([np.bincount(rank, v, count) for v in wy])
+    ``rank``: node of a row; ``slots``: (node, place) -> feature tried."""
+    q = np.bincount(rank, outputs.square, count)
+    n, s = outputs.sums(rank, count)
     total = np.square(s).sum(0) / (n + ridge)
     spread = q - total
     mixed = spread > LEAST_SHARE * q  # else all outputs are equal but for rounding
     if not mixed.all():
         keep = np.flatnonzero(mixed[rank])
-        rank, bins, w, wy = rank[keep], bins[keep], w[keep], wy[:, keep]
+        rank, bins, outputs = rank[keep], bins[keep], outputs.taken(keep)
     share, place = np.zeros(count), np.full(count, 1 << 30)
     low, n_low = np.zeros_like(s), np.zeros(count)
     if not len(rank):
         return np.zeros(0, np.int64), place[:0], place[:0], low[:, :0].T, low[:, :0].T
     rows, features, width = np.arange(len(rank)), bins.shape[1], int(bins.max()) + 1
-    flat, dense, all_ = bins.ravel(), count * width <= 2 * len(rank), np.arange(count)
+    flat, dense, all_ = bins.ravel(), count * width <= len(rank), np.arange(count)
     small = count <= 1 << 16
-    begin = np.searchsorted  # of a node's rows, once these are in order
     for j in range(slots.shape[1]):
         feature = slots[:, j]
         at = flat[rows * features + feature[rank]]
         if dense:
-            cell = rank * width + at
-            here = np.bincount(cell, w, count * width).reshape(count, width)
-            sums = np.stack([np.bincount(cell, v, count * width).reshape(count, width).cumsum(1) for v in wy])
+            here, sums = outputs.sums(rank * width + at, count * width)
+            here, sums = here.reshape(count, width), sums.reshape(-1, count, width).cumsum(2)
             n_left = here.cumsum(1)
             got = _shares(sums, n_left, s[:, :, None], n[:, None], total[:, None], spread[:, None], least, ridge)
             got[here == 0] = -1.0
@@ -107,20 +132,18 @@ def best_splits(rank, count: int, bins, w, wy, wq, slots, least: int = 1, ridge:
             order = np.argsort(at, kind="stable")
             order = order[np.argsort(rank[order].astype(np.uint16) if small else rank[order], kind="stable")]
             r, b = rank[order], at[order]
-            ends = np.flatnonzero(np.append((r[1:] != r[:-1]) | (b[1:] != b[:-1]), True))
-            r, b = r[ends], b[ends]
-            first = begin(r, all_[: r[-1] + 1])  # a node's cells
-            before = np.concatenate([[-1], ends])[first]  # the last row before the node's
-            def upto(v):
-                run = np.concatenate([[0.0], np.cumsum(v[order])])
-                return run[ends + 1] - run[before + 1][r]
-            sums, n_left = np.stack([upto(v) for v in wy]), upto(w)
+            starts = np.append(True, (r[1:] != r[:-1]) | (b[1:] != b[:-1]))
+            here, sums = outputs.sums(np.cumsum(starts) - 1, int(starts.sum()), order)
+            r, b = r[starts], b[starts]
+            first = np.searchsorted(r, all_[: r[-1] + 1])  # a node's cells
+            upto = lambda v: (run := np.append(0.0, v.cumsum()))[1:] - run[first][r]
+            sums, n_left = np.stack([upto(v) for v in sums]), upto(here)
             got = _shares(sums, n_left, s[:, r], n[r], total[r], spread[r], least, ridge)
             seen = np.unique(r)
             top = np.zeros(count)
             top[seen] = np.maximum.reduceat(got, first[seen])
             best = np.flatnonzero(got == top[r])
-            best = best[np.append(True, r[best][1:] != r[best][:-1])] if len(best) else best
+            best = best[np.append(True, r[best][1:] != r[best][:-1])]
             node, bin_, found, left, n_left = r[best], b[best], got[best], sums[:, best], n_left[best]
         here = (feature[node].astype(np.int64) << 8) | bin_
         better = (found > share[node]) | ((found == share[node]) & (here < place[node]))
@@ -131,25 +154,24 @@ def best_splits(rank, count: int, bins, w, wy, wq, slots, least: int = 1, ridge:
     return at, place[at] >> 8, place[at] & 255, (low / (n_low + ridge)).T, ((s[:, at] - low) / (n[at] - n_low + ridge)).T
 
 
-def grown(bins, w, y, others, tree: int, depth: int, columns: int | None = None, seed: int = 42, least: int = 1, ridge: float = 0.0,
+def grown(bins, outputs: Outputs, others, tree: int, depth: int, columns: int | None = None, seed: int = 42, least: int = 1, ridge: float = 0.0,
           keep: list | None = None) -> Iterator[np.ndarray]:
-    """Grows one tree of the rows ``bins`` with weights ``w`` and outputs ``y`` (row, output); yields what it says of
-    the rows ``others`` at depth 0, 1, ... ``depth`` (the same array, changed from depth to depth). ``keep`` gets the splits of
+    """Grows one tree of the rows ``bins`` with their ``outputs``; yields what it says of the rows ``others`` at depth 0, 1, ... ``depth`` (the same array, changed from depth to depth). ``keep`` gets the splits of
     each level: node, feature, bin, left and right values."""
-    wy, wq = np.ascontiguousarray((w[:, None] * y).T), w * np.square(y).sum(1)
-    rank, nodes, place = np.zeros(len(w), np.int64), np.ones(1, np.int64), np.zeros(len(others), np.int64)
-    value = np.tile(wy.sum(1) / (w.sum() + ridge), (len(others), 1))
+    rank, nodes, place = np.zeros(len(bins), np.int64), np.ones(1, np.int64), np.zeros(len(others), np.int64)
+    n, s = outputs.sums(rank, 1)
+    value = np.tile(s[:, 0] / (n + ridge), (len(others), 1))
     yield value
     for _ in range(depth):
         if len(nodes):
-            at, feature, cut, left, right = best_splits(rank, len(nodes), bins, w, wy, wq, tried(nodes, tree, bins.shape[1], columns, seed), least, ridge)
+            at, feature, cut, left, right = best_splits(rank, len(nodes), bins, outputs, tried(nodes, tree, bins.shape[1], columns, seed), least, ridge)
             if keep is not None:
                 keep.append((nodes[at], feature, cut, left, right))
             below = np.full(len(nodes), -1)
             below[at] = np.arange(len(at))
             new = below[rank]
             stay = np.flatnonzero(new >= 0)
-            new, bins, w, wy, wq = new[stay], bins[stay], w[stay], wy[:, stay], wq[stay]
+            new, bins, outputs = new[stay], bins[stay], outputs.taken(stay)
             rank = 2 * new + (bins[np.arange(len(new)), feature[new]] > cut[new])
             live = np.flatnonzero(place >= 0)
             new = below[place[live]]
@@ -172,7 +194,7 @@ def boosted(bins, keys, y, rounds: int, depth: int, rate: float, ridge: float, l
         drawn = np.flatnonzero(unit(keys, t, seed) < sample) if sample < 1 else np.arange(len(y))
         if len(drawn):
             splits: list = []
-            for level, value in enumerate(grown(bins[drawn], np.ones(len(drawn)), left[drawn, None], walked, t, depth, columns, seed, least, ridge, splits)):
+            for level, value in enumerate(grown(bins[drawn], Outputs(np.ones(len(drawn)), left[drawn, None]), walked, t, depth, columns, seed, least, ridge, splits)):
                 if not level and keep is not None:
                     keep.append((t, value[0, 0], splits))
             left -= rate * value[: len(y), 0]

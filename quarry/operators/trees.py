@@ -432,13 +432,13 @@ def search(train: DataFrame, held: DataFrame, features: list[str], label: str, c
         out, all_bins, names, keys = table["__held"].to_numpy(), intask.matrix(table["__bins"], width), table["__label"].to_numpy(), table["__h"].to_numpy()
         first, end, stretch = pieces[table["__piece"][0].as_py()]
         seen, keys, rows, names, walked = all_bins[~out], keys[~out], keys[out], names, all_bins[out]
-        y = np.equal.outer(names[~out], np.array(classes, np.float64)) - np.array(means)
-        sums = np.tile(np.array(means) * (end - first), (len(wanted), len(rows), 1))
+        codes, mean = np.searchsorted(np.array(classes, np.float64), names[~out]), np.array(means)
+        sums = np.tile(mean * (end - first), (len(wanted), len(rows), 1))
         for tree in range(first, end):
             w = intask.bag(keys, tree, seed)
             drawn = np.flatnonzero(w)
             if len(drawn):
-                for d, value in enumerate(intask.grown(seen[drawn], w[drawn].astype(np.float64), y[drawn], walked, tree, wanted[-1], columns, seed, least)):
+                for d, value in enumerate(intask.grown(seen[drawn], intask.Outputs(w[drawn].astype(np.float64), codes[drawn], mean), walked, tree, wanted[-1], columns, seed, least)):
                     if d in wanted:
                         sums[wanted.index(d)] += value
         n = 0 if out.all() else len(rows) * len(wanted)

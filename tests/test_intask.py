@@ -84,22 +84,32 @@ def test_forest_search_in_tasks_equals_levels(spark, monkeypatch):
     assert {n for n, _ in here.values()} == {60} and here[20, 5][1] > here[20, 0][1]
 
 
-def test_deep_nodes_split_as_wide_ones():
+@pytest.mark.parametrize("classes", [False, True])
+def test_deep_nodes_split_as_wide_ones(classes):
     """Nodes of few rows are put in order instead of counted by bin; both ways are the same."""
     rng = np.random.default_rng(1)
     bins, rank = rng.integers(0, 32, (400, 5)).astype(np.int8), np.sort(rng.integers(0, 40, 400))
-    w, y = rng.integers(1, 4, 400).astype(float), rng.normal(size=(400, 3))
-    wy, wq, slots = np.ascontiguousarray((w[:, None] * y).T), w * np.square(y).sum(1), intask.tried(np.arange(40), 3, 5, 2, 42)
-    deep = intask.best_splits(rank, 40, bins, w, wy, wq, slots)
+    w, slots = rng.integers(1, 4, 400).astype(float), intask.tried(np.arange(40), 3, 5, 2, 42)
+    given = (rng.integers(0, 3, 400), np.array([0.2, 0.3, 0.5])) if classes else (rng.normal(size=(400, 3)), None)
+    outputs = intask.Outputs(w, *given)
+    deep = intask.best_splits(rank, 40, bins, outputs, slots)
     assert len(deep[0]) > 30
     for node in range(40):
-        own = rank == node
-        alone = intask.best_splits(np.zeros(own.sum() * 20, np.int64), 1, np.tile(bins[own], (20, 1)), np.tile(w[own], 20), np.tile(wy[:, own], 20), np.tile(wq[own], 20), slots[node:node + 1])
+        own = np.tile(np.flatnonzero(rank == node), 20)
+        alone = intask.best_splits(np.zeros(len(own), np.int64), 1, bins[own], outputs.taken(own), slots[node:node + 1])
         mine = [v[deep[0] == node] for v in deep[1:]]
         assert [v.tolist() for v in mine[:2]] == [v.tolist() for v in alone[1:3]]
         assert all(np.allclose(a, b) for a, b in zip(mine[2:], alone[3:]))
 
 
+def test_classes_are_indicators_less_their_means():
+    rng = np.random.default_rng(2)
+    bins, w, codes, means = rng.integers(0, 32, (300, 6)).astype(np.int8), rng.integers(1, 4, 300).astype(float), rng.integers(0, 4, 300), np.array([0.1, 0.2, 0.3, 0.4])
+    ways = [intask.Outputs(w, codes, means), intask.Outputs(w, np.eye(4)[codes] - means)]
+    trees = [[v.copy() for v in intask.grown(bins, o, bins, 1, 7, 2)] for o in ways]
+    assert len(trees[0]) == 8 and np.allclose(*trees)
+
+
 def test_holdout_search_writes_no_pairs(spark, monkeypatch):
     """It grew 375 trees level by level, which did not end in time on 10,000 vectors."""
     def stop(*args, **kwargs):
